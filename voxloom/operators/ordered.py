@@ -15,8 +15,13 @@ from pyspark.sql import functions as F
 BLOCK = "_block"
 
 
+def micros(ts: Column) -> Column:
+    """Microseconds since the epoch, for timestamps with and without a zone (the session zone should be UTC)."""
+    return F.unix_micros(ts.cast("timestamp"))
+
+
 def time_block(ts: Column, seconds: int = 86400) -> Column:
-    return F.floor(F.unix_micros(ts) / F.lit(seconds * 1_000_000))
+    return F.floor(micros(ts) / F.lit(seconds * 1_000_000))
 
 
 def value_block(value: Column, width: int = 4096) -> Column:

@@ -34,7 +34,7 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None, memory:
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     return spark
 
 
