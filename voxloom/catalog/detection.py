@@ -103,9 +103,9 @@ def _(spark, d):
 
 @query(
     "best_detector",
-    f"""WITH {_GRID_SQL}, scores AS (SELECT detector, {_ACCURACY_SQL}, CASE detector WHEN 'script' THEN 0 WHEN 'trigram' THEN 1 ELSE 2 END AS rank FROM hits GROUP BY detector)
-    SELECT (SELECT detector FROM scores ORDER BY avg_measure, rank LIMIT 1) AS fastest,
-           (SELECT detector FROM scores ORDER BY correct / total DESC, rank LIMIT 1) AS most_accurate""",
+    f"""WITH {_GRID_SQL}, marks AS (SELECT detector, {_ACCURACY_SQL}, CASE detector WHEN 'script' THEN 0 WHEN 'trigram' THEN 1 ELSE 2 END AS rank FROM hits GROUP BY detector)
+    SELECT (SELECT detector FROM marks ORDER BY avg_measure, rank LIMIT 1) AS fastest,
+           (SELECT detector FROM marks ORDER BY correct / total DESC, rank LIMIT 1) AS most_accurate""",
 )
 def _(spark, d):
     scores = A.detector_accuracy(_grid(spark, d), ["detector"], "n_chars")

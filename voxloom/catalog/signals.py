@@ -182,7 +182,7 @@ def _resample_sql(position: str, count: str) -> str:
 @query(
     "resample_linear",
     """SELECT a.vec_id, a.n, a.weighted, b.n AS grid_n, b.weighted AS grid_weighted FROM ("""
-    + _stats_sql(_resample_sql("i / (16.0::DOUBLE / (label + 9))", "floor(len(embedding) * (16.0::DOUBLE / (label + 9)) + 0.5)"))
+    + _stats_sql(_resample_sql("i * ((label + 9) / 16.0::DOUBLE)", "floor(len(embedding) * 16.0::DOUBLE / (label + 9) + 0.5)"))
     + ") a JOIN ("
     + _stats_sql(_resample_sql("i::DOUBLE * len(embedding) / round_even(len(embedding)::DOUBLE / (label + 9) * 16, 0)", "round_even(len(embedding)::DOUBLE / (label + 9) * 16, 0)"))
     + ") b USING (vec_id)",

@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType
 
+from voxloom.functions.signal import bind
+
 
 def longest_monotone(values) -> np.ndarray:
     """Mask of a longest non-decreasing subsequence in O(n log n).
@@ -82,11 +84,16 @@ def repair_timestamps(values: pd.Series) -> pd.Series:
 def pair_timestamps(words: Column, millis: Column, offset: Column | None = None) -> Column:
     """Word i spans the values 2i and 2i+1: seconds rounded to 3 places, then shifted by the chunk offset."""
 
-    def seconds(index: Column) -> Column:
-        s = F.bround(F.get(millis, index) / F.lit(1000.0), 3)
-        return s if offset is None else F.bround(s + offset, 3)
+    def spans(ms: Column) -> Column:
+        def seconds(index: Column) -> Column:
+            s = F.bround(F.get(ms, index) / F.lit(1000.0), 3)
+            return s if offset is None else F.bround(s + offset, 3)
+
+        return F.transform(
+            words,
+            lambda w, i: F.struct(
+                w.alias("text"), seconds(i * 2).alias("start_time"), seconds(i * 2 + 1).alias("end_time")
+            ),
+        )
 
-    return F.transform(
-        words,
-        lambda w, i: F.struct(w.alias("text"), seconds(i * 2).alias("start_time"), seconds(i * 2 + 1).alias("end_time")),
-    )
+    return bind(millis, spans)

@@ -31,18 +31,29 @@ def ms_from_token(index: Column, segment_ms: float) -> Column:
     return index * F.lit(float(segment_ms))
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once. An expression named inside a lambda is otherwise computed again for
+    every element, which makes a pass over a signal quadratic."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def to_mono(channels: Column) -> Column:
     """Mean over channels. Up to 8 rows that are longer than their count are channels, otherwise the rows are frames."""
-    rows = F.size(channels)
-    first = F.get(channels, F.lit(0))
-    summed = F.aggregate(
-        F.slice(channels, 2, F.greatest(rows - 1, F.lit(0))), first, lambda acc, ch: F.zip_with(acc, ch, lambda a, b: a + b)
-    )
-    by_channel = F.transform(summed, lambda x: _f32(x / rows))
-    by_frame = F.transform(
-        channels, lambda fr: _f32(F.aggregate(fr, F.lit(0.0).cast("float"), lambda a, b: a + b) / F.size(fr))
-    )
-    return F.when(rows == 0, _empty()).when((rows <= 8) & (F.size(first) > rows), by_channel).otherwise(by_frame)
+
+    def mean(rows: Column) -> Column:
+        count, first = F.size(rows), F.get(rows, F.lit(0))
+        summed = F.aggregate(
+            F.slice(rows, 2, F.greatest(count - 1, F.lit(0))), first,
+            lambda acc, ch: F.zip_with(acc, ch, lambda a, b: a + b),
+        )
+        by_channel = bind(count, lambda n: F.transform(summed, lambda x: _f32(x / n)))
+        by_frame = F.transform(
+            rows, lambda fr: _f32(F.aggregate(fr, F.lit(0.0).cast("float"), lambda a, b: a + b) / F.size(fr))
+        )
+        as_channels = (count <= 8) & (F.size(first) > count)
+        return F.when(count == 0, _empty()).when(as_channels, by_channel).otherwise(by_frame)
+
+    return bind(channels, mean)
 
 
 def peak(wav: Column) -> Column:
@@ -56,8 +67,13 @@ def clip_unit(x: Column) -> Column:
 
 def normalize_range(wav: Column) -> Column:
     """Divide by the peak only where it exceeds 1."""
-    top = peak(wav)
-    return F.when(top > 1.0, F.transform(wav, lambda x: clip_unit(_f32(x / top)))).otherwise(wav)
+
+    def scaled(w: Column) -> Column:
+        return bind(
+            peak(w), lambda top: F.when(top > 1.0, F.transform(w, lambda x: clip_unit(_f32(x / top)))).otherwise(w)
+        )
+
+    return bind(wav, scaled)
 
 
 def normalize_int_pcm(samples: Column, bits: int, signed: bool = True) -> Column:
@@ -69,11 +85,12 @@ def normalize_int_pcm(samples: Column, bits: int, signed: bool = True) -> Column
 
 def normalize_float_pcm(samples: Column) -> Column:
     """Float samples are scaled only when the peak is clearly above 1."""
-    top = peak(samples).cast("double")
-    loud = top > 1.0 + 1e-6
-    return F.when(loud, F.transform(samples, lambda x: clip_unit(_f32(x / (top + 1e-12))))).otherwise(
-        F.transform(samples, lambda x: clip_unit(_f32(x)))
-    )
+
+    def scaled(top: Column) -> Column:
+        loud = F.transform(samples, lambda x: clip_unit(_f32(x / (top + 1e-12))))
+        return F.when(top > 1.0 + 1e-6, loud).otherwise(F.transform(samples, lambda x: clip_unit(_f32(x))))
+
+    return bind(peak(samples).cast("double"), scaled)
 
 
 def stream_pcm16(samples: Column) -> Column:
@@ -81,40 +98,46 @@ def stream_pcm16(samples: Column) -> Column:
     return F.transform(samples, lambda x: _f32(x / F.lit(32768.0)))
 
 
-def _interpolate(wav: Column, n_out: Column, position) -> Column:
-    last = F.size(wav) - 1
+def _interpolate(wav: Column, n_out: Column, step: Column) -> Column:
+    """``n_out`` samples at the positions i * step, linear between neighbours, the last sample kept at the edge."""
+
+    def sampled(s: Column) -> Column:
+        w, last = s["w"], s["last"]
 
-    def sample(i: Column) -> Column:
-        x = position(i)
-        low = F.floor(x).cast("int")
-        t = x - low
-        a = F.get(wav, low).cast("double")
-        b = F.get(wav, F.least(low + 1, last)).cast("double")
-        return _f32(a * (1 - t) + b * t)
+        def sample(i: Column) -> Column:
+            def at(x: Column) -> Column:
+                low = F.floor(x).cast("int")
+                t = x - low
+                return _f32(F.get(w, low) * (1 - t) + F.get(w, F.least(low + 1, last)) * t)
 
-    grid = F.sequence(F.lit(0), F.greatest(n_out - 1, F.lit(0)))
-    return F.when((n_out <= 0) | (F.size(wav) == 0), _empty()).otherwise(F.transform(grid, sample))
+            return bind(i * s["step"], at)
+
+        return F.when((s["n"] <= 0) | (s["last"] < 0), _empty()).otherwise(
+            F.transform(F.sequence(F.lit(0), F.greatest(s["n"] - 1, F.lit(0))), sample)
+        )
+
+    parts = F.struct(
+        wav.alias("w"), (F.size(wav) - 1).alias("last"), n_out.cast("int").alias("n"), step.cast("double").alias("step")
+    )
+    return bind(parts, sampled)
 
 
 def resample_linear(wav: Column, sr: Column, target: int = SAMPLE_RATE) -> Column:
     """Linear resampling: output length is rounded half up, positions step by the rate ratio, the edge is clamped."""
-    ratio = F.lit(float(target)) / sr.cast("double")
-    n_out = F.floor(F.size(wav) * ratio + 0.5).cast("int")
-    return F.when(sr == target, wav).otherwise(_interpolate(wav, n_out, lambda i: i / ratio))
+    n_out = F.floor(F.size(wav) * F.lit(float(target)) / sr + 0.5)
+    return F.when(sr == target, wav).otherwise(_interpolate(wav, n_out, sr / F.lit(float(target))))
 
 
 def resample_even_grid(wav: Column, sr: Column, target: int = SAMPLE_RATE) -> Column:
     """Linear resampling on an even time grid over the same duration; output length is rounded half to even."""
     n_in = F.size(wav)
-    n_out = F.bround(n_in.cast("double") / sr.cast("double") * target).cast("int")
-    return F.when(sr == target, wav).otherwise(
-        _interpolate(wav, n_out, lambda i: i * n_in.cast("double") / n_out.cast("double"))
-    )
+    n_out = F.bround(n_in.cast("double") / sr * target)
+    return F.when(sr == target, wav).otherwise(_interpolate(wav, n_out, n_in / F.greatest(n_out, F.lit(1))))
 
 
 def normalize_waveform(channels: Column, sr: Column, target: int = SAMPLE_RATE) -> Column:
     """Mono, resampled, in range."""
-    return normalize_range(resample_linear(to_mono(channels), sr, target))
+    return bind(to_mono(channels), lambda mono: normalize_range(resample_linear(mono, sr, target)))
 
 
 def max_chunk_seconds(with_timestamps: Column) -> Column:

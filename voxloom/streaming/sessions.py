@@ -36,7 +36,11 @@ BROKEN_CHARACTER = "\ufffd"
 
 @dataclass(frozen=True)
 class StreamSettings:
-    """Settings of a stream, checked when they are made."""
+    """Settings of a stream, checked when they are made.
+
+    Idle sessions are closed by processing-time timers. A run over stored data has no idle time; give it a ``ttl_seconds``
+    of None, because with timers a stream never counts as done.
+    """
 
     chunk_seconds: float = 2.0
     sr: int = SAMPLE_RATE
@@ -44,7 +48,7 @@ class StreamSettings:
     unfixed_tokens: int = 5
     context: str = ""
     language: str | None = None
-    ttl_seconds: float = SESSION_TTL_SECONDS
+    ttl_seconds: float | None = SESSION_TTL_SECONDS
     keep_audio: bool = True
 
     def __post_init__(self):
@@ -168,15 +172,19 @@ class SessionProcessor(StatefulProcessor):
         out.insert(0, self.key, key[0])
         return out
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(self.order, kind="stable")
-        finish = bool(batch["end"].any())
-        samples = batch.loc[~batch["end"].astype(bool), "value"].to_numpy(dtype=np.float32)
-        for timer in self.handle.listTimers():
+    def _renew(self, timerValues, finish: bool) -> None:
+        for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
         if not finish:
             now = timerValues.getCurrentProcessingTimeInMs()
             self.handle.registerTimer(now + int(self.settings.ttl_seconds * 1000))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows)).sort_values(self.order, kind="stable")
+        finish = bool(batch["end"].any())
+        samples = batch.loc[~batch["end"].astype(bool), "value"].to_numpy(dtype=np.float32)
+        if self.settings.ttl_seconds is not None:
+            self._renew(timerValues, finish)
         out = self._run(key, self._load(), samples, finish)
         if len(out):
             yield out
@@ -198,17 +206,24 @@ def stream_steps(
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     processor = SessionProcessor(settings, factory, order, key)
     steps = events.groupBy(key).transformWithStateInPandas(
-        processor, stream_steps_schema(events.schema[key]), "Append", "ProcessingTime"
+        processor,
+        stream_steps_schema(events.schema[key]),
+        "Append",
+        "None" if settings.ttl_seconds is None else "ProcessingTime",
     )
     # a step is parsed like any model output, in the JVM and without state
     forced = F.lit(settings.forced_language).cast("string")
     return parse_model_output(steps.withColumn("_forced", forced), "raw", "_forced", "language", "text").drop("_forced")
 
 
-def run_available(stream: DataFrame, name: str) -> DataFrame:
-    """Run a stream over what is there now into the shared folder, and read the result back."""
+def run_available(stream: DataFrame, name: str, out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Run a stream over what is there now and read the result back; paths are new ones in the shared folder unless given.
+
+    With the paths of an earlier run the stream goes on where that run stopped.
+    """
     spark = stream.sparkSession
-    out, checkpoint = scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint")
+    out = out or scratch_path(spark, name)
+    checkpoint = checkpoint or scratch_path(spark, f"{name}-checkpoint")
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")
