@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType
 
-from voxloom.functions.signal import bind
+from voxloom.functions.binding import bind
 
 
 def longest_monotone(values) -> np.ndarray:

@@ -6,15 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.constants import LANGUAGE_PREFIX, LINE_END, TEXT_TAG, WHITESPACE_CLASS
-from voxloom.functions.text import after_first, is_blank, repair_repetitions, trim_py
+from voxloom.functions.binding import bind
+from voxloom.functions.text import after_first, repair_repetitions, trim_py
 
 
 def normalize_language_name(name: Column, strict: bool = False) -> Column:
     """First character upper case, the rest lower case. A blank name is null, or an error in strict mode."""
-    name = trim_py(name)
-    shaped = F.concat(F.upper(F.substring(name, 1, 1)), F.lower(F.substr(name, F.lit(2))))
     missing = F.raise_error(F.lit("language name is empty")) if strict else F.lit(None).cast("string")
-    return F.when(F.coalesce(name, F.lit("")) == "", missing).otherwise(shaped)
+
+    def shaped(n: Column) -> Column:
+        proper = F.concat(F.upper(F.substring(n, 1, 1)), F.lower(F.substr(n, F.lit(2))))
+        return F.when(F.coalesce(n, F.lit("")) == "", missing).otherwise(proper)
+
+    return bind(trim_py(name), shaped)
 
 
 def language_display(name: Column) -> Column:
@@ -61,8 +65,9 @@ def parse_model_output(
 
 def forced_language(name: Column, supported: tuple[str, ...]) -> Column:
     """Normalized forced language; null when blank, an error when it is not in the list."""
-    shaped = normalize_language_name(name)
-    message = F.concat(F.lit("unsupported language: "), shaped)
-    return F.when(is_blank(name), F.lit(None).cast("string")).when(shaped.isin(*supported), shaped).otherwise(
-        F.raise_error(message)
-    )
+
+    def checked(n: Column) -> Column:
+        error = F.raise_error(F.concat(F.lit("unsupported language: "), n))
+        return F.when(n.isNull() | n.isin(*supported), n).otherwise(error)
+
+    return bind(normalize_language_name(name), checked)

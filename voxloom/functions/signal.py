@@ -11,6 +11,7 @@ from voxloom.constants import (
     SAMPLE_RATE,
     TOKENS_PER_100_FRAMES,
 )
+from voxloom.functions.binding import bind
 
 def _empty() -> Column:
     return F.array().cast("array<float>")
@@ -31,12 +32,6 @@ def ms_from_token(index: Column, segment_ms: float) -> Column:
     return index * F.lit(float(segment_ms))
 
 
-def bind(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once. An expression named inside a lambda is otherwise computed again for
-    every element, which makes a pass over a signal quadratic."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def to_mono(channels: Column) -> Column:
     """Mean over channels. Up to 8 rows that are longer than their count are channels, otherwise the rows are frames."""
 

@@ -48,7 +48,8 @@ def transcribe_batches(
                 yield out
 
     schema = StructType([*[df.schema[k] for k in keys], StructField("raw", StringType())])
-    return df.select(*keys, prompt, wav).mapInPandas(run, schema)
+    needed = dict.fromkeys([*keys, prompt, wav])
+    return df.select(*needed).mapInPandas(run, schema)
 
 
 def align_batches(

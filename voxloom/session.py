@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +62,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the session, once per application.
+
+    Executors get it as a file of the job. The Python process that sets up stream state runs next to the driver and
+    gets no job files, so it finds the package by the folder the driver has it from.
+    """
+    context = spark.sparkContext
+    name = f"voxloom-{context.applicationId}.zip"
+    if any(path.endswith(name) for path in context.listFiles):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="voxloom-ship-")) / name
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(root.rglob("*.py")):
+            z.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    paths = [str(root.parent), context.environment.get("PYTHONPATH")]
+    context.environment["PYTHONPATH"] = os.pathsep.join(p for p in paths if p)
