@@ -3,7 +3,7 @@ chunk of it; a user's events stand for the samples of a signal."""
 
 from pyspark.sql import functions as F
 
-from voxloom.catalog.registry import SAMPLES, query, sql_trim
+from voxloom.catalog.registry import SAMPLES, documents, query, sql_trim
 from voxloom.catalog.texts import WORDS_SQL
 from voxloom.constants import ALIGNMENT_LANGUAGES
 from voxloom.functions.align import pair_timestamps
@@ -112,7 +112,7 @@ def _(spark, d):
     FROM parts GROUP BY doc_id""",
 )
 def _(spark, d):
-    docs = table(spark, d, "documents")
+    docs = documents(spark, d)
     words = docs.select(F.explode(F.split("text", r"[ \t\n\r]+")).alias("word")).where("word <> ''")
     # words seen a hundred times or more make the dictionary
     dictionary = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n >= 100")
@@ -269,7 +269,7 @@ def _(spark, d):
            round(round((i * 137 + 90) / 1000.0, 3) + 180.25, 3) AS end_time FROM w""",
 )
 def _(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", tokenize_space_lang(F.col("text")).alias("words"))
+    docs = documents(spark, d).select("doc_id", tokenize_space_lang(F.col("text")).alias("words"))
     docs = docs.where(F.size("words") > 0)
     # word i lasts from 137 i + 11 to 137 i + 90 milliseconds
     times = F.flatten(F.transform("words", lambda w, i: F.array(i * 137 + 11, i * 137 + 90)))
@@ -301,7 +301,7 @@ def _(spark, d):
     FROM sized""",
 )
 def _(spark, d):
-    docs = table(spark, d, "documents").select(
+    docs = documents(spark, d).select(
         "doc_id", F.transform(tokenize_space_lang(F.col("text")), F.length).alias("ids")
     )
     placed = O.with_position(docs.select("doc_id"), [], ["doc_id"], O.value_block(F.col("doc_id")))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from voxloom.catalog.registry import RUNS, SAMPLES, query, sql_trim, training_samples
+from voxloom.catalog.registry import RUNS, SAMPLES, documents, query, sql_trim, training_samples
 from voxloom.catalog.texts import WORDS_SQL
 from voxloom.constants import TEXT_TAG
 from voxloom.functions.signal import audio_token_length
@@ -170,7 +170,7 @@ def _(spark, d):
 
 @query("filter_token_limit", f"WITH {WORDS_SQL} SELECT doc_id, len(words) AS tokens FROM words WHERE len(words) <= 256")
 def _(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", count_tokens(F.col("text")).cast("bigint").alias("tokens"))
+    docs = documents(spark, d).select("doc_id", count_tokens(F.col("text")).cast("bigint").alias("tokens"))
     return docs.where(~P.over_token_limit(F.col("tokens"), 256))
 
 
@@ -186,7 +186,7 @@ checked AS (
 
 
 def _checked(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = documents(spark, d).select("doc_id", "text")
     return P.with_reject_reason(docs, "text", max_chars=4000, max_tokens=300)
 
 
@@ -227,7 +227,7 @@ _SEQUENCE_SQL = f"""{WORDS_SQL}, lengths AS (
 
 def _sequence_lengths(spark, d):
     # seven frames per character stand in for the audio of a text; the prefix has twelve tokens
-    docs = table(spark, d, "documents")
+    docs = documents(spark, d)
     length = P.sequence_length(F.lit(12), F.col("n_chars") * 7, count_tokens(F.col("text")))
     return docs.select("doc_id", length.cast("bigint").alias("seq_len"))
 

@@ -2,12 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from voxloom.catalog.registry import SAMPLES, query, training_samples
+from voxloom.catalog.registry import SAMPLES, documents, query, training_samples
 from voxloom.constants import SCRIPT_CLASSES
 from voxloom.operators import aggregates as A
 from voxloom.operators import detect as D
 from voxloom.operators.joins import detector_grid
-from voxloom.sources.readers import table
 
 LABELS = ("en", "fr", "de", "es")
 
@@ -26,11 +25,11 @@ guessed AS (SELECT d.doc_id, d.lang, CASE WHEN s.en IS NULL THEN 'None' {' '.joi
 
 @query("detect_script", f"WITH {_SCRIPT_SQL} SELECT doc_id, script FROM scripted")
 def _(spark, d):
-    return table(spark, d, "documents").select("doc_id", D.script_language(F.col("text")).alias("script"))
+    return documents(spark, d).select("doc_id", D.script_language(F.col("text")).alias("script"))
 
 
 def _predicted(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    docs = documents(spark, d).select("doc_id", "text", "lang")
     profile = D.trigram_profile(docs, "text", "lang", LABELS)
     return D.trigram_language(docs, "doc_id", "text", profile, LABELS)
 
@@ -45,7 +44,7 @@ def _(spark, d):
     f"WITH {_GRAMS_SQL} SELECT g AS trigram, {', '.join(LABELS)} FROM profile",
 )
 def _(spark, d):
-    return D.trigram_profile(table(spark, d, "documents"), "text", "lang", LABELS)
+    return D.trigram_profile(documents(spark, d), "text", "lang", LABELS)
 
 
 # what each detector should answer per language; a missing code means the detector does not cover the language
@@ -65,7 +64,7 @@ def _expected(spark):
 
 
 def _grid(spark, d):
-    docs = training_samples(spark, d).select("doc_id", "language", "source", "n_chars", D.script_language(F.col("text")).alias("script"))
+    docs = training_samples(spark, d, shared=True).select("doc_id", "language", "source", "n_chars", D.script_language(F.col("text")).alias("script"))
     docs = docs.join(_predicted(spark, d), "doc_id")
     # the source of a text is no detector, but it gives the grid a third column with prefix matches
     columns = {"script": F.col("script"), "trigram": F.col("predicted"), "source": F.col("source")}

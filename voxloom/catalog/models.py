@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from voxloom.catalog.corpus import TEMPLATE
-from voxloom.catalog.registry import LANGUAGE_CASE, query, training_samples
+from voxloom.catalog.registry import documents, query
 from voxloom.catalog.texts import WORDS_SQL
 from voxloom.functions import align as L
 from voxloom.functions.language import parse_model_output
@@ -73,7 +73,7 @@ def _(spark, d):
 )
 def _(spark, d):
     words = tokenize_space_lang(F.col("text"))
-    docs = table(spark, d, "documents").select("doc_id", words.alias("words")).where(F.size("words") > 0)
+    docs = documents(spark, d).select("doc_id", words.alias("words")).where(F.size("words") > 0)
     # the stand-in aligner looks at the words only, so an empty signal is enough
     rows = docs.withColumn("encoded", encode_alignment_text(F.col("words"))).withColumn("wav", F.array().cast("array<float>"))
     spans = H.align_batches(rows, ["doc_id"], "wav", "words", "encoded", aligner)

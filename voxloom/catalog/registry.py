@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from voxloom.constants import CORPUS_CODES, LANGUAGE_PREFIX, NO_LANGUAGE, TEXT_TAG, WHITESPACE
 from voxloom.functions.text import format_training_text
 from voxloom.operators.joins import map_language_code
-from voxloom.sources.readers import table
-from pyspark.sql import functions as F
+from voxloom.sources.readers import spread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,9 +29,15 @@ def query(name: str, sql: str | None = None):
 # --- inputs shared by many queries ----------------------------------------------------------------------------------
 
 
-def training_samples(spark: SparkSession, folder: str) -> DataFrame:
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    """documents, shared out over the cores: what follows is bound by text patterns."""
+    return spread(table(spark, folder, "documents"), "doc_id")
+
+
+def training_samples(spark: SparkSession, folder: str, shared: bool = False) -> DataFrame:
     """documents as training samples: language by code, tagged text, and an audio path."""
-    docs = map_language_code(table(spark, folder, "documents"), "lang")
+    docs = documents(spark, folder) if shared else table(spark, folder, "documents")
+    docs = map_language_code(docs, "lang")
     return docs.withColumn("tagged", format_training_text(F.col("language"), F.col("text"))).withColumn(
         "audio", F.concat(F.lit("clips/"), "source", F.lit("/"), "doc_id", F.lit(".wav"))
     )

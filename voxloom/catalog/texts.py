@@ -2,11 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from voxloom.catalog.registry import LANGUAGE_CASE, RUNS, SAMPLES, query, sql_trim, training_samples
+from voxloom.catalog.registry import LANGUAGE_CASE, RUNS, SAMPLES, documents, query, sql_trim, training_samples
 from voxloom.constants import AUDIO_MARKS, CJK_CLASS, TEXT_TAG, WHITESPACE, WHITESPACE_CLASS
 from voxloom.functions import text as X
 from voxloom.functions.language import language_display, normalize_language_name, parse_model_output
-from voxloom.sources.readers import table
 
 WS = f"[{WHITESPACE_CLASS}]"
 
@@ -75,7 +74,7 @@ def _(spark, d):
         FROM documents d LEFT JOIN runs r USING (doc_id) GROUP BY d.doc_id""",
 )
 def _(spark, d):
-    return table(spark, d, "documents").select("doc_id", X.has_long_run(F.col("text")).alias("repeated"))
+    return documents(spark, d).select("doc_id", X.has_long_run(F.col("text")).alias("repeated"))
 
 
 @query(
@@ -86,14 +85,14 @@ def _(spark, d):
 )
 def _(spark, d):
     fixed = X.collapse_char_runs(F.col("text"))
-    docs = table(spark, d, "documents").where(F.length("text") > 0)
+    docs = documents(spark, d).where(F.length("text") > 0)
     return docs.select("doc_id", F.length(fixed).cast("bigint").alias("n"), F.md5(fixed).alias("fixed_md5"))
 
 
 @query("collapse_pattern_repeats")
 def _(spark, d):
     fixed = X.repair_repetitions(F.col("text"))
-    return table(spark, d, "documents").select(
+    return documents(spark, d).select(
         "doc_id", F.length(fixed).cast("bigint").alias("n"), F.md5(fixed).alias("fixed_md5")
     )
 
@@ -101,7 +100,7 @@ def _(spark, d):
 # raw outputs of every shape: plain, tagged, tag behind a broken head, unknown language, only blanks
 
 def _raw_outputs(spark, d):
-    docs = training_samples(spark, d)
+    docs = training_samples(spark, d, shared=True)
     kind = F.col("n_chars") % 6
     raw = (
         F.when(kind == 0, F.col("text"))
@@ -156,7 +155,7 @@ def _(spark, d):
 )
 def _(spark, d):
     cleaned = X.clean_token(F.col("text"))
-    return table(spark, d, "documents").select(
+    return documents(spark, d).select(
         "doc_id", F.length(cleaned).cast("bigint").alias("n"), F.md5(cleaned).alias("cleaned_md5")
     )
 
@@ -174,7 +173,7 @@ WORDS_SQL = rf"""words AS (
     f"WITH {WORDS_SQL} SELECT doc_id, len(words) AS n, md5(array_to_string(words, '|')) AS words_md5 FROM words",
 )
 def _(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", X.tokenize_space_lang(F.col("text")).alias("words"))
+    docs = documents(spark, d).select("doc_id", X.tokenize_space_lang(F.col("text")).alias("words"))
     return docs.select(
         "doc_id", F.size("words").cast("bigint").alias("n"), F.md5(F.array_join("words", "|")).alias("words_md5")
     )
@@ -186,7 +185,7 @@ def _(spark, d):
     SELECT doc_id, len(words) AS n, md5(array_to_string(words, '|')) AS words_md5 FROM w""",
 )
 def _(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", X.tokenize_chinese_mixed(F.col("text")).alias("words"))
+    docs = documents(spark, d).select("doc_id", X.tokenize_chinese_mixed(F.col("text")).alias("words"))
     return docs.select(
         "doc_id", F.size("words").cast("bigint").alias("n"), F.md5(F.array_join("words", "|")).alias("words_md5")
     )
@@ -198,7 +197,7 @@ def _(spark, d):
         FROM words GROUP BY lang""",
 )
 def _(spark, d):
-    docs = training_samples(spark, d)
+    docs = training_samples(spark, d, shared=True)
     counted = docs.select("lang", F.size(X.words_by_language(F.col("text"), F.col("language"))).cast("bigint").alias("n"))
     return counted.groupBy("lang").agg(
         F.count(F.lit(1)).alias("docs"), F.sum("n").alias("tokens"), F.max("n").alias("longest")
@@ -212,7 +211,7 @@ def _(spark, d):
     SELECT doc_id, length(encoded) AS n, md5(encoded) AS encoded_md5 FROM e""",
 )
 def _(spark, d):
-    docs = table(spark, d, "documents").select(
+    docs = documents(spark, d).select(
         "doc_id", X.encode_alignment_text(X.tokenize_space_lang(F.col("text"))).alias("encoded")
     )
     return docs.select("doc_id", F.length("encoded").cast("bigint").alias("n"), F.md5("encoded").alias("encoded_md5"))

@@ -88,8 +88,25 @@ def collapse_pattern_repeats(text: Column, limit: int = REPEAT_LIMIT_REPAIR, max
     return F.regexp_replace(text, rf"(?s)(?:{single}|{longer})", "$1$2")
 
 
+def may_repeat(text: Column, limit: int = REPEAT_LIMIT_REPAIR, max_unit: int = MAX_UNIT_REPAIR) -> Column:
+    """False only where no unit of two or more characters repeats ``limit`` times.
+
+    Such a repeat covers ``limit`` units, so it still holds at least half as many whole units behind the next position
+    that is a multiple of ``max_unit``. Looking at those positions alone is enough to rule a text out.
+    """
+    copies = limit - (max_unit - 1) // 2 - 1
+    return text.rlike(rf"(?s)\A(?:.{{{max_unit}}})*?(.{{2,{max_unit}}}?)\1{{{copies - 1}}}")
+
+
 def repair_repetitions(text: Column) -> Column:
-    return collapse_pattern_repeats(collapse_char_runs(text))
+    """Runs first, then repeated units. Two cheap tests keep ordinary text away from the patterns that try every unit
+    length at every character."""
+    has_run = text.rlike(rf"(?s)(.)\1{{{REPEAT_LIMIT_REPAIR - 1}}}")
+    return (
+        F.when(has_run, collapse_pattern_repeats(collapse_char_runs(text)))
+        .when(may_repeat(text), collapse_pattern_repeats(text))
+        .otherwise(text)
+    )
 
 
 def preview(text: Column, size: int = PREVIEW_CHARS) -> Column:

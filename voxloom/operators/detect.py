@@ -24,7 +24,9 @@ def script_language(text: Column) -> Column:
 
 
 def _letters(text: Column) -> Column:
-    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), f"[^{LETTERS}]+", " ")), F.lit(" "))
+    """Lower-case letters with one blank between words. A lone blank is already right, so the pattern passes it by."""
+    gaps = f"[^{LETTERS} ][^{LETTERS}]*+| [^{LETTERS}]++"
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), gaps, " ")), F.lit(" "))
 
 
 def trigrams(text: Column) -> Column:
