@@ -277,3 +277,10 @@ def test_recogniser_batches_are_capped(spark):
     df = spark.range(10).select("id", F.lit("p").alias("p"), F.array(F.lit(1.0).cast("float")).alias("w")).coalesce(1)
     sizes = [int(r["raw"]) for r in H.transcribe_batches(df, ["id"], "p", "w", counting, 4).orderBy("id").collect()]
     assert max(sizes) == 4
+
+
+def test_blocks_fit_the_hottest_key(spark):
+    df = spark.range(1000).select(F.lit("hot").alias("k"), F.timestamp_seconds("id").alias("ts"))
+    assert O.fitting_seconds(df, ["k"], "ts") == 86400
+    assert O.fitting_seconds(df, ["k"], "ts", rows=100) == 8640
+    assert O.fitting_seconds(df.limit(0), ["k"], "ts") == 86400

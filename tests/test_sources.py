@@ -43,6 +43,13 @@ def test_jsonl_keeps_nulls_and_unicode(spark, tmp_path):
     assert [(r["text"], r["split"]) for r in both] == [("日本 \n x", "train")]
 
 
+def test_export_makes_every_split(spark, tmp_path):
+    df = spark.range(3).withColumn("split", F.lit("train"))
+    W.export_splits(df, str(tmp_path / "x"))
+    back = R.scan_jsonl(spark, {s: str(tmp_path / "x" / f"split={s}") for s in ("train", "eval")}, "id bigint").collect()
+    assert sorted((r["id"], r["split"]) for r in back) == [(0, "train"), (1, "train"), (2, "train")]
+
+
 def test_rejected_order(spark, tmp_path):
     path = str(tmp_path / "rejected")
     df = spark.createDataFrame([(0, 5), (1, 9), (2, 5), (3, 7)], "i int, n int")
@@ -111,4 +118,4 @@ def test_corpus_plan(spark, tmp_path):
     split = corpus.split_and_export(kept, str(tmp_path / "final"), ratio=0.1)
     want = math.ceil(0.1 * (len(texts) - 3))
     assert split.where("split = 'eval'").count() == want
-    assert R.scan_jsonl(spark, {"eval": str(tmp_path / "final" / "eval.jsonl")}).count() == want
+    assert R.scan_jsonl(spark, {"eval": str(tmp_path / "final" / "split=eval")}).count() == want

@@ -17,6 +17,7 @@ from voxloom.operators.batches import pad_and_mask
 from voxloom.operators.hooks import model_languages
 from voxloom.sources.readers import table
 
+# turns are numbered, so a block of turns has no more rows than numbers
 TURN_BLOCK = 4096
 
 
@@ -198,8 +199,13 @@ def _events(spark, d):
     return table(spark, d, "events")
 
 
+def _day_or_less(df):
+    """Blocks of a day, or shorter ones where a user has too many events in a day for one task."""
+    return O.time_block(F.col("ts"), O.fitting_seconds(df, ["user_id"], "ts"))
+
+
 def _by_user(df, name="pos"):
-    return O.with_position(df, ["user_id"], ["ts", "event_id"], O.time_block(F.col("ts")), name)
+    return O.with_position(df, ["user_id"], ["ts", "event_id"], _day_or_less(df), name)
 
 
 @query(
@@ -209,7 +215,7 @@ def _by_user(df, name="pos"):
 )
 def _(spark, d):
     events = _events(spark, d).select("user_id", "ts", "event_id", "event_type")
-    kept = W.collapse_consecutive(events, ["user_id"], ["ts", "event_id"], O.time_block(F.col("ts")), "event_type")
+    kept = W.collapse_consecutive(events, ["user_id"], ["ts", "event_id"], _day_or_less(events), "event_type")
     return kept.select("user_id", "event_id", "event_type")
 
 

@@ -469,7 +469,7 @@ def _(spark, d):
     path = scratch_path(spark, "export")
     docs = S.train_eval_split(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
     W.export_splits(docs, path)
-    back = R.scan_jsonl(spark, {s: f"{path}/{s}.jsonl" for s in ("train", "eval")}, "doc_id bigint, text string")
+    back = R.scan_jsonl(spark, {s: f"{path}/split={s}" for s in ("train", "eval")}, "doc_id bigint, text string")
     return back.groupBy("split").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.length("text").cast("bigint")).alias("chars"), F.min("doc_id").alias("low")
     )

@@ -83,10 +83,19 @@ def _(spark, d):
     return _seen(T.cumulative(T.chunk_buffer(table(spark, d, "events"), "user_id", "ts", ORDER, "value", CHUNK), "user_id"))
 
 
-@query("stream_prefix_rollback")
+# the stand-in says four words a step and two are rolled back, so "heard n" stays from every step but the latest
+@query(
+    "stream_prefix_rollback",
+    f"""WITH {_STEPS_SQL}, s AS (SELECT user_id, chunk_id, {CHUNK} * (chunk_id + 1) AS n FROM steps WHERE n_new = {CHUNK}),
+    kept AS (SELECT a.user_id, a.chunk_id, a.n, string_agg('heard ' || b.n || ' ', '' ORDER BY b.chunk_id) AS before
+             FROM s a LEFT JOIN s b ON b.user_id = a.user_id AND a.chunk_id >= 2 AND b.chunk_id BETWEEN 1 AND a.chunk_id - 1 GROUP BY ALL)
+    SELECT user_id, chunk_id, coalesce('language English<asr_text>' || before, '') AS prefix, 'English' AS language,
+           coalesce(before, '') || 'heard ' || n || ' so far' AS text FROM kept""",
+)
 def _(spark, d):
-    settings = S.StreamSettings(chunk_seconds=CHUNK, sr=1, unfixed_chunks=2, unfixed_tokens=5, ttl_seconds=None)
-    return _steps(spark, d, settings).select("user_id", "chunk_id", "prefix", "language", "text")
+    settings = S.StreamSettings(chunk_seconds=CHUNK, sr=1, unfixed_chunks=2, unfixed_tokens=2, ttl_seconds=None)
+    steps = _steps(spark, d, settings)
+    return steps.select("user_id", F.col("chunk_id").cast("bigint").alias("chunk_id"), "prefix", "language", "text")
 
 
 @query(

@@ -234,10 +234,23 @@ def chunk_rows(spark, d):
     return W.split_long_signal(_waves(spark, d), "vec_id", "wav", SR, max_chunk_sec=1.0, expand_sec=0.5)
 
 
-@query("split_long_signal")
+# every cut is found from the one before: 16 samples on, 8 to either side, windows of four samples
+@query(
+    "split_long_signal",
+    """WITH RECURSIVE cuts AS (
+      SELECT vec_id, embedding AS w, 0 AS chunk_index, 0 AS a FROM embeddings
+      UNION ALL
+      SELECT vec_id, w, chunk_index + 1, greatest(lo + q + list_position(loud[q + 1 : q + 4], list_min(loud[q + 1 : q + 4])) - 1, a + 1)
+      FROM (SELECT *, list_position(e, list_min(e)) - 1 AS q FROM (
+        SELECT *, list_transform(range(1, len(loud) - 2), lambda i: loud[i]::DOUBLE + loud[i + 1] + loud[i + 2] + loud[i + 3]) AS e FROM (
+          SELECT *, greatest(a, a + 8) AS lo, list_transform(w[a + 9 : a + 24], lambda x: abs(x)) AS loud FROM cuts WHERE len(w) - a > 16)))),
+    chunks AS (SELECT vec_id, chunk_index, a, coalesce(lead(a) OVER (PARTITION BY vec_id ORDER BY chunk_index), len(w)) - a AS n FROM cuts)
+    SELECT vec_id, chunk_index, n AS n_samples, greatest(n, 8) AS n_padded, a / 16.0::DOUBLE AS offset_sec FROM chunks""",
+)
 def _(spark, d):
     return chunk_rows(spark, d).select(
-        "vec_id", "chunk_index", "n_samples", F.size("wav").alias("n_padded"), F.round("offset_sec", 6).alias("offset_sec")
+        "vec_id", F.col("chunk_index").cast("bigint").alias("chunk_index"), F.col("n_samples").cast("bigint").alias("n_samples"),
+        F.size("wav").cast("bigint").alias("n_padded"), "offset_sec",
     )
 
 

@@ -24,7 +24,17 @@ def time_block(ts: Column, seconds: int = 86400) -> Column:
     return F.floor(micros(ts) / F.lit(seconds * 1_000_000))
 
 
-def value_block(value: Column, width: int = 4096) -> Column:
+def fitting_seconds(df: DataFrame, keys: Sequence[str], ts: str, rows: int = 2_000_000, longest: int = 86400) -> int:
+    """Block length in seconds at which the fullest block of the hottest key holds about ``rows`` rows.
+
+    One narrow count per key and longest block, combined before its shuffle; a single number comes back.
+    """
+    counts = df.groupBy(*keys, time_block(F.col(ts), longest).alias(BLOCK)).agg(F.count(F.lit(1)).alias("n"))
+    fullest = counts.agg(F.max("n")).first()[0] or 0
+    return max(1, longest // max(1, -(-fullest // rows)))
+
+
+def value_block(value: Column, width: int = 65536) -> Column:
     return F.floor(value / width)
 
 

@@ -11,17 +11,37 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxloom.constants import EVAL_RATIO, SEED
-from voxloom.operators.ordered import hash_block, with_position
+from voxloom.functions.binding import bind
+from voxloom.operators.ordered import contiguous_part, hash_block, with_position
 
 
 def shuffle_key(key: Column, seed: int = SEED) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
 
 
-def seeded_shuffle(df: DataFrame, key: str, seed: int = SEED, name: str = "pos", total: str | None = None) -> DataFrame:
+def seeded_shuffle(
+    df: DataFrame, key: str, seed: int = SEED, name: str = "pos", total: str | None = None, digits: int = 3
+) -> DataFrame:
     """Adds the position of each row in the shuffled order. No sort runs over more than one digest block."""
     keyed = df.withColumn("_digest", shuffle_key(F.col(key), seed))
-    return with_position(keyed, [], ["_digest", key], hash_block(F.col("_digest")), name, total).drop("_digest")
+    return with_position(keyed, [], ["_digest", key], hash_block(F.col("_digest"), digits), name, total).drop("_digest")
+
+
+def with_shuffled_shard(df: DataFrame, key: str, shards: int, seed: int = SEED, name: str = "shard") -> DataFrame:
+    """Adds the shard number of each row after the seeded shuffle: contiguous parts whose sizes differ by at most one.
+
+    The positions are computed from the keys alone and only say where each shard begins. Those ``shards - 1`` cut points
+    are a scalar, so a whole row finds its shard by comparison and is not joined to anything.
+    """
+    placed = seeded_shuffle(df.select(key), key, seed, "_pos", "_total")
+    part = contiguous_part(F.col("_pos"), F.col("_total"), shards)
+    before = contiguous_part(F.col("_pos") - 1, F.col("_total"), shards)
+    point = F.struct(shuffle_key(F.col(key), seed).alias("digest"), F.col(key).alias("key"))
+    cuts = placed.where((F.col("_pos") > 0) & (part != before)).agg(F.array_sort(F.collect_list(point)).alias("cuts"))
+    with_cuts = df.withColumn("_cuts", cuts.scalar())
+    both = F.struct(F.col("_cuts").alias("cuts"), point.alias("mine"))
+    passed = bind(both, lambda s: F.size(F.filter(s["cuts"], lambda cut: cut <= s["mine"])))
+    return with_cuts.withColumn(name, passed).drop("_cuts")
 
 
 def sample_fixed(df: DataFrame, key: str, n: int, seed: int = SEED) -> DataFrame:

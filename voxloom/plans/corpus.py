@@ -62,7 +62,7 @@ def filter_by_length(
 def split_and_export(
     rows: DataFrame, path: str, key: str = "audio", ratio: float = EVAL_RATIO, seed: int = SEED
 ) -> DataFrame:
-    """Writes ``train.jsonl`` and ``eval.jsonl`` folders; returns the rows with their split."""
+    """Writes the train and eval folders of JSON lines; returns the rows with their split."""
     split = train_eval_split(rows, key, ratio, seed)
     export_splits(split, path)
     return split

@@ -2,28 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.constants import SEED
 from voxloom.functions.text import is_undetected, strip_undetected_tag
-from voxloom.operators.ordered import contiguous_part
-from voxloom.operators.sampling import seeded_shuffle
-
-
-def with_shuffled_shard(df: DataFrame, key: str, shards: int, seed: int = SEED) -> DataFrame:
-    """Shard number of each row after the seeded shuffle: contiguous parts, sizes differ by at most one.
-
-    Positions are computed from the keys alone; the whole rows are joined to them once.
-    """
-    placed = seeded_shuffle(df.select(key), key, seed, "_pos", "_total")
-    placed = placed.select(key, contiguous_part(F.col("_pos"), F.col("_total"), shards).alias("shard"))
-    return df.join(placed, key)
+from voxloom.operators.sampling import with_shuffled_shard
 
 
 def write_parquet_shards(df: DataFrame, path: str, key: str, shards: int, seed: int = SEED) -> None:
-    """Folders ``shard=n``, one file each."""
-    with_shuffled_shard(df, key, shards, seed).repartition(shards, "shard").write.partitionBy("shard").parquet(path)
+    """Folders ``shard=n`` of one file each, filled by the seeded shuffle. The rows are moved once, to their shard."""
+    placed = with_shuffled_shard(df, key, shards, seed)
+    placed.repartition(shards, "shard").write.partitionBy("shard").parquet(path)
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
@@ -50,6 +41,17 @@ def preview_rows(df: DataFrame, order: str, rows: int, chars: int, columns: list
 
 
 def export_splits(df: DataFrame, path: str, split: str = "split", names: tuple[str, ...] = ("train", "eval")) -> None:
-    """One folder of JSON lines per split, each from its own filter over the table."""
+    """JSON lines in one folder per split (``split=train``, ``split=eval``), all written in a single pass over the table.
+
+    A split without rows gets an empty folder.
+    """
+    df.write.option("ignoreNullFields", "false").partitionBy(split).json(path)
+    spark, schema = df.sparkSession, df.drop(split).schema
     for name in names:
-        write_jsonl(df.where(F.col(split) == name).drop(split), f"{path}/{name}.jsonl")
+        folder = f"{path}/{split}={name}"
+        try:
+            spark.read.schema(schema).json(folder)
+        except AnalysisException as problem:
+            if "PATH_NOT_FOUND" not in str(problem):
+                raise
+            write_jsonl(spark.createDataFrame([], schema), folder)

@@ -219,9 +219,13 @@ def stream_steps(
 def run_available(stream: DataFrame, name: str, out: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Run a stream over what is there now and read the result back; paths are new ones in the shared folder unless given.
 
-    With the paths of an earlier run the stream goes on where that run stopped.
+    With the paths of an earlier run the stream goes on where that run stopped. Every state partition costs a task and a
+    store in every batch, filled or not, and AQE does not merge them, so there are no more of them than cores.
     """
     spark = stream.sparkSession
+    setting = "spark.sql.shuffle.partitions"
+    usual = spark.conf.get(setting)
+    spark.conf.set(setting, str(min(int(usual), spark.sparkContext.defaultParallelism)))
     out = out or scratch_path(spark, name)
     checkpoint = checkpoint or scratch_path(spark, f"{name}-checkpoint")
     query = (
@@ -231,6 +235,7 @@ def run_available(stream: DataFrame, name: str, out: str | None = None, checkpoi
         .trigger(availableNow=True)
         .start(out)
     )
+    spark.conf.set(setting, usual)
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
 

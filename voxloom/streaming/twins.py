@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from voxloom.constants import RECOGNITION_LANGUAGES, SAMPLE_RATE, SESSION_TTL_SECONDS
 from voxloom.functions.language import forced_language
-from voxloom.operators.ordered import micros, time_block, with_position, with_previous, with_running
+from voxloom.operators.ordered import fitting_seconds, micros, time_block, with_position, with_previous, with_running
 
 
 def initial_states(
@@ -33,7 +33,9 @@ def chunk_buffer(
     df: DataFrame, session: str, ts: str, order: Sequence[str], value: str, size: int, tail: bool = False
 ) -> DataFrame:
     """(session, chunk_id, n_new, sum_new): full chunks of ``size`` samples in arrival order, with the tail on demand."""
-    placed = with_position(df.select(session, ts, *[c for c in order if c != ts], value), [session], order, time_block(F.col(ts)))
+    narrow = df.select(session, ts, *[c for c in order if c != ts], value)
+    block = time_block(F.col(ts), fitting_seconds(narrow, [session], ts))
+    placed = with_position(narrow, [session], order, block)
     chunks = placed.groupBy(session, F.floor(F.col("pos") / size).alias("chunk_id")).agg(
         F.count(F.lit(1)).alias("n_new"), F.sum(F.col(value).cast("float").cast("double")).alias("sum_new")
     )
@@ -56,8 +58,8 @@ def idle_sessions(
     df: DataFrame, key: str, ts: str, order: Sequence[str], ttl_seconds: float = SESSION_TTL_SECONDS
 ) -> DataFrame:
     """(key, session, started, ended, n): a gap of more than the limit ends a session; a gap of just the limit does not."""
-    block = time_block(F.col(ts))
     narrow = df.select(key, ts, *[c for c in order if c != ts])
+    block = time_block(F.col(ts), fitting_seconds(narrow, [key], ts))
     gaps = with_previous(narrow, [key], order, block, F.col(ts), "_before")
     late = (micros(F.col(ts)) - micros(F.col("_before"))) > int(ttl_seconds * 1_000_000)
     opened = gaps.withColumn("_opens", F.coalesce(late.cast("int"), F.lit(0)))
