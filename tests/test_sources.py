@@ -74,6 +74,7 @@ def test_audio_manifest(spark, tmp_path):
     write_wav(tmp_path / "b.wav", 100, sr=8000, channels=2)
     (tmp_path / "c.wav").write_bytes(b"RIFF but no audio")
     (tmp_path / "d.txt").write_text("skip")
+    assert sorted(r["path"][-5:] for r in U.list_audio(spark, str(tmp_path)).collect()) == ["a.wav", "b.wav", "c.wav"]
     rows = {r["path"][-5:]: r for r in U.scan_audio_manifest(spark, str(tmp_path)).collect()}
     assert {k: (r["sr"], r["channels"], r["duration"]) for k, r in rows.items()} == {
         "a.wav": (16000, 1, 1.0), "b.wav": (8000, 2, 0.0125), "c.wav": (None, None, -1.0),

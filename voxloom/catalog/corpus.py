@@ -177,7 +177,7 @@ def _(spark, d):
 REASONS_SQL = f"""{RUNS}, {WORDS_SQL},
 longest AS (SELECT doc_id, max(n) FILTER (c <> chr(10)) AS run FROM runs GROUP BY doc_id),
 cheap AS (
-  SELECT d.doc_id, d.text, length(d.text) AS char_count, len(w.words) AS words,
+  SELECT d.doc_id, d.text, length(d.text)::INTEGER AS char_count, len(w.words)::INTEGER AS words,
          CASE WHEN coalesce(run, 0) > 10 THEN 'repetition' WHEN length(d.text) > 4000 THEN 'char_limit' END AS c
   FROM documents d JOIN words w USING (doc_id) LEFT JOIN longest l USING (doc_id)),
 checked AS (
@@ -246,7 +246,7 @@ def _measure(texts):
 
 @query(
     "sequence_errors",
-    """SELECT doc_id, CASE WHEN contains(text, '$$$') THEN -1 ELSE length(text) END AS seq_len,
+    """SELECT doc_id, CAST(CASE WHEN contains(text, '$$$') THEN -1 ELSE length(text) END AS INTEGER) AS seq_len,
               CASE WHEN contains(text, '$$$') THEN ('cannot process ' || text)[:100] END AS error FROM documents""",
 )
 def _(spark, d):

@@ -117,7 +117,7 @@ def _(spark, d):
     events = with_end_rows(table(spark, d, "events"), "user_id", "ts", "event_id", "value")
     path = scratch_path(spark, "finish")
     events.write.parquet(path)
-    stream = spark.readStream.schema(events.schema).parquet(path)
+    stream = read_table_stream(events, path)
     steps = S.run_available(S.stream_steps(stream, "user_id", ORDER, SETTINGS, count_model), "finish")
     return steps.select(
         "user_id", F.col("chunk_id").cast("bigint").alias("chunk_id"), F.col("n_new").cast("bigint").alias("n_new"), "n_seen", "final"

@@ -238,7 +238,7 @@ def chunk_rows(spark, d):
 @query(
     "split_long_signal",
     """WITH RECURSIVE cuts AS (
-      SELECT vec_id, embedding AS w, 0 AS chunk_index, 0 AS a FROM embeddings
+      SELECT vec_id, embedding AS w, 0::BIGINT AS chunk_index, 0::BIGINT AS a FROM embeddings
       UNION ALL
       SELECT vec_id, w, chunk_index + 1, greatest(lo + q + list_position(loud[q + 1 : q + 4], list_min(loud[q + 1 : q + 4])) - 1, a + 1)
       FROM (SELECT *, list_position(e, list_min(e)) - 1 AS q FROM (

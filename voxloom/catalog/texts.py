@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from voxloom.catalog.registry import LANGUAGE_CASE, RUNS, SAMPLES, documents, query, sql_trim, training_samples
+from voxloom.catalog.registry import LANGUAGE_CASE, RUNS, SAMPLES, documents, query, repaired_sql, sql_trim, training_samples
 from voxloom.constants import AUDIO_MARKS, CJK_CLASS, TEXT_TAG, WHITESPACE, WHITESPACE_CLASS
 from voxloom.functions import text as X
 from voxloom.functions.language import language_display, normalize_language_name, parse_model_output
@@ -89,7 +89,11 @@ def _(spark, d):
     return docs.select("doc_id", F.length(fixed).cast("bigint").alias("n"), F.md5(fixed).alias("fixed_md5"))
 
 
-@query("collapse_pattern_repeats")
+@query(
+    "collapse_pattern_repeats",
+    f"""WITH RECURSIVE {repaired_sql('documents', 'text')}
+    SELECT d.doc_id, coalesce(length(f), 0) AS n, md5(coalesce(f, '')) AS fixed_md5 FROM documents d LEFT JOIN fixed USING (doc_id)""",
+)
 def _(spark, d):
     fixed = X.repair_repetitions(F.col("text"))
     return documents(spark, d).select(
@@ -118,31 +122,32 @@ _RAW_SQL = f"""{SAMPLES}, raws AS (
   SELECT doc_id, CASE WHEN source = 'src3' THEN 'English' END AS forced, {sql_trim(f'''CASE n_chars % 6 WHEN 0 THEN text
     WHEN 1 THEN 'junk' || chr(13) || chr(10) || ' LANGUAGE ' || upper(language) || '  ' || chr(10) || chr(10) || '{TEXT_TAG}' || text
     WHEN 2 THEN 'language None{TEXT_TAG} ' || text WHEN 3 THEN 'no name here{TEXT_TAG}' || text
-    WHEN 4 THEN ' ' || chr(10) || chr(9) ELSE tagged END''')} AS s FROM samples),
-parts AS (
+    WHEN 4 THEN ' ' || chr(10) || chr(9) ELSE tagged END''')} AS s FROM samples)"""
+_PARSE_SQL = f"""parts AS (
   SELECT *, contains(s, '{TEXT_TAG}') AS tagged, split_part(s, '{TEXT_TAG}', 1) AS head,
-         {sql_trim(f"s[instr(s, '{TEXT_TAG}') + {len(TEXT_TAG)}:]")} AS body FROM raws),
+         {sql_trim(f"s[instr(s, '{TEXT_TAG}') + {len(TEXT_TAG)}:]")} AS body FROM outputs),
 named AS (
   SELECT *, {sql_trim(f"coalesce(list_filter(list_transform(regexp_split_to_array(head, '[{chr(92)}r{chr(92)}n]+'), lambda l: trim(l, '{WHITESPACE}')), lambda l: starts_with(lower(l), 'language '))[1][10:], '')")} AS value
   FROM parts)
 """
-
-
-@query(
-    "parse_model_output_tags",
-    f"""WITH {_RAW_SQL}
-    SELECT doc_id,
+_PARSED_SQL = """SELECT doc_id,
       CASE WHEN s = '' THEN '' WHEN forced IS NOT NULL THEN forced WHEN NOT tagged THEN ''
            WHEN contains(lower(head), 'language none') THEN '' ELSE upper(value[1]) || lower(value[2:]) END AS language,
       md5(CASE WHEN s = '' THEN '' WHEN forced IS NOT NULL OR NOT tagged THEN s ELSE body END) AS text_md5
-    FROM named""",
-)
+    FROM named"""
+
+
+@query("parse_model_output_tags", f"WITH {_RAW_SQL}, outputs AS (SELECT * FROM raws), {_PARSE_SQL} {_PARSED_SQL}")
 def _(spark, d):
     parsed = parse_model_output(_raw_outputs(spark, d), "raw", "forced", repair=False)
     return parsed.select("doc_id", "language", F.md5("parsed").alias("text_md5"))
 
 
-@query("parse_model_output")
+@query(
+    "parse_model_output",
+    f"""WITH RECURSIVE {_RAW_SQL}, {repaired_sql('raws', 's')},
+    outputs AS (SELECT r.doc_id, r.forced, coalesce(f, '') AS s FROM raws r LEFT JOIN fixed USING (doc_id)), {_PARSE_SQL} {_PARSED_SQL}""",
+)
 def _(spark, d):
     parsed = parse_model_output(_raw_outputs(spark, d), "raw", "forced")
     return parsed.select("doc_id", "language", F.md5("parsed").alias("text_md5"))

@@ -61,6 +61,12 @@ def wav_header(body: pd.Series) -> pd.DataFrame:
     return rows.astype({"sr": "Int32", "channels": "Int32", "duration": "float64"})
 
 
+def list_audio(spark: SparkSession, folder: str, pattern: str = "*.wav") -> DataFrame:
+    """(path, length) of every audio file, for a check of missing paths. No file is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+    return files.load(folder).select("path", "length")
+
+
 def scan_audio_manifest(spark: SparkSession, folder: str, pattern: str = "*.wav") -> DataFrame:
     """(path, length, sr, channels, duration) of every audio file of a folder tree."""
     files = (

@@ -12,9 +12,13 @@ from voxloom.session import scratch_path
 from voxloom.streaming.sessions import StreamSettings, run_available, stream_steps
 
 
-def read_table_stream(df: DataFrame, folder: str, pattern: str) -> DataFrame:
-    """The files of a stored table as a stream with the schema of ``df``."""
-    return df.sparkSession.readStream.schema(df.schema).option("pathGlobFilter", pattern).parquet(folder)
+def read_table_stream(df: DataFrame, folder: str, pattern: str = "*.parquet", batch_bytes: int = 1 << 30) -> DataFrame:
+    """The files of a stored table as a stream with the schema of ``df``, oldest file first.
+
+    A batch takes files up to a limit in bytes, so what one session can bring into a batch is limited as well.
+    """
+    reader = df.sparkSession.readStream.schema(df.schema).option("pathGlobFilter", pattern)
+    return reader.option("maxBytesPerTrigger", str(batch_bytes)).parquet(folder)
 
 
 def with_end_rows(df: DataFrame, key: str, ts: str, order_id: str, value: str) -> DataFrame:
@@ -43,6 +47,6 @@ def replay(
     for piece in range(pieces):
         events.where(place == piece).write.mode("append").parquet(source)
         if stream is None:
-            stream = stream_steps(spark.readStream.schema(events.schema).parquet(source), key, order, settings, factory)
+            stream = stream_steps(read_table_stream(events, source), key, order, settings, factory)
         result = run_available(stream, "replay", out, checkpoint)
     return result
