@@ -107,8 +107,8 @@ def detector_grid(df: DataFrame, detectors: Mapping[str, Column], expected: Data
 def dictionary_left_split(df: DataFrame, key: str, text: str, dictionary: DataFrame, word: str = "word") -> DataFrame:
     """(key, at, left, right) per word: the longest dictionary prefix and the rest, both cleaned.
 
-    The prefixes are built once per distinct word, never longer than the longest dictionary entry, so neither a frequent
-    word nor a very long one multiplies the work. A word without a known prefix stays whole.
+    Words are split and cleaned once per distinct word, with prefixes never longer than the longest entry, so neither a
+    frequent word nor a very long one multiplies the work. A word without a known prefix stays whole.
     """
     words = df.select(
         key, F.posexplode(F.split(F.col(text), f"[{WHITESPACE_CLASS}]+")).alias("at", "_word")
@@ -121,8 +121,13 @@ def dictionary_left_split(df: DataFrame, key: str, text: str, dictionary: DataFr
         "_prefix", F.substr("_word", F.lit(1), F.col("_n"))
     )
     best = prefixes.join(entries, "_prefix", "left_semi").groupBy("_word").agg(F.max("_n").alias("_n"))
-    left = F.coalesce(F.substr("_word", F.lit(1), F.col("_n")), F.col("_word"))
-    right = F.coalesce(F.substr("_word", F.col("_n") + 1), F.lit(""))
-    return words.join(best, "_word", "left").select(
-        key, "at", clean_token(left).alias("left"), clean_token(right).alias("right")
+    splits = best.select(
+        "_word",
+        clean_token(F.substr("_word", F.lit(1), F.col("_n"))).alias("left"),
+        clean_token(F.substr("_word", F.col("_n") + 1)).alias("right"),
+    )
+    return words.join(splits, "_word", "left").select(
+        key, "at",
+        F.coalesce("left", clean_token(F.col("_word"))).alias("left"),
+        F.coalesce("right", F.lit("")).alias("right"),
     )
