@@ -6,12 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm import rules
+from voxloom.llm import decontaminate, licenses, linededup, rules
 from voxloom.llm.common import documents
+from voxloom.sources.readers import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_license_scan": lambda spark, folder: licenses.query(documents(spark, folder)),
+    "op4_line_dedup": lambda spark, folder: linededup.query(documents(spark, folder)),
+    "op6_decontamination": lambda spark, folder: decontaminate.query(
+        documents(spark, folder), table(spark, folder, "benchmark")
+    ),
     "op9_quality_rules": lambda spark, folder: rules.query(documents(spark, folder)),
 }
 ORACLES: dict[str, str] = {
+    "op2_license_scan": licenses.sql(),
+    "op4_line_dedup": linededup.sql(),
+    "op6_decontamination": decontaminate.sql(),
     "op9_quality_rules": rules.sql(),
 }

@@ -109,7 +109,7 @@ def mask_of(*names: str) -> int:
 POLICIES = {
     "base": mask_of("few_words", "repeated_windows"),
     "v1": mask_of("few_words", "repeated_windows", "many_symbols", "short_words", "long_words"),
-    "v2": mask_of(*(rule.name for rule in RULES)),
+    "v2": mask_of(*(rule.name for rule in RULES if rule.name != "duplicate_lines")),
 }
 
 
