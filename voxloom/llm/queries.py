@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm import decontaminate, licenses, linededup, rules
+from voxloom.llm import decontaminate, licenses, linededup, packing, rules, sharding
 from voxloom.llm.common import documents
 from voxloom.sources.readers import table
 
@@ -16,6 +16,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": lambda spark, folder: decontaminate.query(
         documents(spark, folder), table(spark, folder, "benchmark")
     ),
+    "op7_sharding": lambda spark, folder: sharding.query(documents(spark, folder)),
+    "op8_packing": lambda spark, folder: packing.query(documents(spark, folder)),
     "op9_quality_rules": lambda spark, folder: rules.query(documents(spark, folder)),
 }
 ORACLES: dict[str, str] = {
