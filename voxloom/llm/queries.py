@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm import decontaminate, licenses, linededup, packing, quality, rules, sharding, toxicity
+from voxloom.llm import decontaminate, langid, licenses, linededup, packing, quality, rules, sharding, toxicity
 from voxloom.llm.common import documents
 from voxloom.sources.readers import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": lambda spark, folder: quality.query(documents(spark, folder), table(spark, folder, "labels")),
     "op2_license_scan": lambda spark, folder: licenses.query(documents(spark, folder)),
+    "op3_language_id": lambda spark, folder: langid.query(documents(spark, folder)),
     "op4_line_dedup": lambda spark, folder: linededup.query(documents(spark, folder)),
     "op5_toxicity": lambda spark, folder: toxicity.query(documents(spark, folder), table(spark, folder, "labels")),
     "op6_decontamination": lambda spark, folder: decontaminate.query(
