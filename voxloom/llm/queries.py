@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm import decontaminate, langid, licenses, linededup, packing, quality, rules, sharding, toxicity
+from voxloom.llm import decontaminate, jaccard, langid, licenses, linededup, packing, quality, rules, sharding, toxicity
 from voxloom.llm.common import documents
 from voxloom.sources.readers import table
 
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_sharding": lambda spark, folder: sharding.query(documents(spark, folder)),
     "op8_packing": lambda spark, folder: packing.query(documents(spark, folder)),
     "op9_quality_rules": lambda spark, folder: rules.query(documents(spark, folder)),
+    "op10_jaccard_join": lambda spark, folder: jaccard.query(documents(spark, folder)),
 }
 ORACLES: dict[str, str] = {
     "op2_license_scan": licenses.sql(),
