@@ -8,9 +8,9 @@ harmless text of that length, K n exp(-lambda S): lambda solves the score equati
 the harmless training texts. Several segments are put together with the sum statistic, and the negative log of its
 probability is mapped to a score from 0 to 1 by a logistic curve fitted on the training rows.
 
-The lexicon is learnt from at most ``SAMPLE`` labelled rows outside of the held-out fold, the smallest by hash of the id, and holds
-at most ``LEXICON`` words; both bounds belong to the classifier. Equal texts count once. Every text is scanned whole, in
-one pass and without a shuffle; the small table of segment statistics is written once and read for calibration.
+The lexicon is learnt from at most ``SAMPLE`` labelled rows outside of the held-out fold, the smallest by hash of the id, and
+holds at most ``LEXICON`` words; both bounds belong to the classifier. Equal texts count once. The sample is written to the
+shared folder and read for each step of the fit. Then every text is scanned whole, in one pass and without a shuffle.
 
 Defined results: null and empty texts have no segment and the lowest score. Repeated rows score alike. Without labels of
 both classes the lexicon is empty and every text has the score 0.
@@ -26,8 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import remainder
-from voxloom.llm.decontaminate import words_of
+from voxloom.llm.common import remainder, words_of
 from voxloom.session import materialize
 
 SAMPLE = 32_768
@@ -72,10 +71,17 @@ def segments(places: Sequence[tuple[int, float]], other: float) -> list[tuple[in
 
 
 class Lexicon:
-    """Scores of the listed words, the score of all others, and the two constants of the extreme values."""
+    """Scores of the listed words, the score of all others, the two constants of the extreme values, and the intercept and
+    slope of the logistic curve (none where there was nothing to fit)."""
 
     def __init__(self, scores: dict[bytes, float], other: float, rate: float):
         self.scores, self.other, self.rate, self.size = scores, other, rate, 1.0
+        self.curve: tuple[float, float] | None = None
+
+    def score(self, significance: float) -> float:
+        if self.curve is None:
+            return 0.0
+        return 1 / (1 + math.exp(-max(-700.0, min(700.0, self.curve[0] + self.curve[1] * min(significance, BIN * BINS)))))
 
     def scan(self, text: str) -> tuple[int, list[tuple[int, int, float]]]:
         split, scores = words(text), self.scores
@@ -93,7 +99,8 @@ class Lexicon:
             if total <= 0:
                 break
             if r == 1:
-                tail = -math.log(-math.expm1(-math.exp(-total)))
+                # the tail of the extreme-value law; far out it is the score itself
+                tail = total if total > 30 else -math.log(-math.expm1(-math.exp(-total)))
             else:
                 tail = total - (r - 1) * math.log(total) + math.lgamma(r + 1) + math.lgamma(r)
             best = max(best, tail)
@@ -149,10 +156,6 @@ def learn(train: DataFrame, text: str, label: str) -> Lexicon:
     return Lexicon(scores, other, decay(values, shares))
 
 
-def _bin(x: np.ndarray) -> np.ndarray:
-    return np.clip(x / BIN, 0, BINS - 1).astype(np.int64)
-
-
 def logistic(x: np.ndarray, ones: np.ndarray, zeros: np.ndarray, steps: int = 50) -> tuple[float, float]:
     """Intercept and slope of a logistic curve through counts per value of ``x``, by Newton's method with a weak prior."""
     beta, design = np.zeros(2), np.column_stack([np.ones(len(x)), x])
@@ -168,75 +171,72 @@ def logistic(x: np.ndarray, ones: np.ndarray, zeros: np.ndarray, steps: int = 50
     return float(beta[0]), float(beta[1])
 
 
-def find_passages(df: DataFrame, lexicon: Lexicon, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_words, passages): all segments of a text as (first word, words, score), in order."""
+NEW_COLUMNS = ("n_words", "passages", "significance", "score")
+
+
+def find_passages(df: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
+    """The table with ``n_words``, ``passages`` (all maximal segments as first word, words and score, in order),
+    ``significance`` and ``score``."""
+    kept = [c for c in df.columns if c not in NEW_COLUMNS]
     shared = df.sparkSession.sparkContext.broadcast(lexicon)
     element = pa.struct([("first", pa.int64()), ("words", pa.int64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in batches:
-            rows = [shared.value.scan(x or "") for x in batch.column(1).to_pylist()]
+            rows = [model.scan(x or "") for x in batch.column(batch.num_columns - 1).to_pylist()]
             passages = [[{"first": a, "words": b, "score": s} for a, b, s in found] for _, found in rows]
+            tails = [model.significance(n, found) for n, found in rows]
             arrays = [
-                batch.column(0), pa.array([n for n, _ in rows], type=pa.int64()), pa.array(passages, type=pa.list_(element)),
+                *batch.columns[:-1], pa.array([n for n, _ in rows], type=pa.int64()),
+                pa.array(passages, type=pa.list_(element)), pa.array(tails, type=pa.float64()),
+                pa.array([model.score(t) for t in tails], type=pa.float64()),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, names=[key, "n_words", "passages"])
+            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names[:-1], *NEW_COLUMNS])
 
-    kind = df.schema[key].dataType.simpleString()
-    schema = f"`{key}` {kind}, n_words bigint, passages array<struct<first:bigint,words:bigint,score:double>>"
-    return df.select(key, F.col(text).cast("string")).mapInArrow(run, schema)
+    rows = df.select(*kept, F.col(text).cast("string").alias("_text"))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema][:-1]
+    new = "n_words bigint, passages array<struct<first:bigint,words:bigint,score:double>>, significance double, score double"
+    return rows.mapInArrow(run, ", ".join([*fields, new]))
 
 
-def score_toxicity(
+def fit(
     df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", parts: int = 5,
     held_out: int = 0, sample: int = SAMPLE,
-) -> DataFrame:
-    """(key, held_out, n_words, passages, significance, score) for every row."""
-    spark = df.sparkSession
-    fold = lambda c: F.coalesce(remainder(c, parts) == held_out, F.lit(False))
+) -> Lexicon:
+    """The lexicon and its calibration from labelled rows outside of the held-out fold."""
     known = labels.select(F.col(key).alias("_id"), F.col(label).alias("_label")).where(
-        F.col("_label").isin(0, 1) & F.col("_id").isNotNull() & ~fold(F.col("_id"))
+        F.col("_label").isin(0, 1) & F.col("_id").isNotNull() & (remainder(F.col("_id"), parts) != held_out)
     )
     # at most ``sample`` ids and labels, so the broadcast is bounded whatever the tables hold
     chosen = known.dropDuplicates(["_id"]).orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    train = df.join(F.broadcast(chosen), F.col(key) == F.col("_id")).select(text, "_label")
-    lexicon = learn(train, text, "_label")
-    table = materialize(find_passages(df, lexicon, key, text), "toxicity")
-
-    best = F.array_max(F.transform("passages", lambda p: p["score"]))
-    rows = table.join(F.broadcast(chosen), F.col(key) == F.col("_id")).select("n_words", best.alias("best"), "_label", "passages")
-    clean = rows.where(F.col("_label") == 0)
-    least = min(lexicon.scores.values(), default=0.0)
-    tail = clean.agg(F.sum("n_words").alias("n"), F.count_if(F.col("best") >= least).alias("k")).first()
-    if lexicon.scores and tail["n"]:
-        lexicon.size = max(tail["k"], 1) / (tail["n"] * math.exp(-lexicon.rate * least))
-    shared = spark.sparkContext.broadcast(lexicon)
-
-    def significances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [[(p["first"], p["words"], p["score"]) for p in row] for row in batch.column("passages").to_pylist()]
-            values = [shared.value.significance(n, f) for n, f in zip(batch.column("n_words").to_pylist(), found)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(values, type=pa.float64())], names=[*batch.schema.names, "significance"]
-            )
-
-    def with_significance(frame: DataFrame) -> DataFrame:
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema)
-        return frame.mapInArrow(significances, f"{fields}, significance double")
-
+    train = df.join(F.broadcast(chosen), F.col(key) == F.col("_id")).select(F.col(text).alias("_words"), "_label")
+    train = materialize(train, "toxicity-train")
+    lexicon = learn(train, "_words", "_label")
+    if not lexicon.scores:
+        return lexicon
+    least = min(lexicon.scores.values())
+    best = F.coalesce(F.array_max(F.transform("passages", lambda p: p["score"])), F.lit(0.0))
+    scanned = find_passages(train, lexicon, "_words").where(F.col("_label") == 0)
+    tail = scanned.agg(F.sum("n_words").alias("n"), F.count_if(best >= least).alias("k")).first()
+    lexicon.size = max(tail["k"], 1) / (max(tail["n"] or 0, 1) * math.exp(-lexicon.rate * least))
     binned = (
-        with_significance(rows)
+        find_passages(train, lexicon, "_words")
         .groupBy(F.least(F.floor(F.col("significance") / BIN), F.lit(BINS - 1)).alias("bin"))
         .agg(F.sum("_label").alias("ones"), F.sum(1 - F.col("_label")).alias("zeros")).collect()
     )
-    scored = with_significance(table)
-    if not lexicon.scores:
-        return scored.select(key, fold(F.col(key)).alias("held_out"), "n_words", "passages", "significance", F.lit(0.0).alias("score"))
     columns = [np.array([float(row[c]) for row in binned]) for c in ("bin", "ones", "zeros")]
-    intercept, slope = logistic(columns[0] * BIN, columns[1], columns[2])
-    capped = F.least(F.col("significance"), F.lit(BIN * BINS))
-    score = 1 / (1 + F.exp(-(F.lit(intercept) + F.lit(slope) * capped)))
-    return scored.select(key, fold(F.col(key)).alias("held_out"), "n_words", "passages", "significance", score.alias("score"))
+    lexicon.curve = logistic(columns[0] * BIN, columns[1], columns[2])
+    return lexicon
+
+
+def score_toxicity(
+    df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", parts: int = 5,
+    held_out: int = 0, sample: int = SAMPLE,
+) -> DataFrame:
+    """The table with ``held_out`` and what ``find_passages`` adds, for every row."""
+    rows = find_passages(df, fit(df, labels, key, text, label, parts, held_out, sample), text)
+    return rows.withColumn("held_out", F.coalesce(remainder(F.col(key), parts) == held_out, F.lit(False)))
 
 
 # --- the query -------------------------------------------------------------------------------------------------------
