@@ -11,6 +11,8 @@ from voxloom.sources.readers import table
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_CLASS = "[\\x20\\x09-\\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: All of ASCII that is no letter or digit.
+MARKS = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -22,11 +24,14 @@ def remainder(doc_id: Column, parts: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % parts
 
 
-def lower_ascii(text: Column) -> Column:
-    return F.translate(text, UPPER, LOWER)
-
-
 def blank_words(text: Column) -> Column:
     """Words between blanks, in order; empty for null and for texts without a word."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, f"{BLANK_CLASS}+"))
+
+
+def words_of(text: Column) -> Column:
+    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z are lower-cased, in order; empty for null and for texts
+    without a word. One pass lowers letters and blanks out marks, so the split looks for blanks only."""
+    plain = F.btrim(F.translate(F.coalesce(text, F.lit("")), UPPER + MARKS, LOWER + " " * len(MARKS)))
+    return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " +"))

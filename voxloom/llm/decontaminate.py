@@ -9,7 +9,7 @@ so the result is the same as comparing all stretches (tests/llm proves it by lis
 
 The texts are read once per block of the benchmark and nothing of them is shuffled: the seeds of a block are at most
 ``block`` rows, which is what is broadcast; a larger benchmark makes more blocks. Items with equal words count as one, the
-smallest id. A hit carries the words of its text only through the join, where it is verified at once.
+smallest id. Words are compared by 64-bit hashes. A hit is verified inside the join, so nothing else comes out of it.
 
 Defined results: null and empty texts have no words and no finding; items below eight words cannot be found; an empty
 benchmark finds nothing. Repeated rows get the same finding each; rows that share an id but not the text are told apart.
@@ -22,41 +22,27 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.functions.binding import bind
-from voxloom.llm.common import lower_ascii
+from voxloom.llm.common import words_of
 
 #: Care positions; every one looks at eight words.
 MASKS = ((0, 1, 2, 3, 5, 6), (0, 1, 2, 4, 6, 7), (0, 1, 4, 5, 6, 7))
 SPAN = 8
 STRETCH = 13
 BLOCK_ROWS = 200_000
-NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-
-
-def words_of(text: Column) -> Column:
-    """Words in order; empty for null and for a text without a word."""
-    parts = F.split(F.regexp_replace(lower_ascii(F.coalesce(text, F.lit(""))), f"^{NOT_WORD}|{NOT_WORD}$", ""), NOT_WORD)
-    return F.when(F.get(parts, F.lit(0)) == "", F.array().cast("array<string>")).otherwise(parts)
-
-
 def tolerated(stretch: Column) -> Column:
     """Substitutions allowed in a stretch of so many words."""
     return F.when(stretch < 9, F.lit(0)).otherwise(F.floor(stretch / 6)).cast("int")
 
 
-def seeds(words: Column) -> Column:
-    """(seed, at) for every place and mask of a word list."""
-
-    def of(h: Column) -> Column:
-        at = F.sequence(F.lit(0), F.size(h) - SPAN)
-
-        def places(m: int) -> Column:
-            picked = lambda i: F.xxhash64(F.lit(m), *[F.get(h, i + c) for c in MASKS[m]])
-            return F.transform(at, lambda i: F.struct(picked(i).alias("seed"), i.alias("at")))
-
-        return F.when(F.size(h) >= SPAN, F.concat(*[places(m) for m in range(len(MASKS))]))
-
-    return bind(F.transform(words, lambda w: F.xxhash64(w)), of)
+def with_seeds(rows: DataFrame, words: str, at: str) -> DataFrame:
+    """One row per place and mask: the columns of ``rows`` but for the words, their hashes ``{at}_h``, the place ``at`` and
+    ``seed``. The hashes are made once per row; places and seeds are plain expressions over them, which Spark compiles
+    together with the join that follows, so the hashes are not copied for every place."""
+    kept = [c for c in rows.columns if c != words]
+    hashes = rows.where(F.size(words) >= SPAN).select(*kept, F.transform(words, lambda w: F.xxhash64(w)).alias(f"{at}_h"))
+    placed = hashes.select("*", F.explode(F.sequence(F.lit(0), F.size(f"{at}_h") - SPAN)).alias(at))
+    picked = [F.xxhash64(F.lit(m), *[F.get(f"{at}_h", F.col(at) + c) for c in mask]) for m, mask in enumerate(MASKS)]
+    return placed.select("*", F.explode(F.array(*picked)).alias("seed"))
 
 
 def benchmark_items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
@@ -69,24 +55,18 @@ def benchmark_items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
 
 
 def _verified() -> Column:
-    """Some stretch that holds the hit agrees, the words of the item laid over those of the text."""
+    """Some stretch that holds the hit agrees, the words of the item laid over those of the text.
+
+    All places that such a stretch can reach are written out. Beyond the end of a list there is no word, which agrees with
+    nothing.
+    """
+    reach = range(SPAN - STRETCH, STRETCH)
+    place = lambda at, d: F.when(F.col(at) + d >= 0, F.get(F.col(f"{at}_h"), F.col(at) + d))
+    agree = {d: F.coalesce((place("item_at", d) == place("at", d)).cast("int"), F.lit(0)) for d in reach}
+    total = lambda places: reduce(lambda x, y: x + y, [agree[d] for d in places])
+    full = F.greatest(*[total(range(s, s + STRETCH)) for s in range(SPAN - STRETCH, 1)])
     size = F.least(F.lit(STRETCH), F.col("n"))
-    first = F.greatest(F.lit(0), F.col("item_at") + SPAN - size)
-    last = F.least(F.col("n"), F.col("item_at") + size) - 1
-    # a place outside of the text is null on that side and agrees with nothing
-    same = F.transform(
-        F.sequence(first, last),
-        lambda j: F.coalesce(
-            F.get(F.col("item_words"), j) == F.get(F.col("words"), j - F.col("item_at") + F.col("at")), F.lit(False)
-        ).cast("int"),
-    )
-
-    def some(b: Column) -> Column:
-        agreed = lambda i: F.aggregate(F.slice(b["same"], i + 1, b["size"]), F.lit(0), lambda s, x: s + x)
-        starts = F.sequence(F.lit(0), F.size(b["same"]) - b["size"])
-        return F.exists(starts, lambda i: agreed(i) >= b["size"] - tolerated(b["size"]))
-
-    return bind(F.struct(same.alias("same"), size.alias("size")), some)
+    return F.when(F.col("n") < STRETCH, total(reach)).otherwise(full) >= size - tolerated(size)
 
 
 def leaks(
@@ -101,11 +81,10 @@ def leaks(
     found = []
     for b in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b)
-        index = mine.select("item", F.col("words").alias("item_words"), "n", F.inline(seeds(F.col("words")))).select(
-            "item", "item_words", "n", "seed", F.col("at").alias("item_at")
-        )
-        places = texts.select("key", "tie", "words", F.inline(seeds(F.col("words"))))
-        hits = places.join(F.broadcast(index), "seed").where(_verified())
+        index = with_seeds(mine, "words", "item_at")
+        hits = with_seeds(texts, "words", "at").join(F.broadcast(index), "seed")
+        # verified as an aggregate: as a filter it would move into the compiled join and make it too large to be fast
+        hits = hits.groupBy("key", "tie", "item").agg(F.max(_verified()).alias("ok")).where("ok")
         found.append(hits.select("key", "tie", "item"))
     return reduce(DataFrame.unionAll, found).distinct()
 

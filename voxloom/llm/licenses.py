@@ -23,8 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.functions.binding import bind
-from voxloom.llm.common import lower_ascii
-from voxloom.llm.decontaminate import words_of
+from voxloom.llm.common import words_of
 
 #: Rare places under which a template is indexed, and how many of them must agree.
 RARE, AGREE = 3, 2
