@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from voxloom.llm.common import words_of
 
 #: Care positions; every one looks at eight words.
-MASKS = ((0, 1, 2, 3, 5, 6), (0, 1, 2, 4, 6, 7), (0, 1, 4, 5, 6, 7))
+MASKS = ((0, 1, 2, 3, 5, 7), (0, 1, 2, 5, 6, 7), (0, 2, 3, 5, 6, 7))
 SPAN = 8
 STRETCH = 13
 BLOCK_ROWS = 200_000
