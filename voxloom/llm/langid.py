@@ -9,7 +9,7 @@ it, and a context array with the back-off weights. A text gets the language with
 Counting: every task counts its own partition in sorted arrays, Spark adds the partial counts per language and sequence,
 and derives the shorter orders from the result. Before the driver turns counts into probabilities they are grouped by
 a hash of ``BITS`` bits, so whatever the corpus holds at most 2^BITS rows per order and language are collected and sent
-to the tasks; sequences that share a hash share their probability. No row is left out of the counts, and what is
+to the tasks; of sequences that share a hash the smallest stands for all. No row is left out of the counts, and what is
 gathered grows with the input. Scoring is one pass without a shuffle, one search in a sorted array per character.
 
 Rejection: a prediction is ``accepted`` if its cross-entropy is at most ``WIDTH`` standard deviations above the mean of the
@@ -178,9 +178,10 @@ class Table:
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of keys and whether they are held."""
-        slots = hashed(keys, self.bits)
-        at = np.minimum(np.searchsorted(self.slots, slots), max(len(self.slots) - 1, 0))
-        return at, self.slots[at] == slots if len(self.slots) else np.zeros(len(keys), dtype=bool)
+        if not len(self.slots):
+            return np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=bool)
+        at = np.minimum(np.searchsorted(self.slots, hashed(keys, self.bits)), len(self.slots) - 1)
+        return at, self.keys[at] == keys
 
 
 class Model:
@@ -191,6 +192,8 @@ class Model:
         kinds) of the contexts of order k + 1."""
         n = len(languages)
         self.languages, self.orders, self.weights = languages, [], []
+        if not languages:
+            return
         for k, (keys, langs, values) in enumerate(counts):
             table = Table(keys, langs, values, n, bits)
             context_keys, context_langs, totals, kinds = contexts[k]
@@ -243,7 +246,7 @@ class Model:
         """Summed negative log probability per text and language."""
         out = np.zeros((len(sizes), len(self.languages)))
         full = np.flatnonzero(sizes)
-        if len(full):
+        if len(full) and self.languages:
             starts = (np.cumsum(sizes) - sizes)[full]
             found = self.orders[-1].find(keys)
             for language in range(len(self.languages)):
