@@ -188,8 +188,11 @@ def test_batch_arguments(spark):
     assert [r["c"] for r in J.broadcast_argument(df, one, "c", "i").collect()] == ["c"] * 3
     each = spark.createDataFrame([(0, "x"), (1, "y"), (2, "z")], "i bigint, c string")
     assert sorted(r["c"] for r in J.broadcast_argument(df, each, "c", "i").collect()) == ["x", "y", "z"]
-    with pytest.raises(ValueError):
-        J.broadcast_argument(df, each.limit(2), "c", "i")
+    elsewhere = each.withColumn("i", F.col("i") + 5)
+    for wrong in (each.limit(2), elsewhere, each.unionByName(elsewhere)):
+        with pytest.raises(Exception, match="batch size mismatch"):
+            J.broadcast_argument(df, wrong, "c", "i").collect()
+    assert [r["c"] for r in J.broadcast_argument(df, one.select("c"), "c", "i").collect()] == ["c"] * 3
 
 
 def test_unsupported_languages(spark):

@@ -5,10 +5,10 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from voxloom.session import scratch_path
+from voxloom.session import ROCKSDB, scratch_path
 from voxloom.streaming import sessions as S
 from voxloom.streaming import twins as T
-from voxloom.streaming.replay import replay
+from voxloom.streaming.replay import read_table_stream, replay
 
 ORDER = ["ts", "event_id"]
 
@@ -46,11 +46,10 @@ def test_rollback():
 def session_rows(spark, sizes, end=True):
     rows = []
     for session, n in sizes.items():
-        rows += [(session, i, i, float(i), False) for i in range(n)]
+        rows += [(session, i, float(i), False) for i in range(n)]
         if end:
-            rows.append((session, n, n, None, True))
-    df = spark.createDataFrame(rows, "user_id bigint, at bigint, event_id bigint, value double, end boolean")
-    return df.withColumn("ts", F.timestamp_seconds("at")).drop("at")
+            rows.append((session, n, None, True))
+    return spark.createDataFrame(rows, "user_id bigint, number bigint, value double, end boolean")
 
 
 def restated(n, size, settings, end):
@@ -69,11 +68,25 @@ def restated(n, size, settings, end):
     return out
 
 
-@pytest.mark.parametrize("pieces", [1, 2])
-def test_steps(spark, pieces):
-    settings = S.StreamSettings(chunk_seconds=3, sr=1, unfixed_chunks=1, unfixed_tokens=2, ttl_seconds=None)
+@pytest.mark.parametrize("way", ["one call", "two calls", "files in reverse"])
+def test_steps(spark, way):
+    settings = S.StreamSettings(
+        chunk_seconds=3, sr=1, unfixed_chunks=1, unfixed_tokens=2, ttl_seconds=None, keep_audio=True
+    )
     sizes = {1: 10, 2: 3, 3: 2, 4: 0, 5: 12}
-    steps = replay(session_rows(spark, sizes), pieces, "user_id", ORDER, settings, words).collect()
+    rows = session_rows(spark, sizes)
+    if way == "files in reverse":
+        # the closing rows and the last samples come first, each file a batch of its own, one file twice
+        path = scratch_path(spark, "reverse")
+        for low in (8, 4, 0, 4):
+            rows.where((F.col("number") >= low) & (F.col("number") < low + (5 if low == 8 else 4))).coalesce(1).write.mode(
+                "append"
+            ).parquet(path)
+        stream = read_table_stream(rows, path, batch_bytes=1)
+        steps = S.run_available(S.stream_steps(stream, "user_id", "number", settings, words), "reverse").collect()
+        steps = [r for r in steps if r["n_seen"] > 0]
+    else:
+        steps = replay(rows, [5], "user_id", settings, words, cycle=1 if way == "one call" else 2).collect()
     for session, n in sizes.items():
         mine = sorted((r for r in steps if r["user_id"] == session), key=lambda r: r["chunk_id"])
         assert [(r["n_seen"], r["prefix"], r["raw"]) for r in mine] == restated(n, 3, settings, True)
@@ -85,7 +98,8 @@ def test_idle_session_is_finished(spark):
     rows = session_rows(spark, {1: 5}, end=False)
     rows.write.parquet(path)
     settings = S.StreamSettings(chunk_seconds=3, sr=1, ttl_seconds=2, keep_audio=False)
-    stream = S.stream_steps(spark.readStream.schema(rows.schema).parquet(path), "user_id", ORDER, settings, words)
+    stream = S.stream_steps(spark.readStream.schema(rows.schema).parquet(path), "user_id", "number", settings, words)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     query = stream.writeStream.format("memory").queryName("idle_steps").outputMode("append").start()
     try:
         for _ in range(60):
@@ -107,8 +121,8 @@ def test_idle_gap_rule(spark):
 
 
 def test_stream_equals_batch(spark):
-    rows = session_rows(spark, {1: 11, 2: 4}, end=False)
+    rows = session_rows(spark, {1: 11, 2: 4}, end=False).withColumn("ts", F.timestamp_seconds("number"))
     settings = S.StreamSettings(chunk_seconds=4, sr=1, ttl_seconds=None)
-    live = {(r["user_id"], r["chunk_id"]): (r["n_seen"], r["sum_seen"]) for r in replay(rows, 3, "user_id", ORDER, settings, words).collect()}
-    stored = T.cumulative(T.chunk_buffer(rows, "user_id", "ts", ORDER, "value", 4), "user_id").collect()
+    live = {(r["user_id"], r["chunk_id"]): (r["n_seen"], r["sum_seen"]) for r in replay(rows.drop("ts"), [3], "user_id", settings, words, cycle=3).collect()}
+    stored = T.cumulative(T.chunk_buffer(rows, "user_id", "ts", ["ts", "number"], "value", 4), "user_id").collect()
     assert live == {(r["user_id"], r["chunk_id"]): (r["n_seen"], r["sum_seen"]) for r in stored}

@@ -211,7 +211,8 @@ def _by_user(df, name="pos"):
 @query(
     "collapse_consecutive",
     """SELECT user_id, event_id, event_type FROM (
-         SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) WHERE p IS NULL OR p <> event_type""",
+         SELECT *, lag(event_type) OVER w AS p, row_number() OVER w AS k FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+       WHERE k = 1 OR p IS DISTINCT FROM event_type""",
 )
 def _(spark, d):
     events = _events(spark, d).select("user_id", "ts", "event_id", "event_type")
@@ -310,7 +311,7 @@ def _(spark, d):
     docs = documents(spark, d).select(
         "doc_id", F.transform(tokenize_space_lang(F.col("text")), F.length).alias("ids")
     )
-    placed = O.with_position(docs.select("doc_id"), [], ["doc_id"], O.value_block(F.col("doc_id")))
+    placed = O.with_position(docs.select("doc_id"), [], ["doc_id"], O.range_block(docs, "doc_id"))
     batches = docs.join(placed, "doc_id").withColumn("batch", O.batch_number(F.col("pos"), 8))
     padded = pad_and_mask(batches.withColumn("prefix_size", F.lit(3)), "batch", "ids", "prefix_size", pad_id=0)
 

@@ -56,7 +56,7 @@ def _(spark, d):
     docs = training_samples(spark, d)
     rows = docs.select("lang", "audio", F.col("tagged").alias("text"), F.when(F.col("lang") != "de", F.col("source")).alias("prompt"))
     W.write_jsonl(rows.where("lang = 'en'").drop("lang"), f"{path}/train")
-    W.write_jsonl(rows.where("lang <> 'en'").drop("lang"), f"{path}/validation")
+    W.write_jsonl(rows.where("lang <> 'en' OR lang IS NULL").drop("lang"), f"{path}/validation")
     back = R.scan_jsonl(spark, {"train": f"{path}/train", "validation": f"{path}/validation"})
     return back.select("audio", F.md5("text").alias("text_md5"), "split", "prompt")
 
@@ -65,18 +65,18 @@ def _(spark, d):
 def _(spark, d):
     path = scratch_path(spark, "machines")
     docs = table(spark, d, "documents")
-    for machine, lang in enumerate(("en", "fr", "de", "es")):
-        docs.where(F.col("lang") == lang).write.parquet(f"{path}/machine_{machine:02d}")
+    for machine in range(4):
+        docs.where(F.col("doc_id") % 4 == machine).write.parquet(f"{path}/machine_{machine:02d}")
     return _content(R.scan_merge_machines(spark, path))
 
 
 @query(
     "union_machine_outputs",
-    """SELECT source, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents WHERE lang IN ('en', 'fr', 'de', 'es') GROUP BY source""",
+    """SELECT source, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents GROUP BY source""",
 )
 def _(spark, d):
     docs = table(spark, d, "documents")
-    outputs = [docs.where(F.col("lang") == lang) for lang in ("en", "fr", "de", "es")]
+    outputs = [docs.where(F.col("doc_id") % 4 == machine) for machine in range(4)]
     merged = R.union_machine_outputs(*outputs)
     return merged.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text").cast("bigint")).alias("chars"))
 
@@ -372,14 +372,14 @@ def _(spark, d):
 @query("assign_contiguous_shards", "SELECT o_orderkey, ntile(16) OVER (ORDER BY o_orderkey) - 1 AS shard FROM orders")
 def _(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey")
-    placed = O.with_position(orders, [], ["o_orderkey"], O.value_block(F.col("o_orderkey")), "pos", "total")
+    placed = O.with_position(orders, [], ["o_orderkey"], O.range_block(orders, "o_orderkey"), "pos", "total")
     return placed.select("o_orderkey", O.contiguous_part(F.col("pos"), F.col("total"), 16).alias("shard"))
 
 
 @query("micro_batches", "SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 32 AS batch FROM orders")
 def _(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey")
-    placed = O.with_position(orders, [], ["o_orderkey"], O.value_block(F.col("o_orderkey")))
+    placed = O.with_position(orders, [], ["o_orderkey"], O.range_block(orders, "o_orderkey"))
     return placed.select("o_orderkey", O.batch_number(F.col("pos"), 32).alias("batch"))
 
 
@@ -389,7 +389,7 @@ def _(spark, d):
 )
 def _(spark, d):
     kept = _checked(spark, d).where(F.col("reason").isNull()).select("doc_id")
-    return O.with_position(kept, [], ["doc_id"], O.value_block(F.col("doc_id")), "line")
+    return O.with_position(kept, [], ["doc_id"], O.range_block(kept, "doc_id"), "line")
 
 
 @query(

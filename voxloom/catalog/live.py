@@ -1,14 +1,17 @@
 """Queries over live sessions: each stream operator, run over the stored events, and its batch counterpart in SQL."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.catalog.registry import query
 from voxloom.operators.ordered import micros
 from voxloom.sources.readers import table
-from voxloom.session import scratch_path
+from voxloom.session import materialize, scratch_path
 from voxloom.streaming import sessions as S
 from voxloom.streaming import twins as T
-from voxloom.streaming.replay import read_table_stream, replay, with_end_rows
+from voxloom.streaming.replay import numbered_samples, read_table_stream, replay
 
 ORDER = ["ts", "event_id"]
 CHUNK = 4
@@ -22,15 +25,17 @@ def count_model():
     return lambda context, prefix, audio: ("" if prefix else "language English<asr_text>") + f"heard {len(audio)} so far "
 
 
-def _stored_stream(spark, d):
-    events = table(spark, d, "events")
-    stream = read_table_stream(events, d, "events.parquet")
-    return stream.select("user_id", "ts", "event_id", "value", F.lit(False).alias("end"))
+def _samples(spark, d, end=False):
+    return numbered_samples(table(spark, d, "events"), "user_id", "ts", ORDER, "value", end)
 
 
-def _steps(spark, d, settings=SETTINGS):
-    steps = S.stream_steps(_stored_stream(spark, d), "user_id", ORDER, settings, count_model)
-    return S.run_available(steps, "steps")
+def _steps(spark, d, settings=SETTINGS, end=False):
+    """Steps over the samples in files of no order; a small limit of bytes makes a batch of each file or two."""
+    path = scratch_path(spark, "samples")
+    samples = _samples(spark, d, end)
+    samples.repartition(4, F.xxhash64("user_id", "number")).write.parquet(path)
+    stream = read_table_stream(samples, path, batch_bytes=1 << 16)
+    return S.run_available(S.stream_steps(stream, "user_id", "number", settings, count_model), "steps")
 
 
 @query(
@@ -93,18 +98,19 @@ def _(spark, d):
            coalesce(before, '') || 'heard ' || n || ' so far' AS text FROM kept""",
 )
 def _(spark, d):
-    settings = S.StreamSettings(chunk_seconds=CHUNK, sr=1, unfixed_chunks=2, unfixed_tokens=2, ttl_seconds=None)
+    settings = S.StreamSettings(chunk_seconds=CHUNK, sr=1, unfixed_chunks=2, unfixed_tokens=2, ttl_seconds=None, keep_audio=True)
     steps = _steps(spark, d, settings)
     return steps.select("user_id", F.col("chunk_id").cast("bigint").alias("chunk_id"), "prefix", "language", "text")
 
 
 @query(
     "stream_emit_latest",
-    f"""WITH {_STEPS_SQL} SELECT user_id, max(chunk_id) AS chunk_id, 'English' AS language, 'heard ' || {CHUNK} * (max(chunk_id) + 1) || ' so far' AS text
-        FROM steps WHERE n_new = {CHUNK} GROUP BY user_id""",
+    f"""WITH {_STEPS_SQL} SELECT user_id, max(chunk_id) AS chunk_id, 'English' AS language, 'heard ' || CAST(sum(n_new) AS BIGINT) || ' so far' AS text
+        FROM steps GROUP BY user_id""",
 )
 def _(spark, d):
-    latest = S.latest_step(_steps(spark, d), "user_id")
+    settings = S.StreamSettings(chunk_seconds=CHUNK, sr=1, unfixed_chunks=10**9, ttl_seconds=None, keep_audio=True)
+    latest = S.latest_step(_steps(spark, d, settings, end=True), "user_id")
     return latest.select("user_id", F.col("chunk_id").cast("bigint").alias("chunk_id"), "language", "text")
 
 
@@ -114,12 +120,7 @@ def _(spark, d):
         FROM steps WINDOW w AS (PARTITION BY user_id ORDER BY chunk_id)""",
 )
 def _(spark, d):
-    events = with_end_rows(table(spark, d, "events"), "user_id", "ts", "event_id", "value")
-    path = scratch_path(spark, "finish")
-    events.write.parquet(path)
-    stream = read_table_stream(events, path)
-    steps = S.run_available(S.stream_steps(stream, "user_id", ORDER, SETTINGS, count_model), "finish")
-    return steps.select(
+    return _steps(spark, d, end=True).select(
         "user_id", F.col("chunk_id").cast("bigint").alias("chunk_id"), F.col("n_new").cast("bigint").alias("n_new"), "n_seen", "final"
     )
 
@@ -141,15 +142,16 @@ def _(spark, d):
     "stream_replay_steps",
     f"""WITH {_STEPS_SQL}, r AS (SELECT user_id, count(*) AS chunks, CAST(sum(n_new) AS BIGINT) AS n_seen, round(sum(sum_new), 3) AS total
         FROM steps WHERE n_new = {CHUNK} GROUP BY user_id)
-    SELECT pieces, user_id, chunks, n_seen, total FROM r, unnest([1, 3]) AS t(pieces)""",
+    SELECT pieces, user_id, chunks, n_seen, total FROM r, unnest([2, 4, 8, 16]) AS t(pieces)""",
 )
 def _(spark, d):
-    events = table(spark, d, "events").select("user_id", "ts", "event_id", "value", F.lit(False).alias("end"))
+    # half a chunk, one, two and four chunks a call, three calls each, the rest with the last
+    samples = materialize(_samples(spark, d), "samples")
     runs = [
-        replay(events, pieces, "user_id", ORDER, SETTINGS, count_model)
+        replay(samples, [pieces], "user_id", SETTINGS, count_model, cycle=3)
         .groupBy("user_id")
         .agg(F.count(F.lit(1)).alias("chunks"), F.max("n_seen").alias("n_seen"), F.round(F.sum("sum_new"), 3).alias("total"))
         .withColumn("pieces", F.lit(pieces))
-        for pieces in (1, 3)
+        for pieces in (2, 4, 8, 16)
     ]
-    return runs[0].unionByName(runs[1])
+    return reduce(DataFrame.unionByName, runs)

@@ -81,11 +81,11 @@ def _(spark, d):
     "collapse_char_runs",
     f"""WITH {RUNS}, t AS (
       SELECT doc_id, string_agg(CASE WHEN n > 20 THEN c ELSE repeat(c, n) END, '' ORDER BY first_i) AS fixed FROM runs GROUP BY doc_id)
-    SELECT doc_id, length(fixed) AS n, md5(fixed) AS fixed_md5 FROM t""",
+    SELECT d.doc_id, length(coalesce(fixed, d.text)) AS n, md5(coalesce(fixed, d.text)) AS fixed_md5 FROM documents d LEFT JOIN t USING (doc_id)""",
 )
 def _(spark, d):
     fixed = X.collapse_char_runs(F.col("text"))
-    docs = documents(spark, d).where(F.length("text") > 0)
+    docs = documents(spark, d)
     return docs.select("doc_id", F.length(fixed).cast("bigint").alias("n"), F.md5(fixed).alias("fixed_md5"))
 
 

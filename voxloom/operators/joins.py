@@ -59,17 +59,25 @@ def gather_results(chunks: DataFrame, results: DataFrame, sample: str, chunk: st
 
 
 def broadcast_argument(df: DataFrame, args: DataFrame, value: str, position: str) -> DataFrame:
-    """A batch argument for each row: one value applies to all rows, otherwise there must be one value per row.
+    """A batch argument for each row: one value applies to all rows, otherwise each row must have its own.
 
-    ``args`` has (position, value). Its row count is checked while the job is set up, like any argument check.
+    ``args`` has (position, value), or the value alone, which must then be one row and is joined to nothing. A row without
+    an argument or an argument without a row fails the job; nothing is counted before it runs.
     """
-    n = df.count()
-    given = args.count()
-    if given == 1 and n > 1:
+    if position not in args.columns:
         return df.withColumn(value, args.select(value).scalar())
-    if given != n:
-        raise ValueError(f"batch size mismatch: rows={n}, {value}={given}")
-    return df.join(args, position)
+    single = args.agg(F.count(F.lit(1)) == 1).scalar()
+    only = args.agg(F.first(value)).scalar()
+    given = args.select(F.col(position).alias("_position"), F.col(value).alias("_given_value"), F.lit(True).alias("_given"))
+    both = df.withColumn("_row", F.lit(True)).join(given, F.col(position).eqNullSafe(F.col("_position")), "full")
+    problem = F.raise_error(
+        F.when(F.col("_row").isNull(), F.lit(f"batch size mismatch: {value} without a row")).otherwise(
+            F.lit(f"batch size mismatch: row without {value}")
+        )
+    ).cast("boolean")
+    whole = F.when(F.col("_row") & (F.col("_given") | single), True).when(F.col("_row").isNull() & single, False)
+    checked = both.where(whole.otherwise(problem))
+    return checked.withColumn(value, F.when(single, only).otherwise(F.col("_given_value"))).select(*df.columns, value)
 
 
 def missing_from_listing(df: DataFrame, listing: DataFrame, key: str) -> DataFrame:

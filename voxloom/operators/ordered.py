@@ -8,6 +8,7 @@ back. ``block`` is any column that never decreases along ``order`` inside a key;
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,14 +36,29 @@ def fitting_seconds(df: DataFrame, keys: Sequence[str], ts: str, rows: int = 2_0
 
 
 def value_block(value: Column, width: int = 65536) -> Column:
+    """Blocks of a fixed width; the values of a key should lie close together."""
     return F.floor(value / width)
 
 
+def range_block(df: DataFrame, column: str, blocks: int = 4096) -> Column:
+    """At most ``blocks`` blocks (and one for nulls) over the range that the values of a column have, however sparse."""
+    low = df.agg(F.min(F.col(column).cast("decimal(38,0)"))).scalar()
+    high = df.agg(F.max(F.col(column).cast("decimal(38,0)"))).scalar()
+    return F.floor((F.col(column).cast("decimal(38,0)") - low) * blocks / (high - low + 1)).cast("bigint")
+
+
 def hash_block(digest: Column, digits: int = 3) -> Column:
     """Leading hexadecimal digits of a digest: blocks of even size without any sampling of the data."""
     return F.conv(F.substring(digest, 1, digits), 16, 10).cast("bigint")
 
 
+def _attach(df: DataFrame, bases: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Block summaries onto the rows of their block. A null key or block is a value like any other."""
+    names = {c: f"_on_{i}" for i, c in enumerate([*keys, BLOCK])}
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
+    return df.join(bases.withColumnsRenamed(names), same).drop(*names.values())
+
+
 def _before(keys: Sequence[str]):
     window = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     return window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
@@ -64,7 +80,7 @@ def with_position(
         bases = bases.withColumn(total, F.sum("_size").over(_whole(keys)))
     inside = Window.partitionBy(*keys, BLOCK).orderBy(*order)
     return (
-        df.join(bases.drop("_size"), [*keys, BLOCK])
+        _attach(df, bases.drop("_size"), keys)
         .withColumn(name, F.col("_base") + F.row_number().over(inside) - 1)
         .drop("_base", BLOCK)
     )
@@ -85,26 +101,31 @@ def with_running(
         result = F.coalesce(F.col("_base"), F.lit(0)) + F.coalesce(local, F.lit(0))
     else:
         result = F.least(F.col("_base"), local)
-    return df.join(bases, [*keys, BLOCK]).withColumn(name, result).drop("_base", "_value", BLOCK)
+    return _attach(df, bases, keys).withColumn(name, result).drop("_base", "_value", BLOCK)
 
 
 def with_previous(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, value: Column, name: str = "prev"
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, value: Column, name: str = "prev",
+    known: str | None = None,
 ) -> DataFrame:
-    """``value`` of the row before, also across block borders; null for the first row of a key."""
+    """``value`` of the row before, also across block borders; null for the first row of a key.
+
+    ``known`` adds whether there is a row before, which a null value does not tell.
+    """
     keys = list(keys)
     df = df.withColumn(BLOCK, block).withColumn("_value", value)
     # the last row of a block is the greatest by the order columns
-    lasts = df.groupBy(*keys, BLOCK).agg(F.max_by("_value", F.struct(*order)).alias("_last"))
+    lasts = df.groupBy(*keys, BLOCK).agg(F.struct(F.max_by("_value", F.struct(*order)).alias("v")).alias("_last"))
     by_block = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(BLOCK)
     carried = lasts.withColumn("_carry", F.lag("_last").over(by_block)).drop("_last")
     inside = Window.partitionBy(*keys, BLOCK).orderBy(*order)
     first = F.row_number().over(inside) == 1
-    return (
-        df.join(carried, [*keys, BLOCK])
-        .withColumn(name, F.when(first, F.col("_carry")).otherwise(F.lag("_value").over(inside)))
-        .drop("_carry", "_value", BLOCK)
+    out = _attach(df, carried, keys).withColumn(
+        name, F.when(first, F.col("_carry.v")).otherwise(F.lag("_value").over(inside))
     )
+    if known:
+        out = out.withColumn(known, F.col("_carry").isNotNull() | ~first)
+    return out.drop("_carry", "_value", BLOCK)
 
 
 def collect_in_order(df: DataFrame, keys: Sequence[str], order: str, block: Column, value: str, name: str) -> DataFrame:

@@ -16,7 +16,8 @@ from voxloom.operators.ordered import contiguous_part, hash_block, with_position
 
 
 def shuffle_key(key: Column, seed: int = SEED) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
+    """Digest of seed and key; a null key has a digest of its own."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("\0"))).cast("binary"))
 
 
 def seeded_shuffle(
@@ -30,18 +31,28 @@ def seeded_shuffle(
 def with_shuffled_shard(df: DataFrame, key: str, shards: int, seed: int = SEED, name: str = "shard") -> DataFrame:
     """Adds the shard number of each row after the seeded shuffle: contiguous parts whose sizes differ by at most one.
 
-    The positions are computed from the keys alone and only say where each shard begins. Those ``shards - 1`` cut points
-    are a scalar, so a whole row finds its shard by comparison and is not joined to anything.
+    The positions are computed from the keys alone and only say where each shard begins. The cut points are kept by digest
+    block: a row meets the one line of its block, with the shards that begin before the block and the few cuts inside
+    it, so the work per row does not grow with the number of shards. The table of blocks has 16^digits lines and all cuts,
+    which is what is broadcast. Rows that share a key share a shard.
     """
-    placed = seeded_shuffle(df.select(key), key, seed, "_pos", "_total")
+    digits = 3
+    placed = seeded_shuffle(df.select(key), key, seed, "_pos", "_total", digits)
     part = contiguous_part(F.col("_pos"), F.col("_total"), shards)
     before = contiguous_part(F.col("_pos") - 1, F.col("_total"), shards)
     point = F.struct(shuffle_key(F.col(key), seed).alias("digest"), F.col(key).alias("key"))
-    cuts = placed.where((F.col("_pos") > 0) & (part != before)).agg(F.array_sort(F.collect_list(point)).alias("cuts"))
-    with_cuts = df.withColumn("_cuts", cuts.scalar())
+    cuts = placed.where((F.col("_pos") > 0) & (part != before)).select(point.alias("cut"))
+    inside = cuts.groupBy(hash_block(F.col("cut.digest"), digits).alias("_block")).agg(
+        F.array_sort(F.collect_list("cut")).alias("_cuts"), F.count(F.lit(1)).alias("_n")
+    )
+    blocks = df.sparkSession.range(16**digits).select(F.col("id").alias("_block")).join(inside, "_block", "left")
+    running = Window.partitionBy(F.lit(0)).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    lines = blocks.select("_block", "_cuts", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_earlier"))
+    met = df.withColumn("_block", hash_block(shuffle_key(F.col(key), seed), digits)).join(F.broadcast(lines), "_block")
     both = F.struct(F.col("_cuts").alias("cuts"), point.alias("mine"))
     passed = bind(both, lambda s: F.size(F.filter(s["cuts"], lambda cut: cut <= s["mine"])))
-    return with_cuts.withColumn(name, passed).drop("_cuts")
+    found = F.col("_earlier") + F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(passed)
+    return met.withColumn(name, found.cast("int")).drop("_block", "_cuts", "_earlier")
 
 
 def sample_fixed(df: DataFrame, key: str, n: int, seed: int = SEED) -> DataFrame:
@@ -73,10 +84,11 @@ def cut_point(df: DataFrame, key: str, ratio: float, seed: int = SEED, digits: i
 def train_eval_split(
     df: DataFrame, key: str, ratio: float = EVAL_RATIO, seed: int = SEED, name: str = "split"
 ) -> DataFrame:
-    """Exact, disjoint, repeatable split: adds ``train`` or ``eval`` to every row.
+    """Disjoint, repeatable split: adds ``train`` or ``eval`` to every row.
 
     The whole rows are never shuffled: they are compared with the cut point, a scalar. The number of eval rows is
-    ``ceil(ratio * rows)``.
+    ``ceil(ratio * rows)`` where the keys are unique. Rows that share a key, a null key included, stay together, so copies
+    of the key at the cut can add to it.
     """
     if not 0 < ratio < 1:
         raise ValueError(f"ratio must be between 0 and 1, got {ratio}")

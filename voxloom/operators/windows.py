@@ -15,9 +15,9 @@ from voxloom.operators.ordered import BLOCK, with_previous, with_running
 
 
 def collapse_consecutive(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, value: str):
-    """Rows whose value differs from the row before in the same key."""
-    seen = with_previous(df, keys, order, block, F.col(value), "_prev")
-    return seen.where(F.col("_prev").isNull() | (F.col("_prev") != F.col(value))).drop("_prev")
+    """Rows whose value differs from the row before in the same key; nulls are equal to each other."""
+    seen = with_previous(df, keys, order, block, F.col(value), "_prev", "_known")
+    return seen.where(~F.col("_known") | ~F.col("_prev").eqNullSafe(F.col(value))).drop("_prev", "_known")
 
 
 def chunk_offsets(

@@ -17,15 +17,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Share out a table that is stored in fewer splits than there are cores, for work that is bound by the processor.
-
-    A table with enough splits is returned as it is, so nothing is shuffled where the data is large.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
-
-
 def scan_parquet_shards(spark: SparkSession, folder: str, pattern: str = "*.parquet", with_file: bool = False):
     """All shards of a folder as one table. Spark lists, splits and prunes the files itself."""
     df = spark.read.option("pathGlobFilter", pattern).parquet(folder)

@@ -11,10 +11,15 @@ from voxloom.functions.text import is_undetected, strip_undetected_tag
 from voxloom.operators.sampling import with_shuffled_shard
 
 
-def write_parquet_shards(df: DataFrame, path: str, key: str, shards: int, seed: int = SEED) -> None:
-    """Folders ``shard=n`` of one file each, filled by the seeded shuffle. The rows are moved once, to their shard."""
-    placed = with_shuffled_shard(df, key, shards, seed)
-    placed.repartition(shards, "shard").write.partitionBy("shard").parquet(path)
+def write_parquet_shards(
+    df: DataFrame, path: str, key: str, shards: int, seed: int = SEED, max_rows: int = 1_000_000
+) -> None:
+    """Folders ``shard=n``, filled by the seeded shuffle. The rows are moved once, straight to the task of their shard.
+
+    A shard is written by one task; ``max_rows`` cuts it into several files.
+    """
+    placed = with_shuffled_shard(df, key, shards, seed).repartitionById(shards, F.col("shard"))
+    placed.write.option("maxRecordsPerFile", str(max_rows)).partitionBy("shard").parquet(path)
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
@@ -40,11 +45,18 @@ def preview_rows(df: DataFrame, order: str, rows: int, chars: int, columns: list
     return df.orderBy(order).limit(rows).select(order, F.substring(F.to_json(F.struct(*columns)), 1, chars).alias("line"))
 
 
-def export_splits(df: DataFrame, path: str, split: str = "split", names: tuple[str, ...] = ("train", "eval")) -> None:
+def export_splits(
+    df: DataFrame, path: str, split: str = "split", names: tuple[str, ...] = ("train", "eval"), small_files: int = 1
+) -> None:
     """JSON lines in one folder per split (``split=train``, ``split=eval``), all written in a single pass over the table.
 
-    A split without rows gets an empty folder.
+    The small splits are gathered in ``small_files`` tasks, so they do not become one tiny file per task; the rows of the
+    first split are dealt out evenly. A split without rows gets an empty folder.
     """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.when(F.col(split).eqNullSafe(names[0]), parts).otherwise(small_files)
+    df = df.withColumn("_file", F.pmod(F.xxhash64(*df.columns), spread))
+    df = df.repartition(split, "_file").drop("_file")
     df.write.option("ignoreNullFields", "false").partitionBy(split).json(path)
     spark, schema = df.sparkSession, df.drop(split).schema
     for name in names:

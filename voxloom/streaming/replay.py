@@ -2,51 +2,62 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.operators.ordered import micros
+from voxloom.operators.ordered import fitting_seconds, time_block, with_position
 from voxloom.session import scratch_path
 from voxloom.streaming.sessions import StreamSettings, run_available, stream_steps
 
 
 def read_table_stream(df: DataFrame, folder: str, pattern: str = "*.parquet", batch_bytes: int = 1 << 30) -> DataFrame:
-    """The files of a stored table as a stream with the schema of ``df``, oldest file first.
+    """The files of a stored table as a stream with the schema of ``df``.
 
-    A batch takes files up to a limit in bytes, so what one session can bring into a batch is limited as well.
+    A batch takes files up to a limit in bytes. The limit decides how much a batch brings, not what comes out.
     """
     reader = df.sparkSession.readStream.schema(df.schema).option("pathGlobFilter", pattern)
     return reader.option("maxBytesPerTrigger", str(batch_bytes)).parquet(folder)
 
 
-def with_end_rows(df: DataFrame, key: str, ts: str, order_id: str, value: str) -> DataFrame:
-    """The samples plus one closing row per session, right after its last sample."""
-    samples = df.select(key, ts, order_id, value, F.lit(False).alias("end"))
-    closing = df.groupBy(key).agg(F.max(ts).alias(ts), (F.max(order_id) + 1).alias(order_id)).select(
-        key, ts, order_id, F.lit(None).cast("double").alias(value), F.lit(True).alias("end")
+def numbered_samples(df: DataFrame, key: str, ts: str, order: Sequence[str], value: str, end: bool = False) -> DataFrame:
+    """(key, number, value, end): samples numbered per session in time order, with one closing row per session on demand.
+
+    A sender numbers its samples itself; this is for stored tables.
+    """
+    narrow = df.select(key, ts, *[c for c in order if c != ts], value)
+    block = time_block(F.col(ts), fitting_seconds(narrow, [key], ts))
+    placed = with_position(narrow, [key], order, block, "number")
+    samples = placed.select(key, F.col("number").cast("bigint").alias("number"), value, F.lit(False).alias("end"))
+    if not end:
+        return samples
+    closing = narrow.groupBy(key).agg(F.count(F.lit(1)).alias("number")).select(
+        key, "number", F.lit(None).cast("double").alias(value), F.lit(True).alias("end")
     )
     return samples.unionByName(closing)
 
 
 def replay(
-    events: DataFrame, pieces: int, key: str, order: list[str], settings: StreamSettings, factory: Callable
+    samples: DataFrame, pieces: Sequence[int], key: str, settings: StreamSettings, factory: Callable, cycle: int | None = None
 ) -> DataFrame:
-    """Feed the events in ``pieces`` stretches of time, one after the other, to one stream and give all its steps.
+    """Feed numbered samples in several calls to one stream and give all its steps.
 
-    Every stretch is appended to the input folder and consumed by a run that continues from the checkpoint, so the
-    session states carry over from piece to piece.
+    Call k brings the samples whose number, cut into pieces of ``pieces[i]`` samples in turn, lies in the k-th piece; so
+    pieces of one size are calls of that many samples, and the last call brings all that is left. Every call is
+    appended to the input folder and consumed by a run that continues from the checkpoint. ``cycle`` limits the calls.
     """
-    spark = events.sparkSession
+    spark = samples.sparkSession
     source, out, checkpoint = (scratch_path(spark, f"replay-{n}") for n in ("in", "out", "checkpoint"))
-    at = micros(F.col(order[0]))
-    low, high = events.agg(F.min(at), F.max(at)).first()
-    place = F.floor((at - low) * pieces / (high - low + 1))
-    stream = None
-    for piece in range(pieces):
-        events.where(place == piece).write.mode("append").parquet(source)
+    calls = cycle or len(pieces)
+    ends = [sum(pieces[i % len(pieces)] for i in range(k + 1)) for k in range(calls - 1)]
+    number = F.col("number")
+    stream, low = None, None
+    for high in [*ends, None]:
+        chosen = F.lit(True) if low is None else number >= low
+        samples.where(chosen if high is None else chosen & (number < high)).write.mode("append").parquet(source)
         if stream is None:
-            stream = stream_steps(read_table_stream(events, source), key, order, settings, factory)
+            stream = stream_steps(read_table_stream(samples, source), key, "number", settings, factory)
         result = run_available(stream, "replay", out, checkpoint)
+        low = high
     return result

@@ -1,7 +1,10 @@
 """Live transcription as keyed state: chunk buffer, prefix rollback, finish, idle sessions.
 
-A session is a key. Its state holds the samples that do not fill a chunk yet, the raw text decoded so far and, where the
-model needs it, the chunks consumed so far. State lives in the state store, so sessions survive a restart.
+A session is a key, and its samples are numbered from 0 by their sender. Its state holds the samples that do not fill a
+chunk yet, samples that came before others that are missing, the raw text decoded so far and, where the model needs it,
+the chunks consumed so far. Samples are consumed by number, so the steps do not depend on batches, files or the order
+of arrival. The closing row has the number after the last sample: it waits for missing samples like they do. A number
+that was consumed already is ignored. State lives in the state store, so sessions survive a restart.
 """
 
 from __future__ import annotations
@@ -39,7 +42,8 @@ class StreamSettings:
     """Settings of a stream, checked when they are made.
 
     Idle sessions are closed by processing-time timers. A run over stored data has no idle time; give it a ``ttl_seconds``
-    of None, because with timers a stream never counts as done.
+    of None, because with timers a stream never counts as done. ``keep_audio`` hands the model everything heard so far and
+    so lets the state grow with the session; without it the model gets the new samples.
     """
 
     chunk_seconds: float = 2.0
@@ -49,7 +53,7 @@ class StreamSettings:
     context: str = ""
     language: str | None = None
     ttl_seconds: float | None = SESSION_TTL_SECONDS
-    keep_audio: bool = True
+    keep_audio: bool = False
 
     def __post_init__(self):
         if self.chunk_seconds is None or not self.chunk_seconds > 0:
@@ -103,16 +107,17 @@ def stream_steps_schema(key: StructField) -> StructType:
 
 
 class SessionProcessor(StatefulProcessor):
-    """Consumes rows (order columns, value, end) of a session and gives one row per recognition step."""
+    """Consumes rows (number, value, end) of a session and gives one row per recognition step."""
 
-    def __init__(self, settings: StreamSettings, factory: Callable, order: list[str], key: str):
-        self.settings, self.factory, self.order, self.key = settings, factory, order, key
+    def __init__(self, settings: StreamSettings, factory: Callable, number: str, key: str):
+        self.settings, self.factory, self.number, self.key = settings, factory, number, key
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.progress = handle.getValueState(
-            "progress", "chunk_id int, n_seen bigint, sum_seen double, raw string, buffer array<float>"
+            "progress", "chunk_id int, n_seen bigint, sum_seen double, raw string, buffer array<float>, size bigint"
         )
+        self.early = handle.getValueState("early", "numbers array<bigint>, samples array<float>")
         self.audio = handle.getListState("audio", "chunk array<float>")
         self.model = loaded("stream", self.factory)
 
@@ -136,13 +141,33 @@ class SessionProcessor(StatefulProcessor):
 
     def _load(self) -> dict:
         if not self.progress.exists():
-            return {"chunk_id": 0, "n_seen": 0, "sum_seen": 0.0, "raw": "", "buffer": np.empty(0, np.float32)}
-        chunk_id, n_seen, sum_seen, raw, buffer = self.progress.get()
+            return {"chunk_id": 0, "n_seen": 0, "sum_seen": 0.0, "raw": "", "buffer": np.empty(0, np.float32), "size": -1}
+        chunk_id, n_seen, sum_seen, raw, buffer, size = self.progress.get()
         return {
             "chunk_id": chunk_id, "n_seen": n_seen, "sum_seen": sum_seen, "raw": raw,
-            "buffer": np.asarray(buffer, dtype=np.float32),
+            "buffer": np.asarray(buffer, dtype=np.float32), "size": size,
         }
 
+    def _load_early(self) -> tuple[np.ndarray, np.ndarray]:
+        numbers, samples = self.early.get() if self.early.exists() else ((), ())
+        return np.asarray(numbers, dtype=np.int64), np.asarray(samples, dtype=np.float32)
+
+    def _due(self, state: dict, numbers: np.ndarray, samples: np.ndarray) -> np.ndarray:
+        """The samples that follow on those consumed; the others are kept until what lies before them is there."""
+        early = self._load_early()
+        numbers, samples = np.concatenate([early[0], numbers]), np.concatenate([early[1], samples])
+        # the first row of a number counts
+        numbers, first = np.unique(numbers, return_index=True)
+        after = state["n_seen"] + len(state["buffer"])
+        ahead = numbers >= after
+        numbers, samples = numbers[ahead], samples[first][ahead]
+        due = int((numbers == after + np.arange(len(numbers))).sum())
+        if due < len(numbers):
+            self.early.update((numbers[due:].tolist(), samples[due:].tolist()))
+        elif len(early[0]):
+            self.early.clear()
+        return samples[:due]
+
     def _heard(self) -> list[np.ndarray]:
         keep = self.settings.keep_audio
         return [np.asarray(c[0], dtype=np.float32) for c in self.audio.get()] if keep and self.audio.exists() else []
@@ -161,11 +186,15 @@ class SessionProcessor(StatefulProcessor):
                 rows.append(self._step(state, state["buffer"], heard, True))
             self.progress.clear()
             self.audio.clear()
+            self.early.clear()
         else:
             if self.settings.keep_audio and len(heard) > known:
                 self.audio.appendList([(c.tolist(),) for c in heard[known:]])
             self.progress.update(
-                (state["chunk_id"], state["n_seen"], state["sum_seen"], state["raw"], state["buffer"].tolist())
+                (
+                    state["chunk_id"], state["n_seen"], state["sum_seen"], state["raw"], state["buffer"].tolist(),
+                    state["size"],
+                )
             )
         columns = ["chunk_id", "n_new", "n_seen", "sum_new", "sum_seen", "prefix", "raw", "final"]
         out = pd.DataFrame(rows, columns=columns)
@@ -180,17 +209,25 @@ class SessionProcessor(StatefulProcessor):
             self.handle.registerTimer(now + int(self.settings.ttl_seconds * 1000))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(self.order, kind="stable")
-        finish = bool(batch["end"].any())
-        samples = batch.loc[~batch["end"].astype(bool), "value"].to_numpy(dtype=np.float32)
+        """The frames of a batch are consumed one by one, so no more than one of them is held."""
+        finished = False
+        for frame in rows:
+            state = self._load()
+            closing = frame["end"].to_numpy(dtype=bool)
+            numbers = frame[self.number].to_numpy(dtype=np.int64)
+            if closing.any():
+                state["size"] = int(numbers[closing].max())
+            samples = frame["value"].to_numpy(dtype=np.float32)
+            due = self._due(state, numbers[~closing], samples[~closing])
+            finished = state["size"] >= 0 and state["n_seen"] + len(state["buffer"]) + len(due) >= state["size"]
+            out = self._run(key, state, due, finished)
+            if len(out):
+                yield out
         if self.settings.ttl_seconds is not None:
-            self._renew(timerValues, finish)
-        out = self._run(key, self._load(), samples, finish)
-        if len(out):
-            yield out
+            self._renew(timerValues, finished)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        """An idle session is finished and removed."""
+        """An idle session is finished with the samples that are due, and removed; samples behind a gap are lost."""
         out = self._run(key, self._load(), np.empty(0, np.float32), True)
         if len(out):
             yield out
@@ -200,11 +237,13 @@ class SessionProcessor(StatefulProcessor):
 
 
 def stream_steps(
-    events: DataFrame, key: str, order: list[str], settings: StreamSettings, factory: Callable
+    events: DataFrame, key: str, number: str, settings: StreamSettings, factory: Callable
 ) -> DataFrame:
-    """Recognition steps of a stream with columns key, order, value and end (true on the closing row of a session)."""
-    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    processor = SessionProcessor(settings, factory, order, key)
+    """Recognition steps of a stream with columns key, number, value and end (true on the closing row of a session).
+
+    It needs the state store of ``ROCKSDB``; ``run_available`` sets it while it starts the stream.
+    """
+    processor = SessionProcessor(settings, factory, number, key)
     steps = events.groupBy(key).transformWithStateInPandas(
         processor,
         stream_steps_schema(events.schema[key]),
@@ -216,26 +255,35 @@ def stream_steps(
     return parse_model_output(steps.withColumn("_forced", forced), "raw", "_forced", "language", "text").drop("_forced")
 
 
-def run_available(stream: DataFrame, name: str, out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+def run_available(
+    stream: DataFrame, name: str, out: str | None = None, checkpoint: str | None = None, state_partitions: int | None = None
+) -> DataFrame:
     """Run a stream over what is there now and read the result back; paths are new ones in the shared folder unless given.
 
-    With the paths of an earlier run the stream goes on where that run stopped. Every state partition costs a task and a
-    store in every batch, filled or not, and AQE does not merge them, so there are no more of them than cores.
+    With the paths of an earlier run the stream goes on where that run stopped. A checkpoint keeps its number of state
+    partitions for ever, so plan it for the stream's full size: ``state_partitions``, else the session's setting. Both
+    settings of the session are put back once the query has started and read them.
     """
     spark = stream.sparkSession
-    setting = "spark.sql.shuffle.partitions"
-    usual = spark.conf.get(setting)
-    spark.conf.set(setting, str(min(int(usual), spark.sparkContext.defaultParallelism)))
+    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    if state_partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(state_partitions)
+    usual = {key: spark.conf.get(key) for key in wanted}
     out = out or scratch_path(spark, name)
     checkpoint = checkpoint or scratch_path(spark, f"{name}-checkpoint")
-    query = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(out)
-    )
-    spark.conf.set(setting, usual)
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        query = (
+            stream.writeStream.format("parquet")
+            .outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start(out)
+        )
+    finally:
+        for key, value in usual.items():
+            spark.conf.set(key, value)
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
 
