@@ -85,7 +85,7 @@ class WordTokenizer:
             core = word[: len(word) - len(mark)]
             # only A-Z is lowered here, which the tokenizer would do as well
             forms[word] = (core.lower() if core.isascii() and core.isalpha() else core, mark)
-        cores = {core for core, _ in forms.values() if core not in cache} | {".", ","} - cache.keys()
+        cores = {core for core, _ in forms.values() if core not in cache} | {mark for mark in ".," if mark not in cache}
         plain = [core for core in cores if core.isalpha() and core.lower().isalpha()]
         for at in range(0, len(plain), 2000):
             self._plain(plain[at : at + 2000])
