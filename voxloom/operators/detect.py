@@ -23,6 +23,11 @@ def script_language(text: Column) -> Column:
     return F.when(F.coalesce(top["n"], F.lit(0)) > 0, top["name"]).otherwise(F.lit(NO_LANGUAGE))
 
 
+def combined_language(script: Column, trigram: Column, latin: str = "English") -> Column:
+    """Script first: a text in Latin letters, or without letters, is told by its trigrams."""
+    return F.when(script.isin(latin, NO_LANGUAGE), trigram).otherwise(script)
+
+
 def _letters(text: Column) -> Column:
     """Lower-case letters with one blank between words. A lone blank is already right, so the pattern passes it by."""
     gaps = f"[^{LETTERS} ][^{LETTERS}]*+| [^{LETTERS}]++"
@@ -48,17 +53,19 @@ def trigram_profile(df: DataFrame, text: str, label: str, labels: Sequence[str])
 
 
 def trigram_language(
-    df: DataFrame, key: str, text: str, profile: DataFrame, labels: Sequence[str], name: str = "predicted"
+    df: DataFrame, key: str, text: str, profile: DataFrame, labels: Sequence[str], name: str = "predicted",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(key, predicted): the label with the highest summed score, the first label on ties.
+    """(key, keep, predicted): the label with the highest summed score, the first label on ties. ``keep`` names further
+    columns of a row that go along, so that nothing is joined back.
 
     The profile is bounded by the alphabet and is broadcast. The scores of a text are summed in the task that holds it,
     so one row per text is shuffled.
     """
-    grams = df.select(key, F.explode_outer(trigrams(F.col(text))).alias("trigram"))
+    grams = df.select(key, *keep, F.explode_outer(trigrams(F.col(text))).alias("trigram"))
     scored = grams.join(F.broadcast(profile), "trigram", "left")
-    sums = scored.groupBy(key).agg(*[F.sum(code).alias(code) for code in labels])
+    sums = scored.groupBy(key, *keep).agg(*[F.sum(code).alias(code) for code in labels])
     ranked = F.greatest(
         *[F.struct(F.col(code).alias("s"), F.lit(-i).alias("order"), F.lit(code).alias("code")) for i, code in enumerate(labels)]
     )
-    return sums.select(key, F.when(F.col(labels[0]).isNotNull(), ranked["code"]).otherwise(F.lit(NO_LANGUAGE)).alias(name))
+    return sums.select(key, *keep, F.when(F.col(labels[0]).isNotNull(), ranked["code"]).otherwise(F.lit(NO_LANGUAGE)).alias(name))

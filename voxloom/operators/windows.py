@@ -37,6 +37,9 @@ def window_energy(
 ) -> DataFrame:
     """Sum of absolute values over ``window`` rows from each row on; rows without a full window are left out.
 
+    The sum is a difference of two running sums, so the cost does not depend on the window; it is rounded to nine places,
+    at which equal energies tie.
+
     Signals are cut into blocks of positions; the first rows of a block also go to the block before, so every window
     is complete inside one block and a long signal is spread over many tasks.
     """
@@ -44,12 +47,13 @@ def window_energy(
     own = F.floor(F.col(pos) / block)
     shared = (F.col(pos) >= block) & (F.pmod(F.col(pos), F.lit(block)) < window - 1)
     copies = df.withColumn(BLOCK, F.explode(F.when(shared, F.array(own - 1, own)).otherwise(F.array(own))))
-    frame = Window.partitionBy(key, BLOCK).orderBy(pos).rowsBetween(0, window - 1)
+    order = Window.partitionBy(key, BLOCK).orderBy(pos)
+    running = copies.withColumn("_sum", F.sum(F.abs(value)).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    ahead = running.withColumn("_ahead", F.lead("_sum", window - 1).over(order))
     return (
-        copies.withColumn(name, F.sum(F.abs(value)).over(frame))
-        .withColumn("_full", F.count(F.lit(1)).over(frame) == window)
-        .where(F.col("_full") & (F.col(BLOCK) == own))
-        .drop("_full", BLOCK)
+        ahead.where(F.col("_ahead").isNotNull() & (F.col(BLOCK) == own))
+        .withColumn(name, F.round(F.col("_ahead") - F.col("_sum") + F.abs(value), 9))
+        .drop("_sum", "_ahead", BLOCK)
     )
 
 
@@ -91,16 +95,18 @@ def cut_positions(
 ) -> list[int]:
     """All cuts of one signal. Each cut starts from the one before, so a signal is walked from left to right."""
     longest, expand, win = int(max_chunk_sec * sr), int(expand_sec * sr), window_size(sr, window_ms)
-    box = np.ones(win, dtype=np.float32)
     loud = np.abs(wav)
+    # one running sum serves every window of every cut
+    upto = np.concatenate([[0.0], np.cumsum(loud, dtype=np.float64)])
     cuts = [0]
     while len(wav) - cuts[-1] > longest:
         target = cuts[-1] + longest
         low = max(cuts[-1], target - expand)
         around = loud[low : target + expand]
         if len(around) > win:
-            # single-precision sums, so that equal energies tie as they do for single-precision audio
-            quiet = int(np.convolve(around, box, mode="valid").argmin())
+            ends = upto[low + win : low + len(around) + 1]
+            # rounded, so that equal energies tie
+            quiet = int(np.round(ends - upto[low : low + len(ends)], 9).argmin())
             target = low + quiet + int(around[quiet : quiet + win].argmin())
         cuts.append(max(target, cuts[-1] + 1))
     return cuts
