@@ -287,3 +287,41 @@ def test_blocks_fit_the_hottest_key(spark):
     assert O.fitting_seconds(df, ["k"], "ts") == 86400
     assert O.fitting_seconds(df, ["k"], "ts", rows=100) == 8640
     assert O.fitting_seconds(df.limit(0), ["k"], "ts") == 86400
+
+
+def test_null_keys_and_orders_keep_their_rows(spark):
+    rows = [(None, 1, None), (None, 2, None), (None, None, "a"), (1, None, "a"), (1, 5, None), (1, 6, None), (1, 7, "b")]
+    df = spark.createDataFrame(rows, "k int, o int, v string")
+    block = O.value_block(F.col("o"), 2)
+    placed = O.with_position(df, ["k"], ["o"], block).collect()
+    assert sorted((r["k"] or 0, r["pos"]) for r in placed) == [(0, 0), (0, 1), (0, 2), (1, 0), (1, 1), (1, 2), (1, 3)]
+    before = O.with_running(df, ["k"], ["o"], block, F.lit(1), "n").collect()
+    assert sorted((r["k"] or 0, r["n"]) for r in before) == sorted((r["k"] or 0, r["pos"]) for r in placed)
+    kept = W.collapse_consecutive(df, ["k"], ["o"], block, "v").collect()
+    assert sorted((r["k"] or 0, r["o"] or 0, r["v"] or "") for r in kept) == [(0, 0, "a"), (0, 1, ""), (1, 0, "a"), (1, 5, ""), (1, 7, "b")]
+
+
+def test_sparse_numbers_make_few_blocks(spark):
+    df = spark.range(2000).select((F.col("id") * 4_000_000_000_000_000).alias("o"))
+    df = df.unionAll(spark.createDataFrame([(None,)], "o bigint"))
+    blocks = df.select(O.range_block(df, "o", 64).alias("b"))
+    assert blocks.distinct().count() == 65
+    placed = O.with_position(df, [], ["o"], O.range_block(df, "o", 64)).orderBy("pos").collect()
+    assert [r["pos"] for r in placed] == list(range(2001)) and placed[0]["o"] is None
+    assert [r["o"] for r in placed[1:]] == sorted(r["o"] for r in placed[1:])
+
+
+def test_splits_and_shards_with_null_and_equal_keys(spark):
+    df = spark.range(100).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"), F.col("id").alias("i"))
+    split = [r["split"] for r in S.train_eval_split(df, "k", 0.1).collect()]
+    assert len(split) == 100 and "eval" in split
+    unique = [r["split"] for r in S.train_eval_split(df, "i", 0.1).collect()]
+    assert unique.count("eval") == 10
+    assert S.seeded_shuffle(df, "k").count() == 100
+    for shards in (1, 7, 90, 400):
+        found = S.with_shuffled_shard(df.select("i"), "i", shards).collect()
+        sizes = [0] * min(shards, 100)
+        for r in found:
+            sizes[r["shard"]] += 1
+        assert sum(sizes) == 100 and max(sizes) - min(sizes) <= 1
+    assert S.with_shuffled_shard(df, "k", 7).count() == 100

@@ -44,7 +44,9 @@ def range_block(df: DataFrame, column: str, blocks: int = 4096) -> Column:
     """At most ``blocks`` blocks (and one for nulls) over the range that the values of a column have, however sparse."""
     low = df.agg(F.min(F.col(column).cast("decimal(38,0)"))).scalar()
     high = df.agg(F.max(F.col(column).cast("decimal(38,0)"))).scalar()
-    return F.floor((F.col(column).cast("decimal(38,0)") - low) * blocks / (high - low + 1)).cast("bigint")
+    # rounding may reach the end of the range, but never changes the order
+    share = (F.col(column).cast("decimal(38,0)") - low).cast("double") / (high - low + 1).cast("double")
+    return F.when(share.isNotNull(), F.least(F.floor(share * blocks), F.lit(blocks - 1))).cast("bigint")
 
 
 def hash_block(digest: Column, digits: int = 3) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -42,19 +44,39 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None, memory:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir``, or a fresh local one where that is unset (tests)."""
+    """The folder all executors can reach: ``spark.checkpoint.dir``.
+
+    Where that is unset and the master is local (tests, the bench), a fresh folder is made, which goes when Python ends.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         folder = tempfile.mkdtemp(prefix="voxloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path in the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+_written: list[str] = []
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what ``scratch_path`` has handed out so far; call it when the results that read it have been consumed."""
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _written:
+        path = files.Path(_written.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
