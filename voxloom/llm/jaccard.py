@@ -1,18 +1,19 @@
-"""N-gram Jaccard join with count vectors in an R-tree, and its components.
+"""N-gram Jaccard join with count vectors in R-trees, and its components.
 
 A document's set holds its distinct word shingles. Shingles are hashed into groups; the counts per group are a point,
 and the sum of the coordinate minima of two points bounds the overlap of two sets from above. The points are packed
 into R-trees, whose nodes keep the largest count per group and the smallest size, so a search drops every node that
 can't hold enough overlap. What survives is verified on the sets themselves.
 
-How it is spread out: a tree is built for a cluster of documents that may be linked, not for the whole table. Clusters come from
-an exact filter: linked sets share one of their first (1 - t) n + 1 shingles in any common order, here rare first, by
-counts of all words of the table in 2^16 hashed counters. Equal sets are one class and take part once, whatever their
-number. Keys that two classes share link their classes to the smallest one (a star, not all pairs); the components of these
-stars are the clusters. The texts of cluster members, one per class, go to their cluster. Inside, pairs that are
-already connected are not compared, and only links that join two components come out, fewer than there are members.
-A cluster of more than ``CLUSTER_SHINGLES`` is cut into blocks, and each pair of blocks is a task of its own, so no task
-holds an unbounded cluster, and every pair still meets.
+How it is spread out: one tree over the whole table would be one task's work, so there is a tree per cell. Cells come
+from an exact filter: linked sets share one of their first (1 - t) n + 1 shingles in any common order. The order is
+rare first, by two hashed counts over the whole table: shingles that are far more frequent than usual come last, the rest
+goes by the frequency of its words. Equal sets are one class and take part once, whatever their number. The trees leave
+pairs that may be linked; their components are small clusters, and the texts of their members, one per class, go
+to their cluster to be verified. In cells and clusters alike, pairs that are already connected are not compared
+again, and only links that join two components come out, fewer than there are members. A cell or cluster above a fixed
+size is cut into blocks, and each pair of blocks is a task of its own, so no task holds an unbounded group, and every
+pair still meets.
 
 Sets are compared by 64-bit shingle hashes; classes by 128 bits over the set.
 
@@ -23,7 +24,7 @@ with several texts, which the id connects. Equal rows fall into one class.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +36,13 @@ from voxloom.llm.components import components
 from voxloom.session import materialize
 
 COUNTERS = 1 << 16
-GROUPS = 128
+SHINGLE_COUNTERS = 1 << 20
+#: Counters that travel as one row.
+COUNTER_BLOCK = 1 << 12
+GROUPS = 64
 FANOUT = 32
-#: Shingles of a block: 8 bytes each, and the texts they come from.
+#: Points of a block of a cell, and shingles of a block of a cluster (8 bytes each, and the texts they come from).
+CELL_POINTS = 20_000
 CLUSTER_SHINGLES = 4_000_000
 CACHE_WORDS = 1_000_000
 #: Odd multipliers of 64-bit mixing (the constants of a published finaliser), fixed values.
@@ -84,51 +89,86 @@ def shingles(words: np.ndarray, width: int) -> tuple[np.ndarray, int]:
     return total, span
 
 
-def word_levels(df: DataFrame, text: str) -> np.ndarray:
-    """Whole logarithms of the counts of all words of the table, in ``COUNTERS`` hashed counters."""
+def _slots(hashes: np.ndarray, counters: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - counters.bit_length() + 1)).astype(np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts = Words(), np.zeros(COUNTERS, dtype=np.int64)
+
+def _blocks_of(kind: int, counts: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    for at in range(0, len(counts), COUNTER_BLOCK):
+        part = counts[at : at + COUNTER_BLOCK]
+        if part.any():
+            yield kind << 32 | at, part.tobytes()
+
+
+def frequencies(df: DataFrame, text: str, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whole logarithms of the counts of all words of the table, and by how many powers of two above four times the mean
+    the counts of its shingles are, both in hashed counters of a fixed number. Counters travel in blocks, and blocks are
+    added up as they come in."""
+
+    def packed(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], type=pa.int64()), pa.array([r[1] for r in rows], type=pa.binary())],
+            names=["block", "counts"],
+        )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        of_words, of_shingles = np.zeros(COUNTERS, dtype=np.int64), np.zeros(SHINGLE_COUNTERS, dtype=np.int64)
         for batch in batches:
             for value in batch.column(0).to_pylist():
-                if value:
-                    counts += np.bincount((words.hashes(value) >> np.uint64(48)).astype(np.int64), minlength=COUNTERS)
-        used = np.flatnonzero(counts)
-        if len(used):
-            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["slot", "n"])
+                hashes = words.hashes(value or "")
+                np.add.at(of_words, _slots(hashes, COUNTERS), 1)
+                np.add.at(of_shingles, _slots(shingles(hashes, width)[0], SHINGLE_COUNTERS), 1)
+        yield packed([*_blocks_of(0, of_words), *_blocks_of(1, of_shingles)])
 
-    rows = df.select(F.col(text).cast("string")).mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
-    found = rows.toArrow()
-    levels = np.zeros(COUNTERS, dtype=np.int64)
-    levels[found.column("slot").to_numpy()] = np.log2(found.column("n").to_numpy()).astype(np.int64)
-    return levels
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                part = np.frombuffer(counts, dtype=np.int64)
+                sums[block] = sums[block] + part if block in sums else part
+        yield packed([(block, part.tobytes()) for block, part in sums.items()])
+
+    schema = "block bigint, counts binary"
+    counted = df.select(F.col(text).cast("string")).mapInArrow(count, schema)
+    found = counted.repartition("block").mapInArrow(add, schema).toArrow()
+    totals = [np.zeros(COUNTERS, dtype=np.int64), np.zeros(SHINGLE_COUNTERS, dtype=np.int64)]
+    for block, counts in zip(found.column("block").to_pylist(), found.column("counts").to_pylist()):
+        at = block & 0xFFFFFFFF
+        totals[block >> 32][at : at + COUNTER_BLOCK] = np.frombuffer(counts, dtype=np.int64)
+    usual = max(1.0, 4 * float(totals[1].mean()))
+    above = np.log2(np.maximum(totals[1] / usual, 1)).astype(np.int64)
+    return np.log2(np.maximum(totals[0], 1)).astype(np.int64), above
 
 
 def signatures(df: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
-    """(key, n, hi, lo, keys): size and 128-bit hash of a document's set, and the shingles it is looked up by."""
-    shared = df.sparkSession.sparkContext.broadcast(word_levels(df, text))
+    """(key, n, hi, lo, keys, point): size and 128-bit hash of a document's set, the shingles it is looked up by, and its
+    counts per group."""
+    shared = df.sparkSession.sparkContext.broadcast(frequencies(df, text, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, levels = Words(), shared.value
+        words, (levels, above) = Words(), shared.value
         none = np.zeros(0, dtype=np.uint64)
         for batch in batches:
-            sizes, highs, lows, keys = [], [], [], []
+            sizes, highs, lows, keys, points = [], [], [], [], []
             for value in batch.column(1).to_pylist():
                 hashes = words.hashes(value or "")
                 found, span = shingles(hashes, width)
                 distinct, first = np.unique(found, return_index=True)
                 n = len(distinct)
                 sizes.append(n)
+                points.append(point_of(distinct).tobytes())
                 if n:
                     with np.errstate(over="ignore"):
                         lows.append(np.add.reduce(mixed(distinct ^ MIX[0])).view(np.int64))
                         highs.append(np.add.reduce(mixed(distinct ^ MIX[1])).view(np.int64))
-                    level = levels[(hashes >> np.uint64(48)).astype(np.int64)]
+                    level = levels[_slots(hashes, COUNTERS)]
                     rank = np.zeros(len(found), dtype=np.int64)
                     for k in range(span):
                         rank += level[k : k + len(found)]
                     wanted = n + 1 - -(-percent * n // 100)
-                    keys.append(distinct[np.lexsort((distinct, rank[first]))[:wanted]].view(np.int64))
+                    order = np.lexsort((distinct, rank[first], above[_slots(distinct, SHINGLE_COUNTERS)]))
+                    keys.append(distinct[order[:wanted]].view(np.int64))
                 else:
                     lows.append(np.int64(0))
                     highs.append(np.int64(0))
@@ -138,19 +178,16 @@ def signatures(df: DataFrame, key: str, text: str, width: int, percent: int) ->
             arrays = [
                 batch.column(0), pa.array(sizes, type=pa.int64()), pa.array(highs, type=pa.int64()),
                 pa.array(lows, type=pa.int64()), pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), pa.array(flat)),
+                pa.array(points, type=pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["key", "n", "hi", "lo", "keys"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", "n", "hi", "lo", "keys", "point"])
 
     rows = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string"))
-    return rows.mapInArrow(run, "key bigint, n bigint, hi bigint, lo bigint, keys array<bigint>")
+    return rows.mapInArrow(run, "key bigint, n bigint, hi bigint, lo bigint, keys array<bigint>, point binary")
 
 
-def clusters(signed: DataFrame) -> DataFrame:
-    """(lo, cluster) for the classes that share a key with another class."""
-    rows = signed.where(F.col("key").isNotNull()).select(F.explode("keys").alias("k"), "lo")
-    shared = rows.groupBy("k").agg(F.min("lo").alias("a"), F.max("lo").alias("b")).where(F.col("a") < F.col("b")).select("k", "a")
-    edges = rows.join(shared, "k").where(F.col("lo") != F.col("a")).select(F.col("lo").alias("u"), F.col("a").alias("v"))
-    return components(edges, "jaccard-clusters").select(F.col("node").alias("lo"), F.col("root").alias("cluster"))
+def point_of(distinct: np.ndarray) -> np.ndarray:
+    return np.bincount((distinct >> np.uint64(65 - GROUPS.bit_length())).astype(np.int64), minlength=GROUPS).astype(np.int32)
 
 
 class CountTree:
@@ -186,72 +223,111 @@ class CountTree:
         return members[bound * (100 + percent) >= percent * (size + self.sizes[members])]
 
 
-def joined_components(sets: Sequence[np.ndarray], percent: int) -> np.ndarray:
-    """Component number of every set: linked sets share one. Pairs inside a component are not compared again."""
-    sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    points = np.zeros((len(sets), GROUPS), dtype=np.int32)
-    for k, s in enumerate(sets):
-        points[k] = np.bincount((s >> np.uint64(57)).astype(np.int64), minlength=GROUPS)
+def connected(points: np.ndarray, sizes: np.ndarray, percent: int, verified: Callable[[int, int], bool]) -> np.ndarray:
+    """Component number of every point. Pairs that the tree leaves are verified; those inside a component are passed by."""
     tree = CountTree(points, sizes)
-    of = np.arange(len(sets))
-    for k in range(len(sets)):
+    of = np.arange(len(sizes))
+    for k in range(len(sizes)):
         near = tree.search(points[k], int(sizes[k]), percent)
         # pairs are looked at from their larger number
         near = near[(near < k) & (of[near] != of[k])]
         for j in near.tolist():
-            if of[j] == of[k]:
-                continue
-            both = len(np.intersect1d(sets[k], sets[j], assume_unique=True))
-            if 100 * both >= percent * (len(sets[k]) + len(sets[j]) - both):
+            if of[j] != of[k] and verified(k, j):
                 of[of == of[j]] = of[k]
     return of
 
 
+def joined_components(sets: Sequence[np.ndarray], percent: int) -> np.ndarray:
+    """Component number of every set: linked sets share one."""
+
+    def linked(k: int, j: int) -> bool:
+        both = len(np.intersect1d(sets[k], sets[j], assume_unique=True))
+        return 100 * both >= percent * (len(sets[k]) + len(sets[j]) - both)
+
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    return connected(np.vstack([point_of(s) for s in sets]), sizes, percent, linked)
+
+
+def _stars(ids: list[int], of: np.ndarray) -> list[tuple[int, int]]:
+    """Each member of a component with its first one."""
+    first: dict[int, int] = {}
+    pairs = [(i, first.setdefault(c, i)) for i, c in zip(ids, of.tolist())]
+    return [(u, v) for u, v in pairs if u != v]
+
+
+def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], type=pa.int64()) for k in (0, 1)], names=["u", "v"])
+
+
+def in_groups(rows: DataFrame, group: str, weight: str, most: int, salt: str) -> DataFrame:
+    """Rows sorted by (group, i, j). A group whose summed weight is above ``most`` is cut into blocks by a hash, and each pair
+    of its blocks is a group of its own; rows whose group has no other row are left out."""
+    sizes = rows.groupBy(group).agg(F.sum(weight).alias("_w"), F.count(F.lit(1)).alias("_m")).where(F.col("_m") > 1)
+    blocks = sizes.select(group, F.ceil(F.col("_w") / most).cast("int").alias("_blocks"))
+    mine = F.pmod(F.xxhash64(salt), F.col("_blocks")).cast("int")
+    met = rows.join(blocks, group).withColumn("_mine", mine).withColumn(
+        "_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    )
+    pair = met.select(*rows.columns, F.least("_mine", "_other").alias("i"), F.greatest("_mine", "_other").alias("j"))
+    return pair.repartition(group, "i", "j").sortWithinPartitions(group, "i", "j")
+
+
+def by_group(batches: Iterator[pa.RecordBatch], group: str) -> Iterator[list[tuple]]:
+    """The rows of each (group, i, j) in turn, without these columns; rows of a group lie together."""
+    current, held = None, []
+    for batch in batches:
+        marks = zip(*[batch.column(c).to_pylist() for c in (group, "i", "j")])
+        others = [c for c in batch.schema.names if c not in (group, "i", "j")]
+        for mark, row in zip(marks, zip(*[batch.column(c).to_pylist() for c in others])):
+            if mark != current:
+                if held:
+                    yield held
+                current, held = mark, []
+            held.append(row)
+    if held:
+        yield held
+
+
+def clusters(signed: DataFrame, percent: int) -> DataFrame:
+    """(lo, cluster) for the classes with a pair that shares a key and has enough room for a link by its counts."""
+    usable = signed.where(F.col("key").isNotNull() & (F.col("n") > 0))
+    rows = usable.select(F.explode("keys").alias("k"), "lo")
+    shared = rows.groupBy("k").agg(F.min("lo").alias("a"), F.max("lo").alias("b")).where(F.col("a") < F.col("b")).select("k")
+    cells = rows.join(shared, "k").distinct()
+    points = usable.groupBy("lo").agg(F.first("n").alias("n"), F.first("point").alias("point"))
+    placed = cells.join(points, "lo").select("k", "lo", "n", "point", F.lit(1).alias("one"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[int, int]] = []
+        for members in by_group(batches, "k"):
+            # (lo, n, point, one)
+            points = np.frombuffer(b"".join(m[2] for m in members), dtype=np.int32).reshape(-1, GROUPS)
+            sizes = np.array([m[1] for m in members], dtype=np.int64)
+            out += _stars([m[0] for m in members], connected(points, sizes, percent, lambda k, j: True))
+            if len(out) > 10_000:
+                yield _edges(out)
+                out = []
+        yield _edges(out)
+
+    edges = in_groups(placed, "k", "one", CELL_POINTS, "lo").mapInArrow(run, "u bigint, v bigint")
+    return components(edges, "jaccard-clusters").select(F.col("node").alias("lo"), F.col("root").alias("cluster"))
+
+
 def links(df: DataFrame, key: str, text: str, signed: DataFrame, width: int, percent: int) -> DataFrame:
     """(u, v): ids of class representatives, enough verified links to connect what is linked."""
     member = (
         signed.where(F.col("key").isNotNull() & (F.col("n") > 0))
         .groupBy("hi", "lo").agg(F.min("key").alias("key"), F.max("n").alias("n"))
-        .join(clusters(signed), "lo")
-    )
-    member = materialize(member, "jaccard-members")
-    weights = member.groupBy("cluster").agg(F.sum("n").alias("w"), F.count(F.lit(1)).alias("m")).where(F.col("m") > 1)
-    blocks = F.ceil(F.col("w") / CLUSTER_SHINGLES).cast("int")
-    placed = member.join(weights, "cluster").select(
-        "key", "hi", "lo", "cluster", blocks.alias("blocks"), F.pmod(F.xxhash64("hi"), blocks).cast("int").alias("mine")
+        .join(clusters(signed, percent), "lo")
     )
     texts = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
-    # with more than one block a member goes to its meetings with every block
-    met = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    sent = (
-        placed.join(texts, "key")
-        .select("*", met.alias("other"))
-        .select(
-            "cluster", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "key", "hi", "lo", "text"
-        )
-    )
-    grouped = sent.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    sent = member.join(texts, "key").select("cluster", "key", "hi", "lo", "n", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
-        group, ids, sets = None, [], []
-
-        def done() -> pa.RecordBatch:
-            of = joined_components(sets, percent)
-            first: dict[int, int] = {}
-            pairs = [(i, first.setdefault(c, i)) for i, c in zip(ids, of.tolist())]
-            pairs = [(u, v) for u, v in pairs if u != v]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([p[k] for p in pairs], type=pa.int64()) for k in (0, 1)], names=["u", "v"]
-            )
-
-        for batch in batches:
-            columns = {name: batch.column(name).to_pylist() for name in ("cluster", "i", "j", "key", "hi", "lo", "text")}
-            for c, i, j, k, hi, lo, value in zip(*columns.values()):
-                if (c, i, j) != group:
-                    if len(ids) > 1:
-                        yield done()
-                    group, ids, sets = (c, i, j), [], []
+        for members in by_group(batches, "cluster"):
+            ids, sets = [], []
+            for k, hi, lo, _, value in members:
                 found = np.unique(shingles(words.hashes(value or ""), width)[0])
                 with np.errstate(over="ignore"):
                     same = (
@@ -262,10 +338,11 @@ def links(df: DataFrame, key: str, text: str, signed: DataFrame, width: int, per
                 if same:
                     ids.append(k)
                     sets.append(found)
-        if len(ids) > 1:
-            yield done()
+            if len(ids) > 1:
+                yield _edges(_stars(ids, joined_components(sets, percent)))
 
-    return grouped.mapInArrow(run, "u bigint, v bigint")
+    sent = materialize(sent, "jaccard-members")
+    return in_groups(sent, "cluster", "n", CLUSTER_SHINGLES, "hi").mapInArrow(run, "u bigint, v bigint")
 
 
 def jaccard_components(
