@@ -77,8 +77,14 @@ def later_windows(df: DataFrame, key: str, text: str, lines: int = LINES) -> Dat
     return later.groupBy("key", "tie").agg(F.collect_set("at").alias("starts"))
 
 
-def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", lines: int = LINES) -> DataFrame:
-    """The table with ``text`` cleaned, and ``n_lines`` and ``n_removed`` (longs, lines before and lines gone)."""
+def dedup_lines(
+    df: DataFrame, key: str = "doc_id", text: str = "text", lines: int = LINES, into: str | None = None
+) -> DataFrame:
+    """The table with ``text`` cleaned, and ``n_lines`` and ``n_removed`` (longs, lines before and lines gone).
+
+    ``into`` names a column for the cleaned text and leaves the other as it is.
+    """
+    into = into or text
     kept = [c for c in df.columns if c not in {"n_lines", "n_removed"}]
     rows = df.select(
         *kept,
@@ -97,11 +103,10 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", lines: i
 
     whole = F.split(F.col(text), "\n")
     both = F.struct(whole.alias("lines"), covered.alias("covered"))
+    clean = F.when(F.col("starts").isNull(), F.col(text)).otherwise(bind(both, cleaned)).alias(into)
     return joined.select(
-        *[
-            F.when(F.col("starts").isNull(), F.col(text)).otherwise(bind(both, cleaned)).alias(c) if c == text else F.col(c)
-            for c in kept
-        ],
+        *[clean if c == into else F.col(c) for c in kept],
+        *([] if into in kept else [clean]),
         F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(whole)).cast("bigint").alias("n_lines"),
         F.coalesce(F.size(covered), F.lit(0)).cast("bigint").alias("n_removed"),
     )

@@ -22,8 +22,9 @@ import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom.llm.common import remainder, words_of
@@ -200,6 +201,18 @@ def find_passages(df: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFr
     return rows.mapInArrow(run, ", ".join([*fields, new]))
 
 
+def toxic_score(spark: SparkSession, text: Column, lexicon: Lexicon) -> Column:
+    """The score alone, for rows that should not travel: only the text goes to the worker."""
+    shared = spark.sparkContext.broadcast(lexicon)
+
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = shared.value
+        for batch in texts:
+            yield pd.Series([model.score(model.significance(*model.scan(x or ""))) for x in batch], dtype="float64")
+
+    return F.pandas_udf(run, "double")(text.cast("string"))
+
+
 def fit(
     df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", parts: int = 5,
     held_out: int = 0, sample: int = SAMPLE,
