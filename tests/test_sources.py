@@ -7,6 +7,7 @@ import wave
 import pytest
 from pyspark.sql import functions as F
 
+from voxloom.operators.detect import trigram_profile
 from voxloom.plans import corpus
 from voxloom.sources import audio as U
 from voxloom.sources import readers as R
@@ -120,3 +121,17 @@ def test_corpus_plan(spark, tmp_path):
     want = math.ceil(0.1 * (len(texts) - 3))
     assert split.where("split = 'eval'").count() == want
     assert R.scan_jsonl(spark, {"eval": str(tmp_path / "final" / "split=eval")}).count() == want
+
+
+def test_convert_tells_latin_languages_apart(spark):
+    taught = [(0, "the cat and the dog with that hat", "en"), (1, "les chats et le chien avec une maison", "fr")]
+    profile = trigram_profile(spark.createDataFrame(taught, "i int, t string, l string"), "t", "l", ("en", "fr"))
+    texts = ["the dog and that cat", "le chien et les maisons", "مرحبا بكم", "the dog and that cat"]
+    samples = spark.createDataFrame(
+        [([{"role": "assistant", "content": t}], [f"{i}.wav"]) for i, t in enumerate(texts)],
+        "messages array<struct<content:string,role:string>>, audios array<string>",
+    )
+    rows = corpus.convert(samples, profile=profile, labels=("en", "fr")).orderBy("audio").collect()
+    assert [r["text"].split("<asr_text>")[0] for r in rows] == [
+        "language English", "language French", "language Arabic", "language English"
+    ]
