@@ -41,6 +41,7 @@ SHINGLE_COUNTERS = 1 << 20
 COUNTER_BLOCK = 1 << 12
 GROUPS = 64
 FANOUT = 32
+POINT_CELLS = 1 << 24
 #: Points of a block of a cell, and shingles of a block of a cluster (8 bytes each, and the texts they come from).
 CELL_POINTS = 20_000
 CLUSTER_SHINGLES = 4_000_000
@@ -114,11 +115,26 @@ def frequencies(df: DataFrame, text: str, width: int) -> tuple[np.ndarray, np.nd
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         of_words, of_shingles = np.zeros(COUNTERS, dtype=np.int64), np.zeros(SHINGLE_COUNTERS, dtype=np.int64)
+        held: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
+        waiting = 0
+
+        def added() -> None:
+            for parts, counts in zip(held, (of_words, of_shingles)):
+                if parts:
+                    counts += np.bincount(np.concatenate(parts), minlength=len(counts))
+                    parts.clear()
+
         for batch in batches:
             for value in batch.column(0).to_pylist():
                 hashes = words.hashes(value or "")
-                np.add.at(of_words, _slots(hashes, COUNTERS), 1)
-                np.add.at(of_shingles, _slots(shingles(hashes, width)[0], SHINGLE_COUNTERS), 1)
+                held[0].append(_slots(hashes, COUNTERS))
+                held[1].append(_slots(shingles(hashes, width)[0], SHINGLE_COUNTERS))
+                waiting += len(hashes)
+                # as many at once as there are counters to go over
+                if waiting >= SHINGLE_COUNTERS:
+                    added()
+                    waiting = 0
+        added()
         yield packed([*_blocks_of(0, of_words), *_blocks_of(1, of_shingles)])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,8 +202,14 @@ def signatures(df: DataFrame, key: str, text: str, width: int, percent: int) ->
     return rows.mapInArrow(run, "key bigint, n bigint, hi bigint, lo bigint, keys array<bigint>, point binary")
 
 
-def point_of(distinct: np.ndarray) -> np.ndarray:
-    return np.bincount((distinct >> np.uint64(65 - GROUPS.bit_length())).astype(np.int64), minlength=GROUPS).astype(np.int32)
+def point_of(distinct: np.ndarray, groups: int = GROUPS) -> np.ndarray:
+    return np.bincount(_slots(distinct, groups), minlength=groups).astype(np.int32)
+
+
+def groups_for(sizes: np.ndarray) -> int:
+    """Groups that tell the largest of some sets apart (a few shingles each), within ``POINT_CELLS`` counts in all."""
+    wanted = min(int(sizes.max()) // 4, POINT_CELLS // len(sizes))
+    return 1 << min(max(wanted.bit_length(), GROUPS.bit_length()) - 1, 12)
 
 
 class CountTree:
@@ -202,23 +224,28 @@ class CountTree:
             group = int(points[part].var(axis=0).argmax())
             order[at : at + slab] = part[np.argsort(points[part, group], kind="stable")]
         self.order = order
-        #: per level: largest count per group, smallest size, first and last child; leaves hold places in ``order``
+        #: per level: largest count per group, smallest and largest size of each node; leaves hold places in ``order``
         self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        top, least = points[order], sizes[order]
+        top, least, most = points[order], sizes[order], sizes[order]
         while len(top) > FANOUT:
             starts = np.arange(0, len(top), FANOUT)
-            top, least = np.maximum.reduceat(top, starts), np.minimum.reduceat(least, starts)
-            self.levels.append((top, least, starts))
+            top = np.maximum.reduceat(top, starts)
+            least, most = np.minimum.reduceat(least, starts), np.maximum.reduceat(most, starts)
+            self.levels.append((top, least, most))
 
     def search(self, point: np.ndarray, size: int, percent: int) -> np.ndarray:
         """Points whose overlap bound reaches what a link with this one needs."""
         nodes = None
-        for top, least, _ in reversed(self.levels):
+        for top, least, most in reversed(self.levels):
             nodes = np.arange(len(top)) if nodes is None else nodes[nodes < len(top)]
+            # sizes first: neither set can be below the share of the other
+            nodes = nodes[(100 * most[nodes] >= percent * size) & (percent * least[nodes] <= 100 * size)]
             bound = np.minimum(top[nodes], point).sum(axis=1)
             nodes = nodes[bound * (100 + percent) >= percent * (size + least[nodes])]
             nodes = (nodes[:, None] * FANOUT + np.arange(FANOUT)).ravel()
         members = self.order if nodes is None else self.order[nodes[nodes < len(self.order)]]
+        own = self.sizes[members]
+        members = members[(100 * own >= percent * size) & (percent * own <= 100 * size)]
         bound = np.minimum(self.points[members], point).sum(axis=1)
         return members[bound * (100 + percent) >= percent * (size + self.sizes[members])]
 
@@ -245,7 +272,8 @@ def joined_components(sets: Sequence[np.ndarray], percent: int) -> np.ndarray:
         return 100 * both >= percent * (len(sets[k]) + len(sets[j]) - both)
 
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    return connected(np.vstack([point_of(s) for s in sets]), sizes, percent, linked)
+    groups = groups_for(sizes)
+    return connected(np.vstack([point_of(s, groups) for s in sets]), sizes, percent, linked)
 
 
 def _stars(ids: list[int], of: np.ndarray) -> list[tuple[int, int]]:
