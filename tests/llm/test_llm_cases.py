@@ -159,6 +159,24 @@ def test_lines_equal_plain_version(spark):
     assert {r["doc_id"]: (r["text"], r["n_removed"]) for r in got} == want
 
 
+def test_passages_inside_paragraphs(spark):
+    """A passage that starts and ends mid-paragraph goes, what ends the units stays, and lines are seen as well."""
+    passage = "It rained all day! Nobody came. Was it late? "
+    rows = [
+        (1, f"Own start. {passage}Own end."), (2, f"Other start. {passage}Other end.\nLast line"), (3, "It rained all day! Nobody came. "),
+        (4, "one\n\ntwo\n"), (5, "top\none\n\ntwo\nend"), (6, None), (7, ""), (8, passage.strip()),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in linededup.passage_query(docs).collect()}
+    assert {k: (r["text"], r["n_removed"]) for k, r in got.items()} == {
+        1: (rows[0][1], 0), 2: ("Other start. Other end.\nLast line", 3), 3: (rows[2][1], 0), 4: (rows[3][1], 0),
+        5: ("top\nend", 3), 6: (None, 0), 7: ("", 0), 8: ("", 3),
+    }
+    assert all(r["n_removed"] == 0 for r in linededup.query(docs).collect() if r["doc_id"] in (2, 8))
+    clean = corpus_pipeline.remove_repeated_lines(spark, docs, "")
+    assert {r["doc_id"] for r in clean.collect()} == {1, 2, 3, 4, 5, 6, 7}
+
+
 # --- 1, 3, 5: models --------------------------------------------------------------------------------------------------
 
 

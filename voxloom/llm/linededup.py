@@ -5,11 +5,16 @@ first occurrence stays, and the lines that later occurrences cover are removed,
 the smallest document id, then the smallest line. A line that goes equals a line that an earlier place keeps, so no
 content is lost from the table as a whole.
 
+With ``sentences`` the units are finer: a text is cut behind every line break and behind '. ', '! ' and '? ', so a repeated
+passage is seen inside a paragraph and from the middle of one. Units keep what ends them, and the units left are put
+together as they are; blanks and line breaks at the end of a unit do not count when units are compared. Three equal lines
+are at least three equal units, so whatever the lines show, the units show.
+
 One pass hashes the lines (two 64-bit hashes with different seeds, so 128 bits a window). Counts are combined before the
 shuffle, so a window that a third of all documents hold is one row per task; the windows then meet the repeated ones in
 a join whose skewed partitions AQE splits. Only line numbers go back to the texts.
 
-Defined results: null, empty and blank texts and texts of one or two lines have no window and stay as they are. Rows with
+Defined results: null, empty and blank texts and texts of one or two lines (units) have no window and stay as they are. Rows with
 the same id, a null id included, have the same rank: none of them is later than another, only copies inside the row or
 under a smaller id go (a null id is the smallest). Repeated rows are treated alike. Other columns pass through.
 """
@@ -22,17 +27,25 @@ from pyspark.sql import functions as F
 from voxloom.functions.binding import bind
 
 LINES = 3
+#: Between units: behind a line break or the blank after a sentence.
+UNIT_ENDS = "(?<=\n)|(?<=[.!?] )"
 #: ids of rows without one rank before all others
 NO_ID = -(1 << 63)
 
 
-def _hashes(text: Column) -> Column:
+def _units(text: Column, sentences: bool) -> Column:
+    """Lines without their breaks, or units with what ends them."""
+    return F.split(text, UNIT_ENDS if sentences else "\n")
+
+
+def _hashes(text: Column, sentences: bool) -> Column:
     """Per line two hashes; null for a null text."""
     both = lambda line: F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b"))
-    return F.transform(F.split(text, "\n"), both)
+    units = _units(text, sentences)
+    return F.transform(units, lambda u: both(F.rtrim(u, F.lit(" \n")))) if sentences else F.transform(units, both)
 
 
-def _windows(text: Column, lines: int) -> Column:
+def _windows(text: Column, lines: int, sentences: bool) -> Column:
     """Sorted (a, b, at) of a text's windows."""
 
     def of(h: Column) -> Column:
@@ -41,15 +54,15 @@ def _windows(text: Column, lines: int) -> Column:
         made = F.array_sort(F.transform(F.sequence(F.lit(0), F.size(h) - lines), window))
         return F.when(F.size(h) >= lines, made)
 
-    return bind(_hashes(text), of)
+    return bind(_hashes(text, sentences), of)
 
 
-def window_rows(df: DataFrame, key: str, text: str, lines: int = LINES) -> DataFrame:
+def window_rows(df: DataFrame, key: str, text: str, lines: int = LINES, sentences: bool = False) -> DataFrame:
     """(key, tie, at, a, b, again): one row per window; ``again`` if the same text holds it further up."""
     rows = df.select(
         F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID)).alias("key"),
         F.xxhash64(text).alias("tie"),
-        _windows(F.col(text), lines).alias("w"),
+        _windows(F.col(text), lines, sentences).alias("w"),
     )
     flagged = bind(
         F.col("w"),
@@ -64,9 +77,9 @@ def window_rows(df: DataFrame, key: str, text: str, lines: int = LINES) -> DataF
     return rows.select("key", "tie", F.inline(flagged))
 
 
-def later_windows(df: DataFrame, key: str, text: str, lines: int = LINES) -> DataFrame:
+def later_windows(df: DataFrame, key: str, text: str, lines: int = LINES, sentences: bool = False) -> DataFrame:
     """(key, tie, starts): for each text the first lines of its windows that occurred before."""
-    windows = window_rows(df, key, text, lines)
+    windows = window_rows(df, key, text, lines, sentences)
     repeated = (
         windows.groupBy("a", "b")
         .agg(F.min("key").alias("first_key"), F.count(F.lit(1)).alias("n"))
@@ -78,9 +91,10 @@ def later_windows(df: DataFrame, key: str, text: str, lines: int = LINES) -> Dat
 
 
 def dedup_lines(
-    df: DataFrame, key: str = "doc_id", text: str = "text", lines: int = LINES, into: str | None = None
+    df: DataFrame, key: str = "doc_id", text: str = "text", lines: int = LINES, into: str | None = None,
+    sentences: bool = False,
 ) -> DataFrame:
-    """The table with ``text`` cleaned, and ``n_lines`` and ``n_removed`` (longs, lines before and lines gone).
+    """The table with ``text`` cleaned, and ``n_lines`` and ``n_removed`` (longs, lines or units before and gone).
 
     ``into`` names a column for the cleaned text and leaves the other as it is.
     """
@@ -91,7 +105,7 @@ def dedup_lines(
         F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID)).alias("_key"),
         F.xxhash64(text).alias("_tie"),
     )
-    gone = later_windows(df, key, text, lines).select(F.col("key").alias("_key"), F.col("tie").alias("_tie"), "starts")
+    gone = later_windows(df, key, text, lines, sentences).select(F.col("key").alias("_key"), F.col("tie").alias("_tie"), "starts")
     joined = rows.join(gone, ["_key", "_tie"], "left")
     covered = F.array_distinct(
         F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (lines - 1))))
@@ -99,9 +113,9 @@ def dedup_lines(
 
     def cleaned(x: Column) -> Column:
         left = F.array_except(F.sequence(F.lit(0), F.size(x["lines"]) - 1), x["covered"])
-        return F.array_join(F.transform(left, lambda i: F.get(x["lines"], i)), "\n")
+        return F.array_join(F.transform(left, lambda i: F.get(x["lines"], i)), "" if sentences else "\n")
 
-    whole = F.split(F.col(text), "\n")
+    whole = _units(F.col(text), sentences)
     both = F.struct(whole.alias("lines"), covered.alias("covered"))
     clean = F.when(F.col("starts").isNull(), F.col(text)).otherwise(bind(both, cleaned)).alias(into)
     return joined.select(
@@ -112,9 +126,13 @@ def dedup_lines(
     )
 
 
-def drop_emptied(cleaned: DataFrame) -> DataFrame:
-    """Without the rows of which every line went: their content stands elsewhere."""
-    return cleaned.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
+def drop_emptied(cleaned: DataFrame, text: str | None = None) -> DataFrame:
+    """Without the rows of which every line went: their content stands elsewhere. With the column of the cleaned ``text``,
+    also without the rows of which only blanks are left."""
+    left = F.col("n_removed") < F.col("n_lines")
+    if text:
+        left = left & (F.btrim(F.col(text), F.lit(" \n")) != "")
+    return cleaned.where((F.col("n_removed") == 0) | left)
 
 
 # --- the query and its SQL ------------------------------------------------------------------------------------------
@@ -124,6 +142,11 @@ def query(docs: DataFrame) -> DataFrame:
     return dedup_lines(docs.select("doc_id", "text")).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def passage_query(docs: DataFrame) -> DataFrame:
+    rows = dedup_lines(docs.select("doc_id", "text"), sentences=True)
+    return rows.select("doc_id", F.col("n_lines").alias("n_units"), "n_removed", "text")
+
+
 def dedup_sql(source: str) -> str:
     """CTEs that end in ``deduped`` (doc_id, n_lines, n_removed, text) of a table with unique ids."""
     return f"""dl AS (
@@ -146,3 +169,25 @@ deduped AS (
 
 def sql() -> str:
     return f"WITH {dedup_sql('documents')} SELECT doc_id, n_lines, n_removed, text FROM deduped"
+
+
+def passage_sql() -> str:
+    """Units are matched whole here and cut apart in the operator."""
+    return """WITH cut AS (
+  SELECT doc_id, list_concat(regexp_extract_all(text, '(?s).*?(?:\\n|[.!?] )|.+'),
+    CASE WHEN text = '' OR right(text, 1) = chr(10) OR right(text, 2) IN ('. ', '! ', '? ') THEN [''] ELSE [] END) AS us
+  FROM documents WHERE text IS NOT NULL),
+du AS (SELECT doc_id, unnest(us) AS u, generate_subscripts(us, 1) AS i FROM cut),
+dc AS (SELECT doc_id, i, u, rtrim(u, ' ' || chr(10)) AS c FROM du),
+dw AS (
+  SELECT doc_id, i, c, lead(c, 1) OVER w AS c2, lead(c, 2) OVER w AS c3
+  FROM dc WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+ranked AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY c, c2, c3 ORDER BY doc_id, i) AS k FROM dw WHERE c3 IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, i + d AS i FROM ranked, (SELECT unnest([0, 1, 2]) AS d) WHERE k > 1),
+left_over AS (
+  SELECT doc_id, count(*) AS n_units, count(g.i) AS n_removed,
+         coalesce(string_agg(u, '' ORDER BY dc.i) FILTER (WHERE g.i IS NULL), '') AS text
+  FROM dc LEFT JOIN gone g USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_units, 0)::BIGINT AS n_units, coalesce(n_removed, 0)::BIGINT AS n_removed, o.text
+FROM documents d LEFT JOIN left_over o USING (doc_id)"""

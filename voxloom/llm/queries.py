@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": lambda spark, folder: licenses.query(documents(spark, folder)),
     "op3_language_id": lambda spark, folder: langid.query(documents(spark, folder)),
     "op4_line_dedup": lambda spark, folder: linededup.query(documents(spark, folder)),
+    "op4_passage_dedup": lambda spark, folder: linededup.passage_query(documents(spark, folder)),
     "op5_toxicity": lambda spark, folder: toxicity.query(documents(spark, folder), table(spark, folder, "labels")),
     "op6_decontamination": lambda spark, folder: decontaminate.query(
         documents(spark, folder), table(spark, folder, "benchmark")
@@ -27,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op2_license_scan": licenses.sql(),
     "op4_line_dedup": linededup.sql(),
+    "op4_passage_dedup": linededup.passage_sql(),
     "op6_decontamination": decontaminate.sql(),
     "op9_quality_rules": rules.sql(),
 }
