@@ -359,6 +359,27 @@ def test_cluster_in_blocks(spark, monkeypatch):
     assert 1 < len(set(want.values())) < 60
 
 
+def test_link_numbers_equal_all_pairs(spark, monkeypatch):
+    """Every pair counts once, weighted by equal texts, in one block and in many."""
+    chance = random.Random(3)
+    rows = []
+    for k in range(90):
+        own = [f"g{k % 3}w{j}" for j in range(80)]
+        for place in chance.sample(range(80), chance.randint(0, 2)):
+            own[place] = f"x{chance.randint(0, 20)}"
+        rows.append((k, " ".join(own)))
+    rows += [(100, rows[0][1]), (101, rows[0][1]), (101, rows[0][1]), (102, ""), (None, rows[0][1])]
+    texts = {k: frozenset(tuple(t.split()[i : i + 3]) for i in range(len(t.split()) - 2)) for k, t in rows if k is not None and t}
+    linked = lambda a, b: 100 * len(a & b) >= 90 * len(a | b)
+    want = {k: sum(linked(a, b) for j, b in texts.items() if j != k) for k, a in texts.items()} | {102: 0, None: 0}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (jaccard.CLUSTER_SHINGLES, 700):
+        monkeypatch.setattr(jaccard, "CLUSTER_SHINGLES", most)
+        got = jaccard.query(docs).collect()
+        assert len(got) == len(rows) and {r["doc_id"]: r["n_links"] for r in got} == want
+    assert max(want.values()) > 5
+
+
 # --- pipeline ---------------------------------------------------------------------------------------------------------
 
 

@@ -15,6 +15,10 @@ again, and only links that join two components come out, fewer than there are me
 size is cut into blocks, and each pair of blocks is a task of its own, so no task holds an unbounded group, and every
 pair still meets.
 
+With ``links`` no pair is passed by: the same clusters are verified pair by pair, every pair in one task only, and what comes
+out is the number of links of each class (its links weighted by the number of documents in the other class), so the output
+does not grow with the square of a group. The work of verifying does, where a group really has that many links.
+
 Sets are compared by 64-bit shingle hashes; classes by 128 bits over the set.
 
 Defined results: a text with fewer words than a shingle is one shingle; without words, or null, the set is empty and linked
@@ -276,6 +280,35 @@ def joined_components(sets: Sequence[np.ndarray], percent: int) -> np.ndarray:
     return connected(np.vstack([point_of(s, groups) for s in sets]), sizes, percent, linked)
 
 
+def all_links(
+    sets: Sequence[np.ndarray], weights: np.ndarray, sides: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Component number of every set, and the summed weights of all sets it is linked with. Every pair that the tree leaves
+    is verified, but for those of one side, unless the side is -1."""
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    points = np.vstack([point_of(s, groups_for(sizes)) for s in sets])
+    tree = CountTree(points, sizes)
+    distinct, places = np.unique(np.concatenate(sets), return_inverse=True)
+    own = np.split(places.astype(np.int32), np.cumsum(sizes)[:-1])
+    held = np.zeros(len(distinct), dtype=bool)
+    of, total = np.arange(len(sets)), np.zeros(len(sets), dtype=np.int64)
+    for k in range(len(sets)):
+        near = tree.search(points[k], int(sizes[k]), percent)
+        near = near[(near < k) & ((sides[near] != sides[k]) | (sides[k] == -1))]
+        if not len(near):
+            continue
+        held[own[k]] = True
+        starts = np.cumsum(sizes[near]) - sizes[near]
+        both = np.add.reduceat(held[np.concatenate([own[j] for j in near.tolist()])], starts, dtype=np.int64)
+        held[own[k]] = False
+        linked = near[100 * both >= percent * (sizes[k] + sizes[near] - both)]
+        total[k] += weights[linked].sum()
+        total[linked] += weights[k]
+        for c in np.unique(of[linked]).tolist():
+            of[of == c] = of[k]
+    return of, total
+
+
 def _stars(ids: list[int], of: np.ndarray) -> list[tuple[int, int]]:
     """Each member of a component with its first one."""
     first: dict[int, int] = {}
@@ -289,14 +322,18 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def in_groups(rows: DataFrame, group: str, weight: str, most: int, salt: str) -> DataFrame:
     """Rows sorted by (group, i, j). A group whose summed weight is above ``most`` is cut into blocks by a hash, and each pair
-    of its blocks is a group of its own; rows whose group has no other row are left out."""
+    of its blocks is a group of its own; rows whose group has no other row are left out. ``side`` is the block of a row, or -1
+    where a block meets itself."""
     sizes = rows.groupBy(group).agg(F.sum(weight).alias("_w"), F.count(F.lit(1)).alias("_m")).where(F.col("_m") > 1)
     blocks = sizes.select(group, F.ceil(F.col("_w") / most).cast("int").alias("_blocks"))
     mine = F.pmod(F.xxhash64(salt), F.col("_blocks")).cast("int")
     met = rows.join(blocks, group).withColumn("_mine", mine).withColumn(
         "_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     )
-    pair = met.select(*rows.columns, F.least("_mine", "_other").alias("i"), F.greatest("_mine", "_other").alias("j"))
+    side = F.when(F.col("_mine") == F.col("_other"), F.lit(-1)).otherwise(F.col("_mine"))
+    pair = met.select(
+        *rows.columns, side.alias("side"), F.least("_mine", "_other").alias("i"), F.greatest("_mine", "_other").alias("j")
+    )
     return pair.repartition(group, "i", "j").sortWithinPartitions(group, "i", "j")
 
 
@@ -328,7 +365,7 @@ def clusters(signed: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int]] = []
         for members in by_group(batches, "k"):
-            # (lo, n, point, one)
+            # (lo, n, point, one, side)
             points = np.frombuffer(b"".join(m[2] for m in members), dtype=np.int32).reshape(-1, GROUPS)
             sizes = np.array([m[1] for m in members], dtype=np.int64)
             out += _stars([m[0] for m in members], connected(points, sizes, percent, lambda k, j: True))
@@ -341,21 +378,32 @@ def clusters(signed: DataFrame, percent: int) -> DataFrame:
     return components(edges, "jaccard-clusters").select(F.col("node").alias("lo"), F.col("root").alias("cluster"))
 
 
-def links(df: DataFrame, key: str, text: str, signed: DataFrame, width: int, percent: int) -> DataFrame:
-    """(u, v): ids of class representatives, enough verified links to connect what is linked."""
-    member = (
-        signed.where(F.col("key").isNotNull() & (F.col("n") > 0))
-        .groupBy("hi", "lo").agg(F.min("key").alias("key"), F.max("n").alias("n"))
-        .join(clusters(signed, percent), "lo")
-    )
+def class_rows(signed: DataFrame) -> DataFrame:
+    """(hi, lo, key, n, docs): the smallest id, the size of the set and the number of ids of each class."""
+    ids = signed.where(F.col("key").isNotNull() & (F.col("n") > 0)).groupBy("hi", "lo", "key").agg(F.max("n").alias("n"))
+    return ids.groupBy("hi", "lo").agg(F.min("key").alias("key"), F.max("n").alias("n"), F.count(F.lit(1)).alias("docs"))
+
+
+def links(
+    df: DataFrame, key: str, text: str, signed: DataFrame, width: int, percent: int, counted: bool = False
+) -> DataFrame:
+    """(u, v): ids of class representatives, enough verified links to connect what is linked.
+
+    ``counted`` verifies all pairs and adds (hi, lo, linked): parts of the number of documents in classes linked with a class.
+    """
+    member = class_rows(signed).join(clusters(signed, percent), "lo")
     texts = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
-    sent = member.join(texts, "key").select("cluster", "key", "hi", "lo", "n", "text")
+    sent = member.join(texts, "key").select("cluster", "key", "hi", "lo", "n", "docs", "text")
+    kinds = "u bigint, v bigint" + ", hi bigint, lo bigint, linked bigint" * counted
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for members in by_group(batches, "cluster"):
-            ids, sets = [], []
-            for k, hi, lo, _, value in members:
+            ids, sets, classes, weights, sides = [], [], {}, [], []
+            for k, hi, lo, _, docs, value, side in members:
+                # repeated rows of an id
+                if (hi, lo) in classes:
+                    continue
                 found = np.unique(shingles(words.hashes(value or ""), width)[0])
                 with np.errstate(over="ignore"):
                     same = (
@@ -366,28 +414,52 @@ def links(df: DataFrame, key: str, text: str, signed: DataFrame, width: int, per
                 if same:
                     ids.append(k)
                     sets.append(found)
-            if len(ids) > 1:
+                    classes[hi, lo] = None
+                    weights.append(docs)
+                    sides.append(side)
+            if len(ids) > 1 and not counted:
                 yield _edges(_stars(ids, joined_components(sets, percent)))
+            elif len(ids) > 1:
+                of, total = all_links(sets, np.array(weights, dtype=np.int64), np.array(sides), percent)
+                first: dict[int, int] = {}
+                roots = [first.setdefault(c, k) for k, c in zip(ids, of.tolist())]
+                columns = [ids, roots, [c[0] for c in classes], [c[1] for c in classes], total]
+                arrays = [pa.array(c, type=pa.int64()) for c in columns]
+                yield pa.RecordBatch.from_arrays(arrays, names=["u", "v", "hi", "lo", "linked"])
 
     sent = materialize(sent, "jaccard-members")
-    return in_groups(sent, "cluster", "n", CLUSTER_SHINGLES, "hi").mapInArrow(run, "u bigint, v bigint")
+    return in_groups(sent, "cluster", "n", CLUSTER_SHINGLES, "hi").mapInArrow(run, kinds)
 
 
 def jaccard_components(
-    df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, percent: int = 90
+    df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, percent: int = 90, counted: bool = False
 ) -> DataFrame:
-    """(key, n_shingles, component_id), one row per row: documents link when ``100 * both >= percent * either``."""
+    """(key, n_shingles, component_id), one row per row: documents link when ``100 * both >= percent * either``.
+
+    ``counted`` adds ``n_links``, how many other documents the row's text is linked with; an id with several texts counts
+    once for each of them that differs as a set.
+    """
     signed = materialize(signatures(df, key, text, width, percent), "jaccard-sets")
-    classes = (
-        signed.where(F.col("key").isNotNull() & (F.col("n") > 0)).groupBy("hi", "lo").agg(F.min("key").alias("rep"))
-    )
+    classes = class_rows(signed).select("hi", "lo", F.col("key").alias("rep"), "docs")
     # a text and its class are connected by the id, so ids with several texts connect their classes
     copies = signed.where(F.col("n") > 0).join(classes, ["hi", "lo"]).select(F.col("key").alias("u"), F.col("rep").alias("v"))
-    found = links(df, key, text, signed, width, percent).unionAll(copies)
-    whole = components(found, "jaccard-components")
+    found = links(df, key, text, signed, width, percent, counted)
+    if counted:
+        found = materialize(found, "jaccard-links")
+    whole = components(found.select("u", "v").unionAll(copies), "jaccard-components")
     rows = signed.select("key", "n")
+    if counted:
+        others = found.groupBy("hi", "lo").agg(F.sum("linked").alias("linked"))
+        numbers = classes.join(others, ["hi", "lo"], "left").select(
+            "hi", "lo", (F.col("docs") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")
+        )
+        # a row without an id or a word is in no class
+        numbered = signed.where(F.col("key").isNotNull() & (F.col("n") > 0)).join(numbers, ["hi", "lo"])
+        rest = signed.where(F.col("key").isNull() | (F.col("n") == 0)).select("key", "n", F.lit(0).cast("bigint").alias("n_links"))
+        rows = numbered.select("key", "n", "n_links").unionAll(rest)
     return rows.join(whole, rows["key"] == whole["node"], "left").select(
-        F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("root", "key").alias("component_id")
+        F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("root", "key").alias("component_id"),
+        *(["n_links"] if counted else []),
     )
 
 
@@ -395,4 +467,4 @@ def jaccard_components(
 
 
 def query(docs: DataFrame) -> DataFrame:
-    return jaccard_components(docs.select("doc_id", "text"))
+    return jaccard_components(docs.select("doc_id", "text"), counted=True)
