@@ -141,6 +141,21 @@ def test_leaks_equal_all_stretches(spark):
         assert {(r["key"], r["item"]) for r in found} == want and want
 
 
+def test_short_items_are_found_word_for_word(spark):
+    items = [(1, "Who wrote Emma?"), (2, "yes"), (3, "who wrote"), (4, "\u4f60\u597d"), (5, "?!"), (6, "a b c d e f g"), (7, "who WROTE emma")]
+    texts = [
+        (1, "So: who wrote Emma"), (2, "who wrote it, emma"), (3, "a b c d e f h"), (4, "x \u4f60\u597d. y"), (5, ""), (6, None),
+        (7, "Yes"), (8, "a b c d e f g"), (9, "wrote who"), (None, "oh yes"),
+    ]
+    docs, bench = spark.createDataFrame(texts, "doc_id long, text string"), benchmark_rows(spark, items)
+    want = {1: [1, 3], 2: [3], 4: [4], 7: [2], 8: [6], None: [2]}
+    for block in (200_000, 2):
+        got = decontaminate.find_leaks(docs, bench, block=block).collect()
+        assert {r["doc_id"]: [int(i) for i in r["items"]] for r in got if r["contaminated"]} == want
+        left = decontaminate.drop_leaks(docs, bench, block=block).collect()
+        assert {r["doc_id"] for r in left} == {3, 5, 6, 9}
+
+
 # --- 4: lines ---------------------------------------------------------------------------------------------------------
 
 

@@ -11,8 +11,12 @@ The texts are read once per block of the benchmark and nothing of them is shuffl
 ``block`` rows, which is what is broadcast; a larger benchmark makes more blocks. Items with equal words count as one, the
 smallest id. Words are compared by 64-bit hashes. A hit is verified inside the join, so nothing else comes out of it.
 
-Defined results: null and empty texts have no words and no finding; items below eight words cannot be found; an empty
-benchmark finds nothing. Repeated rows get the same finding each; rows that share an id but not the text are told apart.
+Items below eight words have no seed of that kind. They are found word for word: one seed over all words of the item, and
+in the texts one seed a place for every such length in use (``short_leaks``). A run of letters outside of ASCII is one word,
+so an item in such a script is found where the whole run is the same, not inside of a longer one.
+
+Defined results: null and empty texts have no words and no finding, and so have items without a word; an empty benchmark
+finds nothing. Repeated rows get the same finding each; rows that share an id but not the text are told apart.
 """
 
 from __future__ import annotations
@@ -29,6 +33,8 @@ MASKS = ((0, 1, 2, 3, 5, 7), (0, 1, 2, 5, 6, 7), (0, 2, 3, 5, 6, 7))
 SPAN = 8
 STRETCH = 13
 BLOCK_ROWS = 200_000
+
+
 def tolerated(stretch: Column) -> Column:
     """Substitutions allowed in a stretch of so many words."""
     return F.when(stretch < 9, F.lit(0)).otherwise(F.floor(stretch / 6)).cast("int")
@@ -46,10 +52,14 @@ def with_seeds(rows: DataFrame, words: str, at: str) -> DataFrame:
 
 
 def benchmark_items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
-    """(item, words, n): one row per distinct word list that can be found."""
+    """(item, words, n): one row per distinct word list of ``SPAN`` words or more."""
+    return _distinct_items(benchmark, item, text).where(F.col("n") >= SPAN)
+
+
+def _distinct_items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     rows = benchmark.select(F.col(item).alias("item"), words_of(F.col(text)).alias("words"))
     return (
-        rows.where(F.size("words") >= SPAN).groupBy("words").agg(F.min("item").alias("item"))
+        rows.where(F.size("words") > 0).groupBy("words").agg(F.min("item").alias("item"))
         .select("item", "words", F.size("words").alias("n"))
     )
 
@@ -72,7 +82,7 @@ def _verified() -> Column:
 def leaks(
     df: DataFrame, key: str, text: str, benchmark: DataFrame, item: str, item_text: str, block: int = BLOCK_ROWS
 ) -> DataFrame:
-    """(key, tie, item): the benchmark items found in each text; ``tie`` is a hash of the text."""
+    """(key, tie, item): the benchmark items of ``SPAN`` words or more found in each text; ``tie`` is a hash of the text."""
     items = benchmark_items(benchmark, item, item_text)
     # one number: how many seeds the benchmark has, which decides how many blocks keep a broadcast within its bound
     total = items.agg(F.coalesce(F.sum((F.col("n") - (SPAN - 1)) * len(MASKS)), F.lit(0))).first()[0]
@@ -89,12 +99,55 @@ def leaks(
     return reduce(DataFrame.unionAll, found).distinct()
 
 
+def short_leaks(
+    df: DataFrame, key: str, text: str, benchmark: DataFrame, item: str, item_text: str, block: int = BLOCK_ROWS
+) -> DataFrame | None:
+    """(key, tie, item): the benchmark items below ``SPAN`` words that a text holds word for word; None without such items."""
+    items = _distinct_items(benchmark, item, item_text).where(F.col("n") < SPAN)
+    # at most seven rows: how many items there are of each length
+    lengths = {r["n"]: r["count"] for r in items.groupBy("n").count().collect()}
+    if not lengths:
+        return None
+    blocks = max(1, -(-sum(lengths.values()) // block))
+    hashes = F.transform("words", lambda w: F.xxhash64(w)).alias("h")
+    texts = df.select(F.col(key).alias("key"), F.xxhash64(text).alias("tie"), words_of(F.col(text)).alias("words"))
+    placed = texts.select("key", "tie", hashes).where(F.size("h") > 0).select(
+        "*", F.explode(F.sequence(F.lit(0), F.size("h") - 1)).alias("at")
+    )
+    seed = lambda n, at: F.xxhash64(F.lit(-n), *[F.get("h", at + k) for k in range(n)])
+    picked = [F.when(F.col("at") + n <= F.size("h"), seed(n, F.col("at"))) for n in sorted(lengths)]
+    seeded = placed.select("*", F.explode(F.array(*picked)).alias("seed")).where(F.col("seed").isNotNull())
+    first = F.coalesce(*[F.when(F.col("n") == n, seed(n, F.lit(0))) for n in sorted(lengths)])
+    index = items.select("item", "n", "words", hashes).select("item", "n", "words", F.col("h").alias("item_h"), first.alias("seed"))
+    found = []
+    for b in range(blocks):
+        mine = index.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b).drop("words")
+        hits = seeded.join(F.broadcast(mine), "seed")
+        ok = reduce(
+            lambda x, y: x & y,
+            [(F.col("n") <= k) | F.coalesce(F.get("h", F.col("at") + k) == F.get("item_h", F.lit(k)), F.lit(False)) for k in range(SPAN - 1)],
+        )
+        hits = hits.groupBy("key", "tie", "item").agg(F.max(ok).alias("ok")).where("ok")
+        found.append(hits.select("key", "tie", "item"))
+    return reduce(DataFrame.unionAll, found)
+
+
+def all_leaks(
+    df: DataFrame, key: str, text: str, benchmark: DataFrame, item: str, item_text: str, block: int = BLOCK_ROWS
+) -> DataFrame:
+    """(key, tie, item): the benchmark items of any length found in each text."""
+    found = leaks(df, key, text, benchmark, item, item_text, block)
+    short = short_leaks(df, key, text, benchmark, item, item_text, block)
+    # an item is either short or long, so nothing is found by both
+    return found if short is None else found.unionAll(short)
+
+
 def find_leaks(
     df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
     item_text: str = "text", block: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The key column with ``contaminated``, ``n_items`` and ``items`` (sorted ids of the items found), one row per row."""
-    found = leaks(df, key, text, benchmark, item, item_text, block).groupBy("key", "tie").agg(
+    found = all_leaks(df, key, text, benchmark, item, item_text, block).groupBy("key", "tie").agg(
         F.array_sort(F.collect_set("item")).alias("items")
     )
     rows = df.select(F.col(key), F.xxhash64(text).alias("_tie"))
@@ -108,7 +161,7 @@ def drop_leaks(
     item_text: str = "text", block: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The rows whose text holds no benchmark item, all columns as they are."""
-    found = leaks(df, key, text, benchmark, item, item_text, block).select("key", "tie").distinct()
+    found = all_leaks(df, key, text, benchmark, item, item_text, block).select("key", "tie").distinct()
     same = df[key].eqNullSafe(found["key"]) & (F.xxhash64(df[text]) == found["tie"])
     return df.join(found, same, "left_anti")
 
