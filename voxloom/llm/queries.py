@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm import centroids, decontaminate, jaccard, langid, licenses, linededup, packing, quality, rules, sharding, toxicity, turns
+from voxloom.llm import centroids, decontaminate, extraction, jaccard, langid, licenses, linededup, packing, quality, rules, sharding, toxicity, turns
 from voxloom.llm.common import documents
 from voxloom.sources.readers import table
 
@@ -24,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": lambda spark, folder: packing.query(documents(spark, folder)),
     "op9_quality_rules": lambda spark, folder: rules.query(documents(spark, folder)),
     "op10_jaccard_join": lambda spark, folder: jaccard.query(documents(spark, folder)),
+    "op11_html_extraction": lambda spark, folder: extraction.query(table(spark, folder, "pages")),
     "op12_centroid_clustering": lambda spark, folder: centroids.query(table(spark, folder, "embeddings")),
     "op13_conversation_repair": lambda spark, folder: turns.query(table(spark, folder, "conversations")),
 }
