@@ -1,19 +1,22 @@
 """Toxic passages by maximum-scoring segments.
 
 A word's score is the log odds of toxic against other texts under an informative Dirichlet prior: the counts of each class
-are joined by ``PRIOR`` pseudo-words shared out as the whole vocabulary is. Words whose score lies clearly above chance
-make the lexicon; all other words have one small negative score, so long harmless stretches cost something. One linear
+are joined by pseudo-words shared out as the whole vocabulary is, as many as the toxic texts have words but at most ``PRIOR``, so
+few labels are not drowned. A word's score is its log odds less one standard error. It is listed if that exceeds ``LEAST``
+and if among all words as frequent as it fewer than ``CHANCE`` would lean so far to class 1 by luck (binomial tail): the cut
+follows the size of the vocabulary and holds for ten labels as for thousands. All other words have one small negative score,
+so long harmless stretches cost something. One linear
 scan of a text finds all disjoint maximal segments. A segment's score becomes an expected number of segments as good in a
 harmless text of that length, K n exp(-lambda S): lambda solves the score equation for the background, K is fitted to
 the harmless training texts. Several segments are put together with the sum statistic, and the negative log of its
 probability is mapped to a score from 0 to 1 by a logistic curve fitted on the training rows.
 
-The lexicon is learnt from at most ``SAMPLE`` labelled rows outside of the held-out fold, the smallest by hash of the id, and
-holds at most ``LEXICON`` words; both bounds belong to the classifier. Equal texts count once. The sample is written to the
+The lexicon is learnt from at most ``SAMPLE`` labelled rows outside of the held-out fold, the smallest by hash of the id; the
+bound belongs to the classifier. No listed word is left out. Equal texts count once. The sample is written to the
 shared folder and read for each step of the fit. Then every text is scanned whole, in one pass and without a shuffle.
 
 Defined results: null and empty texts have no segment and the lowest score. Repeated rows score alike. Without labels of
-both classes the lexicon is empty and every text has the score 0.
+both classes, or where no word leans to class 1, the lexicon is empty and every text has the score 0.
 """
 
 from __future__ import annotations
@@ -31,9 +34,8 @@ from voxloom.llm.common import remainder, words_of
 from voxloom.session import materialize
 
 SAMPLE = 32_768
-LEXICON = 20_000
-#: Pseudo-words of the prior, standard errors a word's log odds must exceed, and the least log odds (twofold).
-PRIOR, ERRORS, LEAST = 10_000, 3.0, math.log(2)
+#: Most pseudo-words of the prior, least log odds of a listed word (fourfold), and words expected by luck.
+PRIOR, LEAST, CHANCE = 10_000, math.log(4), 0.5
 #: Width and number of the bins of the calibration.
 BIN, BINS = 0.25, 200
 #: Bytes of words: lower-case ASCII letters, digits and all bytes of other characters; the rest is blank.
@@ -121,6 +123,21 @@ def decay(scores: np.ndarray, shares: np.ndarray) -> float:
     return high
 
 
+def upper_tail(hits: int, n: int, share: float) -> float:
+    """Probability of so many hits or more among ``n``."""
+    if hits <= 0:
+        return 1.0
+    term = math.exp(
+        math.lgamma(n + 1) - math.lgamma(hits + 1) - math.lgamma(n - hits + 1) + hits * math.log(share) + (n - hits) * math.log1p(-share)
+    )
+    total, k = term, hits
+    while k < n and (term > 1e-12 * total or k < share * n):
+        term *= (n - k) / (k + 1) * share / (1 - share)
+        total += term
+        k += 1
+    return min(1.0, total)
+
+
 def learn(train: DataFrame, text: str, label: str) -> Lexicon:
     """The lexicon of labelled texts: document counts per word, kept where they clearly lean to class 1."""
     distinct = train.groupBy(F.xxhash64(text).alias("h")).agg(
@@ -135,15 +152,29 @@ def learn(train: DataFrame, text: str, label: str) -> Lexicon:
     n_a, n_b = totals["a"] or 0, totals["b"] or 0
     if not n_a or not n_b:
         return Lexicon({}, -1.0, 1.0)
-    prior = PRIOR * (F.col("a") + F.col("b")) / (n_a + n_b)
+    pseudo, share = min(PRIOR, n_a), n_a / (n_a + n_b)
+    prior = pseudo * (F.col("a") + F.col("b")) / (n_a + n_b)
     a, b = F.col("a") + prior, F.col("b") + prior
-    odds = F.log(a / (n_a + PRIOR - a)) - F.log(b / (n_b + PRIOR - b))
+    odds = F.log(a / (n_a + pseudo - a)) - F.log(b / (n_b + pseudo - b))
     error = F.sqrt(1 / a + 1 / b)
-    rows = (
-        counted.select("w", "a", "b", odds.alias("odds"), error.alias("error"))
-        .where((F.col("odds") > ERRORS * F.col("error")) & (F.col("odds") - F.col("error") > LEAST))
-        .orderBy(F.desc(F.col("odds") / F.col("error")), "w").limit(LEXICON).collect()
+
+    def by_luck(hits: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([upper_tail(int(k), int(m), share) for k, m in zip(hits, n)], dtype="float64")
+
+    luck = F.pandas_udf(by_luck, "double")(F.col("a"), F.col("n"))
+    with_n = counted.withColumn("n", F.col("a") + F.col("b"))
+    # one row per frequency, and a frequency is at most the number of labelled texts
+    alike = with_n.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
+    leaning = with_n.select("w", "a", "b", "n", odds.alias("odds"), error.alias("error")).where(
+        (F.col("odds") - F.col("error") > LEAST) & (F.col("a") > share * F.col("n"))
     )
+    rows = leaning.join(F.broadcast(alike), "n").where(luck * F.col("words") <= CHANCE).orderBy("w").collect()
+    if not rows:
+        # too few texts to tell any word from luck: the words that lean most, as many as can be told apart from the rest
+        top = leaning.agg(F.max("odds")).first()[0]
+        rows = leaning.where(F.col("odds") >= top).orderBy("w").collect() if top is not None else []
+    if not rows:
+        return Lexicon({}, -1.0, 1.0)
     scores = {row["w"].encode(): row["odds"] - row["error"] for row in rows}
     listed_a, listed_b = sum(r["a"] for r in rows) / n_a, sum(r["b"] for r in rows) / n_b
     other = min(math.log((1 - listed_a) / (1 - listed_b)), -1e-3)
