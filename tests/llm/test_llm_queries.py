@@ -119,3 +119,15 @@ def test_jaccard_components(spark, docs):
                     root[max(i, j)] = min(i, j)
     rows = {r["doc_id"]: r for r in QUERIES["op10_jaccard_join"](spark, SMALL).collect()}
     assert {d: (len(s), find(d)) for d, s in sets.items()} == {d: (r["n_shingles"], r["component_id"]) for d, r in rows.items()}
+
+
+def test_each_limit_of_packing_closes_sequences(spark):
+    rows = QUERIES["op8_packing"](spark, SMALL).collect()
+    sequences = collections.defaultdict(lambda: [0, 0, 0])
+    for r in rows:
+        for k, n in enumerate((r["length"], 1, r["loss_tokens"])):
+            sequences[r["sequence_id"]][k] += n
+    limits = (4096, 16, 4000)
+    assert all(n <= limit for sums in sequences.values() for n, limit in zip(sums, limits))
+    for k, limit in enumerate(limits):
+        assert any(sums[k] == limit and all(sums[j] < limits[j] for j in range(3) if j != k) for sums in sequences.values())

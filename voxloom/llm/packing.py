@@ -10,8 +10,11 @@ Packing needs no other rows, so every task packs the rows of its own partition i
 unfinished sequences and one text in memory. Sequence numbers hold the partition number. The order of rows in a file
 decides, so a task that is run again makes the same sequences.
 
+The defaults hold 4096 tokens, 16 segments and 4000 loss-bearing tokens, so each limit closes sequences of its own: the last
+96 tokens are for prompts, and short examples share a sequence with at most 15 others.
+
 Tokens come from a public tokenizer file; its path is a parameter. The tokenizer works word by word between white space, so
-a word's ids are kept in a bounded cache.
+a word's ids are kept in a bounded cache that serves all tasks of a worker.
 
 Defined results: null and empty texts are one piece, the end id. Equal rows are packed each. A document longer than a
 sequence is cut. ``start`` counts the ids of the document before the piece; ``offset`` is its place in the sequence.
@@ -38,8 +41,8 @@ SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 @dataclass(frozen=True)
 class Limits:
     tokens: int = 4096
-    segments: int = 128
-    loss: int = 4096
+    segments: int = 16
+    loss: int = 4000
 
     def array(self) -> np.ndarray:
         return np.array([self.tokens, self.segments, self.loss], dtype=np.int64)
@@ -81,8 +84,9 @@ class WordTokenizer:
         new = {word for word in words if word not in cache}
         forms = {}
         for word in new:
-            mark = word[-1] if word[-1] in ".," and len(word) > 1 and word[-2].isascii() and word[-2].isalpha() else ""
-            core = word[: len(word) - len(mark)]
+            core, mark = word, ""
+            if not word.isalpha() and word[-1] in ".," and word[:-1].isalpha() and word[-2].isascii():
+                core, mark = word[:-1], word[-1]
             # only A-Z is lowered here, which the tokenizer would do as well
             forms[word] = (core.lower() if core.isascii() and core.isalpha() else core, mark)
         cores = {core for core, _ in forms.values() if core not in cache} | {mark for mark in ".," if mark not in cache}
@@ -111,6 +115,16 @@ class WordTokenizer:
         return ids + end, prompt
 
 
+_loaded: dict[str, WordTokenizer] = {}
+
+
+def worker_tokenizer(path: str) -> WordTokenizer:
+    """One tokenizer per worker process, so that its words serve the tasks that follow."""
+    if path not in _loaded:
+        _loaded[path] = WordTokenizer(path)
+    return _loaded[path]
+
+
 @dataclass
 class Piece:
     """Ids ``start`` to ``start + length`` of a document; ids from ``prompt`` on bear loss."""
@@ -216,7 +230,7 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokenizer = WordTokenizer(tokenizer_path)
+        tokenizer = worker_tokenizer(tokenizer_path)
         first = TaskContext.get().partitionId() << 40
         kind: list[pa.DataType] = []
 
