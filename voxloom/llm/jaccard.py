@@ -8,7 +8,10 @@ can't hold enough overlap. What survives is verified on the sets themselves.
 How it is spread out: one tree over the whole table would be one task's work, so there is a tree per cell. Cells come
 from an exact filter: linked sets share one of their first (1 - t) n + 1 shingles in any common order. The order is
 rare first, by two hashed counts over the whole table: shingles that are far more frequent than usual come last, the rest
-goes by the frequency of its words. Equal sets are one class and take part once, whatever their number. The trees leave
+goes by the frequency of its words. A cell is one such shingle and a band of sizes, so wide that linked sets lie in one or in
+two adjacent bands; a set enters the cell of its band and of the next. Cells are found and emptied of lone sets with narrow
+rows; points go only where two sets of like size share a shingle. A point has more groups the larger its set, so long
+documents are told apart as short ones are, and a finer point is folded onto a coarser one by adding neighbours. Equal sets are one class and take part once, whatever their number. The trees leave
 pairs that may be linked; their components are small clusters, and the texts of their members, one per class, go
 to their cluster to be verified. In cells and clusters alike, pairs that are already connected are not compared
 again, and only links that join two components come out, fewer than there are members. A cell or cluster above a fixed
@@ -33,7 +36,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.llm.components import components
@@ -43,8 +46,9 @@ COUNTERS = 1 << 16
 SHINGLE_COUNTERS = 1 << 20
 #: Counters that travel as one row.
 COUNTER_BLOCK = 1 << 12
-GROUPS = 64
-FANOUT = 32
+#: Groups of a small set's point, shingles a group of larger sets, and most groups.
+GROUPS, PER_GROUP, MOST_GROUPS = 64, 8, 4096
+FANOUT = 8
 POINT_CELLS = 1 << 24
 #: Points of a block of a cell, and shingles of a block of a cluster (8 bytes each, and the texts they come from).
 CELL_POINTS = 20_000
@@ -162,22 +166,23 @@ def frequencies(df: DataFrame, text: str, width: int) -> tuple[np.ndarray, np.nd
 
 
 def signatures(df: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
-    """(key, n, hi, lo, keys, point): size and 128-bit hash of a document's set, the shingles it is looked up by, and its
-    counts per group."""
+    """(key, n, hi, lo, keys, band, point): size and 128-bit hash of a document's set, the shingles it is looked up by, its band
+    of sizes, and its counts per group."""
     shared = df.sparkSession.sparkContext.broadcast(frequencies(df, text, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, (levels, above) = Words(), shared.value
         none = np.zeros(0, dtype=np.uint64)
         for batch in batches:
-            sizes, highs, lows, keys, points = [], [], [], [], []
+            sizes, highs, lows, keys, bands, points = [], [], [], [], [], []
             for value in batch.column(1).to_pylist():
                 hashes = words.hashes(value or "")
                 found, span = shingles(hashes, width)
                 distinct, first = np.unique(found, return_index=True)
                 n = len(distinct)
                 sizes.append(n)
-                points.append(point_of(distinct).tobytes())
+                bands.append(band_of(n, percent))
+                points.append(packed_point(distinct, bands[-1], percent) if n else b"")
                 if n:
                     with np.errstate(over="ignore"):
                         lows.append(np.add.reduce(mixed(distinct ^ MIX[0])).view(np.int64))
@@ -198,18 +203,43 @@ def signatures(df: DataFrame, key: str, text: str, width: int, percent: int) ->
             arrays = [
                 batch.column(0), pa.array(sizes, type=pa.int64()), pa.array(highs, type=pa.int64()),
                 pa.array(lows, type=pa.int64()), pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), pa.array(flat)),
-                pa.array(points, type=pa.binary()),
+                pa.array(bands, type=pa.int32()), pa.array(points, type=pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["key", "n", "hi", "lo", "keys", "point"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", "n", "hi", "lo", "keys", "band", "point"])
 
     rows = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string"))
-    return rows.mapInArrow(run, "key bigint, n bigint, hi bigint, lo bigint, keys array<bigint>, point binary")
+    return rows.mapInArrow(run, "key bigint, n bigint, hi bigint, lo bigint, keys array<bigint>, band int, point binary")
 
 
 def point_of(distinct: np.ndarray, groups: int = GROUPS) -> np.ndarray:
     return np.bincount(_slots(distinct, groups), minlength=groups).astype(np.int32)
 
 
+def band_of(n: int, percent: int) -> int:
+    """Bands a little wider than the ratio that linked sizes may have, so rounding never puts them further apart than one."""
+    return int(np.log(n) / (1.0001 * np.log(100 / percent))) if n and percent < 100 else n
+
+
+def packed_point(distinct: np.ndarray, band: int, percent: int) -> bytes:
+    """Counts per group as single bytes behind the unit they are counted in; rounded up, so that sums stay upper bounds. All
+    sets of a band have the same number of groups, and a higher band has no fewer."""
+    low = np.exp(band * 1.0001 * np.log(100 / percent)) if percent < 100 else band
+    wanted = int(low) // PER_GROUP
+    counts = point_of(distinct, 1 << min(max(wanted.bit_length(), GROUPS.bit_length()) - 1, MOST_GROUPS.bit_length() - 1))
+    unit = -(-int(counts.max()) // 255) or 1
+    return np.uint32(unit).tobytes() + (-(-counts // unit)).astype(np.uint8).tobytes()
+
+
+def unpacked_points(packed: Sequence[bytes]) -> np.ndarray:
+    """Points of one cell, folded onto the fewest groups that one of them has."""
+    groups = min(map(len, packed)) - 4
+    points = np.empty((len(packed), groups), dtype=np.int32)
+    for k, data in enumerate(packed):
+        counts = np.frombuffer(data, dtype=np.uint8, offset=4).astype(np.int32) * int(np.frombuffer(data, dtype=np.uint32, count=1)[0])
+        points[k] = counts.reshape(groups, -1).sum(axis=1)
+    return points
+
+
 def groups_for(sizes: np.ndarray) -> int:
     """Groups that tell the largest of some sets apart (a few shingles each), within ``POINT_CELLS`` counts in all."""
     wanted = min(int(sizes.max()) // 4, POINT_CELLS // len(sizes))
@@ -320,11 +350,18 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], type=pa.int64()) for k in (0, 1)], names=["u", "v"])
 
 
-def in_groups(rows: DataFrame, group: str, weight: str, most: int, salt: str) -> DataFrame:
+def in_groups(
+    rows: DataFrame, group: str, weight: str, most: int, salt: str, own: Column | None = None,
+    wide: DataFrame | None = None, on: str | None = None,
+) -> DataFrame:
     """Rows sorted by (group, i, j). A group whose summed weight is above ``most`` is cut into blocks by a hash, and each pair
-    of its blocks is a group of its own; rows whose group has no other row are left out. ``side`` is the block of a row, or -1
-    where a block meets itself."""
-    sizes = rows.groupBy(group).agg(F.sum(weight).alias("_w"), F.count(F.lit(1)).alias("_m")).where(F.col("_m") > 1)
+    of its blocks is a group of its own; rows whose group has no other row, or none that is its ``own``, are left out.
+    ``side`` is the block of a row, or -1 where a block meets itself. ``wide`` is joined by ``on`` to the rows that are left, so only they carry it."""
+    owned = F.lit(True) if own is None else own
+    sizes = (
+        rows.groupBy(group).agg(F.sum(weight).alias("_w"), F.count(F.lit(1)).alias("_m"), F.count_if(owned).alias("_o"))
+        .where((F.col("_m") > 1) & (F.col("_o") > 0))
+    )
     blocks = sizes.select(group, F.ceil(F.col("_w") / most).cast("int").alias("_blocks"))
     mine = F.pmod(F.xxhash64(salt), F.col("_blocks")).cast("int")
     met = rows.join(blocks, group).withColumn("_mine", mine).withColumn(
@@ -334,6 +371,8 @@ def in_groups(rows: DataFrame, group: str, weight: str, most: int, salt: str) ->
     pair = met.select(
         *rows.columns, side.alias("side"), F.least("_mine", "_other").alias("i"), F.greatest("_mine", "_other").alias("j")
     )
+    if wide is not None:
+        pair = pair.join(wide, on)
     return pair.repartition(group, "i", "j").sortWithinPartitions(group, "i", "j")
 
 
@@ -356,25 +395,27 @@ def by_group(batches: Iterator[pa.RecordBatch], group: str) -> Iterator[list[tup
 def clusters(signed: DataFrame, percent: int) -> DataFrame:
     """(lo, cluster) for the classes with a pair that shares a key and has enough room for a link by its counts."""
     usable = signed.where(F.col("key").isNotNull() & (F.col("n") > 0))
-    rows = usable.select(F.explode("keys").alias("k"), "lo")
+    rows = usable.select(F.explode("keys").alias("k"), "lo", "band")
     shared = rows.groupBy("k").agg(F.min("lo").alias("a"), F.max("lo").alias("b")).where(F.col("a") < F.col("b")).select("k")
     cells = rows.join(shared, "k").distinct()
+    # two cells that share a hash are one cell with more to compare
+    both = cells.select("lo", "k", "band", F.explode(F.array("band", F.col("band") + 1)).alias("at"))
+    placed = both.select(F.xxhash64("k", "at").alias("cell"), "lo", (F.col("band") == F.col("at")).alias("own"), F.lit(1).alias("one"))
     points = usable.groupBy("lo").agg(F.first("n").alias("n"), F.first("point").alias("point"))
-    placed = cells.join(points, "lo").select("k", "lo", "n", "point", F.lit(1).alias("one"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int]] = []
-        for members in by_group(batches, "k"):
-            # (lo, n, point, one, side)
-            points = np.frombuffer(b"".join(m[2] for m in members), dtype=np.int32).reshape(-1, GROUPS)
-            sizes = np.array([m[1] for m in members], dtype=np.int64)
-            out += _stars([m[0] for m in members], connected(points, sizes, percent, lambda k, j: True))
+        for members in by_group(batches, "cell"):
+            # (lo, side, n, point)
+            sizes = np.array([m[2] for m in members], dtype=np.int64)
+            out += _stars([m[0] for m in members], connected(unpacked_points([m[3] for m in members]), sizes, percent, lambda k, j: True))
             if len(out) > 10_000:
                 yield _edges(out)
                 out = []
         yield _edges(out)
 
-    edges = in_groups(placed, "k", "one", CELL_POINTS, "lo").mapInArrow(run, "u bigint, v bigint")
+    met = in_groups(placed, "cell", "one", CELL_POINTS, "lo", F.col("own"), points, "lo").select("cell", "i", "j", "lo", "side", "n", "point")
+    edges = met.mapInArrow(run, "u bigint, v bigint")
     return components(edges, "jaccard-clusters").select(F.col("node").alias("lo"), F.col("root").alias("cluster"))
 
 
@@ -391,16 +432,16 @@ def links(
 
     ``counted`` verifies all pairs and adds (hi, lo, linked): parts of the number of documents in classes linked with a class.
     """
-    member = class_rows(signed).join(clusters(signed, percent), "lo")
+    member = class_rows(signed).join(clusters(signed, percent), "lo").select("cluster", "key", "hi", "lo", "n", "docs")
+    member = materialize(member, "jaccard-members")
     texts = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
-    sent = member.join(texts, "key").select("cluster", "key", "hi", "lo", "n", "docs", "text")
     kinds = "u bigint, v bigint" + ", hi bigint, lo bigint, linked bigint" * counted
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for members in by_group(batches, "cluster"):
             ids, sets, classes, weights, sides = [], [], {}, [], []
-            for k, hi, lo, _, docs, value, side in members:
+            for k, hi, lo, docs, value, side in members:
                 # repeated rows of an id
                 if (hi, lo) in classes:
                     continue
@@ -427,8 +468,8 @@ def links(
                 arrays = [pa.array(c, type=pa.int64()) for c in columns]
                 yield pa.RecordBatch.from_arrays(arrays, names=["u", "v", "hi", "lo", "linked"])
 
-    sent = materialize(sent, "jaccard-members")
-    return in_groups(sent, "cluster", "n", CLUSTER_SHINGLES, "hi").mapInArrow(run, kinds)
+    sent = in_groups(member, "cluster", "n", CLUSTER_SHINGLES, "hi", wide=texts, on="key")
+    return sent.select("cluster", "i", "j", "key", "hi", "lo", "docs", "text", "side").mapInArrow(run, kinds)
 
 
 def jaccard_components(
