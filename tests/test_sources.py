@@ -1,5 +1,7 @@
 """Readers, writers and the corpus plan on files."""
 
+import glob
+import io
 import math
 import struct
 import wave
@@ -11,6 +13,7 @@ from voxloom.operators.detect import trigram_profile
 from voxloom.plans import corpus
 from voxloom.sources import audio as U
 from voxloom.sources import readers as R
+from voxloom.sources import wavfiles
 from voxloom.sources import writers as W
 
 
@@ -62,6 +65,20 @@ def test_rejected_order(spark, tmp_path):
     assert [line.split(",")[0] for line in lines] == ['{"i":1', '{"i":3', '{"i":0', '{"i":2']
 
 
+def test_splits_get_the_files_their_rows_need(spark, tmp_path):
+    df = spark.range(1000).select("id", F.when(F.col("id") % 10 < 6, "train").when(F.col("id") % 10 < 9, "eval").alias("split"))
+    # small partitions are put together at run time, which would hide how the rows were dealt
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        W.export_splits(df.where("split is not null"), str(tmp_path / "out"), names=("train", "eval", "test"), file_rows=100)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = {name: len(glob.glob(f"{tmp_path}/out/split={name}/part-*")) for name in ("train", "eval", "test")}
+    assert 3 <= files["train"] <= 6 and 2 <= files["eval"] <= 3
+    back = R.scan_jsonl(spark, {n: f"{tmp_path}/out/split={n}" for n in files}, "id bigint")
+    assert {r["split"]: r["count"] for r in back.groupBy("split").count().collect()} == {"train": 600, "eval": 300}
+
+
 def write_wav(path, frames, sr=16000, channels=1):
     with wave.open(str(path), "wb") as w:
         w.setnchannels(channels)
@@ -82,6 +99,50 @@ def test_audio_manifest(spark, tmp_path):
     }
 
 
+def test_a_long_file_costs_its_header(spark, tmp_path):
+    # a second, an hour-long sparse file of a gigabyte, and one with a megabyte of notes before its samples
+    write_wav(tmp_path / "a.wav", 16000)
+    write_wav(tmp_path / "b.wav", 0)
+    with open(tmp_path / "b.wav", "r+b") as f:
+        f.seek(40)
+        f.write(struct.pack("<I", (1 << 30) - 44))
+        f.truncate(1 << 30)
+    notes = b"LIST" + struct.pack("<I", 1_000_001) + bytes(1_000_002)
+    head, body = (tmp_path / "a.wav").read_bytes()[:36], (tmp_path / "a.wav").read_bytes()[36:]
+    (tmp_path / "c.wav").write_bytes(head + notes + body)
+    rows = {r["path"][-5:]: r for r in U.scan_audio_manifest(spark, str(tmp_path)).collect()}
+    assert rows["b.wav"]["length"] == 1 << 30 and rows["b.wav"]["duration"] == ((1 << 30) - 44) / 32000
+    assert rows["c.wav"]["duration"] == 1.0 and all(r["header_bytes"] < 1000 for r in rows.values())
+
+
+def test_headers():
+    pcm = lambda size, head=b"RIFF": head + struct.pack("<I", 36 + size) + b"WAVEfmt " + struct.pack("<IHHIIHH", 16, 1, 2, 8000, 32000, 4, 16)
+    read = lambda data, length=None: U.read_header(io.BytesIO(data), len(data) if length is None else length)
+    data = lambda size: b"data" + struct.pack("<I", size)
+    assert read(pcm(32) + data(32) + bytes(32)).duration == 8 / 8000
+    # more promised than there is, and a last frame that is not whole
+    assert read(pcm(32) + data(400) + bytes(31)).duration == 7 / 8000
+    wide = pcm(0, b"RF64").replace(b"fmt ", b"ds64" + struct.pack("<IQQQ", 24, 0, 64, 16) + b"fmt ", 1)
+    assert read(wide + data(0xFFFFFFFF) + bytes(64)).duration == 16 / 8000
+    for broken in (b"", b"RIFF", pcm(0), pcm(0)[:30], b"RIFX" + pcm(0)[4:] + data(0), pcm(0).replace(struct.pack("<I", 8000), bytes(4)) + data(4) + bytes(4)):
+        assert read(broken).duration == -1.0 and read(broken).sr is None
+    assert read(b"RIFF" + bytes(4) + b"WAVE" + (b"junk" + bytes(4)) * 5000).header_bytes < 9000
+
+
+def test_files_are_dealt_by_what_they_cost(spark, tmp_path):
+    for k in range(20):
+        write_wav(tmp_path / f"{k:02d}.wav", 10)
+    wavfiles.register(spark)
+    df = spark.read.format(wavfiles.NAME).option("partition_bytes", str(4 * wavfiles.OPEN_BYTES)).load(str(tmp_path))
+    assert df.rdd.getNumPartitions() == 5 and df.count() == 20
+    U.write_audio_files(df.limit(0).select(F.lit("x").alias("name"), F.lit(b"").alias("content")), str(tmp_path / "none"))
+    assert U.scan_audio_manifest(spark, str(tmp_path / "none")).count() == 0
+    twice = spark.createDataFrame([("a.wav", b"1"), ("b.wav", b"22")], "name string, content binary")
+    for _ in range(2):
+        U.write_audio_files(twice, str(tmp_path / "twice"))
+    assert sorted(p.name for p in (tmp_path / "twice").iterdir() if not p.name.endswith(".crc")) == ["a.wav", "b.wav"]
+
+
 def test_inputs(column):
     x = F.col("x")
     cases = {

@@ -273,15 +273,14 @@ def _(spark, d):
     "pair_timestamps",
     f"""WITH {WORDS_SQL}, w AS (SELECT doc_id, unnest(words) AS word, unnest(range(0, len(words))) AS i FROM words)
     SELECT doc_id, i, word, round(round((i * 137 + 11) / 1000.0, 3) + 180.25, 3) AS start_time,
-           round(round((i * 137 + 90) / 1000.0, 3) + 180.25, 3) AS end_time FROM w""",
+           round(round((i * 137 + 90) / 1000.0, 3) + 180.25, 3) AS end_time FROM documents LEFT JOIN w USING (doc_id)""",
 )
 def _(spark, d):
     docs = documents(spark, d).select("doc_id", tokenize_space_lang(F.col("text")).alias("words"))
-    docs = docs.where(F.size("words") > 0)
     # word i lasts from 137 i + 11 to 137 i + 90 milliseconds
     times = F.flatten(F.transform("words", lambda w, i: F.array(i * 137 + 11, i * 137 + 90)))
     spans = docs.select("doc_id", "words", times.alias("ms")).select(
-        "doc_id", F.posexplode(pair_timestamps(F.col("words"), F.col("ms"), F.lit(180.25))).alias("i", "s")
+        "doc_id", F.posexplode_outer(pair_timestamps(F.col("words"), F.col("ms"), F.lit(180.25))).alias("i", "s")
     )
     return spans.select("doc_id", F.col("i").cast("bigint").alias("i"), F.col("s.text").alias("word"), "s.start_time", "s.end_time")
 

@@ -9,6 +9,7 @@ from voxloom.catalog.registry import query
 from voxloom.functions import signal as G
 from voxloom.operators import windows as W
 from voxloom.sources import audio as U
+from voxloom.session import scratch_path
 from voxloom.sources.readers import table
 
 SR = 16
@@ -101,11 +102,14 @@ def _(spark, d):
     """SELECT vec_id, CASE WHEN label = 7 THEN NULL ELSE 8 END AS sr, CASE WHEN label = 7 THEN -1.0 ELSE len(embedding) / 8.0 END AS duration FROM embeddings""",
 )
 def _(spark, d):
-    # file contents made from the table; one label stands for files that were cut off in the header
+    # one file per signal in the shared folder; one label stands for files that were cut off in the header
+    folder = scratch_path(spark, "clips")
     content = U.wav_bytes(G.to_pcm16(F.col("wav")), 8)
     content = F.when(F.col("label") == 7, F.substring(content, 1, 20)).otherwise(content)
-    files = _waves(spark, d).select("vec_id", content.alias("content"))
-    return files.select("vec_id", U.wav_header("content").alias("h")).select("vec_id", "h.sr", "h.duration")
+    name = F.concat("vec_id", F.lit(".wav"))
+    U.write_audio_files(_waves(spark, d).select(name.alias("name"), content.alias("content")), folder)
+    files = U.scan_audio_manifest(spark, folder)
+    return files.select(F.regexp_extract("path", r"(\d+)\.wav$", 1).cast("bigint").alias("vec_id"), "sr", "duration")
 
 
 # --- waveform functions ---------------------------------------------------------------------------------------------

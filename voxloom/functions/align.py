@@ -77,8 +77,19 @@ def monotone_keep_mask(values: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(ArrayType(LongType()))
-def repair_timestamps(values: pd.Series) -> pd.Series:
-    return values.map(repair_values)
+def _repaired(values: pd.Series) -> pd.Series:
+    return values.map(lambda v: None if v is None else repair_values(v))
+
+
+def repair_timestamps(values: Column | str) -> Column:
+    """``repair_values`` of integer lists. A list that is in order is its own repair: that is told in the JVM, by sorting what
+    is sorted already, and only lists with a dip travel to Python."""
+    column = F.col(values) if isinstance(values, str) else values
+
+    def repaired_or_null(v: Column) -> Column:
+        return F.when(F.sort_array(v) != v, v)
+
+    return F.coalesce(_repaired(bind(column, repaired_or_null)), column)
 
 
 def pair_timestamps(words: Column, millis: Column, offset: Column | None = None) -> Column:

@@ -8,6 +8,7 @@ back. ``block`` is any column that never decreases along ``order`` inside a key;
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,13 +41,31 @@ def value_block(value: Column, width: int = 65536) -> Column:
     return F.floor(value / width)
 
 
+def _at_most(borders: Sequence, value: Column, kind: str) -> Column:
+    """How many of the sorted borders are at most ``value``, by bisection of a literal array."""
+    literal = F.expr(f"array({', '.join(f'{b}BD' if isinstance(b, Decimal) else repr(b) for b in borders)})").cast(f"array<{kind}>")
+    count = len(borders)
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(count.bit_length()))])
+
+    def narrowed(low: Column, step: Column) -> Column:
+        # a border past the end is null, which is never reached
+        return F.when(F.get(literal, low + step - 1) <= value, low + step).otherwise(low)
+
+    return F.aggregate(steps, F.lit(0), narrowed)
+
+
 def range_block(df: DataFrame, column: str, blocks: int = 4096) -> Column:
-    """At most ``blocks`` blocks (and one for nulls) over the range that the values of a column have, however sparse."""
-    low = df.agg(F.min(F.col(column).cast("decimal(38,0)"))).scalar()
-    high = df.agg(F.max(F.col(column).cast("decimal(38,0)"))).scalar()
-    # rounding may reach the end of the range, but never changes the order
-    share = (F.col(column).cast("decimal(38,0)") - low).cast("double") / (high - low + 1).cast("double")
-    return F.when(share.isNotNull(), F.least(F.floor(share * blocks), F.lit(blocks - 1))).cast("bigint")
+    """At most ``blocks`` blocks of about equal numbers of rows (and one for nulls), whatever the numbers are like.
+
+    The borders are quantiles from a summary that every partition makes of its own values and that are merged, with an
+    error of a quarter of a block. They come back once, at most ``blocks`` numbers, and are looked up by bisection.
+    Equal values share a block, so the column should be a key.
+    """
+    marks = ", ".join(f"{k / blocks!r}D" for k in range(1, blocks))
+    found = df.agg(F.expr(f"approx_percentile(`{column}`, array({marks}), {4 * blocks})").alias("borders")).first()[0]
+    borders = sorted(set(found or ()))
+    here = _at_most(borders, F.col(column), df.schema[column].dataType.simpleString()) if borders else F.lit(0)
+    return F.when(F.col(column).isNotNull(), here).cast("bigint")
 
 
 def hash_block(digest: Column, digits: int = 3) -> Column:

@@ -1,9 +1,8 @@
-"""Audio inputs: classification, base64 and PCM payloads, WAV headers."""
+"""Audio inputs: classification, base64 and PCM payloads, WAV headers of bytes and of files."""
 
 from __future__ import annotations
 
 import io
-import wave
 
 import numpy as np
 import pandas as pd
@@ -12,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, StructField, StructType
 
 from voxloom.functions.text import after_first, trim_py
+from voxloom.sources import wavfiles
+from voxloom.sources.wavfiles import read_header
 
 BASE64_MIN_CHARS = 256
 PCM_BYTES = 4
@@ -51,11 +52,8 @@ def wav_header(body: pd.Series) -> pd.DataFrame:
     """Rate, channels and seconds from a WAV header; an unreadable file has a duration of -1."""
 
     def read(data):
-        try:
-            with wave.open(io.BytesIO(data)) as w:
-                return w.getframerate(), w.getnchannels(), w.getnframes() / w.getframerate()
-        except Exception:  # whatever is wrong with the file, it only becomes unreadable
-            return None, None, -1.0
+        header = read_header(io.BytesIO(data or b""), len(data or b""))
+        return header.sr, header.channels, header.duration
 
     rows = pd.DataFrame([read(b) for b in body], columns=["sr", "channels", "duration"], dtype=object)
     return rows.astype({"sr": "Int32", "channels": "Int32", "duration": "float64"})
@@ -68,14 +66,15 @@ def list_audio(spark: SparkSession, folder: str, pattern: str = "*.wav") -> Data
 
 
 def scan_audio_manifest(spark: SparkSession, folder: str, pattern: str = "*.wav") -> DataFrame:
-    """(path, length, sr, channels, duration) of every audio file of a folder tree."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true")
-        .load(folder)
-    )
-    return files.select("path", "length", wav_header("content").alias("h")).select("path", "length", "h.*")
+    """(path, length, sr, channels, duration, header_bytes) of every audio file of a folder tree, from the headers alone."""
+    wavfiles.register(spark)
+    return spark.read.format(wavfiles.NAME).option("pattern", pattern).load(folder)
+
+
+def write_audio_files(df: DataFrame, folder: str) -> None:
+    """One file per row of a table (name, content), in a folder of the shared store."""
+    wavfiles.register(df.sparkSession)
+    df.select("name", "content").write.format(wavfiles.NAME).mode("append").save(folder)
 
 
 def _little_endian(value: Column, size: int) -> Column:

@@ -46,16 +46,20 @@ def preview_rows(df: DataFrame, order: str, rows: int, chars: int, columns: list
 
 
 def export_splits(
-    df: DataFrame, path: str, split: str = "split", names: tuple[str, ...] = ("train", "eval"), small_files: int = 1
+    df: DataFrame, path: str, split: str = "split", names: tuple[str, ...] = ("train", "eval"), file_rows: int = 100_000
 ) -> None:
-    """JSON lines in one folder per split (``split=train``, ``split=eval``), all written in a single pass over the table.
+    """JSON lines in one folder per split (``split=train``, ``split=eval``), all written in a single pass over the rows.
 
-    The small splits are gathered in ``small_files`` tasks, so they do not become one tiny file per task; the rows of the
-    first split are dealt out evenly. A split without rows gets an empty folder.
+    Every split gets as many files as it has ``file_rows`` rows, each written by a task of its own, so neither is a small split
+    scattered over tiny files nor a large one the work of one task. The rows per split are counted first; the counts
+    read nothing but the split. A split without rows gets an empty folder.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = F.when(F.col(split).eqNullSafe(names[0]), parts).otherwise(small_files)
-    df = df.withColumn("_file", F.pmod(F.xxhash64(*df.columns), spread))
+    sizes = df.groupBy(split).agg(F.ceil(F.count(F.lit(1)) / file_rows).alias("_files"))
+    # one row per split; which file a row goes to follows from its content
+    dealt = df.withColumn("_hash", F.xxhash64(*df.columns)).withColumnRenamed(split, "_split").join(
+        F.broadcast(sizes), F.col("_split").eqNullSafe(F.col(split))
+    )
+    df = dealt.withColumn("_file", F.pmod("_hash", "_files")).drop("_hash", "_files", "_split").select(*df.columns, "_file")
     df = df.repartition(split, "_file").drop("_file")
     df.write.option("ignoreNullFields", "false").partitionBy(split).json(path)
     spark, schema = df.sparkSession, df.drop(split).schema
