@@ -2,12 +2,16 @@
 
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from voxloom.session import ROCKSDB, scratch_path
+from voxloom.sources.pieces import read_pieces, write_pieces
+from voxloom.streaming import idle
 from voxloom.streaming import sessions as S
 from voxloom.streaming import twins as T
+from voxloom.streaming import upserts
 from voxloom.streaming.replay import read_table_stream, replay
 
 ORDER = ["ts", "event_id"]
@@ -68,7 +72,7 @@ def restated(n, size, settings, end):
     return out
 
 
-@pytest.mark.parametrize("way", ["one call", "two calls", "files in reverse"])
+@pytest.mark.parametrize("way", ["one piece", "pieces", "files in reverse"])
 def test_steps(spark, way):
     settings = S.StreamSettings(
         chunk_seconds=3, sr=1, unfixed_chunks=1, unfixed_tokens=2, ttl_seconds=None, keep_audio=True
@@ -86,7 +90,7 @@ def test_steps(spark, way):
         steps = S.run_available(S.stream_steps(stream, "user_id", "number", settings, words), "reverse").collect()
         steps = [r for r in steps if r["n_seen"] > 0]
     else:
-        steps = replay(rows, [5], "user_id", settings, words, cycle=1 if way == "one call" else 2).collect()
+        steps = replay(rows, {"one piece": 100, "pieces": 5}[way], "user_id", settings, words).collect()
     for session, n in sizes.items():
         mine = sorted((r for r in steps if r["user_id"] == session), key=lambda r: r["chunk_id"])
         assert [(r["n_seen"], r["prefix"], r["raw"]) for r in mine] == restated(n, 3, settings, True)
@@ -123,6 +127,120 @@ def test_idle_gap_rule(spark):
 def test_stream_equals_batch(spark):
     rows = session_rows(spark, {1: 11, 2: 4}, end=False).withColumn("ts", F.timestamp_seconds("number"))
     settings = S.StreamSettings(chunk_seconds=4, sr=1, ttl_seconds=None)
-    live = {(r["user_id"], r["chunk_id"]): (r["n_seen"], r["sum_seen"]) for r in replay(rows.drop("ts"), [3], "user_id", settings, words, cycle=3).collect()}
+    live = {(r["user_id"], r["chunk_id"]): (r["n_seen"], r["sum_seen"]) for r in replay(rows.drop("ts"), 3, "user_id", settings, words).collect()}
     stored = T.cumulative(T.chunk_buffer(rows, "user_id", "ts", ["ts", "number"], "value", 4), "user_id").collect()
     assert live == {(r["user_id"], r["chunk_id"]): (r["n_seen"], r["sum_seen"]) for r in stored}
+
+
+class Store:
+    """A state map in memory that counts what is read and written."""
+
+    def __init__(self):
+        self.held, self.moved = {}, 0
+
+    def containsKey(self, key):
+        return key in self.held
+
+    def getValue(self, key):
+        self.moved += len(self.held[key][0])
+        return self.held[key]
+
+    def updateValue(self, key, value):
+        self.moved += len(value[0])
+        self.held[key] = value
+
+    def removeKey(self, key):
+        del self.held[key]
+
+
+@pytest.mark.parametrize("size", [10, 997, 4096])
+def test_early_samples_cost_their_own_stretches(size):
+    # the first sample of a session comes last, in frames of so many samples
+    n = 200_000
+    processor = S.SessionProcessor(S.StreamSettings(), words, "number", "k")
+    processor.early = Store()
+    state = {"n_seen": 0, "buffer": np.empty(0, np.float32), "waiting": 0}
+    values = np.arange(n, dtype=np.float32)
+    got = []
+    for low in range(1, n if size > 10 else 3000, size):
+        numbers = np.arange(low, min(low + size, n if size > 10 else 3000))
+        got.append(processor._due(state, np.append(numbers, numbers[:3]), np.append(values[numbers], [-1, -1, -1])))
+    top = n if size > 10 else 3000
+    assert not any(len(g) for g in got) and state["waiting"] == top - 1
+    first = processor._due(state, np.array([0]), values[:1])
+    assert np.array_equal(first, values[:top]) and state["waiting"] == 0 and not processor.early.held
+    # every sample is moved as often as its stretch is touched, and not once per frame of the session
+    assert processor.early.moved <= 2 * (top + S.STRETCH) * (S.STRETCH // size + 3)
+
+
+def test_samples_in_any_order():
+    import random
+
+    chance = random.Random(2)
+    for _ in range(30):
+        n = chance.randint(1, 40)
+        processor = S.SessionProcessor(S.StreamSettings(), words, "number", "k")
+        processor.early = Store()
+        state = {"n_seen": 0, "buffer": np.empty(0, np.float32), "waiting": 0}
+        rows = [k for k in range(n) for _ in range(chance.randint(1, 2))]
+        chance.shuffle(rows)
+        out = []
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(S, "STRETCH", chance.choice([1, 3, 8, 100]))
+            while rows:
+                frame, rows = rows[: 4], rows[4:]
+                due = processor._due(state, np.array(frame), np.array(frame, dtype=np.float32))
+                state["n_seen"] += len(due)
+                out += due.tolist()
+        assert out == [float(k) for k in range(n)] and state["waiting"] == 0 and not processor.early.held
+
+
+def test_pieces_are_read_once_and_in_order(spark):
+    rows = spark.range(40).withColumn("ts", F.timestamp_seconds("id"))
+    folder, out, checkpoint = (scratch_path(spark, f"pieces-{n}") for n in ("in", "out", "checkpoint"))
+    write_pieces(rows.where("id < 20"), folder, F.floor(F.col("id") / 10))
+    batches = []
+
+    def run():
+        stream = read_pieces(spark, rows.schema, folder)
+        keep = lambda df, n: (batches.append(sorted(r["id"] for r in df.select("id").collect())), df.write.mode("append").parquet(out))
+        S.run_writer(stream, lambda w: w.foreachBatch(keep), checkpoint, paced=True)
+
+    run()
+    assert [b for b in batches if b] == [list(range(10)), list(range(10, 20))]
+    # more pieces, and a run that goes on from the checkpoint
+    write_pieces(rows.where("id >= 20"), folder + "-more", F.floor(F.col("id") / 10))
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for k in (2, 3):
+        source, target = files.Path(f"{folder}-more/piece={k}"), files.Path(f"{folder}/piece={k}")
+        files.FileUtil.copy(source.getFileSystem(conf), source, target.getFileSystem(conf), target, False, conf)
+    run()
+    assert [b for b in batches if b][2:] == [list(range(20, 30)), list(range(30, 40))]
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == list(range(40))
+
+
+def test_open_stretches_meet():
+    of = lambda *points: [list(map(int, x)) for x in idle.merged(*(np.array(p) for p in zip(*points)), 10)]
+    assert of((0, 0, 1), (10, 10, 1), (21, 21, 1)) == [[0, 21], [10, 21], [2, 1]]
+    assert of((0, 30, 5), (5, 5, 1), (41, 50, 2), (40, 40, 1)) == [[0], [50], [9]]
+    assert [len(x) for x in idle.merged(*[np.zeros(0, dtype=np.int64)] * 3, 10)] == [0, 0, 0]
+
+
+def test_a_replayed_batch_changes_nothing(spark):
+    table = upserts.LatestTable(
+        spark, scratch_path(spark, "upserts"), spark.createDataFrame([], "k int, step int, v string").schema, ["k"], ["step"], compact_every=3
+    )
+    want = {}
+    for number in range(8):
+        rows = [(k, number * 10 + s, f"{k} {number} {s}") for k in range(number % 4, 6) for s in range(3)]
+        want |= {k: (step, v) for k, step, v in rows}
+        batch = spark.createDataFrame(rows, "k int, step int, v string")
+        for _ in range(1 + number % 2):
+            table.merge(batch, number)
+        assert {r["k"]: (r["step"], r["v"]) for r in table.read().collect()} == want
+    # a batch from before the last compaction, replayed once more
+    table.merge(spark.createDataFrame([(0, 50, "0 5 0")], "k int, step int, v string"), 5)
+    table.merge(batch, 7)
+    assert {r["k"]: (r["step"], r["v"]) for r in table.read().collect()} == want
+    assert table._folders("base") == [2, 5] and len(table._parts().inputFiles()) < 20

@@ -9,9 +9,12 @@ from voxloom.catalog.registry import query
 from voxloom.operators.ordered import micros
 from voxloom.sources.readers import table
 from voxloom.session import materialize, scratch_path
+from voxloom.sources.pieces import read_pieces, write_pieces
 from voxloom.streaming import sessions as S
 from voxloom.streaming import twins as T
+from voxloom.streaming.idle import closed_sessions
 from voxloom.streaming.replay import numbered_samples, read_table_stream, replay
+from voxloom.streaming.upserts import run_upserts
 
 ORDER = ["ts", "event_id"]
 CHUNK = 4
@@ -29,13 +32,17 @@ def _samples(spark, d, end=False):
     return numbered_samples(table(spark, d, "events"), "user_id", "ts", ORDER, "value", end)
 
 
-def _steps(spark, d, settings=SETTINGS, end=False):
-    """Steps over the samples in files of no order; a small limit of bytes makes a batch of each file or two."""
+def _sample_stream(spark, d, end=False):
+    """The samples in files of no order; a small limit of bytes makes a batch of each file or two."""
     path = scratch_path(spark, "samples")
     samples = _samples(spark, d, end)
     samples.repartition(4, F.xxhash64("user_id", "number")).write.parquet(path)
-    stream = read_table_stream(samples, path, batch_bytes=1 << 16)
-    return S.run_available(S.stream_steps(stream, "user_id", "number", settings, count_model), "steps")
+    return read_table_stream(samples, path, batch_bytes=1 << 16)
+
+
+def _steps(spark, d, settings=SETTINGS, end=False):
+    steps = S.stream_steps(_sample_stream(spark, d, end), "user_id", "number", settings, count_model)
+    return S.run_available(steps, "steps")
 
 
 @query(
@@ -109,8 +116,13 @@ def _(spark, d):
         FROM steps GROUP BY user_id""",
 )
 def _(spark, d):
+    # every batch of the stream, in Update mode, goes into a table of latest rows
     settings = S.StreamSettings(chunk_seconds=CHUNK, sr=1, unfixed_chunks=10**9, ttl_seconds=None, keep_audio=True)
-    latest = S.latest_step(_steps(spark, d, settings, end=True), "user_id")
+    steps = S.stream_steps(_sample_stream(spark, d, end=True), "user_id", "number", settings, count_model, "Update")
+    latest = run_upserts(
+        steps.select("user_id", "chunk_id", "language", "text"), scratch_path(spark, "latest"), ["user_id"], ["chunk_id"],
+        scratch_path(spark, "latest-checkpoint"), compact_every=3,
+    )
     return latest.select("user_id", F.col("chunk_id").cast("bigint").alias("chunk_id"), "language", "text")
 
 
@@ -126,7 +138,7 @@ def _(spark, d):
 
 
 @query(
-    "stream_session_ttl",
+    "stream_session_ttl_batch",
     """WITH g AS (SELECT user_id, ts, event_id, coalesce(epoch_us(ts) - epoch_us(lag(ts) OVER w) > 21600000000, false) AS opens FROM events
                   WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
     s AS (SELECT user_id, ts, sum(opens::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM g)
@@ -138,20 +150,62 @@ def _(spark, d):
     return sessions.select("user_id", "session", "n", (micros(F.col("ended")) - micros(F.col("started"))).alias("lasted"))
 
 
+# one event in fifty is sent after all others; the stream has dropped those that the watermark had passed by then
+_TTL_US, _DELAY_MS = 6 * 3600 * 1_000_000, 2 * 3600 * 1000
+
+
 @query(
-    "stream_replay_steps",
-    f"""WITH {_STEPS_SQL}, r AS (SELECT user_id, count(*) AS chunks, CAST(sum(n_new) AS BIGINT) AS n_seen, round(sum(sum_new), 3) AS total
-        FROM steps WHERE n_new = {CHUNK} GROUP BY user_id)
-    SELECT pieces, user_id, chunks, n_seen, total FROM r, unnest([2, 4, 8, 16]) AS t(pieces)""",
+    "stream_session_ttl",
+    f"""WITH newest AS (SELECT epoch_ms(max(ts)) - {_DELAY_MS} AS mark FROM events WHERE event_id % 50 <> 0),
+    seen AS (SELECT user_id, epoch_us(ts) AS us, event_id FROM events, newest WHERE event_id % 50 <> 0 OR epoch_us(ts) > mark * 1000),
+    g AS (SELECT *, coalesce(us - lag(us) OVER (PARTITION BY user_id ORDER BY us, event_id) > {_TTL_US}, false) AS opens FROM seen),
+    s AS (SELECT *, sum(opens::INT) OVER (PARTITION BY user_id ORDER BY us, event_id) AS session FROM g)
+    SELECT user_id, CAST(session AS BIGINT) AS session, count(*) AS n, max(us) - min(us) AS lasted FROM s GROUP BY user_id, session""",
 )
 def _(spark, d):
-    # half a chunk, one, two and four chunks a call, three calls each, the rest with the last
-    samples = materialize(_samples(spark, d), "samples")
-    runs = [
-        replay(samples, [pieces], "user_id", SETTINGS, count_model, cycle=3)
-        .groupBy("user_id")
-        .agg(F.count(F.lit(1)).alias("chunks"), F.max("n_seen").alias("n_seen"), F.round(F.sum("sum_new"), 3).alias("total"))
-        .withColumn("pieces", F.lit(pieces))
-        for pieces in (2, 4, 8, 16)
+    events = table(spark, d, "events").select("user_id", "ts", "event_id")
+    at = micros(F.col("ts"))
+    late = F.col("event_id") % 50 == 0
+    newest = events.agg(F.max(F.when(~late, at)).alias("us"))
+    low, high = events.agg(F.min(at)).scalar(), events.agg(F.max(at)).scalar()
+    # six slices of time, an event up to an hour behind its slice; a row of no user, after which the watermark of the slices
+    # holds for what comes; the late ones; and a row that moves the watermark past all sessions
+    jitter = F.col("event_id") % 7 * 600_000_000
+    slices = F.floor((at + jitter - low) * 6 / (high + 3_600_000_001 - low))
+    dealt = events.select("user_id", "ts", F.when(late, 7).otherwise(slices).cast("bigint").alias("p"))
+    past = events.agg((F.max(at) + _TTL_US + _DELAY_MS * 1000 + 1_000_000).alias("us"))
+    marks = [
+        one.select(
+            F.lit(-1).cast("bigint").alias("user_id"), F.timestamp_micros("us").cast(events.schema["ts"].dataType).alias("ts"),
+            F.lit(p).cast("bigint").alias("p"),
+        )
+        for one, p in ((newest, 6), (past, 8))
     ]
-    return reduce(DataFrame.unionByName, runs)
+    rows = dealt.unionByName(marks[0]).unionByName(marks[1])
+    folder = scratch_path(spark, "event-pieces")
+    write_pieces(rows, folder, F.col("p"))
+    stream = read_pieces(spark, rows.select("user_id", "ts").schema, folder)
+    sessions = S.run_available(closed_sessions(stream, "user_id", "ts", "2 hours", _TTL_US / 1e6), "idle", paced=True)
+    return sessions.where("user_id >= 0").select("user_id", "session", "n", (F.col("ended_us") - F.col("started_us")).alias("lasted"))
+
+
+REPLAY_CHUNK = 16
+
+
+@query(
+    "stream_replay_steps",
+    f"""WITH placed AS (SELECT user_id, value::FLOAT::DOUBLE AS x, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS pos FROM events),
+    steps AS (SELECT user_id, pos // {REPLAY_CHUNK} AS chunk_id, count(*) AS n_new, sum(x) AS sum_new FROM placed GROUP BY ALL)
+    SELECT pieces, user_id, chunk_id, n_new, CAST(sum(n_new) OVER w AS BIGINT) AS n_seen, round(sum(sum_new) OVER w, 3) AS sum_seen,
+           n_new < {REPLAY_CHUNK} AS final
+    FROM steps, unnest([8, 16, 32, 64]) AS t(pieces) WINDOW w AS (PARTITION BY pieces, user_id ORDER BY chunk_id)""",
+)
+def _(spark, d):
+    # whole sessions with their closing rows, fed by half a chunk, one, two and four chunks a trigger
+    settings = S.StreamSettings(chunk_seconds=REPLAY_CHUNK, sr=1, unfixed_chunks=10**9, ttl_seconds=None)
+    samples = materialize(_samples(spark, d, end=True), "samples")
+    runs = [replay(samples, size, "user_id", settings, count_model).withColumn("pieces", F.lit(size)) for size in (8, 16, 32, 64)]
+    return reduce(DataFrame.unionByName, runs).select(
+        "pieces", "user_id", F.col("chunk_id").cast("bigint").alias("chunk_id"), F.col("n_new").cast("bigint").alias("n_new"), "n_seen",
+        F.round("sum_seen", 3).alias("sum_seen"), "final",
+    )

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.operators.ordered import fitting_seconds, time_block, with_position
 from voxloom.session import scratch_path
+from voxloom.sources.pieces import read_pieces, write_pieces
 from voxloom.streaming.sessions import StreamSettings, run_available, stream_steps
 
 
@@ -38,26 +39,22 @@ def numbered_samples(df: DataFrame, key: str, ts: str, order: Sequence[str], val
     return samples.unionByName(closing)
 
 
+def piece_of(number: Column, end: Column, size: int) -> Column:
+    """Piece of a sample when a session is fed in pieces of ``size`` samples; the closing row has a piece of its own behind them."""
+    return F.when(end, F.ceil(number / size)).otherwise(F.floor(number / size)).cast("bigint")
+
+
 def replay(
-    samples: DataFrame, pieces: Sequence[int], key: str, settings: StreamSettings, factory: Callable, cycle: int | None = None
+    samples: DataFrame, size: int, key: str, settings: StreamSettings, factory: Callable, out: str | None = None,
+    checkpoint: str | None = None, folder: str | None = None,
 ) -> DataFrame:
-    """Feed numbered samples in several calls to one stream and give all its steps.
+    """Feed whole numbered sessions to one stream, ``size`` samples of every session a trigger, and give all its steps.
 
-    Call k brings the samples whose number, cut into pieces of ``pieces[i]`` samples in turn, lies in the k-th piece; so
-    pieces of one size are calls of that many samples, and the last call brings all that is left. Every call is
-    appended to the input folder and consumed by a run that continues from the checkpoint. ``cycle`` limits the calls.
+    The pieces are written once, as numbered pieces of a stored table; the run reads one of them per trigger, in order, until
+    none is left. Closing rows, where ``samples`` has them, come in a piece of their own and flush the tails.
     """
     spark = samples.sparkSession
-    source, out, checkpoint = (scratch_path(spark, f"replay-{n}") for n in ("in", "out", "checkpoint"))
-    calls = cycle or len(pieces)
-    ends = [sum(pieces[i % len(pieces)] for i in range(k + 1)) for k in range(calls - 1)]
-    number = F.col("number")
-    stream, low = None, None
-    for high in [*ends, None]:
-        chosen = F.lit(True) if low is None else number >= low
-        samples.where(chosen if high is None else chosen & (number < high)).write.mode("append").parquet(source)
-        if stream is None:
-            stream = stream_steps(read_table_stream(samples, source), key, "number", settings, factory)
-        result = run_available(stream, "replay", out, checkpoint)
-        low = high
-    return result
+    folder = folder or scratch_path(spark, "replay-in")
+    write_pieces(samples, folder, piece_of(F.col("number"), F.col("end"), size))
+    stream = stream_steps(read_pieces(spark, samples.schema, folder), key, "number", settings, factory)
+    return run_available(stream, "replay", out, checkpoint, paced=True)

@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
@@ -35,6 +35,8 @@ from voxloom.operators.hooks import loaded
 from voxloom.session import ROCKSDB, scratch_path
 
 BROKEN_CHARACTER = "\ufffd"
+#: Sample numbers that share one entry of waiting samples.
+STRETCH = 4096
 
 
 @dataclass(frozen=True)
@@ -115,9 +117,10 @@ class SessionProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.progress = handle.getValueState(
-            "progress", "chunk_id int, n_seen bigint, sum_seen double, raw string, buffer array<float>, size bigint"
+            "progress", "chunk_id int, n_seen bigint, sum_seen double, raw string, buffer array<float>, size bigint, waiting bigint"
         )
-        self.early = handle.getValueState("early", "numbers array<bigint>, samples array<float>")
+        # samples that wait for others, by stretches of numbers: a frame touches only the stretches it belongs to
+        self.early = handle.getMapState("early", "stretch bigint", "numbers array<bigint>, samples array<float>")
         self.audio = handle.getListState("audio", "chunk array<float>")
         self.model = loaded("stream", self.factory)
 
@@ -141,32 +144,58 @@ class SessionProcessor(StatefulProcessor):
 
     def _load(self) -> dict:
         if not self.progress.exists():
-            return {"chunk_id": 0, "n_seen": 0, "sum_seen": 0.0, "raw": "", "buffer": np.empty(0, np.float32), "size": -1}
-        chunk_id, n_seen, sum_seen, raw, buffer, size = self.progress.get()
+            return {"chunk_id": 0, "n_seen": 0, "sum_seen": 0.0, "raw": "", "buffer": np.empty(0, np.float32), "size": -1, "waiting": 0}
+        chunk_id, n_seen, sum_seen, raw, buffer, size, waiting = self.progress.get()
         return {
             "chunk_id": chunk_id, "n_seen": n_seen, "sum_seen": sum_seen, "raw": raw,
-            "buffer": np.asarray(buffer, dtype=np.float32), "size": size,
+            "buffer": np.asarray(buffer, dtype=np.float32), "size": size, "waiting": waiting,
         }
 
-    def _load_early(self) -> tuple[np.ndarray, np.ndarray]:
-        numbers, samples = self.early.get() if self.early.exists() else ((), ())
+    def _waiting(self, stretch: int) -> tuple[np.ndarray, np.ndarray]:
+        numbers, samples = self.early.getValue((stretch,)) if self.early.containsKey((stretch,)) else ((), ())
         return np.asarray(numbers, dtype=np.int64), np.asarray(samples, dtype=np.float32)
 
     def _due(self, state: dict, numbers: np.ndarray, samples: np.ndarray) -> np.ndarray:
-        """The samples that follow on those consumed; the others are kept until what lies before them is there."""
-        early = self._load_early()
-        numbers, samples = np.concatenate([early[0], numbers]), np.concatenate([early[1], samples])
+        """The samples that follow on those consumed; the others are kept until what lies before them is there.
+
+        Only the stretches that the frame's own samples belong to and those that become due are read and written, so a
+        session whose first sample comes last costs as much as one in order.
+        """
+        after = state["n_seen"] + len(state["buffer"])
         # the first row of a number counts
         numbers, first = np.unique(numbers, return_index=True)
-        after = state["n_seen"] + len(state["buffer"])
         ahead = numbers >= after
         numbers, samples = numbers[ahead], samples[first][ahead]
-        due = int((numbers == after + np.arange(len(numbers))).sum())
-        if due < len(numbers):
-            self.early.update((numbers[due:].tolist(), samples[due:].tolist()))
-        elif len(early[0]):
-            self.early.clear()
-        return samples[:due]
+        stretches = numbers // STRETCH
+        own = {int(k): (numbers[stretches == k], samples[stretches == k]) for k in np.unique(stretches)}
+        due: list[np.ndarray] = []
+        at = after // STRETCH
+        while at in own or state["waiting"]:
+            kept = self._waiting(at) if state["waiting"] else (numbers[:0], samples[:0])
+            mine = own.pop(at, (numbers[:0], samples[:0]))
+            both = np.concatenate([kept[0], mine[0]])
+            both, first = np.unique(both, return_index=True)
+            values = np.concatenate([kept[1], mine[1]])[first]
+            ready = int((both == after + np.arange(len(both))).sum())
+            if ready:
+                due.append(values[:ready])
+                after += ready
+            self._keep(state, at, len(kept[0]), both[ready:], values[ready:])
+            if after < (at + 1) * STRETCH:
+                break
+            at += 1
+        for stretch, (more, values) in own.items():
+            kept = self._waiting(stretch) if state["waiting"] else (more[:0], values[:0])
+            both, first = np.unique(np.concatenate([kept[0], more]), return_index=True)
+            self._keep(state, stretch, len(kept[0]), both, np.concatenate([kept[1], values])[first])
+        return np.concatenate(due) if due else samples[:0]
+
+    def _keep(self, state: dict, stretch: int, before: int, numbers: np.ndarray, samples: np.ndarray) -> None:
+        state["waiting"] += len(numbers) - before
+        if len(numbers):
+            self.early.updateValue((stretch,), (numbers.tolist(), samples.tolist()))
+        elif before:
+            self.early.removeKey((stretch,))
 
     def _heard(self) -> list[np.ndarray]:
         keep = self.settings.keep_audio
@@ -193,7 +222,7 @@ class SessionProcessor(StatefulProcessor):
             self.progress.update(
                 (
                     state["chunk_id"], state["n_seen"], state["sum_seen"], state["raw"], state["buffer"].tolist(),
-                    state["size"],
+                    state["size"], state["waiting"],
                 )
             )
         columns = ["chunk_id", "n_new", "n_seen", "sum_new", "sum_seen", "prefix", "raw", "final"]
@@ -237,17 +266,17 @@ class SessionProcessor(StatefulProcessor):
 
 
 def stream_steps(
-    events: DataFrame, key: str, number: str, settings: StreamSettings, factory: Callable
+    events: DataFrame, key: str, number: str, settings: StreamSettings, factory: Callable, mode: str = "Append"
 ) -> DataFrame:
     """Recognition steps of a stream with columns key, number, value and end (true on the closing row of a session).
 
-    It needs the state store of ``ROCKSDB``; ``run_available`` sets it while it starts the stream.
+    ``mode`` is the output mode of the stream, Append or Update. It needs the state store of ``ROCKSDB``; ``run_available`` sets it while it starts the stream.
     """
     processor = SessionProcessor(settings, factory, number, key)
     steps = events.groupBy(key).transformWithStateInPandas(
         processor,
         stream_steps_schema(events.schema[key]),
-        "Append",
+        mode,
         "None" if settings.ttl_seconds is None else "ProcessingTime",
     )
     # a step is parsed like any model output, in the JVM and without state
@@ -255,36 +284,54 @@ def stream_steps(
     return parse_model_output(steps.withColumn("_forced", forced), "raw", "_forced", "language", "text").drop("_forced")
 
 
-def run_available(
-    stream: DataFrame, name: str, out: str | None = None, checkpoint: str | None = None, state_partitions: int | None = None
-) -> DataFrame:
-    """Run a stream over what is there now and read the result back; paths are new ones in the shared folder unless given.
+def run_writer(
+    stream: DataFrame, writer: Callable[[DataStreamWriter], DataStreamWriter], checkpoint: str, state_partitions: int | None = None,
+    paced: bool = False,
+) -> None:
+    """Run a stream over what is there now into the sink that ``writer`` sets up.
 
-    With the paths of an earlier run the stream goes on where that run stopped. A checkpoint keeps its number of state
-    partitions for ever, so plan it for the stream's full size: ``state_partitions``, else the session's setting. Both
-    settings of the session are put back once the query has started and read them.
+    ``paced`` is for sources that admit a part of what is there per trigger and decide themselves how much; other sources are
+    read to their end. A checkpoint keeps its number of state partitions for ever, so plan it for the stream's full
+    size: ``state_partitions``, else the session's setting. Both settings of the session are put back once the query
+    has started and read them.
     """
     spark = stream.sparkSession
     wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
     if state_partitions:
         wanted["spark.sql.shuffle.partitions"] = str(state_partitions)
     usual = {key: spark.conf.get(key) for key in wanted}
-    out = out or scratch_path(spark, name)
-    checkpoint = checkpoint or scratch_path(spark, f"{name}-checkpoint")
     try:
         for key, value in wanted.items():
             spark.conf.set(key, value)
-        query = (
-            stream.writeStream.format("parquet")
-            .outputMode("append")
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start(out)
-        )
+        ready = writer(stream.writeStream.option("checkpointLocation", checkpoint))
+        query = (ready.trigger(processingTime="0 seconds") if paced else ready.trigger(availableNow=True)).start()
     finally:
         for key, value in usual.items():
             spark.conf.set(key, value)
-    query.awaitTermination()
+    if not paced:
+        query.awaitTermination()
+        return
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
+def run_available(
+    stream: DataFrame, name: str, out: str | None = None, checkpoint: str | None = None, state_partitions: int | None = None,
+    paced: bool = False,
+) -> DataFrame:
+    """Run a stream over what is there now and read the result back; paths are new ones in the shared folder unless given.
+
+    With the paths of an earlier run the stream goes on where that run stopped. The other arguments are those of
+    ``run_writer``.
+    """
+    spark = stream.sparkSession
+    out = out or scratch_path(spark, name)
+    checkpoint = checkpoint or scratch_path(spark, f"{name}-checkpoint")
+    run_writer(
+        stream, lambda w: w.format("parquet").outputMode("append").option("path", out), checkpoint, state_partitions, paced
+    )
     return spark.read.schema(stream.schema).parquet(out)
 
 
