@@ -15,6 +15,7 @@ from voxloom.operators import joins as J
 from voxloom.operators import ordered as O
 from voxloom.operators import sampling as S
 from voxloom.operators import windows as W
+from voxloom.operators.tries import Trie, register_prefix_split
 
 
 @pytest.fixture(scope="module")
@@ -343,3 +344,100 @@ def test_splits_and_shards_with_null_and_equal_keys(spark):
             sizes[r["shard"]] += 1
         assert sum(sizes) == 100 and max(sizes) - min(sizes) <= 1
     assert S.with_shuffled_shard(df, "k", 7).count() == 100
+
+
+def test_trie_finds_the_longest_entry():
+    import random
+
+    chance = random.Random(8)
+    assert Trie([]).longest_prefix("a") == 0 and Trie(["", "a"]).longest_prefix("") == 0
+    for letters in ("ab", "abc\uac00\U0001f600"):
+        for _ in range(40):
+            entries = ["".join(chance.choices(letters, k=chance.randint(1, 6))) for _ in range(chance.randint(1, 40))]
+            trie = Trie(entries)
+            for _ in range(60):
+                word = "".join(chance.choices(letters, k=chance.randint(0, 9)))
+                want = max((len(e) for e in entries if word.startswith(e)), default=0)
+                assert trie.longest_prefix(word) == want
+
+
+def test_both_dictionary_splits_agree(spark):
+    df = spark.createDataFrame([(1, "abcd xy  abx. zz"), (2, None), (3, ""), (4, "ab ab\tabcde"), (None, "xyz")], "i int, t string")
+    entries = spark.createDataFrame([("ab",), ("abc",), ("x",), ("ab",), (None,), ("",)], "word string")
+    small, large = (J.dictionary_left_split(df, "i", "t", entries, shipped_bytes=n) for n in (1 << 20, 0))
+    rows = lambda d: sorted(map(str, d.collect()))
+    assert rows(small) == rows(large) and small.count() == 8
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    none = entries.limit(0)
+    assert rows(J.dictionary_left_split(df, "i", "t", none)) == rows(J.dictionary_left_split(df, "i", "t", none, shipped_bytes=-1))
+
+
+def test_dictionary_table_function(spark):
+    register_prefix_split(spark, spark.createDataFrame([("ab",), ("abc",)], "word string"), name="test_prefixes")
+    spark.createDataFrame([(1, "abcd xy abx"), (2, None)], "i int, t string").createOrReplaceTempView("test_texts")
+    rows = spark.sql("SELECT i, at, word, prefix FROM test_texts, LATERAL test_prefixes(t) ORDER BY i, at").collect()
+    assert [tuple(r) for r in rows] == [(1, 0, "abcd", 3), (1, 1, "xy", 0), (1, 2, "abx", 2)]
+
+
+@pytest.mark.parametrize("block", [1, 7, 1000])
+def test_spans_over_sample_rows(spark, block):
+    samples = spark.range(100).select((F.col("id") % 2).alias("k"), F.floor(F.col("id") / 2).alias("p"), F.col("id").cast("float").alias("x"))
+    spans = [(0, 0, 0.0, 1.0), (0, 1, 2.0, 9.0), (0, 2, 3.0, 3.0), (1, 3, -2.0, 0.5), (1, 4, 40.0, 50.0), (1, 5, None, 1.0), (2, 6, 0.0, 1.0), (1, 7, 0.1, 0.12)]
+    df = spark.createDataFrame(spans, "k bigint, w int, a double, b double")
+    cut = J.slice_span_rows(samples, df, "k", "p", "x", "w", F.col("a"), F.col("b"), 8, block)
+    own = lambda k, a, b: [float(2 * p + k) for p in range(max(0, a), min(50, b))]
+    want = {0: own(0, 0, 8), 1: own(0, 16, 72), 3: own(1, 0, 4)}
+    assert {r["w"]: (r["n"], r["wav"]) for r in cut.collect()} == {w: (len(v), v) for w, v in want.items()}
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_batches_are_bounded_by_their_audio(spark):
+    # one signal of twenty minutes among short ones
+    def sizes():
+        return lambda prompts, wavs: [f"{len(wavs)} {max(map(len, wavs)) * len(wavs) * 4}"] * len(wavs)
+
+    long, short = 20 * 60 * 16, 16
+    df = spark.range(300).coalesce(1).select(
+        "id", F.lit("p").alias("p"), F.array_repeat(F.lit(0.5).cast("float"), F.when(F.col("id") == 150, long).otherwise(short)).alias("w")
+    )
+    bound = 10 * short * 4
+    rows = {r["id"]: tuple(map(int, r["raw"].split())) for r in H.transcribe_batches(df, ["id"], "p", "w", sizes, 64, bound).collect()}
+    assert len(rows) == 300 and rows[150] == (1, 4 * long)
+    assert all(size <= bound for i, (_, size) in rows.items() if i != 150) and max(n for n, _ in rows.values()) == 10
+
+
+def test_model_profile_names_its_resources():
+    profile = H.model_profile(task_cpus=2, gpus=0.5, executor_cores=8, executor_memory="16g", python_memory="4g")
+    assert profile.taskResources["cpus"].amount == 2 and profile.taskResources["gpu"].amount == 0.5
+    assert profile.executorResources["gpu"].amount == 1 and profile.executorResources["pyspark.memory"].amount == 4096
+
+
+def test_latencies_are_merged(spark):
+    calls = spark.range(1, 100_001).select(F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("d"), (F.col("id") * 1_000_000).alias("nanos"))
+    calls = calls.unionAll(spark.createDataFrame([("a", None), ("c", None)], "d string, nanos bigint"))
+    first, second = (A.latency_sketches(calls.where(F.coalesce("nanos", F.lit(0)) % 4_000_000 < 2_000_000) if k else calls.where(F.coalesce("nanos", F.lit(0)) % 4_000_000 >= 2_000_000), ["d"]) for k in (0, 1))
+    both = {r["d"]: r for r in A.latency_summary(A.merged_latencies(first.unionByName(second), ["d"]), ["d"]).collect()}
+    assert set(both) == {"a", "b"} and all(r["calls"] == 50_000 for r in both.values())
+    assert (both["a"]["min_ms"], both["a"]["max_ms"], both["a"]["avg_ms"]) == (2.0, 100_000.0, 50_001.0)
+    assert both["b"]["p50_ms"] == pytest.approx(50_000, rel=0.05) and both["b"]["p95_ms"] == pytest.approx(95_000, rel=0.03)
+
+
+def test_detector_calls_are_observed(spark):
+    def fails():
+        def find(text):
+            if text == "3":
+                raise ValueError("three")
+            return "en", 1.0
+
+        return find
+
+    def gone():
+        raise ImportError("none")
+
+    grid = H.timed_grid(spark.range(10).select(F.col("id").cast("string").alias("t")), {"fails": fails, "gone": gone}, "t", ["t"])
+    seen, watch = A.observed_calls(grid, "calls")
+    rows = seen.collect()
+    assert len(rows) == 20 and watch.get["calls"] == 10 and watch.get["failed"] == 11 and watch.get["nanos"] > 0
+    assert all((r["nanos"] is None) == (r["detector"] == "gone") for r in rows)

@@ -1,12 +1,16 @@
 """Queries over language detection: script shares, trigram profiles, detector grids and their scores."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from voxloom.catalog.registry import SAMPLES, documents, query, training_samples
 from voxloom.constants import SCRIPT_CLASSES
 from voxloom.operators import aggregates as A
 from voxloom.operators import detect as D
+from voxloom.operators.hooks import timed_grid
 from voxloom.operators.joins import detector_grid
+from voxloom.session import materialize
 
 LABELS = ("en", "fr", "de", "es")
 
@@ -121,3 +125,66 @@ def _(spark, d):
     scores = A.detector_accuracy(_grid(spark, d), ["detector"], "n_chars")
     rank = F.when(F.col("detector") == "script", 0).when(F.col("detector") == "trigram", 1).otherwise(2)
     return A.best_detector(scores.withColumn("rank", rank), "rank")
+
+
+# --- measured times -------------------------------------------------------------------------------------------------
+
+
+def quick_detector():
+    return lambda text: ("en" if " the " in f" {text} " else "de" if " und " in f" {text} " else "xx", 0.9)
+
+
+def slow_detector():
+    def find(text):
+        until = time.perf_counter() + 0.001
+        while time.perf_counter() < until:
+            pass
+        return ("es" if " los " in f" {text} " else "en"), 0.5
+
+    return find
+
+
+def missing_detector():
+    raise ImportError("no such library")
+
+
+_REGISTRY = {"quick": quick_detector, "slow": slow_detector, "missing": missing_detector}
+_TIMED_SQL = """asked AS (SELECT doc_id, lang, text FROM documents WHERE doc_id % 5 = 0),
+answers AS (
+  SELECT 'quick' AS detector, lang, CASE WHEN contains(' ' || text || ' ', ' the ') THEN 'en' WHEN contains(' ' || text || ' ', ' und ') THEN 'de' ELSE 'xx' END AS code FROM asked
+  UNION ALL SELECT 'slow', lang, CASE WHEN contains(' ' || text || ' ', ' los ') THEN 'es' ELSE 'en' END FROM asked),
+marks AS (SELECT detector, count(*) AS calls, count(*) FILTER (code = lang) AS correct FROM answers GROUP BY detector)"""
+
+
+def _timed(spark, d):
+    asked = documents(spark, d).select("lang", "text").where(F.col("doc_id") % 5 == 0)
+    return materialize(timed_grid(asked, _REGISTRY, "text", ["lang"]), "calls")
+
+
+def _marks(calls):
+    times = A.latency_summary(A.latency_sketches(calls, ["detector"]), ["detector"])
+    right = calls.where(F.col("nanos").isNotNull()).groupBy("detector").agg(
+        F.count_if(F.col("predicted") == F.col("lang")).alias("correct"), F.count(F.lit(1)).alias("total")
+    )
+    return times.join(right, "detector")
+
+
+@query("detector_latency", f"WITH {_TIMED_SQL} SELECT detector, calls, correct, true AS timed, detector = 'slow' AS above_a_millisecond FROM marks")
+def _(spark, d):
+    # the times themselves differ from run to run; that they are there, in order and plausible is what can be compared
+    c = F.col
+    ordered = (c("min_ms") > 0) & (c("min_ms") <= c("p50_ms")) & (c("p50_ms") <= c("p95_ms")) & (c("p95_ms") <= c("p99_ms")) & (c("p99_ms") <= c("max_ms"))
+    between = (c("min_ms") <= c("avg_ms")) & (c("avg_ms") <= c("max_ms"))
+    return _marks(_timed(spark, d)).select(
+        "detector", "calls", "correct", (ordered & between).alias("timed"), (c("p50_ms") >= 1).alias("above_a_millisecond")
+    )
+
+
+@query(
+    "fastest_detector",
+    f"""WITH {_TIMED_SQL} SELECT 'quick' AS fastest, (SELECT detector FROM marks ORDER BY correct / calls DESC, detector LIMIT 1) AS most_accurate""",
+)
+def _(spark, d):
+    # by measured time per call; the slow one takes a millisecond at least
+    scores = _marks(_timed(spark, d)).withColumn("rank", F.when(F.col("detector") == "quick", 0).otherwise(1))
+    return A.best_detector(scores.withColumnRenamed("p50_ms", "avg_measure"), "rank")

@@ -8,6 +8,7 @@ from pyspark.sql.types import BinaryType
 from voxloom.catalog.registry import query
 from voxloom.functions import signal as G
 from voxloom.operators import windows as W
+from voxloom.operators.joins import slice_span_rows
 from voxloom.sources import audio as U
 from voxloom.session import scratch_path
 from voxloom.sources.readers import table
@@ -258,14 +259,14 @@ def _(spark, d):
     )
 
 
-@query(
-    "slice_spans",
-    """WITH s AS (SELECT vec_id, embedding AS w, k, k * 0.7::DOUBLE + label / 7.0::DOUBLE - 0.5 AS a, k * 0.9::DOUBLE + label / 11.0::DOUBLE AS b
+_SPANS_SQL = """WITH s AS (SELECT vec_id, embedding AS w, k, k * 0.7::DOUBLE + label / 7.0::DOUBLE - 0.5 AS a, k * 0.9::DOUBLE + label / 11.0::DOUBLE AS b
                   FROM embeddings, unnest(range(0, 6)) AS t(k) WHERE label <> 5),
     cut AS (SELECT vec_id, k, w[greatest(0, trunc(a * 16)::INT) + 1 : least(len(w), trunc(b * 16)::INT)] AS seg FROM s
             WHERE b > a AND least(len(w), trunc(b * 16)::INT) > greatest(0, trunc(a * 16)::INT))
-    SELECT vec_id, k AS word, len(seg) AS n, CAST(list_sum(list_transform(seg, lambda x: trunc((greatest(least(x, 1), -1) * 32767::FLOAT)::FLOAT)::BIGINT)) AS BIGINT) AS pcm_sum FROM cut""",
-)
+    SELECT vec_id, k AS word, len(seg) AS n, CAST(list_sum(list_transform(seg, lambda x: trunc((greatest(least(x, 1), -1) * 32767::FLOAT)::FLOAT)::BIGINT)) AS BIGINT) AS pcm_sum FROM cut"""
+
+
+@query("slice_spans", _SPANS_SQL)
 def _(spark, d):
     # six spans per signal, some reversed or outside; one label has no times at all
     k, label = F.col("word"), F.col("label")
@@ -277,3 +278,21 @@ def _(spark, d):
         "vec_id", "word", F.size("pcm").cast("bigint").alias("n"),
         F.aggregate("pcm", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("pcm_sum"),
     )
+
+
+@query("slice_spans_rows", _SPANS_SQL)
+def _(spark, d):
+    # the same spans over signals of one row per sample, in blocks of 16 samples
+    waves = _waves(spark, d)
+    samples = waves.select("vec_id", F.posexplode("wav").alias("pos", "x"))
+    words = waves.select("vec_id", "label", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("word"))
+    words = words.withColumn("word", F.col("word").cast("bigint"))
+    k, label = F.col("word"), F.col("label")
+    cut = slice_span_rows(
+        samples, words, "vec_id", "pos", "x", "word", F.when(label != 5, k * 0.7 + label / F.lit(7.0) - 0.5),
+        k * 0.9 + label / F.lit(11.0), SR, block=16,
+    )
+    return cut.select(
+        "vec_id", "word", F.col("n").cast("bigint").alias("n"),
+        F.aggregate(G.to_pcm16(F.col("wav")), F.lit(0).cast("bigint"), lambda a, x: a + x).alias("pcm_sum"),
+    )

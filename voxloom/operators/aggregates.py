@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from voxloom.functions.text import trim_py
@@ -70,6 +70,47 @@ def detector_accuracy(grid: DataFrame, keys: Sequence[str], measure: str, symmet
     )
 
 
+#: Shares of the calls for which times are given.
+LATENCY_RANKS = {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
+
+
+def latency_sketches(calls: DataFrame, keys: Sequence[str], nanos: str = "nanos") -> DataFrame:
+    """Calls, sum, least and largest time, and a mergeable sketch of all times, per detector. Every partition makes sketches of
+    its own calls, which are merged; calls that did not take place have no time."""
+    took = calls.where(F.col(nanos).isNotNull())
+    return took.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("calls"), F.sum(nanos).alias("sum_nanos"), F.min(nanos).alias("min_nanos"), F.max(nanos).alias("max_nanos"),
+        F.kll_sketch_agg_bigint(nanos).alias("sketch"),
+    )
+
+
+def merged_latencies(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Sketches of several runs put together; merging is all that is needed, the calls are not."""
+    return sketches.groupBy(*keys).agg(
+        F.sum("calls").alias("calls"), F.sum("sum_nanos").alias("sum_nanos"), F.min("min_nanos").alias("min_nanos"),
+        F.max("max_nanos").alias("max_nanos"), F.kll_merge_agg_bigint("sketch").alias("sketch"),
+    )
+
+
+def latency_summary(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, calls, avg_ms, min_ms, max_ms, p50_ms, p95_ms, p99_ms) of one row of sketches per key."""
+    milli = lambda c: c / F.lit(1e6)
+    ranks = [milli(F.kll_sketch_get_quantile_bigint("sketch", F.lit(rank))).alias(name) for name, rank in LATENCY_RANKS.items()]
+    return sketches.select(
+        *keys, "calls", milli(F.col("sum_nanos") / F.col("calls")).alias("avg_ms"), milli(F.col("min_nanos")).alias("min_ms"),
+        milli(F.col("max_nanos")).alias("max_ms"), *ranks,
+    )
+
+
+def observed_calls(calls: DataFrame, name: str, nanos: str = "nanos", error: str = "error") -> tuple[DataFrame, Observation]:
+    """The table with counters that fill while it is consumed for whatever purpose: calls, failures and their time in all."""
+    watch = Observation(name)
+    return calls.observe(
+        watch, F.count(nanos).alias("calls"), F.count_if(F.col(error).isNotNull()).alias("failed"),
+        F.coalesce(F.sum(nanos), F.lit(0)).alias("nanos"),
+    ), watch
+
+
 def best_detector(scores: DataFrame, rank: str) -> DataFrame:
     """Fastest (smallest average) and most accurate detector; on a tie the smaller rank wins."""
     ratio = F.when(F.col("total") > 0, F.col("correct") / F.col("total")).otherwise(F.lit(0.0))

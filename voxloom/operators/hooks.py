@@ -6,9 +6,12 @@ not once per batch; only the factory travels with the job.
 
 from __future__ import annotations
 
+import math
+import time
 from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
+from pyspark.resource import ExecutorResourceRequests, ResourceProfile, ResourceProfileBuilder, TaskResourceRequests
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
@@ -28,41 +31,77 @@ def loaded(name: str, factory: Callable):
     return _LOADED[key]
 
 
-def _slices(frame: pd.DataFrame, size: int) -> Iterator[pd.DataFrame]:
+#: Most bytes of audio that a model is given at once.
+BATCH_BYTES = 256 << 20
+
+
+def _slices(frame: pd.DataFrame, size: int, wav: str, most_bytes: int) -> Iterator[pd.DataFrame]:
+    """Consecutive rows, at most ``size`` of them and at most ``most_bytes`` of audio (4 bytes a sample); a signal above that is
+    alone. Padding counts: a batch costs its longest signal times its rows."""
     size = size if size and size > 0 else max(len(frame), 1)
-    for start in range(0, len(frame), size):
-        yield frame.iloc[start : start + size]
+    start, longest = 0, 0
+    for at, signal in enumerate(frame[wav]):
+        own = 4 * (0 if signal is None else len(signal))
+        if at > start and (at - start >= size or max(longest, own) * (at - start + 1) > most_bytes):
+            yield frame.iloc[start:at]
+            start, longest = at, 0
+        longest = max(longest, own)
+    if start < len(frame):
+        yield frame.iloc[start:]
+
+
+def model_profile(
+    task_cpus: int = 1, gpus: float = 0, executor_cores: int | None = None, executor_memory: str | None = None,
+    python_memory: str | None = None,
+) -> ResourceProfile:
+    """What the stage of a model needs, apart from the stages around it: cores and accelerators per task, memory for the
+    worker. The cluster manager must be able to give it (it needs dynamic allocation or a standalone, YARN or Kubernetes master)."""
+    tasks = TaskResourceRequests().cpus(task_cpus)
+    executors = ExecutorResourceRequests()
+    if gpus:
+        tasks = tasks.resource("gpu", gpus)
+        executors = executors.resource("gpu", max(1, math.ceil(gpus)))
+    if executor_cores:
+        executors = executors.cores(executor_cores)
+    if executor_memory:
+        executors = executors.memory(executor_memory)
+    if python_memory:
+        executors = executors.pysparkMemory(python_memory)
+    return ResourceProfileBuilder().require(tasks).require(executors).build
 
 
 def transcribe_batches(
-    df: DataFrame, keys: list[str], prompt: str, wav: str, factory: Callable, batch_size: int = 32
+    df: DataFrame, keys: list[str], prompt: str, wav: str, factory: Callable, batch_size: int = 32, batch_bytes: int = BATCH_BYTES,
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
-    """(keys, raw). ``factory()`` gives a function (prompts, waveforms) -> raw texts; it sees at most ``batch_size`` rows."""
+    """(keys, raw). ``factory()`` gives a function (prompts, waveforms) -> raw texts; it sees at most ``batch_size`` rows whose
+    padded audio is at most ``batch_bytes``. ``profile`` gives the stage of the model resources of its own (``model_profile``)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = loaded("recogniser", factory)
         for batch in batches:
-            for part in _slices(batch, batch_size):
+            for part in _slices(batch, batch_size, wav, batch_bytes):
                 out = part[keys].copy()
                 out["raw"] = list(model(list(part[prompt]), list(part[wav])))
                 yield out
 
     schema = StructType([*[df.schema[k] for k in keys], StructField("raw", StringType())])
     needed = dict.fromkeys([*keys, prompt, wav])
-    return df.select(*needed).mapInPandas(run, schema)
+    return df.select(*needed).mapInPandas(run, schema, profile=profile)
 
 
 def align_batches(
     df: DataFrame, keys: list[str], wav: str, words: str, text: str, factory: Callable, segment_ms: float = 80.0,
-    offset: str | None = None, batch_size: int = 32,
+    offset: str | None = None, batch_size: int = 32, batch_bytes: int = BATCH_BYTES, profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """(keys, time_stamps). ``factory()`` gives a function (encoded texts, waveforms, word counts) -> lists of slot
-    numbers, two per word; the slots become milliseconds, are repaired and paired with the words."""
+    numbers, two per word; the slots become milliseconds, are repaired and paired with the words. Batches are bounded as
+    those of ``transcribe_batches``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = loaded("aligner", factory)
         for batch in batches:
-            for part in _slices(batch, batch_size):
+            for part in _slices(batch, batch_size, wav, batch_bytes):
                 counts = [len(w) for w in part[words]]
                 out = part[keep].copy()
                 out["_slots"] = list(model(list(part[text]), list(part[wav]), counts))
@@ -70,7 +109,7 @@ def align_batches(
 
     keep = [*keys, words, *([offset] if offset else [])]
     schema = StructType([*[df.schema[k] for k in keep], StructField("_slots", ArrayType(LongType()))])
-    slots = df.select(*keep, wav, text).mapInPandas(run, schema)
+    slots = df.select(*keep, wav, text).mapInPandas(run, schema, profile=profile)
     millis = repair_timestamps(F.transform("_slots", lambda s: ms_from_token(s, segment_ms).cast("bigint")))
     spans = pair_timestamps(F.col(words), F.col("_ms"), F.col(offset) if offset else None)
     return slots.withColumn("_ms", millis).select(*keys, spans.alias("time_stamps"))
@@ -88,14 +127,16 @@ def token_counter(factory: Callable) -> Callable[[Column], Column]:
     return count
 
 
-def detector(factory: Callable) -> Callable[[Column], Column]:
+def detector(factory: Callable, timed: bool = False) -> Callable[[Column], Column]:
     """(code, confidence, error) from a user's detector: ``factory()`` gives a function text -> (code, confidence).
 
-    A detector that cannot be set up is reported as unavailable in every row; a text that fails has its message.
+    ``timed`` adds ``nanos``, how long the call took in its worker, null where there was none. A detector that cannot be set up is reported as unavailable in every row; a text that fails has its message.
     """
     schema = StructType(
         [StructField("code", StringType()), StructField("confidence", DoubleType()), StructField("error", StringType())]
     )
+    if timed:
+        schema = schema.add("nanos", LongType())
 
     @F.pandas_udf(schema)
     def detect(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -106,17 +147,17 @@ def detector(factory: Callable) -> Callable[[Column], Column]:
 
         def one(text):
             if find is None:
-                return None, None, problem
+                return None, None, problem, None
+            begun = time.perf_counter_ns()
             try:
                 code, confidence = find(text)
-                return code, float(confidence), None
+                return code, float(confidence), None, time.perf_counter_ns() - begun
             except Exception as error:  # the detector belongs to the user
-                return None, 0.0, f"error: {error}"
+                return None, 0.0, f"error: {error}", time.perf_counter_ns() - begun
 
         for batch in texts:
-            rows = pd.DataFrame([one(t) for t in batch], columns=["code", "confidence", "error"], dtype=object)
-            rows["confidence"] = rows["confidence"].astype("Float64")
-            yield rows
+            rows = pd.DataFrame([one(t) for t in batch], columns=["code", "confidence", "error", "nanos"], dtype=object)
+            yield rows.astype({"confidence": "Float64", "nanos": "Int64"})[schema.names]
 
     return detect
 
@@ -126,6 +167,14 @@ def detector_columns(registry: Mapping[str, Callable], text: Column) -> dict[str
     return {name: detector(factory)(text)["code"] for name, factory in registry.items()}
 
 
+def timed_grid(df: DataFrame, registry: Mapping[str, Callable], text: str, keep: list[str]) -> DataFrame:
+    """(keep, detector, predicted, error, nanos): every detector of a registry name -> factory on every text, one row each."""
+    answers = [F.struct(F.lit(name).alias("detector"), detector(factory, timed=True)(text).alias("a")) for name, factory in registry.items()]
+    # the answers are made before they are unfolded, so each detector runs once a text
+    made = df.select(*keep, F.array(*answers).alias("_answers")).select(*keep, F.inline("_answers"))
+    return made.select(*keep, "detector", F.col("a.code").alias("predicted"), "a.error", "a.nanos")
+
+
 def alignable(df: DataFrame, text: str) -> DataFrame:
     """Blank chunks never reach the aligner."""
     return df.where(~is_blank(F.col(text)))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from voxloom.constants import CORPUS_CODES, NO_LANGUAGE, RECOGNITION_LANGUAGES, WHITESPACE_CLASS
 from voxloom.functions.text import clean_token
+from voxloom.operators.tries import Trie, prefix_lengths
 
 
 def code_table(spark: SparkSession, codes: Mapping[str, str], code: str = "code", name: str = "language") -> DataFrame:
@@ -112,17 +113,45 @@ def detector_grid(df: DataFrame, detectors: Mapping[str, Column], expected: Data
     return unfolded.join(F.broadcast(expected), ["detector", language]).where(F.col("expected_code").isNotNull())
 
 
-def dictionary_left_split(df: DataFrame, key: str, text: str, dictionary: DataFrame, word: str = "word") -> DataFrame:
+#: A dictionary of at most so many bytes is shipped to the workers.
+SHIPPED_BYTES = 64 << 20
+
+
+def dictionary_left_split(
+    df: DataFrame, key: str, text: str, dictionary: DataFrame, word: str = "word", shipped_bytes: int = SHIPPED_BYTES
+) -> DataFrame:
     """(key, at, left, right) per word: the longest dictionary prefix and the rest, both cleaned.
 
-    Words are split and cleaned once per distinct word, with prefixes never longer than the longest entry, so neither a
-    frequent word nor a very long one multiplies the work. A word without a known prefix stays whole.
+    The dictionary's bytes are measured first. Up to ``shipped_bytes`` it becomes a trie that goes to the workers, and no word
+    row is shuffled; a larger one is joined with the distinct words of the table. A word without a known prefix stays whole.
     """
+    entries = dictionary.select(F.col(word).alias("_prefix")).where(F.col(word).isNotNull()).distinct()
+    if (entries.agg(F.sum(F.octet_length("_prefix"))).first()[0] or 0) <= shipped_bytes:
+        trie = Trie(row[0] for row in entries.collect())
+        return _shipped_left_split(df, key, text, trie)
+    return _joined_left_split(df, key, text, entries)
+
+
+def _shipped_left_split(df: DataFrame, key: str, text: str, trie: Trie) -> DataFrame:
+    find = prefix_lengths(df.sparkSession, trie)
+    words = F.split(F.col(text), f"[{WHITESPACE_CLASS}]+")
+    found = df.select(key, words.alias("_words")).withColumn("_sizes", find("_words"))
+    each = found.select(key, F.posexplode(F.arrays_zip("_words", "_sizes")).alias("at", "_w"))
+    whole, size = F.col("_w._words"), F.col("_w._sizes")
+    return each.where(whole != "").select(
+        key, "at",
+        clean_token(F.when(size > 0, F.substr(whole, F.lit(1), size)).otherwise(whole)).alias("left"),
+        F.when(size > 0, clean_token(F.substr(whole, size + 1))).otherwise(F.lit("")).alias("right"),
+    )
+
+
+def _joined_left_split(df: DataFrame, key: str, text: str, entries: DataFrame) -> DataFrame:
+    """Words are split and cleaned once per distinct word, with prefixes never longer than the longest entry, so neither a
+    frequent word nor a very long one multiplies the work."""
     words = df.select(
         key, F.posexplode(F.split(F.col(text), f"[{WHITESPACE_CLASS}]+")).alias("at", "_word")
     ).where(F.col("_word") != "")
     vocabulary = words.select("_word").distinct()
-    entries = dictionary.select(F.col(word).alias("_prefix")).distinct()
     longest = entries.agg(F.coalesce(F.max(F.length("_prefix")), F.lit(0)).alias("n")).scalar()
     ends = F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.length("_word"), longest)))
     prefixes = vocabulary.select("_word", F.explode(ends).alias("_n")).withColumn(
@@ -139,3 +168,27 @@ def dictionary_left_split(df: DataFrame, key: str, text: str, dictionary: DataFr
         F.coalesce("left", clean_token(F.col("_word"))).alias("left"),
         F.coalesce("right", F.lit("")).alias("right"),
     )
+
+
+def slice_span_rows(
+    samples: DataFrame, spans: DataFrame, key: str, pos: str, value: str, span: str, start: Column, end: Column, sr: int,
+    block: int = 65536, name: str = "wav",
+) -> DataFrame:
+    """(key, span, n, ``name``): the samples ``[int(start * sr), int(end * sr))`` of each span, for signals stored as one row per
+    sample. Spans without times, reversed ones and those that meet no sample give no row.
+
+    An interval join by equality: a span is cut at the borders of blocks of positions, so its parts meet the samples of their
+    own block only. A long signal and a long span are spread over their blocks; the parts of a span come together in
+    block order at the end.
+    """
+    first, last = F.greatest(F.lit(0), (start * sr).cast("int")), (end * sr).cast("int")
+    whole = spans.where(start.isNotNull() & end.isNotNull() & (end > start)).select(key, span, first.alias("_a"), last.alias("_b"))
+    cut = whole.where(F.col("_b") > F.col("_a")).select(
+        key, span, "_a", "_b", F.explode(F.sequence(F.floor(F.col("_a") / block), F.floor((F.col("_b") - 1) / block))).alias("_block")
+    )
+    placed = samples.select(F.col(key), F.col(pos).alias("_pos"), F.col(value).alias("_x"), F.floor(F.col(pos) / block).alias("_block"))
+    met = cut.join(placed, [key, "_block"]).where((F.col("_pos") >= F.col("_a")) & (F.col("_pos") < F.col("_b")))
+    parts = met.groupBy(key, span, "_block").agg(F.array_sort(F.collect_list(F.struct("_pos", "_x"))).alias("_part"))
+    joined = parts.groupBy(key, span).agg(F.array_sort(F.collect_list(F.struct("_block", "_part"))).alias("_parts"))
+    flat = F.flatten(F.transform("_parts", lambda p: F.transform(p["_part"], lambda x: x["_x"])))
+    return joined.select(key, span, flat.alias(name)).select(key, span, F.size(name).alias("n"), name)
