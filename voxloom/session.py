@@ -79,6 +79,26 @@ def release(spark: SparkSession) -> int:
     return gone
 
 
+def written() -> int:
+    """How many paths ``scratch_path`` has handed out that are not released; a mark for ``release_since``."""
+    return len(_written)
+
+
+def release_since(spark: SparkSession, mark: int, keep: DataFrame | None = None) -> int:
+    """Delete what was handed out after a mark, but for the table that ``keep`` reads. Only for tables that nothing reads any
+    more: a result that has been written, and not one that is still to be computed from them."""
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    kept = [] if keep is None else keep.inputFiles()
+    gone = 0
+    for path in _written[mark:]:
+        if not any(f"{path.split(':', 1)[-1]}/" in file for file in kept):
+            place = files.Path(path)
+            gone += bool(place.getFileSystem(conf).delete(place, True))
+            _written.remove(path)
+    return gone
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage with a written table in the shared folder. It survives the loss of executors."""
     path = scratch_path(df.sparkSession, name)
