@@ -425,3 +425,42 @@ def test_pipeline_takes_effect(spark, tmp_path):
     assert ids == {*range(40), 300, 301}
     assert pa.types  # the pieces carry bytes
     assert all(len(r["ids"]) == 4 * r["length"] for r in packed)
+
+
+def test_frequent_windows_are_told_apart(spark, monkeypatch):
+    # every third text holds the same passage, some hold a rarer one
+    text = lambda k: "\n".join(["x", "y", "z"] * (k % 3 == 0) + ["p", "q", "r"] * (k % 40 == 1) + [f"own {k} {i}" for i in range(4)])
+    df = spark.range(400).select(F.col("id").alias("doc_id")).join(
+        spark.createDataFrame([(k, text(k)) for k in range(400)], "doc_id long, text string"), "doc_id"
+    )
+    rows = {}
+    for least in (10, 10**9):
+        monkeypatch.setattr(linededup, "HOT_PLACES", least)
+        rows[least] = {r["doc_id"]: (r["n_removed"], r["text"]) for r in linededup.query(df).collect()}
+    assert rows[10] == rows[10**9] and len(rows[10]) == 400
+    assert [k for k, (n, _) in rows[10].items() if n] == [k for k in rows[10] if k and k % 3 == 0 or k > 1 and k % 40 == 1]
+
+
+def test_upper_tail():
+    from math import comb
+
+    for n, share in ((7, 0.3), (30, 0.05), (40, 0.9)):
+        for hits in range(n + 1):
+            want = sum(comb(n, k) * share**k * (1 - share) ** (n - k) for k in range(hits, n + 1))
+            assert toxicity.upper_tail(hits, n, share) == pytest.approx(want, rel=1e-6)
+
+
+def test_few_toxic_labels_teach_something(spark):
+    chance = random.Random(6)
+    words = [f"w{k}" for k in range(300)]
+    rows = []
+    for k in range(120):
+        text = chance.choices(words, k=60)
+        if k % 10 == 0:
+            text[::20] = ["vile"] * 3
+        rows.append((k, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = label_rows(spark, [(k, 1, int(k % 10 == 0)) for k in range(80)])
+    scored = toxicity.query(docs, labels).collect()
+    assert {r["doc_id"] for r in scored if r["predicted"]} == set(range(0, 120, 10))
+    assert len({r["score"] for r in scored}) > 1

@@ -3,8 +3,8 @@
 Each round links every node to the smallest node it knows (large star, then small star), with two groupings and two
 joins; groupings combine before the shuffle and AQE splits the partitions of a hub in the joins. The rounds end
 when the edges no longer change, which takes about as many rounds as the logarithm of the longest path. Every round is
-a table in the shared folder, so a lost executor costs a re-read and no lineage grows. Two numbers per round reach the
-driver.
+a table in the shared folder, so a lost executor costs a re-read and no lineage grows; a round goes when the next is
+written. Two numbers per round reach the driver.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.session import materialize
+from voxloom.session import materialize, release_since, written
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -36,6 +36,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, root) for the nodes of ``edges`` (u, v): the smallest node reachable. A node without an edge is not listed."""
     kept = edges.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    place = written()
     kept = materialize(kept, name)
     before = None
     while True:
@@ -44,6 +45,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             break
         before = mark
         kept = materialize(_small_star(_large_star(kept)).distinct(), name)
+        # the round before is read by nothing any more
+        release_since(edges.sparkSession, place, kept)
     # a star: every node but the root has one edge, to the root
     return kept.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(
         kept.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()

@@ -11,8 +11,9 @@ together as they are; blanks and line breaks at the end of a unit do not count w
 are at least three equal units, so whatever the lines show, the units show.
 
 One pass hashes the lines (two 64-bit hashes with different seeds, so 128 bits a window). Counts are combined before the
-shuffle, so a window that a third of all documents hold is one row per task; the windows then meet the repeated ones in
-a join whose skewed partitions AQE splits. Only line numbers go back to the texts.
+shuffle, so a window that a third of all documents hold is one row per task. The repeated windows are written; those that
+make up more than a ``HOT_WINDOWS``-th of all repeated places, so fewer than that many, are broadcast, and their places
+pass the join that the others meet theirs in. Only line numbers go back to the texts.
 
 Defined results: null, empty and blank texts and texts of one or two lines (units) have no window and stay as they are. Rows with
 the same id, a null id included, have the same rank: none of them is later than another, only copies inside the row or
@@ -25,8 +26,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.functions.binding import bind
+from voxloom.session import materialize
 
 LINES = 3
+#: Most windows that are broadcast because they are frequent, and the least places of such a window.
+HOT_WINDOWS, HOT_PLACES = 20_000, 1_000
 #: Between units: behind a line break or the blank after a sentence.
 UNIT_ENDS = "(?<=\n)|(?<=[.!?] )"
 #: ids of rows without one rank before all others
@@ -84,9 +88,20 @@ def later_windows(df: DataFrame, key: str, text: str, lines: int = LINES, senten
         windows.groupBy("a", "b")
         .agg(F.min("key").alias("first_key"), F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > 1)
-        .select("a", "b", "first_key")
     )
-    later = windows.join(repeated, ["a", "b"]).where((F.col("key") > F.col("first_key")) | F.col("again"))
+    repeated = materialize(repeated, "line-windows")
+    often = max(HOT_PLACES, (repeated.agg(F.sum("n")).first()[0] or 0) // HOT_WINDOWS)
+    hot = repeated.where(F.col("n") > often).select("a", "b", F.col("first_key").alias("hot_key"))
+    marked = windows.join(F.broadcast(hot), ["a", "b"], "left")
+    # a place of a frequent window has its answer; it goes through the join under a key of its own that meets nothing
+    plain = F.col("hot_key").isNull()
+    spread = marked.select(
+        "key", "tie", "at", "again", "hot_key", F.when(plain, F.col("a")).otherwise(F.xxhash64("key", "tie", "at")).alias("x"),
+        F.when(plain, F.col("b")).alias("y"),
+    )
+    others = repeated.where(F.col("n") <= often).select(F.col("a").alias("x"), F.col("b").alias("y"), "first_key")
+    found = spread.join(others, ["x", "y"], "left").withColumn("first", F.coalesce("hot_key", "first_key"))
+    later = found.where((F.col("key") > F.col("first")) | (F.col("again") & F.col("first").isNotNull()))
     return later.groupBy("key", "tie").agg(F.collect_set("at").alias("starts"))
 
 
