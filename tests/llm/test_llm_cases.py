@@ -464,3 +464,16 @@ def test_few_toxic_labels_teach_something(spark):
     scored = toxicity.query(docs, labels).collect()
     assert {r["doc_id"] for r in scored if r["predicted"]} == set(range(0, 120, 10))
     assert len({r["score"] for r in scored}) > 1
+
+
+def test_words_are_encoded_as_the_tokenizer_does():
+    tokenizer = packing.WordTokenizer(TOKENIZER)
+    assert tokenizer._by_bytes
+    texts = [
+        "\u03a3\u039f\u03a6\u039f\u03a3 \u0130stanbul \u00c9T\u00c9 \u01c5ungla \ufb01ne \u017ftra\u00dfe \ud55c\uad6d\uc5b4 \u65e5\u672c\u8a9e \u1e9e Gr\u00f6\u00dfe, don't it's x.y, A.B. word. \u2167 \u00aa \u00ba \U0001d518x",
+        "e\u0301te\u0301 \u00e9t\u00e9 N\u0303a \u0421\u041b\u041e\u0412\u041e \u0441\u043b\u043e\u0432\u043e. \u0905\u0915\u094d\u0937\u0930 a\x1cb", "", " \n ",
+    ]
+    for text in texts:
+        for _ in range(2):
+            ids = np.frombuffer(tokenizer.encode(text)[0], dtype="<u4").tolist()
+            assert ids == [*tokenizer._tokenizer.encode(text, add_special_tokens=False).ids, packing.END_ID], text

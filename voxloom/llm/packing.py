@@ -23,6 +23,8 @@ sequence is cut. ``start`` counts the ids of the document before the piece; ``of
 from __future__ import annotations
 
 import os
+import struct
+import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -33,13 +35,22 @@ from pyspark.sql import functions as F
 
 END_ID = 2
 #: Words kept with their ids per worker; the cache starts anew when it is full, which changes no result.
-CACHE_WORDS = 400_000
-#: Words that are encoded as one text.
-JOINED_WORDS = 50
+CACHE_WORDS = 500_000
+#: Letters whose lower case depends on what stands around them or has another length.
+ODD_CAPITALS = frozenset("\u03a3\u0130")
+#: The last letter (Cyrillic) on which all tables of letters agree; words with later ones take the whole way.
+LAST_PLAIN = "\u052f"
 #: Control characters that Python splits at and the tokenizer does not.
 SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
+#: Letters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_LETTERS = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+#: Words that show whether a tokenizer treats letters in that way.
+SAMPLES = ("letters", "größe", "équeelle", "niño", "слово", "語")
+
+
 @dataclass(frozen=True)
 class Limits:
     tokens: int = 4096
@@ -58,28 +69,25 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
-        self._ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self._model = self._tokenizer.model
+        # asking the model itself is for tokenizers that work on lower-case letters standing for bytes
+        steps = [self._tokenizer.encode(t, add_special_tokens=False).ids for t in SAMPLES]
+        self._by_bytes = True
+        self._by_bytes = [struct.unpack(f"<{len(x) // 4}I", x) for x in map(self._plain, SAMPLES)] == [tuple(s) for s in steps]
         self._cache: dict[str, bytes] = {}
 
     def _direct(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _plain(self, words: list[str]) -> None:
-        """Words of letters only are one unit of the tokenizer each, so many are encoded at once and told apart by the
-        ids that end a word."""
-        texts = [" ".join(words[at : at + JOINED_WORDS]) for at in range(0, len(words), JOINED_WORDS)]
-        encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ids = np.array([i for e in encoded for i in e.ids], dtype="<u4")
-        cuts = np.flatnonzero(self._ends[ids]) + 1
-        if len(cuts) != len(words):
-            self._cache.update((word, self._direct(word)) for word in words)
-            return
-        data, at = ids.tobytes(), 0
-        for word, cut in zip(words, cuts.tolist()):
-            self._cache[word] = data[4 * at : 4 * cut]
-            at = cut
+    def _plain(self, word: str) -> bytes:
+        """A word of letters only, asked of the model itself: it is one unit, so what remains of the steps before the model
+        is lower case and the letters that stand for bytes."""
+        if not word.isascii():
+            if max(word) > LAST_PLAIN or ODD_CAPITALS.intersection(word) or not unicodedata.is_normalized("NFC", word):
+                return self._direct(word)
+            word = word.lower().encode().decode("latin-1").translate(BYTE_LETTERS)
+        ids = [token.id for token in self._model.tokenize(word)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def learn(self, words: Iterable[str]) -> None:
         cache = self._cache
@@ -94,11 +102,8 @@ class WordTokenizer:
             # only A-Z is lowered here, which the tokenizer would do as well
             forms[word] = (core.lower() if core.isascii() and core.isalpha() else core, mark)
         cores = {core for core, _ in forms.values() if core not in cache} | {mark for mark in ".," if mark not in cache}
-        plain = [core for core in cores if core.isalpha() and core.lower().isalpha()]
-        for at in range(0, len(plain), 2000):
-            self._plain(plain[at : at + 2000])
-        for core in cores.difference(plain):
-            cache[core] = self._direct(core)
+        for core in cores:
+            cache[core] = self._plain(core) if self._by_bytes and core.isalpha() and core.lower().isalpha() else self._direct(core)
         for word, (core, mark) in forms.items():
             cache[word] = cache[core] + (cache[mark] if mark else b"")
 
