@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 END_ID = 2
 #: Words kept with their ids per worker; the cache starts anew when it is full, which changes no result.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 700_000
 #: Letters whose lower case depends on what stands around them or has another length.
 ODD_CAPITALS = frozenset("\u03a3\u0130")
 #: The last letter (Cyrillic) on which all tables of letters agree; words with later ones take the whole way.
@@ -93,19 +93,24 @@ class WordTokenizer:
         cache = self._cache
         if len(cache) > CACHE_WORDS:
             cache.clear()
-        new = {word for word in words if word not in cache}
-        forms = {}
-        for word in new:
+        for word in words:
+            if word in cache:
+                continue
             core, mark = word, ""
-            if not word.isalpha() and word[-1] in ".," and word[:-1].isalpha() and word[-2].isascii():
-                core, mark = word[:-1], word[-1]
-            # only A-Z is lowered here, which the tokenizer would do as well
-            forms[word] = (core.lower() if core.isascii() and core.isalpha() else core, mark)
-        cores = {core for core, _ in forms.values() if core not in cache} | {mark for mark in ".," if mark not in cache}
-        for core in cores:
-            cache[core] = self._plain(core) if self._by_bytes and core.isalpha() and core.lower().isalpha() else self._direct(core)
-        for word, (core, mark) in forms.items():
-            cache[word] = cache[core] + (cache[mark] if mark else b"")
+            whole = word.isalpha()
+            if not whole and word[-1] in ".," and word[:-1].isalpha() and word[-2].isascii():
+                core, mark, whole = word[:-1], word[-1], True
+            if whole and core.isascii():
+                # only A-Z is lowered here, which the tokenizer would do as well
+                core = core.lower()
+            ids = cache.get(core)
+            if ids is None:
+                ids = cache[core] = self._plain(core) if whole and self._by_bytes and core.lower().isalpha() else self._direct(core)
+            if mark:
+                if mark not in cache:
+                    cache[mark] = self._direct(mark)
+                ids += cache[mark]
+            cache[word] = ids
 
     def encode(self, text: str) -> tuple[bytes, int]:
         """Ids with the end id, and how many of them belong to the first line where there are more lines."""
