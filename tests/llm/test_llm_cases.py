@@ -477,3 +477,18 @@ def test_words_are_encoded_as_the_tokenizer_does():
         for _ in range(2):
             ids = np.frombuffer(tokenizer.encode(text)[0], dtype="<u4").tolist()
             assert ids == [*tokenizer._tokenizer.encode(text, add_special_tokens=False).ids, packing.END_ID], text
+
+
+def test_seeds_of_the_benchmark_have_a_bounded_size(spark):
+    """A seed carries the words around it and not its whole item."""
+    long_item = " ".join(f"w{k}" for k in range(3000))
+    items = decontaminate.benchmark_items(spark.createDataFrame([(1, long_item)], "item_id long, text string"), "item_id", "text")
+    rows = decontaminate.benchmark_seeds(items).collect()
+    assert len(rows) == 3 * (3000 - 7)
+    assert {len(r["near"]) for r in rows} == {18}
+    docs = spark.createDataFrame(
+        [(1, "x " + " ".join(f"w{k}" for k in range(2980, 3000)) + " y"), (2, "w1 w2 w3 w4 w5 w6")], "doc_id long, text string"
+    )
+    benchmark = spark.createDataFrame([(1, long_item)], "item_id long, text string")
+    found = {r["doc_id"]: r["contaminated"] for r in decontaminate.find_leaks(docs, benchmark).collect()}
+    assert found == {1: True, 2: False}

@@ -7,8 +7,9 @@ item, if it has fewer), laid over the text at the distance the hit gives, must a
 words, none below 9). The three masks leave no gap: every stretch with that many substitutions holds a hit of one of them,
 so the result is the same as comparing all stretches (tests/llm proves it by listing all cases).
 
-The texts are read once per block of the benchmark and nothing of them is shuffled: the seeds of a block are at most
-``block`` rows, which is what is broadcast; a larger benchmark makes more blocks. Items with equal words count as one, the
+The texts are read once per block of the benchmark and nothing of them is shuffled. What is broadcast is at most ``block``
+seeds, each with the hashes of the 18 words around it that a stretch can reach, some 200 bytes a seed however long its
+item is (40 MB for the default); a larger benchmark makes more blocks. Items with equal words count as one, the
 smallest id. Words are compared by 64-bit hashes. A hit is verified inside the join, so nothing else comes out of it.
 
 Items below eight words have no seed of that kind. They are found word for word: one seed over all words of the item, and
@@ -64,19 +65,34 @@ def _distinct_items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     )
 
 
+#: Places around a hit that a stretch of ``STRETCH`` words can reach, from the first word of the seed.
+REACH = range(SPAN - STRETCH, STRETCH)
+
+
+def _near(at: str, distance: int) -> Column:
+    """The hash of the word so far from the place of a seed; null where there is none."""
+    return F.when(F.col(at) + distance >= 0, F.get(F.col(f"{at}_h"), F.col(at) + distance))
+
+
+def benchmark_seeds(items: DataFrame) -> DataFrame:
+    """(seed, item, n, near): one row per place and mask of the items, with the hashes of the words in ``REACH``."""
+    near = F.array(*[_near("item_at", d) for d in REACH])
+    return with_seeds(items, "words", "item_at").select("seed", "item", "n", near.alias("near"))
+
+
 def _verified() -> Column:
     """Some stretch that holds the hit agrees, the words of the item laid over those of the text.
 
     All places that such a stretch can reach are written out. Beyond the end of a list there is no word, which agrees with
     nothing.
     """
-    reach = range(SPAN - STRETCH, STRETCH)
-    place = lambda at, d: F.when(F.col(at) + d >= 0, F.get(F.col(f"{at}_h"), F.col(at) + d))
-    agree = {d: F.coalesce((place("item_at", d) == place("at", d)).cast("int"), F.lit(0)) for d in reach}
+    agree = {
+        d: F.coalesce((F.get("near", F.lit(k)) == _near("at", d)).cast("int"), F.lit(0)) for k, d in enumerate(REACH)
+    }
     total = lambda places: reduce(lambda x, y: x + y, [agree[d] for d in places])
     full = F.greatest(*[total(range(s, s + STRETCH)) for s in range(SPAN - STRETCH, 1)])
     size = F.least(F.lit(STRETCH), F.col("n"))
-    return F.when(F.col("n") < STRETCH, total(reach)).otherwise(full) >= size - tolerated(size)
+    return F.when(F.col("n") < STRETCH, total(REACH)).otherwise(full) >= size - tolerated(size)
 
 
 def leaks(
@@ -91,7 +107,7 @@ def leaks(
     found = []
     for b in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b)
-        index = with_seeds(mine, "words", "item_at")
+        index = benchmark_seeds(mine)
         hits = with_seeds(texts, "words", "at").join(F.broadcast(index), "seed")
         # verified as an aggregate: as a filter it would move into the compiled join and make it too large to be fast
         hits = hits.groupBy("key", "tie", "item").agg(F.max(_verified()).alias("ok")).where("ok")
