@@ -7,17 +7,24 @@ uniform distribution. A model is a sorted array of sequence hashes with one log
 it, and a context array with the back-off weights. A text gets the language with the lowest cross-entropy per character.
 
 Counting: every task counts its own partition in sorted arrays, Spark adds the partial counts per language and sequence,
-and derives the shorter orders from the result. Before the driver turns counts into probabilities they are grouped by
-a hash of ``BITS`` bits, so whatever the corpus holds at most 2^BITS rows per order and language are collected and sent
-to the tasks; of sequences that share a hash the smallest stands for all. No row is left out of the counts, and what is
-gathered grows with the input. Scoring is one pass without a shuffle, one search in a sorted array per character.
+and derives the shorter orders from the result. Four characters of 16 bits are a 64-bit key, and the hash is a permutation
+of these keys, so no two sequences share a slot. No row is left out of the counts, and what is gathered grows with the
+input.
 
-Rejection: a prediction is ``accepted`` if its cross-entropy is at most ``WIDTH`` standard deviations above the mean of the
-training texts of that language. The prediction itself stays.
+Scoring: a model of at most ``cells`` values (distinct sequences times languages) is sent to the tasks, and scoring is one
+pass without a shuffle, one search in a sorted array per character. A larger model stays a Spark table: the sequences of
+each text are added up in the pass, their probabilities are made by joins, order by order, and the products are summed
+per text. Both give the same numbers.
+
+Rejection: a prediction is ``accepted`` if its cross-entropy is at most ``WIDTH`` standard deviations above the mean of its
+language. Both come from an eighth of the training texts (by a hash of the key) that the counts leave out; the deviation is
+that of the language or, if larger, that of all languages about their own means. A language that only that eighth holds
+is learnt from it, and a language without such texts rejects nothing. The prediction itself stays.
 
 Defined results: a null text and one without a letter give ``und``, score 0 and no cross-entropy. Ties go to the first
-language by name. Without training rows every text is ``und``. Texts of more than ``PIECE`` characters are read in pieces,
-each of which starts as a text does. Repeated rows are counted and scored each.
+language by name. Without training rows every text is ``und``. Texts of more than ``PIECE`` characters are read in pieces
+that hand on the characters before them, which changes no result. Repeated rows are counted and scored each. Letters
+outside of the first plane are told apart by their low 16 bits.
 """
 
 from __future__ import annotations
@@ -27,19 +34,23 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.llm.common import remainder
 from voxloom.session import materialize
 
 ORDER = 4
-BITS = 22
+#: Most values of a model that is sent to the tasks: distinct sequences times languages.
+SHARED_CELLS = 8_000_000
+#: One of so many training texts is left out of the counts, for the calibration.
+CALIBRATION = 8
 #: Characters handled at once, and the longest piece of a text.
 CHUNK = 1_000_000
 PIECE = 4_000_000
 WIDTH = 4.0
-MOST_LANGUAGES = 512
+#: Least and largest discount of a count.
+DISCOUNTS = (0.1, 0.9)
 UNKNOWN = "und"
 BLANK = 32
 #: Odd multiplier of a multiplicative hash (2^64 divided by the golden ratio).
@@ -70,8 +81,14 @@ class Letters:
             codes[k] = int(raw[k]) & 0xFFFF if unicodedata.category(chr(raw[k]))[0] == "L" else BLANK
         return codes
 
-    def sequences(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The four characters up to each character, packed in 64 bits, and how many of them each text has."""
+    def sequences(self, texts: list[str], before: list[str] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The four characters up to each character, packed in 64 bits, and how many of them each text has. ``before`` is
+        what stands before each text and counts as context only."""
+        if before and any(before):
+            keys, sizes = self.sequences([b + t for b, t in zip(before, texts)])
+            skipped = self.sequences(before)[1]
+            place = np.arange(len(keys)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            return keys[place >= np.repeat(skipped, sizes)], sizes - skipped
         raw = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4")
         owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
         codes = self._codes(raw)
@@ -85,28 +102,39 @@ class Letters:
         place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         keys = codes.copy()
         for k in range(1, ORDER):
-            before = np.full(len(codes), BLANK, dtype=np.uint64)
+            earlier = np.full(len(codes), BLANK, dtype=np.uint64)
             if k < len(codes):
-                before[k:] = np.where(place[k:] >= k, codes[:-k], np.uint64(BLANK))
-            keys |= before << np.uint64(16 * k)
+                earlier[k:] = np.where(place[k:] >= k, codes[:-k], np.uint64(BLANK))
+            keys |= earlier << np.uint64(16 * k)
         return keys, sizes
 
 
-def _pieces(rows: Iterable[tuple[int, str]]) -> Iterator[tuple[list[int], list[str]]]:
-    """Texts in groups of about ``CHUNK`` characters, with their numbers."""
+def _context(text: str, at: int) -> str:
+    """What stands before a place, back to the third letter: all that the sequences after it depend on."""
+    start, letters = at, 0
+    while start and letters < ORDER - 1:
+        start -= 1
+        letters += text[start].isalpha()
+    return text[start:at]
+
+
+def _pieces(rows: Iterable[tuple[int, str]]) -> Iterator[tuple[list[int], list[str], list[str]]]:
+    """Texts in groups of about ``CHUNK`` characters, with their numbers and what stands before them."""
     numbers: list[int] = []
     texts: list[str] = []
+    before: list[str] = []
     size = 0
     for number, text in rows:
         for at in range(0, max(len(text), 1), PIECE):
             numbers.append(number)
             texts.append(text[at : at + PIECE])
+            before.append(_context(text, at))
             size += len(texts[-1])
             if size >= CHUNK:
-                yield numbers, texts
-                numbers, texts, size = [], [], 0
+                yield numbers, texts, before
+                numbers, texts, before, size = [], [], [], 0
     if numbers:
-        yield numbers, texts
+        yield numbers, texts, before
 
 
 def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -118,25 +146,28 @@ def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return k[starts], np.add.reduceat(n, starts)
 
 
-def count_sequences(df: DataFrame, text: str, lang: str) -> DataFrame:
-    """(lang, seq, n): how often each sequence of four characters occurs in the texts of a language."""
+def count_sequences(df: DataFrame, text: str, lang: str, aside: Column) -> DataFrame:
+    """(lang, aside, seq, n): how often each sequence of four characters occurs in the texts of a language, those set
+    ``aside`` and the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = Letters()
-        held: dict[str, tuple[list[np.ndarray], list[np.ndarray]]] = {}
+        held: dict[tuple[str, bool], tuple[list[np.ndarray], list[np.ndarray]]] = {}
 
-        def rows(name: str) -> pa.RecordBatch:
+        def rows(name: tuple[str, bool]) -> pa.RecordBatch:
             keys, counts = _added(*held.pop(name))
-            columns = [pa.array([name] * len(keys)), pa.array(keys.view(np.int64)), pa.array(counts)]
-            return pa.RecordBatch.from_arrays(columns, names=["lang", "seq", "n"])
+            columns = [
+                pa.array([name[0]] * len(keys)), pa.array([name[1]] * len(keys)), pa.array(keys.view(np.int64)), pa.array(counts)
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=["lang", "aside", "seq", "n"])
 
         for batch in batches:
-            by_name: dict[str, list[tuple[int, str]]] = {}
-            for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                by_name.setdefault(name, []).append((0, value))
+            by_name: dict[tuple[str, bool], list[tuple[int, str]]] = {}
+            for name, apart, value in zip(*[batch.column(k).to_pylist() for k in range(3)]):
+                by_name.setdefault((name, apart), []).append((0, value))
             for name, values in by_name.items():
-                for _, texts in _pieces(values):
-                    keys = np.sort(letters.sequences(texts)[0])
+                for _, texts, before in _pieces(values):
+                    keys = np.sort(letters.sequences(texts, before)[0])
                     if not len(keys):
                         continue
                     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -151,43 +182,41 @@ def count_sequences(df: DataFrame, text: str, lang: str) -> DataFrame:
         for name in list(held):
             yield rows(name)
 
-    partial = df.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where(
+    partial = df.select(F.col(lang).alias("lang"), aside.alias("aside"), F.col(text).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
-    counted = partial.mapInArrow(run, "lang string, seq bigint, n bigint")
-    return counted.groupBy("lang", "seq").agg(F.sum("n").alias("n"))
+    counted = partial.mapInArrow(run, "lang string, aside boolean, seq bigint, n bigint")
+    return counted.groupBy("lang", "aside", "seq").agg(F.sum("n").alias("n"))
 
 
-def hashed(keys: np.ndarray, bits: int) -> np.ndarray:
+def hashed(keys: np.ndarray) -> np.ndarray:
+    """A permutation of the 64-bit numbers: keys that differ have hashes that differ."""
     with np.errstate(over="ignore"):
-        return ((keys ^ (keys >> np.uint64(29))) * MULTIPLIER) >> np.uint64(64 - bits)
+        return (keys ^ (keys >> np.uint64(29))) * MULTIPLIER
 
 
 class Table:
     """A sorted array of hashes with one row of values per language beside it."""
 
-    def __init__(self, keys: np.ndarray, languages: np.ndarray, values: np.ndarray, n_languages: int, bits: int):
-        slots = hashed(keys, bits)
-        self.bits = bits
-        self.slots, rows = np.unique(slots, return_inverse=True)
-        # the smallest key stands for all that share its hash
-        self.keys = np.full(len(self.slots), np.iinfo(np.uint64).max, dtype=np.uint64)
-        np.minimum.at(self.keys, rows, keys)
+    def __init__(self, keys: np.ndarray, languages: np.ndarray, values: np.ndarray, n_languages: int):
+        self.slots, firsts, rows = np.unique(hashed(keys), return_index=True, return_inverse=True)
+        self.keys = keys[firsts]
         self.values = np.zeros((n_languages, len(self.slots)))
-        np.add.at(self.values, (languages, rows), values)
+        self.values[languages, rows] = values
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of keys and whether they are held."""
         if not len(self.slots):
             return np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=bool)
-        at = np.minimum(np.searchsorted(self.slots, hashed(keys, self.bits)), len(self.slots) - 1)
-        return at, self.keys[at] == keys
+        wanted = hashed(keys)
+        at = np.minimum(np.searchsorted(self.slots, wanted), len(self.slots) - 1)
+        return at, self.slots[at] == wanted
 
 
 class Model:
     """Log probabilities of all sequences of one to four characters, per language, with back-off weights."""
 
-    def __init__(self, languages: list[str], counts: list[tuple], contexts: list[tuple], bits: int):
+    def __init__(self, languages: list[str], counts: list[tuple], contexts: list[tuple]):
         """``counts[k]`` has (keys, languages, counts) of order k + 1; ``contexts[k]`` has the (keys, languages, totals,
         kinds) of the contexts of order k + 1."""
         n = len(languages)
@@ -195,14 +224,14 @@ class Model:
         if not languages:
             return
         for k, (keys, langs, values) in enumerate(counts):
-            table = Table(keys, langs, values, n, bits)
+            table = Table(keys, langs, values, n)
             context_keys, context_langs, totals, kinds = contexts[k]
-            total = Table(context_keys, context_langs, totals, n, bits)
-            kind = Table(context_keys, context_langs, kinds, n, bits)
+            total = Table(context_keys, context_langs, totals, n)
+            kind = Table(context_keys, context_langs, kinds, n)
             once = (np.round(table.values) == 1).sum(axis=1)
             twice = (np.round(table.values) == 2).sum(axis=1)
             discount = np.where(once > 0, once / np.maximum(once + 2 * twice, 1), 0.5)[:, None]
-            discount = np.clip(discount, 0.1, 0.9)
+            discount = np.clip(discount, *DISCOUNTS)
             at, held = total.find(table.keys >> np.uint64(16))
             known = total.values[:, at] * held
             weight = discount * kind.values[:, at] * held
@@ -213,6 +242,8 @@ class Model:
             backoff = np.where(total.values > 0, discount * kind.values / np.maximum(total.values, 1), 1.0)
             table.values = np.log(probability).astype(np.float32)
             total.values = np.log(np.maximum(backoff, 1e-12)).astype(np.float32)
+            # keys are hashes from here on
+            table.keys = total.keys = None
             self.orders.append(table)
             self.weights.append(total)
 
@@ -255,92 +286,180 @@ class Model:
         return out
 
 
-def train(df: DataFrame, text: str, lang: str, bits: int = BITS) -> Model:
-    """The models of all languages of the rows with a text and a language."""
-    counts = materialize(count_sequences(df, text, lang), "langid")
-    languages = sorted(row["lang"] for row in counts.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    number = {name: k for k, name in enumerate(languages)}
-    orders = [counts]
-    for order in range(ORDER - 1, 0, -1):
-        mask = (1 << 16 * order) - 1
-        # how many different characters stand before the sequence
-        orders.append(
-            orders[-1].groupBy("lang", F.col("seq").bitwiseAND(F.lit(mask)).alias("seq")).agg(F.count(F.lit(1)).alias("n"))
+class Counts:
+    """The counts of all orders as Spark tables, and the languages in them."""
+
+    def __init__(self, df: DataFrame, text: str, lang: str, aside: Column):
+        counted = materialize(count_sequences(df, text, lang, aside), "langid")
+        # one row per language
+        found = counted.groupBy("lang").agg(F.bool_and("aside").alias("only_aside")).collect()
+        #: languages that no text but those set aside holds
+        self.only_aside = sorted(r["lang"] for r in found if r["only_aside"])
+        self.languages = sorted(r["lang"] for r in found)
+        rows = counted.where(~F.col("aside") | F.col("lang").isin(self.only_aside)) if self.only_aside else counted.where(~F.col("aside"))
+        self.orders = [rows.select("lang", "seq", "n")]
+        for order in range(ORDER - 1, 0, -1):
+            short = F.col("seq").bitwiseAND(F.lit((1 << 16 * order) - 1)).alias("seq")
+            # how many different characters stand before the sequence
+            self.orders.insert(0, self.orders[0].groupBy("lang", short).agg(F.count(F.lit(1)).alias("n")))
+        self.contexts = [
+            rows.groupBy("lang", F.shiftrightunsigned("seq", 16).alias("seq")).agg(
+                F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")
+            )
+            for rows in self.orders
+        ]
+
+    def cells(self) -> int:
+        """Values of the largest array of the model."""
+        return self.orders[-1].select("seq").distinct().count() * len(self.languages)
+
+    def model(self) -> Model:
+        """The model in sorted arrays; ``cells`` bounds its size."""
+        number = {name: k for k, name in enumerate(self.languages)}
+
+        def gathered(frame: DataFrame, *values: str) -> tuple[np.ndarray, ...]:
+            rows = frame.select("lang", "seq", *values).toArrow()
+            coded = rows.column("lang").combine_chunks().dictionary_encode()
+            names = np.array([number[x] for x in coded.dictionary.to_pylist()], dtype=np.int64)
+            keys = rows.column("seq").to_numpy().astype(np.int64).view(np.uint64)
+            langs = names[coded.indices.to_numpy()] if len(keys) else np.zeros(0, dtype=np.int64)
+            return keys, langs, *[rows.column(v).to_numpy().astype(np.float64) for v in values]
+
+        return Model(
+            self.languages, [gathered(f, "n") for f in self.orders], [gathered(f, "total", "kinds") for f in self.contexts]
         )
 
-    def gathered(frame: DataFrame, *values: str) -> tuple[np.ndarray, ...]:
-        """At most 2^bits rows per language: the sequences that share a hash come as one."""
-        small = frame.groupBy("lang", F.pmod(F.xxhash64("seq"), F.lit(1 << bits)).alias("slot")).agg(
-            F.min("seq").alias("seq"), *[F.sum(v).alias(v) for v in values]
-        )
-        rows = small.select("lang", "seq", *values).toArrow()
-        langs = np.array([number[x] for x in rows.column("lang").to_pylist()], dtype=np.int64)
-        keys = rows.column("seq").to_numpy().astype(np.int64).view(np.uint64)
-        return keys, langs, *[rows.column(v).to_numpy().astype(np.float64) for v in values]
-
-    counted, contexts = [], []
-    for frame in reversed(orders):
-        context = frame.groupBy("lang", F.shiftrightunsigned("seq", 16).alias("seq")).agg(
-            F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")
+    def probabilities(self, wanted: DataFrame, order: int = ORDER) -> DataFrame:
+        """(lang, seq, p) for every wanted (lang, seq): the probability of the last character after the others."""
+        counts, contexts = self.orders[order - 1], self.contexts[order - 1]
+        once, twice = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+        share = F.when(once > 0, once / (once + 2 * twice)).otherwise(0.5)
+        # one row per language
+        discounts = counts.groupBy("lang").agg(F.greatest(F.lit(DISCOUNTS[0]), F.least(F.lit(DISCOUNTS[1]), share)).alias("discount"))
+        rows = wanted.select(
+            "lang", "seq", F.shiftrightunsigned("seq", 16).alias("before"),
+            F.col("seq").bitwiseAND(F.lit((1 << 16 * (order - 1)) - 1)).alias("short"),
         )
-        counted.append(gathered(frame, "n"))
-        contexts.append(gathered(context, "total", "kinds"))
-    return Model(languages, counted, contexts, bits)
+        rows = rows.join(counts, ["lang", "seq"], "left").join(contexts.withColumnRenamed("seq", "before"), ["lang", "before"], "left")
+        rows = rows.join(discounts, "lang", "left")
+        if order == 1:
+            rows = rows.withColumn("below", F.lit(1.0 / (1 << 16)))
+        else:
+            shorter = rows.select("lang", F.col("short").alias("seq")).distinct()
+            below = self.probabilities(shorter, order - 1).select("lang", F.col("seq").alias("short"), F.col("p").alias("below"))
+            rows = rows.join(below, ["lang", "short"])
+        own = F.greatest(F.coalesce("n", F.lit(0)) - F.col("discount"), F.lit(0.0))
+        mixed = (own + F.col("discount") * F.col("kinds") * F.col("below")) / F.col("total")
+        return rows.select("lang", "seq", F.when(F.col("total").isNotNull(), mixed).otherwise(F.col("below")).alias("p"))
 
 
-def identify(
-    df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", parts: int = 5, held_out: int = 0,
-    bits: int = BITS,
-) -> DataFrame:
-    """(key, held_out, lang_pred, score, entropy, accepted) for every row, learnt outside of the held-out fold."""
-    spark = df.sparkSession
-    fold = F.coalesce(remainder(F.col(key), parts) == held_out, F.lit(False))
-    model = train(df.where(~fold & F.col(key).isNotNull()), text, lang, bits)
-    shared = spark.sparkContext.broadcast(model)
+def train(df: DataFrame, text: str, lang: str) -> Model:
+    """The models of all languages of the rows with a text and a language, in sorted arrays."""
+    return Counts(df, text, lang, F.lit(False)).model()
+
+
+def _scored_by_arrays(rows: DataFrame, counts: Counts, schema: str) -> DataFrame:
+    """The rows with ``totals`` (summed negative log probability per language) and ``size`` in place of the text."""
+    shared = rows.sparkSession.sparkContext.broadcast(counts.model())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, model = Letters(), shared.value
         for batch in batches:
-            size = batch.num_rows
-            totals, lengths = np.zeros((size, len(model.languages))), np.zeros(size, dtype=np.int64)
-            values = enumerate(x or "" for x in batch.column("_text").to_pylist())
-            for numbers, texts in _pieces(values):
-                keys, sizes = letters.sequences(texts)
-                np.add.at(totals, numbers, model.entropies(keys, sizes))
-                np.add.at(lengths, numbers, sizes)
-            lettered = lengths > 0
-            n = np.maximum(lengths, 1)
-            mean = totals / n[:, None]
-            if model.languages:
-                best = mean.argmin(axis=1)
-                lowest = mean[np.arange(size), best]
-                score = 1 / np.exp((lowest[:, None] - mean) * np.sqrt(n)[:, None]).sum(axis=1)
-            else:
-                lettered[:] = False
-                best, lowest, score = np.zeros(size, dtype=np.int64), np.zeros(size), np.zeros(size)
-            names = [model.languages[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), lettered.tolist())]
-            arrays = [
-                batch.column(0), batch.column(1), batch.column(2), pa.array(names),
-                pa.array(np.where(lettered, score, 0.0)), pa.array(lowest, mask=~lettered),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, names=[key, "held_out", "_lang", "lang_pred", "score", "entropy"])
+            height = batch.num_rows
+            totals, sizes = np.zeros((height, len(model.languages))), np.zeros(height, dtype=np.int64)
+            values = enumerate(x or "" for x in batch.column(batch.num_columns - 1).to_pylist())
+            for numbers, texts, before in _pieces(values):
+                keys, found = letters.sequences(texts, before)
+                np.add.at(totals, numbers, model.entropies(keys, found))
+                np.add.at(sizes, numbers, found)
+            each = pa.ListArray.from_arrays(
+                np.arange(height + 1, dtype=np.int32) * len(model.languages), pa.array(totals.ravel())
+            )
+            arrays = [*batch.columns[:-1], each, pa.array(sizes)]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names[:-1], "totals", "size"])
 
+    return rows.mapInArrow(run, schema)
+
+
+def _scored_by_joins(rows: DataFrame, counts: Counts, kind: str) -> DataFrame:
+    """The same for models of any size. Rows of the same key and text share their sums, so they are added up once for
+    all and divided by the number of rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters = Letters()
+        for batch in batches:
+            texts = batch.column(2).to_pylist()
+            for at, text in enumerate(texts):
+                for _, pieces, before in _pieces([(0, text or "")]):
+                    keys, n = np.unique(letters.sequences(pieces, before)[0], return_counts=True)
+                    if len(keys):
+                        same = pa.array(np.full(len(keys), at))
+                        columns = [batch.column(0).take(same), batch.column(1).take(same), pa.array(keys.view(np.int64)), pa.array(n)]
+                        yield pa.RecordBatch.from_arrays(columns, names=["key", "tie", "seq", "n"])
+
+    tied = rows.select("*", F.xxhash64("_text").alias("_tie"))
+    found = tied.select("_key", "_tie", "_text").mapInArrow(run, f"key {kind}, tie bigint, seq bigint, n bigint")
+    found = materialize(found, "langid-sequences")
+    languages = F.array(*[F.lit(x) for x in counts.languages])
+    wanted = found.select("seq").distinct().select("seq", F.explode(languages).alias("lang"))
+    values = counts.probabilities(wanted).groupBy("seq").agg(
+        F.array_sort(F.collect_list(F.struct("lang", (-F.log("p")).alias("v")))).alias("values")
+    )
+    values = materialize(values, "langid-probabilities")
+    sums = [F.sum(F.col("n") * F.get("values", F.lit(k))["v"]) for k in range(len(counts.languages))]
+    added = found.join(values, "seq").groupBy("key", "tie").agg(F.array(*sums).alias("sums"), F.sum("n").alias("all"))
+    copies = tied.groupBy(F.col("_key").alias("key2"), F.col("_tie").alias("tie2")).agg(F.count(F.lit(1)).alias("copies"))
+    added = added.join(copies, F.col("key").eqNullSafe(F.col("key2")) & (F.col("tie") == F.col("tie2"))).select(
+        "key", "tie", F.transform("sums", lambda x: x / F.col("copies")).alias("totals"),
+        (F.col("all") / F.col("copies")).cast("bigint").alias("size"),
+    )
+    joined = tied.join(added, F.col("_key").eqNullSafe(F.col("key")) & (F.col("_tie") == F.col("tie")), "left")
+    return joined.select("_key", "held_out", "_aside", "_lang", "totals", F.coalesce("size", F.lit(0)).alias("size"))
+
+
+def identify(
+    df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", parts: int = 5, held_out: int = 0,
+    cells: int = SHARED_CELLS,
+) -> DataFrame:
+    """(key, held_out, lang_pred, score, entropy, accepted) for every row, learnt outside of the held-out fold."""
+    fold = F.coalesce(remainder(F.col(key), parts) == held_out, F.lit(False))
+    learnt = ~fold & F.col(key).isNotNull()
+    aside = learnt & (F.pmod(F.xxhash64(F.col(key)), F.lit(CALIBRATION)) == 0)
+    counts = Counts(df.where(learnt), text, lang, aside)
     kind = df.schema[key].dataType.simpleString()
-    schema = f"`{key}` {kind}, held_out boolean, _lang string, lang_pred string, score double, entropy double"
-    rows = df.select(F.col(key), fold.alias("held_out"), F.col(lang).alias("_lang"), F.col(text).cast("string").alias("_text"))
-    scored = materialize(rows.mapInArrow(run, schema), "langid-scores")
-    # one row per language: how well the training texts of a language are predicted by its own model
-    usual = (
-        scored.where(~F.col("held_out") & (F.col("_lang") == F.col("lang_pred")))
-        .groupBy("lang_pred").agg((F.avg("entropy") + WIDTH * F.stddev_pop("entropy")).alias("_limit"))
+    rows = df.select(
+        F.col(key).alias("_key"), fold.alias("held_out"), aside.alias("_aside"), F.col(lang).alias("_lang"),
+        F.col(text).cast("string").alias("_text"),
+    )
+    # without a language the model is empty
+    if not counts.languages or counts.cells() <= cells:
+        schema = f"_key {kind}, held_out boolean, _aside boolean, _lang string, totals array<double>, size bigint"
+        totals = _scored_by_arrays(rows, counts, schema)
+    else:
+        totals = _scored_by_joins(rows, counts, kind)
+    n = F.greatest("size", F.lit(1))
+    means = totals.select("*", F.transform("totals", lambda x: x / n).alias("means"), F.array_min(F.transform("totals", lambda x: x / n)).alias("lowest"))
+    known = (F.col("size") > 0) & F.col("lowest").isNotNull()
+    summed = F.aggregate("means", F.lit(0.0), lambda s, x: s + F.exp((F.col("lowest") - x) * F.sqrt(n)))
+    names = F.array(*[F.lit(x) for x in counts.languages]).cast("array<string>")
+    best = F.get(names, (F.array_position("means", F.col("lowest")) - 1).cast("int"))
+    scored = means.select(
+        "_key", "held_out", "_aside", "_lang",
+        F.when(known, best).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(known, 1 / summed).otherwise(0.0).alias("score"),
+        F.when(known, F.col("lowest")).alias("entropy"),
     )
-    joined = scored.join(F.broadcast(usual), "lang_pred", "left")
-    return joined.select(
-        key, "held_out", "lang_pred", "score", "entropy",
-        F.coalesce(F.col("entropy") <= F.col("_limit"), F.lit(False)).alias("accepted"),
+    scored = materialize(scored, "langid-scores")
+    # one row per language: how well texts that its model has not seen are predicted
+    unseen = scored.where(F.col("_aside") & (F.col("_lang") == F.col("lang_pred")) & ~F.col("_lang").isin(counts.only_aside))
+    usual = unseen.groupBy("lang_pred").agg(
+        F.avg("entropy").alias("mean"), F.var_pop("entropy").alias("var"), F.count(F.lit(1)).alias("n")
     )
+    spread = usual.agg((F.sum(F.col("var") * F.col("n")) / F.sum("n")).alias("var")).first()["var"] or 0.0
+    limits = usual.select("lang_pred", (F.col("mean") + WIDTH * F.sqrt(F.greatest("var", F.lit(float(spread))))).alias("_limit"))
+    joined = scored.join(F.broadcast(limits), "lang_pred", "left")
+    fine = F.coalesce(F.col("entropy") <= F.col("_limit"), F.col("entropy").isNotNull())
+    return joined.select(F.col("_key").alias(key), "held_out", "lang_pred", "score", "entropy", fine.alias("accepted"))
 
 
 # --- the query -------------------------------------------------------------------------------------------------------
