@@ -17,15 +17,17 @@ pass the join that the others meet theirs in. Only line numbers go back to the t
 
 Defined results: null, empty and blank texts and texts of one or two lines (units) have no window and stay as they are. Rows with
 the same id, a null id included, have the same rank: none of them is later than another, only copies inside the row or
-under a smaller id go (a null id is the smallest). Repeated rows are treated alike. Other columns pass through.
+under a smaller id go (a null id is the smallest; text ids are ordered by their bytes, a null one like the empty one). Repeated rows are treated alike. Other columns pass through.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from voxloom.functions.binding import bind
+from voxloom.llm.common import own_names
 from voxloom.session import materialize
 
 LINES = 3
@@ -37,6 +39,12 @@ UNIT_ENDS = "(?<=\n)|(?<=[.!?] )"
 NO_ID = -(1 << 63)
 
 
+def _rank(df: DataFrame, key: str) -> Column:
+    """Whole numbers by size, texts by their bytes; a null is before all numbers and stands beside the empty text."""
+    kind = df.select(F.col(key)).schema[0].dataType
+    return F.coalesce(F.col(key), F.lit("")) if isinstance(kind, StringType) else F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID))
+
+
 def _units(text: Column, sentences: bool) -> Column:
     """Lines without their breaks, or units with what ends them."""
     return F.split(text, UNIT_ENDS if sentences else "\n")
@@ -64,7 +72,7 @@ def _windows(text: Column, lines: int, sentences: bool) -> Column:
 def window_rows(df: DataFrame, key: str, text: str, lines: int = LINES, sentences: bool = False) -> DataFrame:
     """(key, tie, at, a, b, again): one row per window; ``again`` if the same text holds it further up."""
     rows = df.select(
-        F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID)).alias("key"),
+        _rank(df, key).alias("key"),
         F.xxhash64(text).alias("tie"),
         _windows(F.col(text), lines, sentences).alias("w"),
     )
@@ -105,6 +113,7 @@ def later_windows(df: DataFrame, key: str, text: str, lines: int = LINES, senten
     return later.groupBy("key", "tie").agg(F.collect_set("at").alias("starts"))
 
 
+@own_names("key", "text", "into")
 def dedup_lines(
     df: DataFrame, key: str = "doc_id", text: str = "text", lines: int = LINES, into: str | None = None,
     sentences: bool = False,
@@ -117,7 +126,7 @@ def dedup_lines(
     kept = [c for c in df.columns if c not in {"n_lines", "n_removed"}]
     rows = df.select(
         *kept,
-        F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID)).alias("_key"),
+        _rank(df, key).alias("_key"),
         F.xxhash64(text).alias("_tie"),
     )
     gone = later_windows(df, key, text, lines, sentences).select(F.col("key").alias("_key"), F.col("tie").alias("_tie"), "starts")

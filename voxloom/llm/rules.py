@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.functions.binding import bind
-from voxloom.llm.common import BLANK_CLASS, BLANKS, blank_words
+from voxloom.llm.common import BLANK_CLASS, BLANKS, blank_words, own_names
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -113,6 +113,7 @@ POLICIES = {
 }
 
 
+@own_names("text")
 def ledger(df: DataFrame, text: str = "text") -> DataFrame:
     """The table with all measurements and the failure bits; ``text`` itself stays as it is."""
     kept = [c for c in df.columns if c not in {*MEASUREMENTS, "failed"}]

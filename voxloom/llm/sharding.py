@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxloom.llm.common import own_names
 from voxloom.session import materialize
 
 
@@ -44,6 +45,7 @@ def _with_running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         total = int(ends[-1]) if len(size) else total
 
 
+@own_names("key", "text")
 def shard_by_bytes(df: DataFrame, shards: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The table with ``size`` (UTF-8 bytes of the text plus one), ``shard`` and ``slot``."""
     if shards < 1:

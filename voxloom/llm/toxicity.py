@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import remainder, words_of
+from voxloom.llm.common import own_names, remainder, words_of
 from voxloom.session import materialize
 
 SAMPLE = 32_768
@@ -206,6 +206,7 @@ def logistic(x: np.ndarray, ones: np.ndarray, zeros: np.ndarray, steps: int = 50
 NEW_COLUMNS = ("n_words", "passages", "significance", "score")
 
 
+@own_names("text")
 def find_passages(df: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
     """The table with ``n_words``, ``passages`` (all maximal segments as first word, words and score, in order),
     ``significance`` and ``score``."""
@@ -254,7 +255,8 @@ def fit(
     )
     # at most ``sample`` ids and labels, so the broadcast is bounded whatever the tables hold
     chosen = known.dropDuplicates(["_id"]).orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    train = df.join(F.broadcast(chosen), F.col(key) == F.col("_id")).select(F.col(text).alias("_words"), "_label")
+    texts = df.select(F.col(key).alias("_key"), F.col(text).alias("_words"))
+    train = texts.join(F.broadcast(chosen), F.col("_key") == F.col("_id")).select("_words", "_label")
     train = materialize(train, "toxicity-train")
     lexicon = learn(train, "_words", "_label")
     if not lexicon.scores:
@@ -279,8 +281,9 @@ def score_toxicity(
     held_out: int = 0, sample: int = SAMPLE,
 ) -> DataFrame:
     """The table with ``held_out`` and what ``find_passages`` adds, for every row."""
-    rows = find_passages(df, fit(df, labels, key, text, label, parts, held_out, sample), text)
-    return rows.withColumn("held_out", F.coalesce(remainder(F.col(key), parts) == held_out, F.lit(False)))
+    lexicon = fit(df, labels, key, text, label, parts, held_out, sample)
+    folds = F.coalesce(remainder(F.col(key), parts) == held_out, F.lit(False))
+    return find_passages(df.withColumn("held_out", folds), lexicon, text)
 
 
 # --- the query -------------------------------------------------------------------------------------------------------
