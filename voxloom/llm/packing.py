@@ -34,8 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 END_ID = 2
-#: Words kept with their ids per worker; the cache starts anew when it is full, which changes no result.
-CACHE_WORDS = 700_000
+#: Words kept with their ids per worker, in two halves: when the newer is full the older is forgotten, and a word that is met
+#: again moves to the newer. Which words are kept changes no result.
+CACHE_WORDS = 300_000
 #: Letters whose lower case depends on what stands around them or has another length.
 ODD_CAPITALS = frozenset("\u03a3\u0130")
 #: The last letter (Cyrillic) on which all tables of letters agree; words with later ones take the whole way.
@@ -75,6 +76,7 @@ class WordTokenizer:
         self._by_bytes = True
         self._by_bytes = [struct.unpack(f"<{len(x) // 4}I", x) for x in map(self._plain, SAMPLES)] == [tuple(s) for s in steps]
         self._cache: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def _direct(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -90,12 +92,16 @@ class WordTokenizer:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def learn(self, words: Iterable[str]) -> None:
-        cache = self._cache
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
+        if len(self._cache) > CACHE_WORDS // 2:
+            self._older, self._cache = self._cache, {}
+        cache, older = self._cache, self._older
         for word in words:
             if word in cache:
                 continue
+            ids = older.get(word)
+            if ids is not None:
+                cache[word] = ids
+                continue
             core, mark = word, ""
             whole = word.isalpha()
             if not whole and word[-1] in ".," and word[:-1].isalpha() and word[-2].isascii():
@@ -103,7 +109,7 @@ class WordTokenizer:
             if whole and core.isascii():
                 # only A-Z is lowered here, which the tokenizer would do as well
                 core = core.lower()
-            ids = cache.get(core)
+            ids = cache.get(core) or older.get(core)
             if ids is None:
                 ids = cache[core] = self._plain(core) if whole and self._by_bytes and core.lower().isalpha() else self._direct(core)
             if mark:
@@ -124,6 +130,7 @@ class WordTokenizer:
             ids = b"".join([cache[word] for word in words])
         except KeyError:
             self.learn(words)
+            cache = self._cache
             ids = b"".join([cache[word] for word in words])
         prompt = sum(len(cache[word]) for word in head.split()) // 4 if line else 0
         return ids + end, prompt
