@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 END_ID = 2
 #: Words kept with their ids per worker, in two halves: when the newer is full the older is forgotten, and a word that is met
 #: again moves to the newer. Which words are kept changes no result.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000
 #: Letters whose lower case depends on what stands around them or has another length.
 ODD_CAPITALS = frozenset("\u03a3\u0130")
 #: The last letter (Cyrillic) on which all tables of letters agree; words with later ones take the whole way.
@@ -75,6 +75,7 @@ class WordTokenizer:
         steps = [self._tokenizer.encode(t, add_special_tokens=False).ids for t in SAMPLES]
         self._by_bytes = True
         self._by_bytes = [struct.unpack(f"<{len(x) // 4}I", x) for x in map(self._plain, SAMPLES)] == [tuple(s) for s in steps]
+        self.most_words = CACHE_WORDS
         self._cache: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
@@ -92,7 +93,7 @@ class WordTokenizer:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def learn(self, words: Iterable[str]) -> None:
-        if len(self._cache) > CACHE_WORDS // 2:
+        if len(self._cache) > self.most_words // 2:
             self._older, self._cache = self._cache, {}
         cache, older = self._cache, self._older
         for word in words:
@@ -243,15 +244,18 @@ def pack_partition(
 
 
 def pack(
-    df: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", limits: Limits = Limits(), open_bins: int = 16
+    df: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", limits: Limits = Limits(), open_bins: int = 16,
+    cache_words: int = CACHE_WORDS,
 ) -> DataFrame:
     """(key, start, length, doc_tokens, loss_tokens, sequence_id, segment, offset, ids): one row per piece, ``ids`` its
-    token ids as little-endian unsigned 32-bit bytes. All three limits hold in every sequence."""
+    token ids as little-endian unsigned 32-bit bytes. All three limits hold in every sequence. ``cache_words`` bounds the words
+    a worker remembers (about 200 bytes each) and changes no result."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         tokenizer = worker_tokenizer(tokenizer_path)
+        tokenizer.most_words = cache_words
         first = TaskContext.get().partitionId() << 40
         kind: list[pa.DataType] = []
 
