@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from voxloom.functions import align as L
 from voxloom.functions import signal as G
+from voxloom.operators import longsignals as B
 from voxloom.operators import windows as W
 
 x = F.col("x")
@@ -149,3 +150,50 @@ def test_quiet_gap_is_found():
     assert W.cut_positions(wav, 16, 2.0, 1.0)[1] == 36
     # a range no wider than the window cuts at the target
     assert W.cut_positions(wav, 16, 2.0, 0.1)[1] == 32
+
+
+def _blocks(rng, name, wav):
+    """A signal in blocks of random lengths, some of them empty, in random order."""
+    edges = sorted({0, len(wav), *rng.integers(0, len(wav) + 1, size=len(wav) // 9).tolist()})
+    blocks = [(name, a, wav[a:b].tolist()) for a, b in zip(edges, edges[1:])] + [(name, len(wav) // 2, [])]
+    rng.shuffle(blocks)
+    return [(n, int(a), w) for n, a, w in blocks]
+
+
+@pytest.mark.parametrize("longest,expand,window_ms", [(1.0, 0.5, 100.0), (1.0, 2.0, 100.0), (2.0, 0.1, 500.0), (1.0, 0.0, 100.0)])
+def test_blocks_are_cut_like_rows(spark, longest, expand, window_ms):
+    rng = np.random.default_rng(17)
+    waves = [rng.normal(size=n).astype(np.float32) for n in (0, 1, 16, 17, 80, 331, 2000)]
+    waves += [np.zeros(300, np.float32), np.repeat(np.float32([1, 0, 2]), 90), rng.integers(0, 3, size=700).astype(np.float32)]
+    names = [None, *range(1, len(waves))]
+    whole = spark.createDataFrame([(k, w.tolist()) for k, w in zip(names, waves)], "id int, wav array<float>")
+    blocks = [b for k, w in zip(names, waves) for b in _blocks(rng, k, w)] + [(77, None, [1.0]), (78, 0, None)]
+    stored = spark.createDataFrame(blocks, "id int, first long, x array<float>")
+    order = lambda df: [tuple(r) for r in df.orderBy("id", "chunk_index").collect()]
+    expected = order(W.split_long_signal(whole, "id", "wav", 16, longest, expand, window_ms))
+    got = order(B.split_blocks(stored, "id", "first", "x", 16, longest, expand, window_ms, stretch=1))
+    assert [(*r[:2], pytest.approx(r[2]), *r[3:]) for r in expected] == got
+    assert len(got) > 100
+
+
+def test_blocks_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "id int, first long, x array<float>")
+    assert B.split_blocks(empty, "id", "first", "x", 16, 1.0).collect() == []
+
+
+def test_stretches_of_a_long_signal_are_tables_of_a_few_runs():
+    rng = np.random.default_rng(3)
+    loud = np.abs(rng.normal(size=60_000)).astype(np.float32)
+    cuts = B.next_cuts(loud, 50_000, 4000, 2000, 100)
+    exits = B.leaving(cuts)
+    assert len(B._runs(cuts)[0]) < 200 and len(B._runs(exits)[0]) < 20
+    walked = W.cut_positions(loud, 100, 40.0, 20.0, 1000.0)
+    assert B.window_size(100, 1000.0) == 100
+    assert [int(cuts[c]) for c in walked if c < 50_000] == [*walked[1:], B.NO_CUT][: sum(c < 50_000 for c in walked)]
+
+
+def test_first_minima_by_definition():
+    rng = np.random.default_rng(4)
+    values = rng.integers(0, 4, size=50)
+    for width in range(1, 51):
+        assert B.first_minima(values, width).tolist() == [i + int(values[i : i + width].argmin()) for i in range(51 - width)]

@@ -9,6 +9,8 @@ from voxloom.catalog.registry import query
 from voxloom.functions import signal as G
 from voxloom.operators import windows as W
 from voxloom.operators.joins import slice_span_rows
+from voxloom.operators.longsignals import split_blocks
+from voxloom.operators.ordered import with_running
 from voxloom.sources import audio as U
 from voxloom.session import scratch_path
 from voxloom.sources.readers import table
@@ -259,6 +261,35 @@ def _(spark, d):
     )
 
 
+# signals of 32 vectors, each vector a block of samples; a stretch is as short as the longest chunk allows
+@query(
+    "split_long_signal_blocks",
+    """WITH RECURSIVE signals AS (SELECT vec_id // 32 AS signal, flatten(list(embedding ORDER BY vec_id)) AS w FROM embeddings GROUP BY ALL),
+    cuts AS (
+      SELECT signal, 0::BIGINT AS chunk_index, 0::BIGINT AS a FROM signals
+      UNION ALL
+      SELECT signal, chunk_index + 1, greatest(lo + q + list_position(loud[q + 1 : q + 4], list_min(loud[q + 1 : q + 4])) - 1, a + 1)
+      FROM (SELECT *, list_position(e, list_min(e)) - 1 AS q FROM (
+        SELECT *, list_transform(range(1, len(loud) - 2), lambda i: round(loud[i]::DOUBLE + loud[i + 1] + loud[i + 2] + loud[i + 3], 9)) AS e FROM (
+          SELECT signal, chunk_index, a, a + 8 AS lo, list_transform(w[a + 9 : a + 24], lambda x: abs(x)) AS loud
+          FROM cuts JOIN signals USING (signal) WHERE len(w) - a > 16)))),
+    chunks AS (SELECT signal, chunk_index, a, coalesce(lead(a) OVER (PARTITION BY signal ORDER BY chunk_index), len(w)) - a AS n, w FROM cuts JOIN signals USING (signal))
+    SELECT signal, chunk_index, n AS n_samples, greatest(n, 8) AS n_padded, a / 16.0::DOUBLE AS offset_sec,
+           md5(array_to_string(list_transform(w[a + 1 : a + n], lambda x: trunc((greatest(least(x, 1), -1) * 32767::FLOAT)::FLOAT)::BIGINT::VARCHAR), ',')) AS pcm_md5
+    FROM chunks""",
+)
+def _(spark, d):
+    waves = _waves(spark, d).withColumn("signal", F.floor(F.col("vec_id") / 32))
+    size = F.size("wav").cast("bigint")
+    blocks = with_running(waves.select("signal", "vec_id", "wav"), ["signal"], ["vec_id"], F.col("signal"), size, "start")
+    chunks = split_blocks(blocks, "signal", "start", "wav", SR, max_chunk_sec=1.0, expand_sec=0.5, stretch=1)
+    pcm = G.to_pcm16(F.slice("wav", F.lit(1), F.col("n_samples"))).cast("array<string>")
+    return chunks.select(
+        "signal", F.col("chunk_index").cast("bigint").alias("chunk_index"), F.col("n_samples").cast("bigint").alias("n_samples"),
+        F.size("wav").cast("bigint").alias("n_padded"), "offset_sec", F.md5(F.array_join(pcm, ",")).alias("pcm_md5"),
+    )
+
+
 _SPANS_SQL = """WITH s AS (SELECT vec_id, embedding AS w, k, k * 0.7::DOUBLE + label / 7.0::DOUBLE - 0.5 AS a, k * 0.9::DOUBLE + label / 11.0::DOUBLE AS b
                   FROM embeddings, unnest(range(0, 6)) AS t(k) WHERE label <> 5),
     cut AS (SELECT vec_id, k, w[greatest(0, trunc(a * 16)::INT) + 1 : least(len(w), trunc(b * 16)::INT)] AS seg FROM s
