@@ -103,6 +103,29 @@ def test_licence_places(spark):
     assert rows[3]["score"] == 1.0 and rows[5]["score"] == 0.0
 
 
+def test_licence_paragraphs_with_changed_words(spark):
+    mit = next(t for t in licenses.TEMPLATES if t.label == "mit" and len(t.words) > 60)
+    words = mit.words
+    texts = [
+        "Notice. " + mit.text.capitalize() + " end",
+        " ".join(words[:30] + ["really"] + words[30:]),  # a word put in
+        " ".join(words[:40] + words[43:]),  # three left out
+        " ".join("other" if i in (17, 45) else w for i, w in enumerate(words)),  # two replaced
+        " ".join(words[4:]),  # the first phrase is missing
+        " ".join(sorted(words)),  # the words without their order
+    ]
+    rows = licenses.query(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert ["mit" in r["labels"].split(",") for r in rows] == [True, True, True, True, False, False]
+    assert rows[0]["score"] == 1.0 and all(r["n_base"] == 0 for r in rows)
+
+
+def test_licence_templates_of_other_words(spark):
+    own = [licenses.notice("house", "this recording may be played at home but not sold or lent to strangers", "played at home")]
+    texts = ["x This recording may be played at home, but not sold or lent to strangers", "this recording may be sold", "mit license", "", None]
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), templates=own).orderBy("id").collect()
+    assert [[(f["t"], f["s"]) for f in r["found"]] for r in rows] == [[(0, 1)], [], [], [], []]
+
+
 @pytest.mark.parametrize(("stretch", "wrong"), [(13, 2), (12, 2), (11, 1), (10, 1), (9, 1), (8, 0)])
 def test_masks_leave_no_gap(stretch, wrong):
     for bad in itertools.combinations(range(stretch), wrong):

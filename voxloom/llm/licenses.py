@@ -1,7 +1,8 @@
 """Licence scan with a positional index of rare words.
 
-Templates are short licence texts. Each is indexed under its rarest words (up to three places, by document frequency in
-the table that is scanned). A text looks up those words, every pair of a place in the text and a place in the template
+Templates are names, notices and paragraphs of licences. Each is indexed under its rarest words (three places, or an eighth
+of a long template's, by document frequency in the table that is scanned), so a word put in or left out of a paragraph
+moves some of its rare words and leaves others together. A text looks up those words, every pair of a place in the text and a place in the template
 gives the start the template would have, and a start on which enough rare words agree is a candidate: the postings
 intersect by relative position. A candidate counts if all mandatory phrases of the template stand where it puts them,
 give or take its slack; its score is the share of the template's words that agree, weighted by their rarity.
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from voxloom.functions.binding import bind
 from voxloom.llm.common import words_of
 
-#: Rare places under which a template is indexed, and how many of them must agree.
+#: Least rare places under which a template is indexed, and how many of them must agree.
 RARE, AGREE = 3, 2
 
 
@@ -46,15 +47,27 @@ class Template:
     def agree(self) -> int:
         return len(self.words) if len(self.words) <= RARE else AGREE
 
+    @property
+    def rare(self) -> int:
+        return max(RARE, len(self.words) // 8)
+
     @property
     def slack(self) -> int:
-        return 0 if len(self.words) <= RARE else 2
+        return 0 if len(self.words) <= RARE else max(2, len(self.words) // 8)
 
 
 def _whole(label: str, text: str, base: bool = False) -> Template:
     return Template(label, text, ((0, len(text.split())),), base)
 
 
+def notice(label: str, text: str, *phrases: str) -> Template:
+    """A paragraph and the phrases of it that must stand."""
+    words = text.split()
+    wanted = [phrase.split() for phrase in phrases]
+    places = [next(i for i in range(len(words)) if words[i : i + len(w)] == w) for w in wanted]
+    return Template(label, text, tuple((i, len(w)) for i, w in zip(places, wanted)))
+
+
 #: Phrases and labels of the contract, then sentences of public licences in lower case without marks.
 TEMPLATES = (
     _whole("cc-by", "cc by", base=True),
@@ -77,8 +90,49 @@ TEMPLATES = (
     _whole("cc0", "cc0 1 0 universal"),
     Template("unlicense", "this is free and unencumbered software released into the public domain", ((2, 3), (6, 5))),
     Template("isc", "permission to use copy modify and or distribute this software for any purpose", ((0, 4), (9, 4))),
+    notice(
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+        "documentation files the software to deal in the software without restriction including without limitation the "
+        "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+        "persons to whom the software is furnished to do so subject to the following conditions",
+        "permission is hereby granted", "without restriction", "subject to the following conditions",
+    ),
+    notice(
+        "bsd-3-clause",
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission",
+        "names of its contributors", "endorse or promote products", "specific prior written permission",
+    ),
+    notice(
+        "apache-2.0",
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed "
+        "on an as is basis without warranties or conditions of any kind either express or implied",
+        "required by applicable law", "warranties or conditions of any kind",
+    ),
+    notice(
+        "gpl",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general "
+        "public license as published by the free software foundation",
+        "you can redistribute it", "gnu general public license",
+    ),
+    notice(
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies",
+        "with or without fee", "this permission notice appear in all copies",
+    ),
+    notice(
+        "unlicense",
+        "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or "
+        "as a compiled binary for any purpose commercial or non commercial and by any means",
+        "copy modify publish use compile sell or distribute", "by any means",
+    ),
 )
-VOCABULARY = tuple(sorted({word for template in TEMPLATES for word in template.words}))
+
+
+def vocabulary(templates: Sequence[Template] = TEMPLATES) -> list[str]:
+    return sorted({word for template in templates for word in template.words})
 
 
 def rarity(documents: int, holding: int) -> int:
@@ -86,19 +140,22 @@ def rarity(documents: int, holding: int) -> int:
     return ((documents + 1) // (holding + 1)).bit_length()
 
 
-def document_frequencies(df: DataFrame, text: str) -> tuple[int, dict[str, int]]:
+def document_frequencies(
+    df: DataFrame, text: str, templates: Sequence[Template] = TEMPLATES
+) -> tuple[int, dict[str, int]]:
     """Number of documents, and per word of the templates the documents that hold it. One bounded row per word."""
-    known = F.array(*[F.lit(word) for word in VOCABULARY])
+    words = vocabulary(templates)
+    known = F.array(*[F.lit(word) for word in words])
     held = F.array_intersect(words_of(F.col(text)), known)
     # the blank stands for the document itself
     rows = df.select(F.explode(F.concat(F.array(F.lit("")), held)).alias("word")).groupBy("word").count().collect()
     counts = {row["word"]: row["count"] for row in rows}
-    return counts.get("", 0), {word: counts.get(word, 0) for word in VOCABULARY}
+    return counts.get("", 0), {word: counts.get(word, 0) for word in words}
 
 
-def rare_places(template: Template, holding: dict[str, int], rare: int = RARE) -> list[int]:
+def rare_places(template: Template, holding: dict[str, int]) -> list[int]:
     words = template.words
-    return sorted(range(len(words)), key=lambda p: (holding[words[p]], words[p], p))[:rare]
+    return sorted(range(len(words)), key=lambda p: (holding[words[p]], words[p], p))[: template.rare]
 
 
 def _index(templates: Sequence[Template], holding: dict[str, int]) -> tuple[list[str], Column]:
@@ -158,8 +215,8 @@ def _verified(words: Column, found: Column, templates: Sequence[Template], weigh
 
 def scan(df: DataFrame, text: str = "text", templates: Sequence[Template] = TEMPLATES) -> DataFrame:
     """The table with ``words`` (of the text) and ``found``: an array of (t, s, score), the template's number, the word
-    at which it starts, and how much of it agrees. The templates may use the words of ``VOCABULARY`` only."""
-    n, holding = document_frequencies(df, text)
+    at which it starts, and how much of it agrees. Templates are any lower-case words with blanks between."""
+    n, holding = document_frequencies(df, text, templates)
     keys, index = _index(templates, holding)
     weights = {word: rarity(n, count) for word, count in holding.items()}
     rows = df.withColumn("words", words_of(F.col(text)))
@@ -187,7 +244,7 @@ def query(docs: DataFrame) -> DataFrame:
 def sql() -> str:
     """The same rule by brute force: every place of every template word is joined, not only the rare ones."""
     words = ", ".join(
-        f"({t}, '{x.label}', {str(x.base).lower()}, {x.agree}, {x.slack}, {p}, '{w}')"
+        f"({t}, '{x.label}', {str(x.base).lower()}, {x.agree}, {x.rare}, {x.slack}, {p}, '{w}')"
         for t, x in enumerate(TEMPLATES) for p, w in enumerate(x.words)
     )
     phrases = ", ".join(
@@ -198,7 +255,7 @@ def sql() -> str:
 WITH split AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
          'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
-template(t, label, base, agree, slack, p, w) AS (VALUES {words}),
+template(t, label, base, agree, rare, slack, p, w) AS (VALUES {words}),
 phrase(t, k, o, j, w, n, slack) AS (VALUES {phrases}),
 word AS (
   SELECT doc_id, w, i FROM (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS i FROM split)
@@ -208,7 +265,7 @@ bits AS (
   FROM (SELECT DISTINCT w FROM template) LEFT JOIN word USING (w) GROUP BY w),
 rare AS (
   SELECT t, p, w, agree FROM (
-    SELECT *, row_number() OVER (PARTITION BY t ORDER BY df, w, p) AS k FROM template JOIN bits USING (w)) WHERE k <= {RARE}),
+    SELECT *, row_number() OVER (PARTITION BY t ORDER BY df, w, p) AS k FROM template JOIN bits USING (w)) WHERE k <= rare),
 candidate AS (
   SELECT doc_id, t, i - p AS s FROM word JOIN rare USING (w) GROUP BY ALL HAVING count(*) >= any_value(agree)),
 stands AS (
