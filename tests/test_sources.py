@@ -3,6 +3,7 @@
 import glob
 import io
 import math
+import shutil
 import struct
 import wave
 
@@ -37,6 +38,18 @@ def test_shards_have_exact_sizes(spark, tmp_path):
     assert back.select("shard", "shard_file").distinct().count() == 4
 
 
+def test_shards_may_be_folders(spark, tmp_path):
+    spark.range(3).repartition(2).write.parquet(str(tmp_path / "rows.parquet"))
+    spark.range(50, 60).write.parquet(str(tmp_path / "other.parquet"))
+    back = R.scan_parquet_shards(spark, str(tmp_path), "rows*.parquet", with_file=True).collect()
+    assert sorted(r["id"] for r in back) == [0, 1, 2] and all(r["shard_file"].startswith("part-") for r in back)
+    # a file beside the folder is a shard as well
+    spark.range(7, 8).coalesce(1).write.parquet(str(tmp_path / "one"))
+    (file,) = glob.glob(str(tmp_path / "one" / "part-*.parquet"))
+    shutil.copy(file, tmp_path / "rows-2.parquet")
+    assert sorted(r["id"] for r in R.scan_parquet_shards(spark, str(tmp_path), "rows*.parquet").collect()) == [0, 1, 2, 7]
+
+
 def test_jsonl_keeps_nulls_and_unicode(spark, tmp_path):
     path = str(tmp_path / "rows")
     df = spark.createDataFrame([("a.wav", "日本 \n x", None)], "audio string, text string, prompt string")
