@@ -23,6 +23,14 @@ def test_entry(spark):
     assert sum(r["n"] for r in rows) == 200
 
 
+@pytest.mark.parametrize("name", ["language_distribution", "scan_parquet_shards"])
+def test_documents_may_be_a_folder(spark, tmp_path, name):
+    rows = [(k, "some words", lang, "web", 10) for k, lang in enumerate(["en", "en", "fr", None])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.repartition(3, "doc_id").write.parquet(str(tmp_path / "documents.parquet"))
+    assert sorted(r["n"] for r in QUERIES[name](spark, str(tmp_path)).collect()) == [1, 1, 2]
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
     good, note = compare(spark, con, SMALL, name, QUERIES[name], ORACLES.get(name))
