@@ -3,8 +3,10 @@
 import time
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField
 
 from voxloom.session import ROCKSDB, scratch_path
 from voxloom.sources.pieces import read_pieces, write_pieces
@@ -244,3 +246,57 @@ def test_a_replayed_batch_changes_nothing(spark):
     table.merge(batch, 7)
     assert {r["k"]: (r["step"], r["v"]) for r in table.read().collect()} == want
     assert table._folders("base") == [2, 5] and len(table._parts().inputFiles()) < 20
+
+
+class Handle:
+    """State of one group in memory; counts the writes."""
+
+    def __init__(self):
+        self.value, self.timers, self.writes = None, set(), 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def getMapState(self, name, key, value):
+        return Store()
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value, self.writes = value, self.writes + 1
+
+    def clear(self):
+        self.value = None
+
+    def listTimers(self):
+        return list(self.timers)
+
+    def deleteTimer(self, at):
+        self.timers.discard(at)
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+
+def test_sessions_of_a_group_share_calls_and_entries():
+    settings = S.StreamSettings(chunk_seconds=3, sr=1, ttl_seconds=None)
+    sizes = {k: k % 8 for k in range(500)} | {None: 4}
+    rows = pd.DataFrame(
+        [(k, i, float(i), False) for k, n in sizes.items() for i in range(n)] + [(k, n, None, True) for k, n in sizes.items()],
+        columns=["k", "number", "value", "end"],
+    )
+    rows["k"] = rows["k"].astype(object)
+    handle, got = Handle(), {}
+    for frames in ([rows[:900], rows[900:1700]], [rows[1700:]]):
+        processor = S.GroupProcessor(settings, words, "number", StructField("k", LongType()))
+        processor.init(handle)
+        out = list(processor.handleInputRows((0,), iter(frames), None))
+        assert len(out) <= len(frames)
+        for row in pd.concat(out).itertuples():
+            got.setdefault(None if pd.isna(row.k) else row.k, []).append((row.n_seen, row.final))
+    want = {k: [(min(i + 3, n), n - i < 3) for i in range(0, n, 3)] for k, n in sizes.items() if n}
+    assert got == want and handle.writes == 1 and handle.value is None

@@ -5,10 +5,14 @@ chunk yet, samples that came before others that are missing, the raw text decode
 the chunks consumed so far. Samples are consumed by number, so the steps do not depend on batches, files or the order
 of arrival. The closing row has the number after the last sample: it waits for missing samples like they do. A number
 that was consumed already is ignored. State lives in the state store, so sessions survive a restart.
+
+Sessions without timers are handled in groups: a call of Python, a frame and a batch of results are shared by the many sessions
+of a group, and so is the entry of the state with their progress. Timers belong to a key, so with them a session is its key.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -37,6 +41,9 @@ from voxloom.session import ROCKSDB, scratch_path
 BROKEN_CHARACTER = "\ufffd"
 #: Sample numbers that share one entry of waiting samples.
 STRETCH = 4096
+#: Groups of sessions that have no timers.
+GROUPS = 256
+STEP_COLUMNS = ["chunk_id", "n_new", "n_seen", "sum_new", "sum_seen", "prefix", "raw", "final"]
 
 
 @dataclass(frozen=True)
@@ -142,9 +149,12 @@ class SessionProcessor(StatefulProcessor):
         state["chunk_id"] += 1
         return row
 
+    def _new(self) -> dict:
+        return {"chunk_id": 0, "n_seen": 0, "sum_seen": 0.0, "raw": "", "buffer": np.empty(0, np.float32), "size": -1, "waiting": 0}
+
     def _load(self) -> dict:
         if not self.progress.exists():
-            return {"chunk_id": 0, "n_seen": 0, "sum_seen": 0.0, "raw": "", "buffer": np.empty(0, np.float32), "size": -1, "waiting": 0}
+            return self._new()
         chunk_id, n_seen, sum_seen, raw, buffer, size, waiting = self.progress.get()
         return {
             "chunk_id": chunk_id, "n_seen": n_seen, "sum_seen": sum_seen, "raw": raw,
@@ -166,6 +176,9 @@ class SessionProcessor(StatefulProcessor):
         numbers, first = np.unique(numbers, return_index=True)
         ahead = numbers >= after
         numbers, samples = numbers[ahead], samples[first][ahead]
+        if not state["waiting"] and (not len(numbers) or numbers[-1] - after + 1 == len(numbers)):
+            # none is missing and none waits
+            return samples
         stretches = numbers // STRETCH
         own = {int(k): (numbers[stretches == k], samples[stretches == k]) for k in np.unique(stretches)}
         due: list[np.ndarray] = []
@@ -201,7 +214,8 @@ class SessionProcessor(StatefulProcessor):
         keep = self.settings.keep_audio
         return [np.asarray(c[0], dtype=np.float32) for c in self.audio.get()] if keep and self.audio.exists() else []
 
-    def _run(self, key, state: dict, samples: np.ndarray, finish: bool) -> pd.DataFrame:
+    def _steps(self, state: dict, samples: np.ndarray, finish: bool) -> tuple[list[tuple], list[np.ndarray]]:
+        """The steps that are due now, and the chunks that they add to what was heard."""
         size = self.settings.chunk_samples
         waiting = np.concatenate([state["buffer"], samples])
         whole = len(waiting) // size
@@ -210,23 +224,26 @@ class SessionProcessor(StatefulProcessor):
         known = len(heard)
         rows = [self._step(state, waiting[i * size : (i + 1) * size], heard, False) for i in range(whole)]
         state["buffer"] = waiting[whole * size :]
+        if finish and len(state["buffer"]):
+            rows.append(self._step(state, state["buffer"], heard, True))
+        return rows, heard[known:]
+
+    def _run(self, key, state: dict, samples: np.ndarray, finish: bool) -> pd.DataFrame:
+        rows, heard = self._steps(state, samples, finish)
         if finish:
-            if len(state["buffer"]):
-                rows.append(self._step(state, state["buffer"], heard, True))
             self.progress.clear()
             self.audio.clear()
             self.early.clear()
         else:
-            if self.settings.keep_audio and len(heard) > known:
-                self.audio.appendList([(c.tolist(),) for c in heard[known:]])
+            if self.settings.keep_audio and heard:
+                self.audio.appendList([(c.tolist(),) for c in heard])
             self.progress.update(
                 (
                     state["chunk_id"], state["n_seen"], state["sum_seen"], state["raw"], state["buffer"].tolist(),
                     state["size"], state["waiting"],
                 )
             )
-        columns = ["chunk_id", "n_new", "n_seen", "sum_new", "sum_seen", "prefix", "raw", "final"]
-        out = pd.DataFrame(rows, columns=columns)
+        out = pd.DataFrame(rows, columns=STEP_COLUMNS)
         out.insert(0, self.key, key[0])
         return out
 
@@ -237,18 +254,23 @@ class SessionProcessor(StatefulProcessor):
             now = timerValues.getCurrentProcessingTimeInMs()
             self.handle.registerTimer(now + int(self.settings.ttl_seconds * 1000))
 
+    def _columns(self, frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        closing, numbers = frame["end"].to_numpy(dtype=bool), frame[self.number].to_numpy(dtype=np.int64)
+        return closing, numbers, frame["value"].to_numpy(dtype=np.float32)
+
+    def _taken(self, state: dict, closing: np.ndarray, numbers: np.ndarray, samples: np.ndarray) -> tuple[np.ndarray, bool]:
+        """The samples that are due with these rows, and whether they are the last ones of the session."""
+        if closing.any():
+            state["size"] = int(numbers[closing].max())
+        due = self._due(state, numbers[~closing], samples[~closing])
+        return due, state["size"] >= 0 and state["n_seen"] + len(state["buffer"]) + len(due) >= state["size"]
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         """The frames of a batch are consumed one by one, so no more than one of them is held."""
         finished = False
         for frame in rows:
             state = self._load()
-            closing = frame["end"].to_numpy(dtype=bool)
-            numbers = frame[self.number].to_numpy(dtype=np.int64)
-            if closing.any():
-                state["size"] = int(numbers[closing].max())
-            samples = frame["value"].to_numpy(dtype=np.float32)
-            due = self._due(state, numbers[~closing], samples[~closing])
-            finished = state["size"] >= 0 and state["n_seen"] + len(state["buffer"]) + len(due) >= state["size"]
+            due, finished = self._taken(state, *self._columns(frame))
             out = self._run(key, state, due, finished)
             if len(out):
                 yield out
@@ -265,20 +287,115 @@ class SessionProcessor(StatefulProcessor):
         pass
 
 
+class GroupProcessor(SessionProcessor):
+    """The same steps for groups of sessions without timers.
+
+    The progress of a group's open sessions is one entry of the state, read once and written once a batch; what waits for missing
+    samples and the audio that is kept have entries of their own per session.
+    """
+
+    def __init__(self, settings: StreamSettings, factory: Callable, number: str, key: StructField):
+        super().__init__(settings, factory, number, key.name)
+        self.kind = key.dataType
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        session = StructField("session", self.kind)
+        self.progress = handle.getValueState("progress", "sessions binary")
+        self.early = handle.getMapState(
+            "early", StructType([session, StructField("stretch", LongType())]), "numbers array<bigint>, samples array<float>"
+        )
+        self.audio = handle.getMapState("audio", StructType([session]), "heard binary")
+        self.model = loaded("stream", self.factory)
+
+    def _new(self) -> dict:
+        return super()._new() | {"stretches": set()}
+
+    def _open(self) -> dict:
+        """The state of each open session."""
+        states = pickle.loads(self.progress.get()[0]) if self.progress.exists() else {}
+        for state in states.values():
+            state["buffer"] = np.frombuffer(state["buffer"], dtype=np.float32)
+        return states
+
+    def _save(self, states: dict) -> None:
+        if not states:
+            self.progress.clear()
+            return
+        names = list(self._new())
+        plain = {k: {n: s[n] for n in names} | {"buffer": s["buffer"].tobytes()} for k, s in states.items()}
+        self.progress.update((pickle.dumps(plain),))
+
+    def _forget(self, state: dict) -> None:
+        for stretch in state["stretches"]:
+            self.early.removeKey((self.session, stretch))
+        if self.settings.keep_audio and self.audio.containsKey((self.session,)):
+            self.audio.removeKey((self.session,))
+
+    def _waiting(self, stretch: int) -> tuple[np.ndarray, np.ndarray]:
+        place = (self.session, stretch)
+        numbers, samples = self.early.getValue(place) if self.early.containsKey(place) else ((), ())
+        return np.asarray(numbers, dtype=np.int64), np.asarray(samples, dtype=np.float32)
+
+    def _keep(self, state: dict, stretch: int, before: int, numbers: np.ndarray, samples: np.ndarray) -> None:
+        state["waiting"] += len(numbers) - before
+        if len(numbers):
+            self.early.updateValue((self.session, stretch), (numbers.tolist(), samples.tolist()))
+            state["stretches"].add(stretch)
+        elif before:
+            self.early.removeKey((self.session, stretch))
+            state["stretches"].discard(stretch)
+
+    def _heard(self) -> list[np.ndarray]:
+        if not self.settings.keep_audio or not self.audio.containsKey((self.session,)):
+            return []
+        return [np.frombuffer(self.audio.getValue((self.session,))[0], dtype=np.float32)]
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        """The frames of a group are consumed one by one; what is held over them is the progress of its open sessions."""
+        states = self._open()
+        for frame in rows:
+            codes, sessions = pd.factorize(frame[self.key], use_na_sentinel=False)
+            order = np.argsort(codes, kind="stable")
+            ends = np.searchsorted(codes[order], np.arange(len(sessions) + 1))
+            columns = [c[order] for c in self._columns(frame)]
+            out = []
+            for k, session in enumerate(sessions.tolist()):
+                self.session = session = None if pd.isna(session) else session
+                state = states.pop(session, None) or self._new()
+                due, finished = self._taken(state, *[c[ends[k] : ends[k + 1]] for c in columns])
+                steps, heard = self._steps(state, due, finished)
+                out += [(session, *step) for step in steps]
+                if finished:
+                    self._forget(state)
+                    continue
+                states[session] = state
+                if self.settings.keep_audio and heard:
+                    self.audio.updateValue((session,), (np.concatenate([*self._heard(), *heard]).tobytes(),))
+            if out:
+                yield pd.DataFrame(out, columns=[self.key, *STEP_COLUMNS])
+        self._save(states)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        return iter(())
+
+
 def stream_steps(
-    events: DataFrame, key: str, number: str, settings: StreamSettings, factory: Callable, mode: str = "Append"
+    events: DataFrame, key: str, number: str, settings: StreamSettings, factory: Callable, mode: str = "Append",
+    groups: int = GROUPS,
 ) -> DataFrame:
     """Recognition steps of a stream with columns key, number, value and end (true on the closing row of a session).
 
-    ``mode`` is the output mode of the stream, Append or Update. It needs the state store of ``ROCKSDB``; ``run_available`` sets it while it starts the stream.
+    Sessions without timers are dealt to ``groups`` groups, of which a worker holds the buffers and texts of one; a checkpoint keeps
+    that number. ``mode`` is the output mode of the stream, Append or Update. It needs the state store of ``ROCKSDB``; ``run_available`` sets it while it starts the stream.
     """
-    processor = SessionProcessor(settings, factory, number, key)
-    steps = events.groupBy(key).transformWithStateInPandas(
-        processor,
-        stream_steps_schema(events.schema[key]),
-        mode,
-        "None" if settings.ttl_seconds is None else "ProcessingTime",
-    )
+    field, schema = events.schema[key], stream_steps_schema(events.schema[key])
+    if settings.ttl_seconds is None:
+        # most of a small frame's cost is that of the frame, so sessions share them
+        grouped = events.withColumn("_group", F.pmod(F.xxhash64(key), F.lit(groups))).groupBy("_group")
+        steps = grouped.transformWithStateInPandas(GroupProcessor(settings, factory, number, field), schema, mode, "None")
+    else:
+        processor = SessionProcessor(settings, factory, number, key)
+        steps = events.groupBy(key).transformWithStateInPandas(processor, schema, mode, "ProcessingTime")
     # a step is parsed like any model output, in the JVM and without state
     forced = F.lit(settings.forced_language).cast("string")
     return parse_model_output(steps.withColumn("_forced", forced), "raw", "_forced", "language", "text").drop("_forced")
