@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField
+from pyspark.sql.types import LongType, StringType, StructField
 
 from voxloom.session import ROCKSDB, scratch_path
 from voxloom.sources.pieces import read_pieces, write_pieces
@@ -300,3 +300,26 @@ def test_sessions_of_a_group_share_calls_and_entries():
             got.setdefault(None if pd.isna(row.k) else row.k, []).append((row.n_seen, row.final))
     want = {k: [(min(i + 3, n), n - i < 3) for i in range(0, n, 3)] for k, n in sizes.items() if n}
     assert got == want and handle.writes == 1 and handle.value is None
+
+
+def test_keys_of_a_group_share_a_timer():
+    minute = 60_000_000
+    handle = Handle()
+    processor = idle.IdleProcessor(StructField("k", StringType()), 10 * minute)
+    processor.init(handle)
+    at = {"a": [0, 5, 16, 40], "b": [30], None: [3]}
+    frame = pd.DataFrame([(k, t * minute) for k, ts in at.items() for t in ts], columns=["k", "at_us"])
+    assert not list(processor.handleInputRows((0,), iter([frame[3:], frame[:3]]), None))
+    assert handle.writes == 1 and handle.timers == {13 * 60_000 + 1}
+
+    class Now:
+        def __init__(self, minutes):
+            self.getCurrentWatermarkInMs = lambda: minutes * 60_000
+
+    def over(minutes):
+        rows = [r for out in processor.handleExpiredTimer((0,), Now(minutes), None) for r in out.itertuples(index=False)]
+        return [(None if pd.isna(r.k) else r.k, r.session, r.started_us // minute, r.ended_us // minute, r.n) for r in rows]
+
+    assert sorted(over(27), key=str) == [("a", 0, 0, 5, 2), ("a", 1, 16, 16, 1), (None, 0, 3, 3, 1)]
+    assert handle.timers == {40 * 60_000 + 1}
+    assert sorted(over(51)) == [("a", 2, 40, 40, 1), ("b", 0, 30, 30, 1)] and not handle.timers
