@@ -16,6 +16,7 @@ from voxloom.operators import ordered as O
 from voxloom.operators import sampling as S
 from voxloom.operators import windows as W
 from voxloom.operators.tries import Trie, register_prefix_split
+from voxloom.session import BATCHES
 
 
 @pytest.fixture(scope="module")
@@ -441,3 +442,20 @@ def test_detector_calls_are_observed(spark):
     rows = seen.collect()
     assert len(rows) == 20 and watch.get["calls"] == 10 and watch.get["failed"] == 11 and watch.get["nanos"] > 0
     assert all((r["nanos"] is None) == (r["detector"] == "gone") for r in rows)
+
+
+def unbounded(spark):
+    for name in BATCHES:
+        spark.conf.unset(name)
+
+
+def test_detectors_get_bounded_batches(spark):
+    for build in (lambda: H.detector(str.split), lambda: H.token_counter(str.split)):
+        unbounded(spark)
+        build()
+        assert {name: spark.conf.get(name) for name in BATCHES} == BATCHES
+    # what the session has set itself stays
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "70")
+    H.detector(str.split)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "70"
+    unbounded(spark)
