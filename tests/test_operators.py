@@ -449,6 +449,14 @@ def unbounded(spark):
         spark.conf.unset(name)
 
 
+def counting_factory():
+    # made inside a function, so that it travels with the job and not by the name of this module
+    def factory():
+        return lambda texts, wavs, counts: [[len(texts), 0]] * len(texts)
+
+    return factory
+
+
 def test_detectors_get_bounded_batches(spark):
     for build in (lambda: H.detector(str.split), lambda: H.token_counter(str.split)):
         unbounded(spark)
@@ -459,3 +467,13 @@ def test_detectors_get_bounded_batches(spark):
     H.detector(str.split)
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "70"
     unbounded(spark)
+
+
+def test_aligner_gets_bounded_batches(spark):
+    unbounded(spark)
+    rows = spark.range(0, 2500, 1, 1).select(
+        "id", F.array(F.lit("w")).alias("words"), F.lit("w").alias("text"), F.array().cast("array<float>").alias("wav")
+    )
+    # no size of its own: the model sees what comes as one batch
+    spans = H.align_batches(rows, ["id"], "wav", "words", "text", counting_factory(), segment_ms=1000.0, batch_size=0)
+    assert spans.select(F.max(F.col("time_stamps")[0]["start_time"])).first()[0] <= 1000
