@@ -477,3 +477,12 @@ def test_aligner_gets_bounded_batches(spark):
     # no size of its own: the model sees what comes as one batch
     spans = H.align_batches(rows, ["id"], "wav", "words", "text", counting_factory(), segment_ms=1000.0, batch_size=0)
     assert spans.select(F.max(F.col("time_stamps")[0]["start_time"])).first()[0] <= 1000
+
+
+def test_dictionary_gets_bounded_batches(spark):
+    unbounded(spark)
+    words = spark.createDataFrame([("a",)], "word string")
+    docs = spark.createDataFrame([(1, "ab c")], "d int, t string")
+    parts = J.dictionary_left_split(docs, "d", "t", words).orderBy("at").collect()
+    assert [(r["left"], r["right"]) for r in parts] == [("a", "b"), ("c", "")]
+    assert {name: spark.conf.get(name) for name in BATCHES} == BATCHES

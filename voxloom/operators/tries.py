@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxloom.session import bound_batches
+
 #: Words whose answer a worker remembers.
 REMEMBERED = 500_000
 
@@ -77,7 +79,8 @@ class Trie:
 
 
 def prefix_lengths(spark: SparkSession, trie: Trie) -> "Column":
-    """A function of an array of words: the length of each one's longest entry."""
+    """A function of an array of words: the length of each one's longest entry. Batches of words are bounded in rows and bytes."""
+    bound_batches(spark)
     shared = spark.sparkContext.broadcast(trie)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
