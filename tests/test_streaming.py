@@ -289,7 +289,9 @@ def test_sessions_of_a_group_share_calls_and_entries():
         [(k, i, float(i), False) for k, n in sizes.items() for i in range(n)] + [(k, n, None, True) for k, n in sizes.items()],
         columns=["k", "number", "value", "end"],
     )
-    rows["k"] = rows["k"].astype(object)
+    # a whole number comes with a mark instead of a null
+    rows["known_key"] = rows["k"].notna()
+    rows["k"] = rows["k"].fillna(0).astype("int64")
     handle, got = Handle(), {}
     for frames in ([rows[:900], rows[900:1700]], [rows[1700:]]):
         processor = S.GroupProcessor(settings, words, "number", StructField("k", LongType()))
@@ -302,6 +304,24 @@ def test_sessions_of_a_group_share_calls_and_entries():
     assert got == want and handle.writes == 1 and handle.value is None
 
 
+def test_null_is_a_session_of_its_own(spark):
+    big = 2**60 + 1
+    sizes = {big: 9, big + 1: 7, 0: 5, None: 8}
+    rows = spark.createDataFrame(
+        [(k, i, float(i), False) for k, n in sizes.items() for i in range(n)] + [(k, n, None, True) for k, n in sizes.items()],
+        "user_id bigint, number bigint, value double, end boolean",
+    )
+    path = scratch_path(spark, "nulls")
+    # later samples first, so that all sessions wait; all of them in one group
+    for low in (6, 0):
+        rows.where((F.col("number") >= low) & (F.col("number") < low + 6)).coalesce(1).write.mode("append").parquet(path)
+    settings = S.StreamSettings(chunk_seconds=4, sr=1, ttl_seconds=None)
+    stream = read_table_stream(rows, path, batch_bytes=1)
+    steps = S.run_available(S.stream_steps(stream, "user_id", "number", settings, words, groups=1), "nulls").collect()
+    want = {(k, min(i + 4, n), n - i < 4) for k, n in sizes.items() for i in range(0, n, 4)}
+    assert sorted(((r["user_id"], r["n_seen"], r["final"]) for r in steps), key=str) == sorted(want, key=str)
+
+
 def test_keys_of_a_group_share_a_timer():
     minute = 60_000_000
     handle = Handle()
@@ -309,6 +329,7 @@ def test_keys_of_a_group_share_a_timer():
     processor.init(handle)
     at = {"a": [0, 5, 16, 40], "b": [30], None: [3]}
     frame = pd.DataFrame([(k, t * minute) for k, ts in at.items() for t in ts], columns=["k", "at_us"])
+    frame["known_key"] = frame["k"].notna()
     assert not list(processor.handleInputRows((0,), iter([frame[3:], frame[:3]]), None))
     assert handle.writes == 1 and handle.timers == {13 * 60_000 + 1}
 

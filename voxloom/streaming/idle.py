@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StructField, StructType
 
 from voxloom.constants import SESSION_TTL_SECONDS
+from voxloom.streaming.sessions import in_groups, keys_of
 
 #: Groups that keys are dealt to.
 GROUPS = 128
@@ -67,7 +68,7 @@ class IdleProcessor(StatefulProcessor):
             return pd.Series(none, dtype=object), none, (none,) * 4
         keys, closed, spans = self.open.get()
         keys = pa.ipc.open_stream(keys).read_all().column(0).to_pandas(integer_object_nulls=True)
-        return keys, np.frombuffer(closed, dtype=np.int64), tuple(np.frombuffer(spans, dtype=np.int64).reshape(4, -1))
+        return keys.astype(object), np.frombuffer(closed, dtype=np.int64), tuple(np.frombuffer(spans, dtype=np.int64).reshape(4, -1))
 
     def _fires(self, end: np.ndarray) -> np.ndarray:
         """The first millisecond at which the watermark has passed an end by more than the limit."""
@@ -90,7 +91,7 @@ class IdleProcessor(StatefulProcessor):
         for frame in rows:
             at = frame["at_us"].to_numpy(dtype=np.int64)
             # keys that are known keep their places
-            codes, keys = pd.factorize(pd.concat([keys, frame[self.key]]), use_na_sentinel=False)
+            codes, keys = pd.factorize(pd.concat([keys, keys_of(frame, self.key)]), use_na_sentinel=False)
             codes, keys = codes[-len(at) :].astype(np.int64), pd.Series(keys)
             closed = np.append(closed, np.zeros(len(keys) - len(closed), dtype=np.int64))
             new = (codes, at, at, np.ones(len(at), dtype=np.int64))
@@ -123,7 +124,6 @@ def closed_sessions(
     """
     schema = StructType([events.schema[key], *[StructField(c, LongType()) for c in COLUMNS]])
     at = F.col(ts).cast("timestamp")
-    group = F.pmod(F.xxhash64(key), F.lit(groups)).alias("_group")
-    marked = events.select(group, key, at.alias(ts), F.unix_micros(at).alias("at_us")).withWatermark(ts, delay)
+    marked = in_groups(events.select(key, at.alias(ts), F.unix_micros(at).alias("at_us")), key, groups).withWatermark(ts, delay)
     processor = IdleProcessor(events.schema[key], int(ttl_seconds * 1_000_000))
     return marked.groupBy("_group").transformWithStateInPandas(processor, schema, "Append", "EventTime")

@@ -27,6 +27,7 @@ from pyspark.sql.types import (
     BooleanType,
     DoubleType,
     IntegerType,
+    IntegralType,
     LongType,
     StringType,
     StructField,
@@ -80,6 +81,17 @@ class StreamSettings:
         return name[:1].upper() + name[1:].lower() if name else None
 
 
+def in_groups(df: DataFrame, key: str, groups: int) -> DataFrame:
+    """With the group of a key, and whether there is a key. A whole number travels without nulls, which would make it a float."""
+    out = df.withColumn("_group", F.pmod(F.xxhash64(key), F.lit(groups))).withColumn("known_key", F.col(key).isNotNull())
+    kind = df.schema[key].dataType
+    return out.withColumn(key, F.coalesce(key, F.lit(0).cast(kind))) if isinstance(kind, IntegralType) else out
+
+
+def keys_of(frame: pd.DataFrame, key: str) -> pd.Series:
+    return frame[key].astype(object).where(frame["known_key"].astype(bool), None)
+
+
 def split_tokens(text: str) -> list[str]:
     """Default tokenizer of the rollback: words with the blanks behind them."""
     return re.findall(r"\S+\s*|\s+", text)
@@ -354,17 +366,18 @@ class GroupProcessor(SessionProcessor):
         """The frames of a group are consumed one by one; what is held over them is the progress of its open sessions."""
         states = self._open()
         for frame in rows:
-            codes, sessions = pd.factorize(frame[self.key], use_na_sentinel=False)
+            codes, sessions = pd.factorize(keys_of(frame, self.key), use_na_sentinel=False)
             order = np.argsort(codes, kind="stable")
             ends = np.searchsorted(codes[order], np.arange(len(sessions) + 1))
             columns = [c[order] for c in self._columns(frame)]
-            out = []
+            out, of = [], []
             for k, session in enumerate(sessions.tolist()):
                 self.session = session = None if pd.isna(session) else session
                 state = states.pop(session, None) or self._new()
                 due, finished = self._taken(state, *[c[ends[k] : ends[k + 1]] for c in columns])
                 steps, heard = self._steps(state, due, finished)
-                out += [(session, *step) for step in steps]
+                out += steps
+                of += [session] * len(steps)
                 if finished:
                     self._forget(state)
                     continue
@@ -372,7 +385,9 @@ class GroupProcessor(SessionProcessor):
                 if self.settings.keep_audio and heard:
                     self.audio.updateValue((session,), (np.concatenate([*self._heard(), *heard]).tobytes(),))
             if out:
-                yield pd.DataFrame(out, columns=[self.key, *STEP_COLUMNS])
+                steps = pd.DataFrame(out, columns=STEP_COLUMNS)
+                steps.insert(0, self.key, pd.Series(of, dtype=object))
+                yield steps
         self._save(states)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -391,7 +406,7 @@ def stream_steps(
     field, schema = events.schema[key], stream_steps_schema(events.schema[key])
     if settings.ttl_seconds is None:
         # most of a small frame's cost is that of the frame, so sessions share them
-        grouped = events.withColumn("_group", F.pmod(F.xxhash64(key), F.lit(groups))).groupBy("_group")
+        grouped = in_groups(events, key, groups).groupBy("_group")
         steps = grouped.transformWithStateInPandas(GroupProcessor(settings, factory, number, field), schema, mode, "None")
     else:
         processor = SessionProcessor(settings, factory, number, key)
