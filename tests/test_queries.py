@@ -31,6 +31,15 @@ def test_documents_may_be_a_folder(spark, tmp_path, name):
     assert sorted(r["n"] for r in QUERIES[name](spark, str(tmp_path)).collect()) == [1, 1, 2]
 
 
+@pytest.mark.parametrize("name", ["language_distribution", "scan_parquet_shards"])
+def test_a_table_of_a_longer_name_is_another(spark, tmp_path, name):
+    rows = [(k, "some words", "en", "web", 10) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    docs.select("doc_id").write.parquet(str(tmp_path / "documents_old.parquet"))
+    assert [r["n"] for r in QUERIES[name](spark, str(tmp_path)).collect()] == [3]
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
     good, note = compare(spark, con, SMALL, name, QUERIES[name], ORACLES.get(name))

@@ -50,6 +50,29 @@ def test_shards_may_be_folders(spark, tmp_path):
     assert sorted(r["id"] for r in R.scan_parquet_shards(spark, str(tmp_path), "rows*.parquet").collect()) == [0, 1, 2, 7]
 
 
+def test_shards_behind_mounts(spark, tmp_path):
+    # each table is a mount of its own, so the folder above them is in no store
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    spark.range(3).repartition(2).write.parquet(str(tmp_path / "elsewhere"))
+    spark.range(5, 6).write.parquet(str(tmp_path / "other"))
+    for name, place in (("rows.parquet", "elsewhere"), ("other.parquet", "other")):
+        hadoop.set(f"fs.viewfs.mounttable.shards.link./{name}", f"file://{tmp_path / place}")
+    for pattern in ("rows.parquet", "rows*.parquet"):
+        assert sorted(r["id"] for r in R.scan_parquet_shards(spark, "viewfs://shards", pattern).collect()) == [0, 1, 2]
+    assert R.scan_parquet_shards(spark, "viewfs://shards", "*.parquet").count() == 4
+
+
+def test_shards_beside_a_partitioned_table(spark, tmp_path):
+    spark.range(3).withColumn("k", F.col("id")).write.partitionBy("k").parquet(str(tmp_path / "other.parquet"))
+    spark.range(4).coalesce(1).write.parquet(str(tmp_path / "_made"))
+    (file,) = glob.glob(str(tmp_path / "_made" / "part-*.parquet"))
+    shutil.copy(file, tmp_path / "rows.parquet")
+    assert R.scan_parquet_shards(spark, str(tmp_path), "rows.parquet").count() == 4
+    # marks of a pattern in a folder's name
+    spark.range(6).write.parquet(str(tmp_path / "rows[1].parquet"))
+    assert R.scan_parquet_shards(spark, str(tmp_path), "rows?1?.parquet").count() == 6
+
+
 def test_jsonl_keeps_nulls_and_unicode(spark, tmp_path):
     path = str(tmp_path / "rows")
     df = spark.createDataFrame([("a.wav", "日本 \n x", None)], "audio string, text string, prompt string")

@@ -35,7 +35,7 @@ def _content(df):
     "SELECT lang, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents GROUP BY lang",
 )
 def _(spark, d):
-    docs = R.scan_parquet_shards(spark, d, "documents*.parquet")
+    docs = R.scan_parquet_shards(spark, d, "documents.parquet")
     return docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text").cast("bigint")).alias("chars"))
 
 
