@@ -479,6 +479,19 @@ def test_aligner_gets_bounded_batches(spark):
     assert spans.select(F.max(F.col("time_stamps")[0]["start_time"])).first()[0] <= 1000
 
 
+def test_aligner_has_one_worker_a_task(spark):
+    rows = spark.createDataFrame([(1, ["a", "b", "c"], None, 1.5), (2, [], [0.5], None)], "id int, w array<string>, wav array<float>, o double")
+
+    def falling():
+        return lambda texts, wavs, counts: [[0, 2, 4, 1, 6, 8][: 2 * n] for n in counts]
+
+    spans = H.align_batches(rows.withColumn("t", F.lit("a b c")), ["id"], "wav", "w", "t", falling, segment_ms=500.0, offset="o")
+    plan = spans._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan and "InPandas" not in plan
+    found = {r["id"]: [tuple(s) for s in r["time_stamps"]] for r in spans.collect()}
+    assert found == {1: [("a", 1.5, 2.5), ("b", 3.5, 3.5), ("c", 4.5, 5.5)], 2: []}
+
+
 def test_dictionary_gets_bounded_batches(spark):
     unbounded(spark)
     words = spark.createDataFrame([("a",)], "word string")

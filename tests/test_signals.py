@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,6 +113,28 @@ def test_monotone_mask_and_repair(column):
     assert column(cases, L.repair_timestamps(x), "array<bigint>") == [filled(c) for c in cases]
 
 
+def test_lists_in_a_worker_are_repaired_alike(column):
+    cases = series() + [None, [2**53 + 1, 2**53 + 2]]
+    none_first = [[None, 3, 4], [5, 1, 2], None]
+    for values in (cases, none_first):
+        lists = pa.array(values, type=pa.list_(pa.int64()))
+        slots = [v for v in L.repaired_lists(lists, 80.0).to_pylist()]
+        millis = [v and [x if x is None else int(x * 80.0) for x in v] for v in values]
+        assert slots == column(millis, L.repair_timestamps(x), "array<bigint>")
+    # a fall between two lists is none in them
+    assert L.repaired_lists(pa.array([[1, 9], [], [0, 4]]), 1.5).to_pylist() == [[1, 13], [], [0, 6]]
+
+
+def test_only_what_is_out_of_order_is_searched(monkeypatch):
+    sizes = []
+    search = L._searched
+    monkeypatch.setattr(L, "_searched", lambda v: sizes.append(len(v)) or search(v))
+    values = list(range(100_000))
+    values[50_000] = 49_990
+    assert L.longest_monotone(values).sum() == 99_999
+    assert sizes == [10]
+
+
 def test_pair_timestamps(spark):
     df = spark.createDataFrame([(["a", "b"], [80, 160, 1234, 2000])], "w array<string>, t array<bigint>")
     rows = df.select(L.pair_timestamps(F.col("w"), F.col("t"), F.lit(180.5))).first()[0]
