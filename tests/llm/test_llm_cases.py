@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from voxloom import session
 from voxloom.llm import decontaminate, jaccard, langid, licenses, linededup, packing, quality, rules, sharding, toxicity
 from voxloom.llm.components import components
 
@@ -515,3 +516,32 @@ def test_seeds_of_the_benchmark_have_a_bounded_size(spark):
     benchmark = spark.createDataFrame([(1, long_item)], "item_id long, text string")
     found = {r["doc_id"]: r["contaminated"] for r in decontaminate.find_leaks(docs, benchmark).collect()}
     assert found == {1: True, 2: False}
+
+
+def test_marks_keep_every_member(spark):
+    rows = spark.range(20_000).select(F.when(F.col("id") > 0, F.col("id")).alias("id"), F.lit("x").alias("t"))
+    members = spark.range(10).select((F.col("id") * 1_999).alias("id")).unionAll(spark.range(1, 2))
+    kept = jaccard.maybe_in(rows, members, "id")
+    assert kept.columns == ["id", "t"]
+    found = [r["id"] for r in kept.collect()]
+    assert set(found) >= {1, *range(1_999, 19_000, 1_999)} and len(found) < 100
+
+
+def test_only_texts_of_clusters_are_dealt_out(spark, monkeypatch):
+    near = " ".join(f"near{k}" for k in range(300))
+    texts = [" ".join(f"w{d}x{k}" for k in range(20)) for d in range(200)] + [near, near + " end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    deal, write, dealt, names = jaccard.in_groups, jaccard.materialize, [], []
+
+    def spied(rows, group, *rest, **named):
+        if group == "cluster":
+            dealt.append(named["wide"].count())
+        return deal(rows, group, *rest, **named)
+
+    monkeypatch.setattr(jaccard, "in_groups", spied)
+    monkeypatch.setattr(jaccard, "materialize", lambda df, name: names.append(name) or write(df, name))
+    got = {r["doc_id"]: (r["component_id"], r["n_links"]) for r in jaccard.query(docs).collect()}
+    assert got == {d: (d, 0) for d in range(200)} | {200: (200, 1), 201: (200, 1)}
+    assert len(dealt) == 1 and 2 <= dealt[0] < 20
+    # cells are written once for both of their readers, and go when the clusters are known
+    assert names.count("jaccard-cells") == 1 and not any("jaccard-cells" in path for path in session._written)

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.llm.components import components
-from voxloom.session import materialize
+from voxloom.session import materialize, release_since, written
 
 COUNTERS = 1 << 16
 SHINGLE_COUNTERS = 1 << 20
@@ -53,6 +53,8 @@ POINT_CELLS = 1 << 24
 #: Points of a block of a cell, and shingles of a block of a cluster (8 bytes each, and the texts they come from).
 CELL_POINTS = 20_000
 CLUSTER_SHINGLES = 4_000_000
+#: Rows, of 64 bits each, of the table that tells which texts may be in a cluster.
+MARK_ROWS = 1 << 18
 CACHE_WORDS = 1_000_000
 #: Odd multipliers of 64-bit mixing (the constants of a published finaliser), fixed values.
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15))
@@ -392,12 +394,24 @@ def by_group(batches: Iterator[pa.RecordBatch], group: str) -> Iterator[list[tup
         yield held
 
 
+def maybe_in(rows: DataFrame, members: DataFrame, key: str) -> DataFrame:
+    """Rows whose key may be among those of ``members``: all that are and, by chance, some others, so a join by the key has to
+    follow. It is told by marks in a table of bounded size that is broadcast, and only rows that are left are shuffled."""
+    block = F.pmod(F.xxhash64(key), F.lit(MARK_ROWS)).alias("_block")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.shiftright(F.xxhash64(key), 32), F.lit(64)).cast("int"))
+    marks = members.select(block, bit.alias("_bit")).groupBy("_block").agg(F.bit_or("_bit").alias("_bits"))
+    marked = rows.withColumn("_block", block).join(F.broadcast(marks), "_block")
+    return marked.where(F.col("_bits").bitwiseAND(bit) != 0).select(*rows.columns)
+
+
 def clusters(signed: DataFrame, percent: int) -> DataFrame:
     """(lo, cluster) for the classes with a pair that shares a key and has enough room for a link by its counts."""
+    place = written()
     usable = signed.where(F.col("key").isNotNull() & (F.col("n") > 0))
     rows = usable.select(F.explode("keys").alias("k"), "lo", "band")
     shared = rows.groupBy("k").agg(F.min("lo").alias("a"), F.max("lo").alias("b")).where(F.col("a") < F.col("b")).select("k")
-    cells = rows.join(shared, "k").distinct()
+    # read twice, to size the cells and to fill them
+    cells = materialize(rows.join(shared, "k").distinct(), "jaccard-cells")
     # two cells that share a hash are one cell with more to compare
     both = cells.select("lo", "k", "band", F.explode(F.array("band", F.col("band") + 1)).alias("at"))
     placed = both.select(F.xxhash64("k", "at").alias("cell"), "lo", (F.col("band") == F.col("at")).alias("own"), F.lit(1).alias("one"))
@@ -416,7 +430,9 @@ def clusters(signed: DataFrame, percent: int) -> DataFrame:
 
     met = in_groups(placed, "cell", "one", CELL_POINTS, "lo", F.col("own"), points, "lo").select("cell", "i", "j", "lo", "side", "n", "point")
     edges = met.mapInArrow(run, "u bigint, v bigint")
-    return components(edges, "jaccard-clusters").select(F.col("node").alias("lo"), F.col("root").alias("cluster"))
+    found = components(edges, "jaccard-clusters").select(F.col("node").alias("lo"), F.col("root").alias("cluster"))
+    release_since(signed.sparkSession, place, found)
+    return found
 
 
 def class_rows(signed: DataFrame) -> DataFrame:
@@ -468,7 +484,7 @@ def links(
                 arrays = [pa.array(c, type=pa.int64()) for c in columns]
                 yield pa.RecordBatch.from_arrays(arrays, names=["u", "v", "hi", "lo", "linked"])
 
-    sent = in_groups(member, "cluster", "n", CLUSTER_SHINGLES, "hi", wide=texts, on="key")
+    sent = in_groups(member, "cluster", "n", CLUSTER_SHINGLES, "hi", wide=maybe_in(texts, member, "key"), on="key")
     return sent.select("cluster", "i", "j", "key", "hi", "lo", "docs", "text", "side").mapInArrow(run, kinds)
 
 
