@@ -40,6 +40,23 @@ def test_a_table_of_a_longer_name_is_another(spark, tmp_path, name):
     assert [r["n"] for r in QUERIES[name](spark, str(tmp_path)).collect()] == [3]
 
 
+def timed_documents(spark, folder):
+    """Ids that five divides are few; what the quick detector gets right stands under the others and under no id."""
+    rows = [(5 * k, "los niños", "es") for k in range(3)] + [(5 * k + 1, "der Hund und die Katze", "de") for k in range(9)]
+    rows += [(None, "der Hund und die Katze", "de"), (7, None, None), (8, "of the people", "en")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(str(folder / "documents.parquet"))
+
+
+@pytest.mark.parametrize("name", ["detector_latency", "fastest_detector"])
+def test_detectors_are_timed_on_the_whole_table(spark, tmp_path, name):
+    timed_documents(spark, tmp_path)
+    found = {tuple(r) for r in QUERIES[name](spark, str(tmp_path)).collect()}
+    if name == "detector_latency":
+        assert found == {("quick", 15, 11, True, False), ("slow", 15, 4, True, True)}
+    else:
+        assert found == {("quick", "quick")}
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
     good, note = compare(spark, con, SMALL, name, QUERIES[name], ORACLES.get(name))

@@ -149,7 +149,7 @@ def missing_detector():
 
 
 _REGISTRY = {"quick": quick_detector, "slow": slow_detector, "missing": missing_detector}
-_TIMED_SQL = """asked AS (SELECT doc_id, lang, text FROM documents WHERE doc_id % 5 = 0),
+_TIMED_SQL = """asked AS (SELECT doc_id, lang, text FROM documents),
 answers AS (
   SELECT 'quick' AS detector, lang, CASE WHEN contains(' ' || text || ' ', ' the ') THEN 'en' WHEN contains(' ' || text || ' ', ' und ') THEN 'de' ELSE 'xx' END AS code FROM asked
   UNION ALL SELECT 'slow', lang, CASE WHEN contains(' ' || text || ' ', ' los ') THEN 'es' ELSE 'en' END FROM asked),
@@ -157,7 +157,8 @@ marks AS (SELECT detector, count(*) AS calls, count(*) FILTER (code = lang) AS c
 
 
 def _timed(spark, d):
-    asked = documents(spark, d).select("lang", "text").where(F.col("doc_id") % 5 == 0)
+    """Every detector on every text of the table: none of them has learnt from it."""
+    asked = documents(spark, d).select("lang", "text")
     return materialize(timed_grid(asked, _REGISTRY, "text", ["lang"]), "calls")
 
 
