@@ -1,6 +1,7 @@
 """Stream state: settings, rollback, end of a session, idle sessions."""
 
 import time
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -344,3 +345,44 @@ def test_keys_of_a_group_share_a_timer():
     assert sorted(over(27), key=str) == [("a", 0, 0, 5, 2), ("a", 1, 16, 16, 1), (None, 0, 3, 3, 1)]
     assert handle.timers == {40 * 60_000 + 1}
     assert sorted(over(51)) == [("a", 2, 40, 40, 1), ("b", 0, 30, 30, 1)] and not handle.timers
+
+
+def test_sessions_over_many_frames_do_not_wait():
+    """What comes in one call is handled together: nothing is parked in the state between its frames."""
+    rows = pd.DataFrame([(k, i, float(i), False, True) for k in range(20) for i in range(30)], columns=["k", "number", "value", "end", "known_key"])
+    rows = rows.sample(frac=1, random_state=3)
+    handle = Handle()
+    processor = S.GroupProcessor(S.StreamSettings(chunk_seconds=4, sr=1, ttl_seconds=None), words, "number", StructField("k", LongType()))
+    processor.init(handle)
+    out = pd.concat(processor.handleInputRows((0,), iter([rows[low : low + 25] for low in range(0, 600, 25)]), None))
+    assert processor.early.moved == 0 and sorted(zip(out["k"], out["n_seen"])) == [(k, n) for k in range(20) for n in range(4, 29, 4)]
+
+
+@pytest.mark.parametrize("most", [1, 7, 1000])
+def test_rows_are_packed_by_group(spark, most):
+    rows = [(k % 3, k if k % 5 else None, f"t{k}" if k % 4 else None) for k in range(100)]
+    df = spark.createDataFrame(rows, "g bigint, n bigint, t string").coalesce(1)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(S, "PACKED_ROWS", most)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+        found = S.packed(df, "g").collect()
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert most < 1000 or len(found) == 3
+    for group in range(3):
+        mine = [list(zip(r["n"], r["t"])) for r in found if r["g"] == group]
+        assert sum(mine, []) == [(n, t) for g, n, t in rows if g == group]
+    assert S.packed(df.where("false"), "g").collect() == []
+
+
+def test_replay_opens_few_state_partitions(spark):
+    rows = session_rows(spark, {k: 5 for k in range(30)})
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        checkpoint = scratch_path(spark, "few-parts")
+        settings = S.StreamSettings(chunk_seconds=2, sr=1, ttl_seconds=None)
+        steps = replay(rows, 100, "user_id", settings, words, checkpoint=checkpoint).count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    parts = [p for p in Path(checkpoint.split(":", 1)[-1], "state", "0").iterdir() if p.name.isdigit()]
+    assert steps == 90 and len(parts) == 2 * spark.sparkContext.defaultParallelism

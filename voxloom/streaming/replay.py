@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from voxloom.operators.ordered import fitting_seconds, time_block, with_position
 from voxloom.session import scratch_path
 from voxloom.sources.pieces import read_pieces, write_pieces
-from voxloom.streaming.sessions import StreamSettings, run_available, stream_steps
+from voxloom.streaming.sessions import GROUPS, StreamSettings, run_available, stream_steps
 
 
 def read_table_stream(df: DataFrame, folder: str, pattern: str = "*.parquet", batch_bytes: int = 1 << 30) -> DataFrame:
@@ -52,9 +52,15 @@ def replay(
 
     The pieces are written once, as numbered pieces of a stored table; the run reads one of them per trigger, in order, until
     none is left. Closing rows, where ``samples`` has them, come in a piece of their own and flush the tails.
+
+    Every trigger opens and commits all partitions of the state and starts a worker for each, however little it brings, so
+    there are two for each core and no more than the session has shuffle partitions or the state has groups.
     """
     spark = samples.sparkSession
     folder = folder or scratch_path(spark, "replay-in")
-    write_pieces(samples, folder, piece_of(F.col("number"), F.col("end"), size))
+    cores = max(1, spark.sparkContext.defaultParallelism)
+    # a file is a task of the trigger that reads it
+    write_pieces(samples, folder, piece_of(F.col("number"), F.col("end"), size), files=min(max(4, cores), 64))
     stream = stream_steps(read_pieces(spark, samples.schema, folder), key, "number", settings, factory)
-    return run_available(stream, "replay", out, checkpoint, paced=True)
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * cores, GROUPS)
+    return run_available(stream, "replay", out, checkpoint, parts, paced=True)

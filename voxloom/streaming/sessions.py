@@ -7,7 +7,8 @@ of arrival. The closing row has the number after the last sample: it waits for m
 that was consumed already is ignored. State lives in the state store, so sessions survive a restart.
 
 Sessions without timers are handled in groups: a call of Python, a frame and a batch of results are shared by the many sessions
-of a group, and so is the entry of the state with their progress. Timers belong to a key, so with them a session is its key.
+of a group, and so is the entry of the state with their progress. The samples of a group travel packed, many in a row, because
+Spark hands rows to a stateful worker one by one. Timers belong to a key, so with them a session is its key.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
@@ -37,13 +39,15 @@ from pyspark.sql.types import (
 from voxloom.constants import RECOGNITION_LANGUAGES, SAMPLE_RATE, SESSION_TTL_SECONDS
 from voxloom.functions.language import parse_model_output
 from voxloom.operators.hooks import loaded
-from voxloom.session import ROCKSDB, scratch_path
+from voxloom.session import ROCKSDB, bound_batches, scratch_path
 
 BROKEN_CHARACTER = "\ufffd"
 #: Sample numbers that share one entry of waiting samples.
 STRETCH = 4096
 #: Groups of sessions that have no timers.
 GROUPS = 256
+#: Rows of a task that are packed at once, and rows of a group that are handled at once.
+PACKED_ROWS, FRAME_ROWS = 1 << 17, 1 << 18
 STEP_COLUMNS = ["chunk_id", "n_new", "n_seen", "sum_new", "sum_seen", "prefix", "raw", "final"]
 
 
@@ -92,6 +96,39 @@ def keys_of(frame: pd.DataFrame, key: str) -> pd.Series:
     return frame[key].astype(object).where(frame["known_key"].astype(bool), None)
 
 
+def packed(df: DataFrame, group: str) -> DataFrame:
+    """(group, lists of the other columns): the rows of a group among ``PACKED_ROWS`` rows of a task are one row, in the order they
+    have there."""
+    lists = [f for f in df.schema if f.name != group]
+
+    def together(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        groups = rows.column(group).to_numpy()
+        order = np.argsort(groups, kind="stable")
+        groups = groups[order]
+        starts = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))
+        ends = pa.array(np.append(starts, len(groups)), type=pa.int32())
+        rows = rows.take(pa.array(order))
+        columns = [pa.ListArray.from_arrays(ends, rows.column(f.name).combine_chunks()) for f in lists]
+        return pa.RecordBatch.from_arrays([pa.array(groups[starts]), *columns], names=[group, *[f.name for f in lists]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                n += batch.num_rows
+            if n >= PACKED_ROWS:
+                yield together(held)
+                held, n = [], 0
+        if held:
+            yield together(held)
+
+    # a batch is some rows of many samples on its way to the state, so its bytes have to be bounded
+    bound_batches(df.sparkSession)
+    return df.mapInArrow(run, StructType([df.schema[group], *[StructField(f.name, ArrayType(f.dataType)) for f in lists]]))
+
+
 def split_tokens(text: str) -> list[str]:
     """Default tokenizer of the rollback: words with the blanks behind them."""
     return re.findall(r"\S+\s*|\s+", text)
@@ -178,16 +215,19 @@ class SessionProcessor(StatefulProcessor):
         return np.asarray(numbers, dtype=np.int64), np.asarray(samples, dtype=np.float32)
 
     def _due(self, state: dict, numbers: np.ndarray, samples: np.ndarray) -> np.ndarray:
-        """The samples that follow on those consumed; the others are kept until what lies before them is there.
-
-        Only the stretches that the frame's own samples belong to and those that become due are read and written, so a
-        session whose first sample comes last costs as much as one in order.
-        """
+        """The samples that follow on those consumed; the others are kept until what lies before them is there."""
         after = state["n_seen"] + len(state["buffer"])
         # the first row of a number counts
         numbers, first = np.unique(numbers, return_index=True)
         ahead = numbers >= after
-        numbers, samples = numbers[ahead], samples[first][ahead]
+        return self._placed(state, after, numbers[ahead], samples[first][ahead])
+
+    def _placed(self, state: dict, after: int, numbers: np.ndarray, samples: np.ndarray) -> np.ndarray:
+        """The same for samples that have not been consumed, in the order of their numbers and each number once.
+
+        Only the stretches that the frame's own samples belong to and those that become due are read and written, so a
+        session whose first sample comes last costs as much as one in order.
+        """
         if not state["waiting"] and (not len(numbers) or numbers[-1] - after + 1 == len(numbers)):
             # none is missing and none waits
             return samples
@@ -306,9 +346,9 @@ class GroupProcessor(SessionProcessor):
     samples and the audio that is kept have entries of their own per session.
     """
 
-    def __init__(self, settings: StreamSettings, factory: Callable, number: str, key: StructField):
+    def __init__(self, settings: StreamSettings, factory: Callable, number: str, key: StructField, packed: bool = False):
         super().__init__(settings, factory, number, key.name)
-        self.kind = key.dataType
+        self.kind, self.packed = key.dataType, packed
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         session = StructField("session", self.kind)
@@ -362,19 +402,54 @@ class GroupProcessor(SessionProcessor):
             return []
         return [np.frombuffer(self.audio.getValue((self.session,))[0], dtype=np.float32)]
 
+    def _frames(self, rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The rows in frames of ``FRAME_ROWS`` or a little more, so that those of a session lie together, whatever comes at once."""
+        held, n = [], 0
+        for frame in rows:
+            if self.packed:
+                columns = (self.key, self.number, "value", "end", "known_key")
+                frame = pd.DataFrame({c: np.concatenate(frame[c].tolist()) for c in columns})
+            held.append(frame)
+            n += len(frame)
+            if n >= FRAME_ROWS:
+                yield pd.concat(held, ignore_index=True)
+                held, n = [], 0
+        if held:
+            yield pd.concat(held, ignore_index=True)
+
+    def _dealt(self, frame: pd.DataFrame, states: dict) -> Iterator[tuple[object, dict, np.ndarray]]:
+        """(session, its state, the samples that are due) for the sessions of a frame. What is the same for every session is done
+        for all at once; only sessions that wait for samples are looked at one by one."""
+        keys = frame[self.key] if frame["known_key"].all() else keys_of(frame, self.key)
+        codes, sessions = pd.factorize(keys, use_na_sentinel=False)
+        sessions = [None if pd.isna(s) else s for s in sessions.tolist()]
+        own = [states.pop(s, None) or self._new() for s in sessions]
+        after = np.array([s["n_seen"] + len(s["buffer"]) for s in own], dtype=np.int64)
+        closing, numbers, samples = self._columns(frame)
+        sizes = np.full(len(own), -1)
+        np.maximum.at(sizes, codes[closing], numbers[closing])
+        for k in np.unique(codes[closing]).tolist():
+            own[k]["size"] = int(sizes[k])
+        ahead = ~closing & (numbers >= after[codes])
+        codes, numbers, samples = codes[ahead], numbers[ahead], samples[ahead]
+        # the first row of a number counts
+        order = np.lexsort((numbers, codes))
+        codes, numbers, samples = codes[order], numbers[order], samples[order]
+        first = np.ones(len(codes), dtype=bool)
+        first[1:] = (codes[1:] != codes[:-1]) | (numbers[1:] != numbers[:-1])
+        codes, numbers, samples = codes[first], numbers[first], samples[first]
+        ends = np.searchsorted(codes, np.arange(len(own) + 1)).tolist()
+        for session, state, expected, low, high in zip(sessions, own, after.tolist(), ends, ends[1:]):
+            self.session = session
+            yield session, state, self._placed(state, expected, numbers[low:high], samples[low:high])
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        """The frames of a group are consumed one by one; what is held over them is the progress of its open sessions."""
+        """What is held over the frames of a group is the progress of its open sessions."""
         states = self._open()
-        for frame in rows:
-            codes, sessions = pd.factorize(keys_of(frame, self.key), use_na_sentinel=False)
-            order = np.argsort(codes, kind="stable")
-            ends = np.searchsorted(codes[order], np.arange(len(sessions) + 1))
-            columns = [c[order] for c in self._columns(frame)]
+        for frame in self._frames(rows):
             out, of = [], []
-            for k, session in enumerate(sessions.tolist()):
-                self.session = session = None if pd.isna(session) else session
-                state = states.pop(session, None) or self._new()
-                due, finished = self._taken(state, *[c[ends[k] : ends[k + 1]] for c in columns])
+            for session, state, due in self._dealt(frame, states):
+                finished = state["size"] >= 0 and state["n_seen"] + len(state["buffer"]) + len(due) >= state["size"]
                 steps, heard = self._steps(state, due, finished)
                 out += steps
                 of += [session] * len(steps)
@@ -406,8 +481,9 @@ def stream_steps(
     field, schema = events.schema[key], stream_steps_schema(events.schema[key])
     if settings.ttl_seconds is None:
         # most of a small frame's cost is that of the frame, so sessions share them
-        grouped = in_groups(events, key, groups).groupBy("_group")
-        steps = grouped.transformWithStateInPandas(GroupProcessor(settings, factory, number, field), schema, mode, "None")
+        marked = in_groups(events.select(key, number, "value", "end"), key, groups)
+        processor = GroupProcessor(settings, factory, number, field, packed=True)
+        steps = packed(marked, "_group").groupBy("_group").transformWithStateInPandas(processor, schema, mode, "None")
     else:
         processor = SessionProcessor(settings, factory, number, key)
         steps = events.groupBy(key).transformWithStateInPandas(processor, schema, mode, "ProcessingTime")
