@@ -345,6 +345,47 @@ def test_repeated_words_and_ablation(spark):
 # --- 10: components and trees -----------------------------------------------------------------------------------------
 
 
+def test_nothing_that_grows_passes_through_the_driver(spark, monkeypatch):
+    """The planner takes small files for small tables, whatever their lists unfold to; only marks of bounded size are broadcast."""
+    plans = []
+
+    def watched(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return session.materialize(df, name)
+
+    for module in ("jaccard", "components"):
+        monkeypatch.setattr(f"voxloom.llm.{module}.materialize", watched)
+    rows = [(k, " ".join([*(f"g{k // 3}w{j}" for j in range(39)), f"end{k}"])) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for counted in (False, True):
+        plans.clear()
+        found = jaccard.jaccard_components(docs, counted=counted)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        assert {(r["doc_id"] // 3 * 3, r["component_id"]) for r in found.collect()} == {(k, k) for k in range(0, 60, 3)}
+        assert sum(plan.count("BroadcastExchange") for plan in plans) <= 1 and sum(plan.count("SortMergeJoin") for plan in plans) > 8
+
+
+@pytest.mark.parametrize("taken, collects", [(300, False), (400, True)])
+def test_a_grown_driver_is_collected(taken, collects):
+    class Driver:
+        calls = []
+        sparkContext = _jvm = java = lang = Runtime = property(lambda self: self)
+        System = property(lambda self: type("System", (), {"gc": lambda: self.calls.append(1)}))
+
+        def getRuntime(self):
+            return self
+
+        def totalMemory(self):
+            return taken
+
+        def maxMemory(self):
+            return 750
+
+    driver = Driver()
+    assert session.collect_driver(driver) == collects and bool(driver.calls) == collects
+    driver.calls.clear()
+
+
 def test_components_of_paths_and_hubs(spark):
     edges = [(k + 1, k) for k in range(40)] + [(100 + k, 100) for k in range(1, 30)] + [(500, 129), (7, 7), (7, 3)]
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}

@@ -1,7 +1,8 @@
 """Connected components of an edge table, by alternating stars over written tables.
 
 Each round links every node to the smallest node it knows (large star, then small star), with two groupings and two
-joins; groupings combine before the shuffle and AQE splits the partitions of a hub in the joins. The rounds end
+joins; groupings combine before the shuffle and AQE splits the partitions of a hub in the joins. These are merge joins
+whatever the sizes: a broadcast passes through the driver, and there would be two or more a round. The rounds end
 when the edges no longer change, which takes about as many rounds as the logarithm of the longest path. Every round is
 a table in the shared folder, so a lost executor costs a re-read and no lineage grows; a round goes when the next is
 written. Two numbers per round reach the driver.
@@ -23,13 +24,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Larger neighbours of a node are linked to the smallest of its neighbours and itself."""
     near = _both_ways(edges)
     least = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return near.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return near.where(F.col("v") > F.col("u")).join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Smaller neighbours of a node and itself are linked to the smallest of them. Edges go from larger to smaller."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = edges.join(least.hint("merge"), "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionAll(least.select("u", F.col("m").alias("v")))
 
 

@@ -352,6 +352,12 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], type=pa.int64()) for k in (0, 1)], names=["u", "v"])
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """To be joined by sorting both sides. What is joined here grows with the table; the planner, who goes by the size of compressed
+    files and takes a list for one value, thinks it small and would send it through the driver."""
+    return df.hint("merge")
+
+
 def in_groups(
     rows: DataFrame, group: str, weight: str, most: int, salt: str, own: Column | None = None,
     wide: DataFrame | None = None, on: str | None = None,
@@ -366,7 +372,7 @@ def in_groups(
     )
     blocks = sizes.select(group, F.ceil(F.col("_w") / most).cast("int").alias("_blocks"))
     mine = F.pmod(F.xxhash64(salt), F.col("_blocks")).cast("int")
-    met = rows.join(blocks, group).withColumn("_mine", mine).withColumn(
+    met = rows.join(merged(blocks), group).withColumn("_mine", mine).withColumn(
         "_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     )
     side = F.when(F.col("_mine") == F.col("_other"), F.lit(-1)).otherwise(F.col("_mine"))
@@ -374,7 +380,7 @@ def in_groups(
         *rows.columns, side.alias("side"), F.least("_mine", "_other").alias("i"), F.greatest("_mine", "_other").alias("j")
     )
     if wide is not None:
-        pair = pair.join(wide, on)
+        pair = pair.join(merged(wide), on)
     return pair.repartition(group, "i", "j").sortWithinPartitions(group, "i", "j")
 
 
@@ -411,7 +417,7 @@ def clusters(signed: DataFrame, percent: int) -> DataFrame:
     rows = usable.select(F.explode("keys").alias("k"), "lo", "band")
     shared = rows.groupBy("k").agg(F.min("lo").alias("a"), F.max("lo").alias("b")).where(F.col("a") < F.col("b")).select("k")
     # read twice, to size the cells and to fill them
-    cells = materialize(rows.join(shared, "k").distinct(), "jaccard-cells")
+    cells = materialize(rows.join(merged(shared), "k").distinct(), "jaccard-cells")
     # two cells that share a hash are one cell with more to compare
     both = cells.select("lo", "k", "band", F.explode(F.array("band", F.col("band") + 1)).alias("at"))
     placed = both.select(F.xxhash64("k", "at").alias("cell"), "lo", (F.col("band") == F.col("at")).alias("own"), F.lit(1).alias("one"))
@@ -448,7 +454,7 @@ def links(
 
     ``counted`` verifies all pairs and adds (hi, lo, linked): parts of the number of documents in classes linked with a class.
     """
-    member = class_rows(signed).join(clusters(signed, percent), "lo").select("cluster", "key", "hi", "lo", "n", "docs")
+    member = class_rows(signed).join(merged(clusters(signed, percent)), "lo").select("cluster", "key", "hi", "lo", "n", "docs")
     member = materialize(member, "jaccard-members")
     texts = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
     kinds = "u bigint, v bigint" + ", hi bigint, lo bigint, linked bigint" * counted
@@ -499,7 +505,7 @@ def jaccard_components(
     signed = materialize(signatures(df, key, text, width, percent), "jaccard-sets")
     classes = class_rows(signed).select("hi", "lo", F.col("key").alias("rep"), "docs")
     # a text and its class are connected by the id, so ids with several texts connect their classes
-    copies = signed.where(F.col("n") > 0).join(classes, ["hi", "lo"]).select(F.col("key").alias("u"), F.col("rep").alias("v"))
+    copies = signed.where(F.col("n") > 0).join(merged(classes), ["hi", "lo"]).select(F.col("key").alias("u"), F.col("rep").alias("v"))
     found = links(df, key, text, signed, width, percent, counted)
     if counted:
         found = materialize(found, "jaccard-links")
@@ -507,14 +513,14 @@ def jaccard_components(
     rows = signed.select("key", "n")
     if counted:
         others = found.groupBy("hi", "lo").agg(F.sum("linked").alias("linked"))
-        numbers = classes.join(others, ["hi", "lo"], "left").select(
+        numbers = classes.join(merged(others), ["hi", "lo"], "left").select(
             "hi", "lo", (F.col("docs") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")
         )
         # a row without an id or a word is in no class
-        numbered = signed.where(F.col("key").isNotNull() & (F.col("n") > 0)).join(numbers, ["hi", "lo"])
+        numbered = signed.where(F.col("key").isNotNull() & (F.col("n") > 0)).join(merged(numbers), ["hi", "lo"])
         rest = signed.where(F.col("key").isNull() | (F.col("n") == 0)).select("key", "n", F.lit(0).cast("bigint").alias("n_links"))
         rows = numbered.select("key", "n", "n_links").unionAll(rest)
-    return rows.join(whole, rows["key"] == whole["node"], "left").select(
+    return rows.join(merged(whole), rows["key"] == whole["node"], "left").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("root", "key").alias("component_id"),
         *(["n_links"] if counted else []),
     )
